@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import embed_dedup, simhash
 from .common import table
-from .embed_dedup import near_duplicates
+from .packing import pack
+from .token_files import read_token_files, token_file_path, write_token_files
 from .topk import exact_top_k
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "embeddings"))
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +26,17 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op3_exact_top_k)}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_file_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, path)
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op8_packing, op10_token_files)}
 
 #: Cosines of all pairs within a label in doubles, and the components by repeated joins.
 OP1_SQL = """
