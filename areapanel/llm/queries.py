@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from . import embed_dedup, simhash
 from .common import table
 from .packing import pack
+from .suffix_dedup import suffix_dedup
 from .token_files import read_token_files, token_file_path, write_token_files
 from .topk import exact_top_k
 from .toxicity import toxicity
@@ -27,6 +28,10 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,7 +46,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op7_toxicity, op8_packing, op10_token_files)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op7_toxicity, op8_packing, op10_token_files, pipeline)}
 
 #: Cosines of all pairs within a label in doubles, and the components by repeated joins.
 OP1_SQL = """
