@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import embed_dedup, simhash
 from .common import table
+from .ngram_lm import lm_scores
 from .packing import pack
 from .suffix_dedup import suffix_dedup
 from .token_files import read_token_files, token_file_path, write_token_files
@@ -32,6 +33,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,7 +57,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op7_toxicity, op8_packing, op10_token_files, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op6_lm_scores, op7_toxicity, op8_packing, op10_token_files, pipeline)}
 
 #: Cosines of all pairs within a label in doubles, and the components by repeated joins.
 OP1_SQL = """
