@@ -407,7 +407,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def left(text, spans):
         import pandas as pd
 
-        return pd.Series([cut(t, s)[0].decode("utf-8", "ignore") for t, s in zip(text, spans, strict=True)])
+        return pd.Series([cut(t, None if s is None else list(s))[0].decode("utf-8", "ignore") for t, s in zip(text, spans, strict=True)])
 
     keep = F.pandas_udf(left, "string")
     joined = rows.join(spans, ["_id", "_mark"], "left")
