@@ -233,29 +233,32 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     train = save(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", "doc_id"), "toxicity-train")
 
-    def counted(batches):
-        """Toxic rows: (term, neighbours, row); clean rows: numbers of rows by term."""
+    def in_toxic(batches):
+        """(term, neighbours, row), each once."""
         for batch in batches:
-            texts, toxic, ids = (batch.column(k).to_pylist() for k in range(3))
-            for a, b in slices(texts, 1 << 23):
-                clean: Counter = Counter()
+            for text, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = [w for w in map(bare, text.lower().split()) if w]
                 near: set[tuple[str, int, int]] = set()
-                for text, y, doc in zip(texts[a:b], toxic[a:b], ids[a:b], strict=True):
-                    words = [w for w in map(bare, text.lower().split()) if w]
-                    if y:
-                        for k, w in enumerate(words):
-                            mark = xxhash.xxh64_intdigest(f"{words[k - 1] if k else ''} {words[k + 1] if k + 1 < len(words) else ''}") - (1 << 63)
-                            near.update((t, mark, doc) for t in _terms(w[:40]))
-                    else:
-                        clean.update({t for w in set(words) for t in _terms(w[:40])})
-                rows = [(*x, None) for x in near] + [(t, None, None, n) for t, n in clean.items()]
-                for k in range(0, len(rows), 100_000):
-                    t, *numbers = zip(*rows[k : k + 100_000], strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), *(pa.array(x, pa.int64()) for x in numbers)], ["term", "mark", "row", "n"])
-
-    rows = train.select("text", "toxic", "doc_id").mapInArrow(counted, "term string, mark long, row long, n long")
-    owned = rows.groupBy("term", "mark").agg(F.min("row").alias("row"), F.sum("n").alias("n")).groupBy("term", "row").agg(F.sum("n").alias("n"))
-    both = owned.groupBy("term").agg(F.count("row").alias("t"), F.coalesce(F.sum("n"), F.lit(0)).alias("c")).where(F.col("t") >= support)
+                for k, w in enumerate(words):
+                    mark = xxhash.xxh64_intdigest(f"{words[k - 1] if k else ''} {words[k + 1] if k + 1 < len(words) else ''}") - (1 << 63)
+                    near.update((t, mark, row) for t in _terms(w[:40]))
+                if near:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*near, strict=True), (pa.string(), pa.int64(), pa.int64()), strict=True)], ["term", "mark", "row"])
+
+    def in_clean(batches):
+        """(term, rows that have it), summed over many rows."""
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for a, b in slices(texts, 1 << 24):
+                clean: Counter = Counter()
+                for text in texts[a:b]:
+                    clean.update({t for w in set(map(bare, text.lower().split())) if w for t in _terms(w[:40])})
+                yield pa.RecordBatch.from_arrays([pa.array(list(clean), pa.string()), pa.array(list(clean.values()), pa.int64())], ["term", "n"])
+
+    toxic = train.where("toxic > 0").select("text", "doc_id").mapInArrow(in_toxic, "term string, mark long, row long").groupBy("term", "mark").agg(F.min("row").alias("row"))
+    toxic = toxic.select("term", "row").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("t")).where(F.col("t") >= support)
+    clean = train.where("toxic <= 0").select("text").mapInArrow(in_clean, "term string, n long").groupBy("term").agg(F.sum("n").alias("c"))
+    both = save(toxic.join(clean, "term", "left").select("term", "t", F.coalesce("c", F.lit(0)).alias("c")), "toxicity-terms")
     sizes = {r.toxic: r.n for r in train.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
     if not n_toxic:
