@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import embed_dedup, simhash
 from .common import table
+from .licenses import license_scan, license_sql
 from .ngram_lm import lm_scores
 from .packing import pack
 from .suffix_dedup import suffix_dedup
@@ -33,6 +34,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
@@ -57,7 +62,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op6_lm_scores, op7_toxicity, op8_packing, op10_token_files, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op5_license_scan, op6_lm_scores, op7_toxicity, op8_packing, op10_token_files, pipeline)}
 
 #: Cosines of all pairs within a label in doubles, and the components by repeated joins.
 OP1_SQL = """
@@ -87,4 +92,4 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE_SQL = {"op1_embedding_near_dedup": OP1_SQL, "op3_exact_top_k": OP3_SQL}
+ORACLE_SQL = {"op1_embedding_near_dedup": OP1_SQL, "op3_exact_top_k": OP3_SQL, "op5_license_scan": license_sql()}
