@@ -17,7 +17,7 @@ from .tokens import slices, word_encoder
 MAGIC = b"APHF1\0\0\0"
 HEADER = struct.Struct("<8sIIQQQI")
 BLOCK = 1024
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 21
 MAX_LENGTH = 18
 
 
@@ -133,7 +133,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer_path: str, end_id: int
     """Encode whole texts and write their ids to ``path`` in ascending order of the document's id.
 
     A file holds a range of ids; its rows are (file, segment, ids before the
-    segment in the file, payload), and a payload is a segment of about a million
+    segment in the file, payload), and a payload is a segment of about two million
     ids of whole documents: the documents with their numbers of ids, the code
     lengths, a bit-offset checkpoint for every 1,024 ids, and the bits.  Any
     reader can decode a segment alone, and any block of it alone.  Spark's
@@ -149,30 +149,35 @@ def write_token_files(df: DataFrame, path: str, tokenizer_path: str, end_id: int
     null id are left out.  An empty table writes an empty folder.
     """
 
+    bound = vocab_size(tokenizer_path)
+    kind = "<u4" if bound > 1 << 16 else "<u2"
+
     def ids_of(batches):
+        """Documents with their ids; last, a row without a document that holds the counts of all ids of the partition."""
         end = end_id.to_bytes(4, "little")
-        coder = word_encoder(tokenizer_path)
+        coder, total = word_encoder(tokenizer_path), np.zeros(bound, dtype=np.int64)
         for batch in batches:
             docs, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in slices(texts):
-                coded = [np.frombuffer(x + end, "<u4").astype("<u2").tobytes() if wide is False else x + end for x in coder.encode(texts[a:b])]
-                yield pa.RecordBatch.from_arrays([docs.slice(a, b - a), pa.array(coded, pa.binary())], ["doc_id", "ids"])
+                coded = [np.frombuffer(x + end, "<u4").astype(kind) for x in coder.encode(texts[a:b])]
+                total += np.bincount(np.concatenate(coded), minlength=bound)
+                yield pa.RecordBatch.from_arrays([docs.slice(a, b - a), pa.array([x.tobytes() for x in coded], pa.binary())], ["doc_id", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["doc_id", "ids"])
 
-    wide = vocab_size(tokenizer_path) > 1 << 16
-    kind, bound = ("<u4" if wide else "<u2"), vocab_size(tokenizer_path)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
-    coded = save(rows.mapInArrow(ids_of, "doc_id long, ids binary"), "token-ids")
+    stored = save(rows.mapInArrow(ids_of, "doc_id long, ids binary"), "token-ids")
+    coded = stored.where("doc_id is not null")
 
     def counted(batches):
         total = np.zeros(bound, dtype=np.int64)
         for batch in batches:
             for x in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(x, kind), minlength=bound)
+                total += np.frombuffer(x, np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 
     counts = np.zeros(bound, dtype=np.int64)
-    for row in coded.select("ids").mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
+    for row in stored.where("doc_id is null").select("ids").mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[row.id] = row.n
     lengths = code_lengths(counts)
 
@@ -198,7 +203,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer_path: str, end_id: int
 
     ordered = coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered.mapInArrow(segments, "file int, segment int, before long, n_ids long, payload binary").write.option("compression", "none").parquet(path)
-    drop_saved(coded)
+    drop_saved(stored)
 
 
 def vocab_size(tokenizer_path: str) -> int:

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import string
 import unicodedata
 from array import array
 from functools import lru_cache
-from itertools import chain
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker per core already
 
@@ -20,7 +18,7 @@ from tokenizers import Tokenizer  # noqa: E402
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts with these are always left to the tokenizers library: marks of special tokens, characters that
 #: Python alone counts as white space, and a letter whose lower case depends on its place.
-WHOLE = re.compile("<\\||[\x1c-\x1fΣ]")
+WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "Σ")
 MEMO_ENTRIES = 600_000
 
 
@@ -35,6 +33,22 @@ def packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
+def left_whole(text: str) -> bool:
+    return any(x in text for x in WHOLE)
+
+
+class Memo(dict):
+    """What a function has returned, by its argument."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, key):
+        value = self[key] = self.function(key)
+        return value
+
+
 class ByteEncoder:
     """Byte-level BPE.
 
@@ -53,7 +67,7 @@ class ByteEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
-        return [packed(self.tokenizer.encode(x, add_special_tokens=False).ids if WHOLE.search(x) else self.fast.encode_ordinary(x)) for x in (x or "" for x in texts)]
+        return [packed(self.tokenizer.encode(x, add_special_tokens=False).ids if left_whole(x) else self.fast.encode_ordinary(x)) for x in (x or "" for x in texts)]
 
 
 class WordEncoder:
@@ -69,7 +83,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.shown = {b: c for b, c in enumerate(byte_alphabet())}
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(self._word)
 
     def _piece(self, text: str) -> list[int]:
         shown = text if text.isascii() else text.encode().decode("latin-1").translate(self.shown)
@@ -84,13 +98,10 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
-        texts = [x or "" for x in texts]
-        parts = [None if WHOLE.search(x) else x.split() for x in texts]
-        memo = self.memo
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        memo.update((x, self._word(x)) for x in set(chain.from_iterable(x for x in parts if x)).difference(memo))
-        return [packed(self.tokenizer.encode(x, add_special_tokens=False).ids) if p is None else b"".join(map(memo.__getitem__, p)) for x, p in zip(texts, parts, strict=True)]
+        if len(self.memo) > MEMO_ENTRIES:
+            self.memo.clear()
+        ids_of = self.memo.__getitem__
+        return [packed(self.tokenizer.encode(x, add_special_tokens=False).ids) if left_whole(x) else b"".join(map(ids_of, x.split())) for x in (x or "" for x in texts)]
 
 
 @lru_cache(maxsize=4)
