@@ -35,10 +35,14 @@ def ema(df: DataFrame, value: str, alphas: list[float], keys: list[str], order:
     has a row for each period, not for each event.
     """
     series = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("v")))).alias("s"))
-    for a in alphas:
-        start = F.array(F.struct(F.lit(None).cast("double").alias("e")))
-        step = lambda acc, x, a=a: F.concat(acc, F.array(F.struct(F.coalesce(a * x["v"] + (1 - a) * F.element_at(acc, -1)["e"], x["v"], F.element_at(acc, -1)["e"]).alias("e"))))
-        series = series.withColumn(f"ema_{a:g}".replace(".", "_"), F.slice(F.aggregate("s", start, step)["e"], 2, F.size("s")))
+    def fold(a: float):
+        def step(acc, x):
+            last = F.element_at(acc, -1)["e"]
+            return F.concat(acc, F.array(F.struct(F.coalesce(a * x["v"] + (1 - a) * last, x["v"], last).alias("e"))))
+
+        return F.slice(F.aggregate("s", F.array(F.struct(F.lit(None).cast("double").alias("e"))), step)["e"], 2, F.size("s"))
+
+    series = series.withColumns({f"ema_{a:g}".replace(".", "_"): fold(a) for a in alphas})
     names = [f"ema_{a:g}".replace(".", "_") for a in alphas]
     zipped = series.select(*keys, F.explode(F.arrays_zip("s", *names)).alias("x"))
     return zipped.select(*keys, F.col("x.s.o").alias(order), F.col("x.s.v").alias(value), *[F.col(f"x.{n}").alias(n) for n in names])
