@@ -1,0 +1,375 @@
+"""Risk tables, evaluation, models, forecasts, sources, streams."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from ..functions import numbers
+from ..operators import aggregate, binning, evaluate, forecast, ml, panel, risk, spatial, topk, windows
+from ..sources import tables
+from ..streaming import jobs
+from .features import _HAV, _dst, _src
+from .registry import DP, ED, EV, PO, dated, events, query, rounded, table, user_edges
+
+# --- risk ------------------------------------------------------------------------------------------------------
+
+_BASE = "dd AS (SELECT count(DISTINCT date) AS d, count(DISTINCT area_id) AS a FROM ev), fine AS (SELECT area_id, hour, count(*) / any_value(d) AS rate FROM ev, dd GROUP BY area_id, hour), coarse AS (SELECT hour, count(*) / any_value(d) / any_value(a) AS rate FROM ev, dd GROUP BY hour)"
+
+
+@query(f"WITH {EV}, {_BASE} SELECT area_id, hour, round(rate, 9) AS rate, round(1 - exp(-rate), 9) AS p_base FROM fine UNION ALL SELECT 'all', hour, round(rate, 9), round(1 - exp(-rate), 9) FROM coarse")
+def r01_poisson_baseline(spark, d):
+    fine, coarse = risk.poisson_baseline(events(spark, d))
+    return rounded(fine.select("area_id", "hour", "rate", "p_base").unionByName(coarse.select(F.lit("all").alias("area_id"), "hour", "rate", "p_base")), 9)
+
+
+@query(f"WITH {EV}, l AS (SELECT event_id, least(greatest(score, 1e-9::DOUBLE), 1 - 1e-9::DOUBLE) AS p FROM ev), t AS (SELECT event_id, power(1 / (1 + exp(-ln(p / (1 - p)) / 1.5::DOUBLE)), 1.2::DOUBLE) AS s FROM l) SELECT event_id, round(least(greatest(least(s, (SELECT quantile_cont(s, 0.99) FROM t)), 0.01::DOUBLE), 0.99::DOUBLE), 6) AS score FROM t")
+def r02_calibrate(spark, d):
+    return rounded(risk.calibrate(events(spark, d).select("event_id", "score"), "score", "temp_power", 1.5, 1.2, 0.99, 0.01, 0.99))
+
+
+_EXP = "coalesce(f.rate, c.rate, 0) * least(greatest(coalesce(score / nullif(1 - exp(-coalesce(f.rate, c.rate, 0)), 0), 1), 0.2::DOUBLE), 3.0::DOUBLE)"
+
+
+@query(f"WITH {EV}, {_BASE} SELECT event_id, round({_EXP}, 6) AS expected_count FROM ev LEFT JOIN fine f ON f.area_id = ev.area_id AND f.hour = ev.hour LEFT JOIN coarse c ON c.hour = ev.hour")
+def r03_expected_count(spark, d):
+    e = events(spark, d)
+    return rounded(risk.expected_count(e, *risk.poisson_baseline(e)).select("event_id", "expected_count"))
+
+
+@query(f"WITH {EV}, {_BASE}, m AS (SELECT event_id, 0.7::DOUBLE * score + 0.3::DOUBLE * (1 - exp(-rate)) AS s FROM ev JOIN fine USING (area_id, hour)) SELECT event_id, round(s, 6) AS shrunk, round(0.05::DOUBLE + 0.9::DOUBLE * (rank() OVER (ORDER BY round(s, 9)) + (count(*) OVER (PARTITION BY round(s, 9)) - 1) / 2.0) / count(*) OVER (), 6) AS rescaled FROM m")
+def r04_shrink_to_base(spark, d):
+    e = events(spark, d)
+    fine, _ = risk.poisson_baseline(e)
+    s = e.join(fine.select("area_id", "hour", "p_base"), ["area_id", "hour"]).select("event_id", risk.shrink_to_base(F.col("score"), F.col("p_base")).alias("shrunk"))
+    ranked = windows.rank_pct(s.withColumn("_s", F.round("shrunk", 9)), "_s", "r")
+    return rounded(ranked.select("event_id", "shrunk", risk.rescale(F.col("r")).alias("rescaled")))
+
+
+@query(f"WITH {EV}, r AS (SELECT area_id, hour, count(*) / 30.0::DOUBLE AS rate FROM ev GROUP BY ALL), c AS (SELECT area_id, category, count(*) AS n FROM ev GROUP BY ALL), s AS (SELECT *, n / sum(n) OVER (PARTITION BY area_id) AS share, CAST(row_number() OVER (PARTITION BY area_id ORDER BY n DESC, category) AS INTEGER) AS rank FROM c) SELECT area_id, hour, rank, category, round(rate * share, 6) AS category_expected, round(1 - exp(-rate * share), 6) AS category_chance FROM r JOIN s USING (area_id) WHERE rank <= 3")
+def r05_top_category_risk(spark, d):
+    e = events(spark, d)
+    r = e.groupBy("area_id", "hour").agg((F.count(F.lit(1)) / 30.0).alias("expected_count"))
+    return rounded(risk.top_category_risk(r, e, ["area_id"]).select("area_id", "hour", "rank", "category", "category_expected", "category_chance"))
+
+
+_HOURLY = f"""{EV}, {_BASE}, h AS (SELECT area_id, date, hour, arg_max(score, event_id) AS score, max(event_id) AS event_id FROM ev GROUP BY area_id, date, hour), q AS (SELECT quantile_cont(score, 0.8) AS a, quantile_cont(score, 0.9) AS b FROM h),
+ r AS (SELECT *, row_number() OVER (ORDER BY score, event_id) AS k, count(*) OVER () AS n FROM h)"""
+
+
+@dated(f"WITH {_HOURLY} SELECT r.area_id, date, r.hour, round(score, 6) AS score, CASE WHEN score >= 0.66 THEN 'critical' WHEN score >= b THEN 'high' WHEN score >= a THEN 'medium' ELSE 'low' END AS level, CAST(greatest(1, (10 * (k - 1) + n - 2) // (n - 1)) AS INTEGER) AS decile, round({_EXP}, 6) AS expected_count FROM r CROSS JOIN q LEFT JOIN fine f ON f.area_id = r.area_id AND f.hour = r.hour LEFT JOIN coarse c ON c.hour = r.hour")
+def r06_hourly_risk(spark, d):
+    e = events(spark, d)
+    return rounded(risk.hourly_risk(e.select("event_id", "area_id", "date", "hour", "score"), e, 0.66).select("area_id", "date", "hour", "score", "level", "decile", "expected_count"))
+
+
+@dated(f"WITH {EV}, x AS (SELECT area_id, date, round(1 - product(1 - score), 12) AS s, sum(score) AS t FROM ev GROUP BY ALL), q AS (SELECT quantile_cont(s, 0.8) AS a, quantile_cont(s, 0.9) AS b FROM x) SELECT area_id, date, round(s, 6) AS any_score, round(t, 6) AS sum_score, CASE WHEN s >= 0.97 THEN 'critical' WHEN s >= b THEN 'high' WHEN s >= a THEN 'medium' ELSE 'low' END AS level FROM x, q")
+def r07_daily_risk(spark, d):
+    x = aggregate.daily_from_hourly(events(spark, d), ["area_id", "date"]).withColumn("any_score", F.round("any_score", 12))
+    return rounded(binning.risk_level(x, "any_score", 0.97).select("area_id", "date", "any_score", "sum_score", "level"))
+
+
+@query(f"WITH {_HOURLY}, t AS (SELECT area_id, hour, score, CAST(row_number() OVER (PARTITION BY hour ORDER BY score DESC, area_id) AS INTEGER) AS rank FROM h WHERE date = (SELECT max(date) FROM h)) SELECT area_id, hour, round(score, 6) AS score, rank FROM t WHERE rank <= 50")
+def r08_priority_list(spark, d):
+    e = events(spark, d)
+    hourly = risk.hourly_risk(e.select("event_id", "area_id", "date", "hour", "score"), e, 0.66)
+    return rounded(topk.top_slots(hourly, 50).select("area_id", "hour", "score", "rank"))
+
+
+@query(f"WITH {EV}, {PO}, c AS (SELECT poi_id, any_value(poi_type) AS poi_type, count(CASE WHEN {_HAV('po', 'ev')} <= 300 THEN 1 END) AS n FROM po CROSS JOIN ev GROUP BY poi_id), t AS (SELECT poi_type, avg(n) AS m FROM c GROUP BY ALL) SELECT poi_type, round((m - min(m) OVER ()) / (max(m) OVER () - min(m) OVER ()) * 3, 2) AS risk FROM t")
+def r09_poi_type_risk(spark, d):
+    p = _dst(spark, d).select(F.col("dst_id").alias("src_id"), F.col("dst_lat").alias("lat"), F.col("dst_lon").alias("lon"), "poi_type")
+    e = _src(spark, d).select(F.col("src_id").alias("dst_id"), F.col("lat").alias("dst_lat"), F.col("lon").alias("dst_lon"))
+    n = spatial.count_within(p, e, [300]).join(p.select("src_id", "poi_type"), "src_id").groupBy("poi_type").agg(F.avg("within_300").alias("m"))
+    return rounded(binning.scale_to(n, "m").select("poi_type", F.col("scaled").alias("risk")), 2)
+
+
+@query(f"WITH {EV}, {PO}, a AS (SELECT area_id, avg(lat) AS lat, avg(lon) AS lon FROM ev GROUP BY area_id) SELECT area_id, count(CASE WHEN {_HAV('a', 'po')} <= 500 THEN 1 END) AS poi_count, round(coalesce(sum(CASE WHEN {_HAV('a', 'po')} <= 500 THEN weight END), 0), 4) AS poi_risk FROM a CROSS JOIN po GROUP BY area_id")
+def r10_poi_features(spark, d):
+    a = spatial.event_centroids(events(spark, d)).withColumnRenamed("area_id", "src_id")
+    return rounded(spatial.count_within(a, _dst(spark, d), [500], "weight").select(F.col("src_id").alias("area_id"), F.col("within_500").alias("poi_count"), F.col("sum_500").alias("poi_risk")), 4)
+
+
+@query(f"WITH {EV}, {PO}, a AS (SELECT area_id, avg(lat) AS lat, avg(lon) AS lon FROM ev GROUP BY area_id), n AS (SELECT area_id, round(min({_HAV('a', 'po')}), 1) AS distance FROM a CROSS JOIN po GROUP BY area_id), e AS (SELECT list_sort(list_distinct(quantile_cont(distance, [0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS e FROM n), b AS (SELECT area_id, distance, e, greatest(1, len(list_filter(e, lambda x: x < distance))) AS b FROM n, e) SELECT area_id, distance, CAST(CAST(trunc(e[b]) AS INTEGER) AS VARCHAR) || '-' || CAST(CAST(trunc(e[b + 1]) AS INTEGER) AS VARCHAR) AS distance_range FROM b")
+def r11_r12_proximity_features(spark, d):
+    a = spatial.event_centroids(events(spark, d)).withColumnRenamed("area_id", "src_id")
+    return binning.quantile_range(spatial.nearest_distance(a, _dst(spark, d)), "distance").withColumnRenamed("src_id", "area_id")
+
+
+@query(f"WITH {EV}, a AS (SELECT area_id, avg(value) AS v, count(*) AS n FROM ev GROUP BY ALL), m AS (SELECT median(v) AS v, median(n) AS n FROM a) SELECT area_id, CASE WHEN a.v > m.v AND a.n > 1.1 * m.n THEN 'high value; many events' WHEN a.v > m.v THEN 'high value' WHEN a.n > 1.1 * m.n THEN 'many events' ELSE '' END AS reasons FROM a, m")
+def r13_reason_codes(spark, d):
+    a = events(spark, d).groupBy("area_id").agg(F.avg("value").alias("v"), F.count(F.lit(1)).alias("n"))
+    return risk.reason_codes(a, [("v", "high value", 1.0), ("n", "many events", 1.1)]).select("area_id", "reasons")
+
+
+@dated(f"WITH {EV}, c AS (SELECT upper(left(category, 1)) || substr(category, 2) AS category, area_id, date, count(*) AS n FROM ev GROUP BY ALL), k AS (SELECT category, sum(n) AS t FROM c GROUP BY ALL) SELECT area_id, date, CASE WHEN t >= 0.2 * (SELECT sum(t) FROM k) AND t >= 100 THEN c.category ELSE 'Other' END AS category, CAST(sum(n) AS BIGINT) AS n FROM c JOIN k USING (category) GROUP BY ALL")
+def r14_clean_panel(spark, d):
+    e = events(spark, d).withColumn("category", numbers.title(F.col("category")))
+    return aggregate.group_rare(e, "category", 0.2, 100).groupBy("area_id", "date", F.col("category_grouped").alias("category")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@dated(f"WITH {DP}, {ED}, p AS (SELECT area_id, date, event_count, label, CAST(sum(event_count) OVER (PARTITION BY area_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS BIGINT) AS prior_7 FROM dp), s AS (SELECT ed.area_id, date, sum(event_count) AS neighbor_event_count FROM ed JOIN dp ON dp.area_id = ed.neighbor GROUP BY ALL), v AS (SELECT area_id, avg(value) AS mean_value FROM ev GROUP BY ALL) SELECT p.area_id, p.date, p.event_count, p.label, p.prior_7, CAST(neighbor_event_count AS BIGINT) AS neighbor_event_count, round(mean_value, 6) AS mean_value FROM p LEFT JOIN s ON s.area_id = p.area_id AND s.date = p.date LEFT JOIN v ON v.area_id = p.area_id")
+def r15_assemble_features(spark, d):
+    from ..operators import enrich
+
+    p = panel.daily_panel(events(spark, d))
+    base = windows.prior_rows_sum(p, "event_count", 7, ["area_id"], "date", "prior_7")
+    near = spatial.neighbor_sum(user_edges(spark, d), p, "event_count", ["date"])
+    means = events(spark, d).groupBy("area_id").agg(F.avg("value").alias("mean_value"))
+    return rounded(enrich.merge_on(enrich.enrich(base, near, ["area_id", "date"]), means, ["area_id"], ["mean_value"]))
+
+
+@dated(f"WITH {EV} SELECT DISTINCT area_id, date, hour, 0.5::DOUBLE AS score FROM ev")
+def r16_scoring_view(spark, d):
+    return events(spark, d).select("area_id", "date", "hour", F.lit(0.5).alias("score")).distinct()
+
+
+# --- evaluation and SQL-able model operators -------------------------------------------------------------------
+
+
+@query(f"WITH {EV}, c AS (SELECT sum(CASE WHEN score >= 0.6 AND label = 1 THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN score >= 0.6 AND label = 0 THEN 1 ELSE 0 END) AS fp, sum(CASE WHEN score < 0.6 AND label = 1 THEN 1 ELSE 0 END) AS fn, count(*) AS n, avg(CASE WHEN label = 1 THEN -ln(greatest(score, 1e-15::DOUBLE)) ELSE -ln(greatest(1 - score, 1e-15::DOUBLE)) END) AS ll, avg(power(label - score, 2)) AS br FROM ev) SELECT round((n - fp - fn) / n, 6) AS accuracy, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1, round(ll, 6) AS log_loss, round(br, 6) AS brier FROM c")
+def v01_v02_v03_metrics(spark, d):
+    return rounded(evaluate.classification_metrics(events(spark, d), threshold=0.6))
+
+
+#: A score that doesn't tell the label fully.
+_NOISY = "round(score * 0.7 + (event_id % 97) / 97.0::DOUBLE * 0.3, 3)"
+
+
+def _noisy(spark, d):
+    return events(spark, d).withColumn("score", F.round(F.col("score") * 0.7 + (F.col("event_id") % 97) / 97.0 * 0.3, 3))
+
+
+_CURVE = f"{EV}, p AS (SELECT {_NOISY} AS s, sum(label) AS p, count(*) AS c FROM ev GROUP BY ALL), w AS (SELECT s, p, c, sum(p) OVER (ORDER BY s DESC) AS tp, sum(c) OVER (ORDER BY s DESC) AS k, sum(p) OVER () AS pos, sum(c) OVER () AS n FROM p)"
+
+
+@query(f"WITH {_CURVE} SELECT round(sum(p / pos * tp / k), 6) AS average_precision FROM w")
+def v04_average_precision(spark, d):
+    return rounded(evaluate.average_precision(_noisy(spark, d)))
+
+
+@query(f"WITH {EV}, r AS (SELECT label, rank() OVER (ORDER BY {_NOISY}) + (count(*) OVER (PARTITION BY {_NOISY}) - 1) / 2.0 AS r FROM ev) SELECT round((sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2.0) / (sum(label) * (count(*) - sum(label))), 6) AS roc_auc FROM r")
+def v05_roc_auc(spark, d):
+    return rounded(evaluate.roc_auc(_noisy(spark, d)))
+
+
+@query(f"WITH {_CURVE} SELECT s AS threshold, round(f, 6) AS f_beta FROM (SELECT s, round(2 * tp / (k + pos), 12) AS f FROM w) ORDER BY f DESC, s DESC LIMIT 1")
+def v06_best_threshold(spark, d):
+    return rounded(evaluate.best_threshold(_noisy(spark, d)))
+
+
+@query(f"WITH {EV} SELECT round(avg(label), 6) AS precision_at_k FROM (SELECT label FROM ev ORDER BY {_NOISY} DESC, event_id LIMIT 500)")
+def v07_precision_at_k(spark, d):
+    return rounded(evaluate.precision_at_k(_noisy(spark, d), 500, "event_id"))
+
+
+@query(f"WITH {EV}, {ED}, o AS (SELECT area_id, sum(label) AS y, count(*) AS n FROM ev GROUP BY ALL), x AS (SELECT ed.area_id, sum(y) AS y2, sum(n) AS n2 FROM ed JOIN o ON o.area_id = ed.neighbor GROUP BY ALL) SELECT area_id, round((y + 50 * (SELECT avg(label) FROM ev) + coalesce(y2, 0)) / (n + 50 + coalesce(n2, 0)), 6) AS encoded FROM o LEFT JOIN x USING (area_id)")
+def m02_spatial_target_encode(spark, d):
+    return rounded(risk.spatial_target_encode(events(spark, d), user_edges(spark, d)))
+
+
+@query(f"WITH {EV}, x AS (SELECT label, value, CAST(hour AS DOUBLE) AS hour, CAST(label * 2 AS DOUBLE) AS copy FROM ev), l AS (SELECT label, 'value' AS \"column\", value AS v FROM x UNION ALL SELECT label, 'hour', hour FROM x UNION ALL SELECT label, 'copy', copy FROM x), r AS (SELECT *, rank() OVER (PARTITION BY \"column\" ORDER BY v) + (count(*) OVER (PARTITION BY \"column\", v) - 1) / 2.0 AS r FROM l), a AS (SELECT \"column\", abs(corr(v, label)) AS c, (sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2.0) / (sum(label) * (count(*) - sum(label))) AS auc FROM r GROUP BY ALL) SELECT \"column\", round(c, 6) AS abs_corr, round(auc, 6) AS auc, c >= 0.995 OR greatest(auc, 1 - auc) >= 0.995 AS leaky FROM a")
+def m03_find_leaky(spark, d):
+    return rounded(evaluate.find_leaky(events(spark, d).withColumn("copy", F.col("label") * 2), ["value", "hour", "copy"]))
+
+
+@query(f"WITH {EV}, f AS (SELECT date, ntile(4) OVER (ORDER BY date) - 1 AS fold FROM (SELECT DISTINCT date FROM ev)) SELECT event_id, CAST(fold AS INTEGER) AS fold FROM ev JOIN f USING (date)")
+def m05_time_folds(spark, d):
+    return evaluate.time_folds(events(spark, d), 3).select("event_id", "fold")
+
+
+@query(f"WITH {EV} SELECT event_id, CASE WHEN date > (SELECT max(date) FROM ev) - INTERVAL 5 DAY THEN 'test' ELSE 'train' END AS split FROM ev")
+def m10_oot_split(spark, d):
+    return evaluate.oot_split(events(spark, d), 5).select("event_id", "split")
+
+
+@query("WITH x AS (SELECT o_orderkey, epoch(o_orderdate) AS t FROM orders) SELECT o_orderkey, CASE WHEN t > (SELECT quantile_cont(t, 0.8) FROM x) THEN 'test' ELSE 'train' END AS split FROM x")
+def m11_quantile_split(spark, d):
+    return evaluate.quantile_split(table(spark, d, "orders"), 0.8, "o_orderdate").select("o_orderkey", "split")
+
+
+@query("WITH x AS (SELECT 'p_brand' AS c, sum(p_size) AS v FROM part UNION ALL SELECT 'p_type', sum(p_retailprice) FROM part) SELECT c AS \"column\", round(v, 4) AS importance, CAST(row_number() OVER (ORDER BY v DESC, c) AS INTEGER) AS rank FROM x")
+def m13_collapse_importance(spark, d):
+    p = table(spark, d, "part")
+    hot = p.groupBy(F.concat(F.lit("p_brand="), "p_brand").alias("feature")).agg(F.sum("p_size").cast("double").alias("importance")).unionByName(p.groupBy(F.concat(F.lit("p_type="), "p_type").alias("feature")).agg(F.sum("p_retailprice").alias("importance")))
+    return rounded(evaluate.collapse_importance(hot), 4)
+
+
+@query(f"WITH {EV} SELECT sum(label)::BIGINT AS n_positive, (count(*) - sum(label))::BIGINT AS n_negative, round((count(*) - sum(label)) / sum(label), 6) AS weight FROM ev")
+def m18_class_weight(spark, d):
+    return rounded(evaluate.class_weight(events(spark, d)))
+
+
+@query("WITH x AS (SELECT p_brand AS feature, greatest(sum(p_size) - 1000, 0) AS v FROM part GROUP BY ALL) SELECT feature, round(coalesce(v / nullif((SELECT sum(v) FROM x), 0), 0), 6) AS importance FROM x")
+def m21_canonical_importance(spark, d):
+    x = table(spark, d, "part").groupBy("p_brand").agg((F.sum("p_size") - 1000).alias("v"))
+    return rounded(evaluate.canonical_importance(x, "p_brand", "v"))
+
+
+@query()
+def m22_stratified_split(spark, d):
+    s = evaluate.stratified_split(events(spark, d), "label", 0.2, 7, "event_id")
+    return s.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _training(spark, d):
+    p = windows.prior_rows_sum(panel.daily_panel(events(spark, d)), "event_count", 3, ["area_id"], "date", "prior_3")
+    p = windows.prior_rows_sum(p, "event_count", 7, ["area_id"], "date", "prior_7").fillna(0, subset=["prior_3", "prior_7"])
+    return p.withColumns({"dow": F.weekday("date").cast("double"), "area_n": F.col("area_id").cast("double"), "prior_3": F.col("prior_3").cast("double"), "prior_7": F.col("prior_7").cast("double")})
+
+
+@query()
+def m01_m06_m09_stack(spark, d):
+    """Expanding folds, meta model and scores of the stack over the whole panel."""
+    stages = ml.preprocessor(["prior_3", "prior_7"], ["dow"], [])
+    models = {k: v for k, v in ml.base_models().items() if k in ("lr", "svc")}
+    train = _training(spark, d)
+    stack = ml.fit_stack(train, stages, models, 2, ["area_id", "date"])
+    return rounded(stack.score(train).select("area_id", "date", "label", "score"))
+
+
+@query()
+def m16_unsupervised_rank(spark, d):
+    rows = ml.unsupervised_rank(_training(spark, d), ["prior_3", "prior_7", "dow"], (2, 3))
+    return spark.createDataFrame(rows, "feature string, importance double")
+
+
+@query()
+def m19_type_risk(spark, d):
+    e = events(spark, d).select("event_id", "category", F.col("hour").cast("double").alias("hour"), "value", "score")
+    return rounded(ml.type_risk(ml.type_model(e, ["hour", "value"]), e).drop("hour", "value", "category"))
+
+
+@query()
+def m20_h06_horizons(spark, d):
+    train = _training(spark, d)
+    models = ml.horizon_models(train, ["prior_3", "prior_7", "dow"], [1, 7], ["area_id"], "date")
+    return rounded(ml.score_horizons(train, models, ["prior_3", "prior_7", "dow"], ["area_id", "date"]))
+
+
+# --- forecasts -------------------------------------------------------------------------------------------------
+
+_SLOT = "SELECT CAST(k AS INTEGER) AS step, {first} + k * INTERVAL {hours} HOUR AS ts FROM range(1, {n} + 1) r(k)".format
+_FIRST = {"24h": "date_trunc('hour', (SELECT max(ts) FROM ev))", "7d": "date_trunc('hour', (SELECT max(ts) FROM ev))", "365d": "date_trunc('day', (SELECT max(ts) FROM ev)) + INTERVAL 12 HOUR"}
+
+
+def _grid_sql(horizon):
+    n, hours = forecast.HORIZONS[horizon]
+    return f"{EV}, a AS (SELECT area_id, avg(value) AS value FROM ev GROUP BY area_id), t AS ({_SLOT(first=_FIRST[horizon], hours=hours, n=n)}), g AS (SELECT area_id, value, step, ts, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week FROM a CROSS JOIN t)"
+
+
+def _grid(spark, d, horizon):
+    e = events(spark, d)
+    return forecast.forecast_grid(e.groupBy("area_id").agg(F.avg("value").alias("value")), e.agg(F.max("ts").alias("last")), horizon)
+
+
+@query(f"WITH {_grid_sql('7d')} SELECT area_id, round(value, 6) AS value, step, ts, hour, day_of_week FROM g", ("ts",))
+def h01_forecast_grid(spark, d):
+    return rounded(_grid(spark, d, "7d").select("area_id", "value", "step", "ts", "hour", "day_of_week"))
+
+
+@query(f"WITH {_grid_sql('365d')} SELECT area_id, step, ts, hour, day_of_week FROM g", ("ts",))
+def h02_daily_grid(spark, d):
+    return _grid(spark, d, "365d").select("area_id", "step", "ts", "hour", "day_of_week")
+
+
+@query(f"WITH {_grid_sql('24h')}, r AS (SELECT area_id, hour, count(*) / 30.0::DOUBLE AS r FROM ev GROUP BY ALL), s AS (SELECT g.area_id, g.ts, 1 - exp(-coalesce(r.r, 0)) AS score FROM g LEFT JOIN r ON r.area_id = g.area_id AND r.hour = g.hour), k AS (SELECT *, row_number() OVER (ORDER BY score, area_id || '|' || CAST(ts AS VARCHAR)) AS k, count(*) OVER () AS n FROM s), dt AS (SELECT *, CAST(greatest(1, (10 * (k - 1) + n - 2) // (n - 1)) AS INTEGER) AS decile FROM k) SELECT area_id, ts, round(score, 6) AS score, decile, CASE WHEN decile <= 3 THEN 'low' WHEN decile <= 7 THEN 'medium' ELSE 'high' END AS level, round(-ln(greatest(1 - score, 1e-9::DOUBLE)), 6) AS expected_count FROM dt", ("ts",))
+def h03_forecast_tables(spark, d):
+    g = forecast.baseline_score(_grid(spark, d, "24h"), events(spark, d), 30, ["area_id", "hour"])
+    return rounded(forecast.forecast_tables(g).select("area_id", "ts", "score", "decile", "level", "expected_count"))
+
+
+@dated(f"WITH {_grid_sql('7d')}, r AS (SELECT area_id, hour, count(*) / 30.0::DOUBLE AS r FROM ev GROUP BY ALL), s AS (SELECT g.area_id, CAST(g.ts AS DATE) AS date, 1 - exp(-coalesce(r.r, 0)) AS score FROM g LEFT JOIN r ON r.area_id = g.area_id AND r.hour = g.hour) SELECT area_id, date, round(avg(score), 6) AS mean_score FROM s GROUP BY ALL")
+def h04_score_horizon(spark, d):
+    g = forecast.baseline_score(_grid(spark, d, "7d"), events(spark, d), 30, ["area_id", "hour"])
+    return rounded(g.groupBy("area_id", F.to_date("ts").alias("date")).agg(F.avg("score").alias("mean_score")))
+
+
+@query('SELECT event_type AS "column", round(sum(value), 4) AS total FROM events GROUP BY ALL ORDER BY total DESC, "column" LIMIT 3')
+def h05_top_types(spark, d):
+    names = sorted(r.category for r in events(spark, d).select("category").distinct().collect())
+    wide = events(spark, d).groupBy("area_id").pivot("category", names).agg(F.sum("value"))
+    return rounded(topk.top_columns(wide, names, 3), 4)
+
+
+# --- sources and sinks -----------------------------------------------------------------------------------------
+
+
+def _folder(spark) -> str:
+    """A new folder that all executors share: below the checkpoint folder, or a temporary one of this machine where none is set."""
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{base}/{uuid.uuid4().hex}" if base else f"file://{tempfile.mkdtemp(prefix='areapanel-')}"
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def s02_s04_read_pruned(spark, d):
+    return tables.read_table(spark, f"{d.rstrip('/')}/orders.parquet", columns=["o_orderkey", "o_totalprice", "absent"])
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders")
+def s01_s07_csv_round_trip(spark, d):
+    path = _folder(spark)
+    tables.write_table(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), f"{path}/orders.csv", "csv")
+    return tables.read_table(spark, f"{path}/orders.csv")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS year_month FROM orders")
+def s08_write_panel(spark, d):
+    path = f"{_folder(spark)}/panel"
+    o = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"))
+    tables.write_panel(o.where("o_orderkey % 2 = 0"), path, mode="overwrite")
+    tables.write_panel(o, path, mode="overwrite")
+    return spark.read.parquet(path).select("o_orderkey", F.date_format("date", "yyyy-MM").alias("year_month"))
+
+
+@query("SELECT 'category' AS report, category AS member, n FROM (SELECT event_type AS category, count(*) AS n FROM events GROUP BY ALL) UNION ALL SELECT 'hour', CAST(hour(ts) AS VARCHAR), count(*) FROM events GROUP BY ALL")
+def s12_write_report(spark, d):
+    e, path = events(spark, d), f"{_folder(spark)}/report"
+    parts = {"category": e.groupBy(F.col("category").alias("member")), "hour": e.groupBy(F.col("hour").cast("string").alias("member"))}
+    tables.write_report({k: g.agg(F.count(F.lit(1)).alias("n")) for k, g in parts.items()}, path)
+    return topk.union_all([spark.read.parquet(f"{path}/{k}").select(F.lit(k).alias("report"), "member", "n") for k in parts])
+
+
+# --- streams ---------------------------------------------------------------------------------------------------
+
+
+def _stream(spark, d):
+    e = table(spark, d, "events")
+    return spark.readStream.schema(e.schema).option("pathGlobFilter", "*.parquet").parquet(f"{d.rstrip('/')}/events.parque[t]").select("event_id", F.lpad(F.col("user_id").cast("string"), 11, "0").alias("area_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("category"))
+
+
+def _finish(spark, stream, mode: str):
+    """Run a stream over what there is and return its output."""
+    path = _folder(spark)
+    if mode == "append":
+        stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").outputMode("append").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
+        return spark.read.schema(stream.schema).parquet(f"{path}/out")
+    write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/out")
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").outputMode(mode).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/out")
+
+
+@query("SELECT lpad(CAST(user_id AS VARCHAR), 11, '0') AS area_id, strftime(time_bucket(INTERVAL 3 HOUR, ts), '%Y-%m-%d %H') AS start, count(*) AS n FROM events GROUP BY ALL")
+def st1_tumbling_counts(spark, d):
+    return _finish(spark, jobs.tumbling_counts(_stream(spark, d)), "complete").select("area_id", F.date_format("start", "yyyy-MM-dd HH").alias("start"), "n")
+
+
+@query("SELECT event_id, event_type AS category FROM events")
+def st2_once_by_id(spark, d):
+    return _finish(spark, jobs.once_by_id(_stream(spark, d)), "append").select("event_id", "category")
+
+
+@query("WITH e AS (SELECT lpad(CAST(user_id AS VARCHAR), 11, '0') AS area_id, max(event_id) AS event_id FROM events GROUP BY ALL) SELECT * FROM e")
+def st3_upsert(spark, d):
+    path = _folder(spark)
+    rows = _stream(spark, d).select("area_id", "event_id")
+    jobs.upsert_stream(rows, f"{path}/table", ["area_id"], ["event_id"], f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return jobs.current(spark, f"{path}/table")
+
+
+@query("WITH w AS (SELECT event_type AS category, time_bucket(INTERVAL 1 HOUR, ts) - k * INTERVAL 1 HOUR AS start FROM events CROSS JOIN range(6) r(k)) SELECT category, strftime(start, '%Y-%m-%d %H') AS start, count(*) AS n FROM w GROUP BY ALL")
+def st4_sliding_counts(spark, d):
+    return _finish(spark, jobs.sliding_counts(_stream(spark, d), area="category"), "complete").select("category", F.date_format("start", "yyyy-MM-dd HH").alias("start"), "n")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.project import dedupe
 from ..operators.topk import upsert
 
 
@@ -34,7 +35,7 @@ def upsert_stream(stream: DataFrame, base_path: str, keys: list[str], order: lis
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         before = current(spark, base_path, number)
-        merged = batch if before is None else upsert(before, batch, keys, order)
+        merged = dedupe(batch, keys, order) if before is None else upsert(before, batch, keys, order)
         merged.write.mode("overwrite").parquet(f"{base_path}/version={number}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
