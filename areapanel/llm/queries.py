@@ -11,6 +11,7 @@ from .common import table
 from .licenses import license_scan, license_sql
 from .ngram_lm import lm_scores
 from .packing import pack
+from .piece_sampling import sampled_segmentations
 from .suffix_dedup import suffix_dedup
 from .token_files import read_token_files, token_file_path, write_token_files
 from .topk import exact_top_k
@@ -50,6 +51,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_file_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
@@ -62,7 +67,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op5_license_scan, op6_lm_scores, op7_toxicity, op8_packing, op10_token_files, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op5_license_scan, op6_lm_scores, op7_toxicity, op8_packing, op9_piece_sampling, op10_token_files, pipeline)}
 
 #: Cosines of all pairs within a label in doubles, and the components by repeated joins.
 OP1_SQL = """
