@@ -257,7 +257,8 @@ def sampled_segmentations(df: DataFrame, model_path: str, n: int = 2, seed: int
     ``ids_crc32``, ``log_chance`` (of the segmentation under the lattice's
     weights), ``perturbed`` (its perturbed log chance, descending over samples),
     ``inclusion`` (chance to be drawn, given the value left out), ``round_trip``
-    (decoding gives the text back), and ``ids`` if asked for.  A text with fewer
+    (decoding gives the text back), and ``ids`` if asked for; numbers have six
+    digits after the point.  A text with fewer
     segmentations has fewer rows.  The draw depends on ``seed`` and the row's
     id alone, not on how rows are dealt to tasks.
 
@@ -277,7 +278,7 @@ def sampled_segmentations(df: DataFrame, model_path: str, n: int = 2, seed: int
                 rows = []
                 for key, text, found in zip(keys[a:b].tolist(), some, sample(model, some, keys[a:b], n, seed), strict=True):
                     for k, (ids, log, g, inclusion) in enumerate(found):
-                        rows.append((key, k + 1, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), log, g, inclusion, decode(model, ids) == text, *([ids.tolist()] if with_ids else [])))
+                        rows.append((key, k + 1, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), round(log, 6), round(g, 6), round(inclusion, 6), decode(model, ids) == text, *([ids.tolist()] if with_ids else [])))
                 columns = list(zip(*rows, strict=True)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 

@@ -91,9 +91,10 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         base = word.rstrip(string.punctuation)
-        if base.isalpha() and (base.isascii() or unicodedata.is_normalized("NFC", base)):
+        low = base.lower()
+        if base.isalpha() and (base.isascii() or (low.isalpha() and unicodedata.is_normalized("NFC", base))):
             tail = word[len(base) :]
-            return packed(self._piece(base.lower()) + (self._piece(tail) if tail else []))
+            return packed(self._piece(low) + (self._piece(tail) if tail else []))
         return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
