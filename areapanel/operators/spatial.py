@@ -95,10 +95,11 @@ def nearest_distance(src: DataFrame, dst: DataFrame, metric: str = "haversine",
 def count_within(src: DataFrame, dst: DataFrame, radii: list[float], weight: str | None = None) -> DataFrame:
     """For each source the number of destinations within each radius (``within_<r>``), and their summed weights (``sum_<r>``); one join."""
     pairs = near_pairs(src.select("src_id", "lat", "lon"), dst, max(radii))
-    aggs = [F.count_if(F.col("distance") <= r).alias(f"within_{r:g}") for r in radii]
+    text = {r: f"{r:g}".replace(".", "_") for r in radii}
+    aggs = [F.count_if(F.col("distance") <= r).alias(f"within_{text[r]}") for r in radii]
     if weight:
-        aggs += [F.coalesce(F.sum(F.when(F.col("distance") <= r, F.col(weight))), F.lit(0)).alias(f"sum_{r:g}") for r in radii]
-    names = [f"within_{r:g}" for r in radii] + ([f"sum_{r:g}" for r in radii] if weight else [])
+        aggs += [F.coalesce(F.sum(F.when(F.col("distance") <= r, F.col(weight))), F.lit(0)).alias(f"sum_{text[r]}") for r in radii]
+    names = [f"within_{text[r]}" for r in radii] + ([f"sum_{text[r]}" for r in radii] if weight else [])
     return src.select("src_id").join(pairs.groupBy("src_id").agg(*aggs), "src_id", "left").fillna(0, subset=names)
 
 

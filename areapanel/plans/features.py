@@ -421,7 +421,7 @@ def g06_g07_count_within(spark, d):
 def g08_count_within_p75(spark, d):
     src, dst = _src(spark, d), _dst(spark, d)
     radius = spatial.nearest_distance(src, dst).agg(F.percentile("distance", 0.75)).first()[0]
-    return spatial.count_within(src, dst, [radius]).select("src_id", F.col(f"`within_{radius:g}`").alias("n"))
+    return spatial.count_within(src, dst, [radius]).toDF("src_id", "n")
 
 
 @dated(f"WITH {EV}, {ED}, c AS (SELECT area_id, date, count(*) AS n FROM ev GROUP BY ALL) SELECT ed.area_id, date, CAST(sum(n) AS BIGINT) AS neighbor_n FROM ed JOIN c ON c.area_id = ed.neighbor GROUP BY ALL")
