@@ -147,11 +147,11 @@ class Matcher:
         self.hits: dict[str, tuple[int, str]] = {}
 
     def __call__(self, text: str) -> tuple[int, Counter]:
-        """Number of tokens, and how often each kind of match occurs.
+        """Number of tokens, and how many different words match, by kind of match.
 
         The kind of an exact match is its term; near and quoted matches are
         kinds of their own, whatever the term, so that the training rows tell
-        how much they mean.
+        how much they mean.  A word counts once however often it occurs.
         """
         tokens = text.lower().split()
         words = set(tokens)
@@ -162,10 +162,14 @@ class Matcher:
                 self.hits[w] = near
         self.known |= words
         found: Counter = Counter()
+        counted = set()
         if not words.isdisjoint(self.hits):
             for k, w in enumerate(tokens):
                 if near := self.hits.get(w):
                     edit, term = near
+                    if (word := bare(w)) in counted:
+                        continue
+                    counted.add(word)
                     around = context(tokens, k)
                     found[term if not edit and around != "quoted" else f"{edit} {around} {'stem' if term.endswith('*') else 'word'}"] += 1
         return len(tokens), found
@@ -175,12 +179,19 @@ def _terms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in range(3, min(7, len(word) - 1) + 1))]
 
 
-def _without_idle_stems(rows: dict[str, int]) -> list[str]:
-    """The terms, without stems that one longer term accounts for almost alone."""
+def _without_idle_stems(rows: dict[str, tuple[int, int]]) -> list[str]:
+    """The terms (with their toxic and clean rows), without stems that longer terms account for.
+
+    A stem goes if one longer term has almost all of its toxic rows, or if
+    several have, with less than half of its clean rows.
+    """
     kept = []
-    for term, n in rows.items():
-        longer = (m for other, m in rows.items() if term.endswith("*") and other != term and len(other.rstrip("*")) > len(term) - 2 and other.startswith(term[:-1]))
-        if max(longer, default=0) < 0.8 * n:
+    for term, (t, c) in rows.items():
+        longer = sorted((o for o in rows if term.endswith("*") and o != term and len(o.rstrip("*")) > len(term) - 2 and o.startswith(term[:-1])), key=len)
+        apart = [o for k, o in enumerate(longer) if not any(x.endswith("*") and o.startswith(x[:-1]) for x in longer[:k])]
+        one = max((rows[o][0] for o in longer), default=0) >= 0.8 * t
+        several = sum(rows[o][0] for o in apart) >= 0.8 * t and sum(rows[o][1] for o in apart) < 0.5 * c
+        if not (one or several):
             kept.append(term)
     return kept
 
@@ -271,7 +282,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ratio = part(t, F.lit(float(n_toxic)), p_t) + part(c, F.lit(float(n_clean)), p_c) - part(t, F.lit(float(n_toxic)), p) - part(c, F.lit(float(n_clean)), p)
     tested = both.count()
     strong = both.withColumn("ratio", ratio).where((p_t > 8 * p_c) & (t / (t + c) > 0.5) & (F.col("ratio") >= math.log(20 * max(1, tested)))).orderBy(F.desc("ratio"), "term").limit(max_terms)
-    names = _without_idle_stems({r.term: r.t for r in strong.collect()})
+    names = _without_idle_stems({r.term: (r.t, r.c) for r in strong.collect()})
 
     def measured(batches):
         """Matches by kind, rows, tokens, and rows without a match, of toxic and clean rows."""
