@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -19,11 +18,10 @@ from .tokens import slices
 SPACE = "▁"
 #: No piece has a space mark after another character, so the lattice of a text is a chain of lattices of words.
 WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-MEMO_WORDS = 100_000
 
 
 class PieceModel:
-    """Pieces of a model file, with log weights, and the lattices of words.
+    """Pieces of a model file, with log weights, in a trie; and the lattices of words.
 
     A piece's weight falls with its rank in the file as a power law; a model
     file of the unigram kind brings its own log probabilities.  Characters that
@@ -36,65 +34,83 @@ class PieceModel:
         ids = [i for i in range(p.get_piece_size()) if not (p.is_control(i) or p.is_unknown(i) or p.is_byte(i) or p.is_unused(i))]
         scores = {i: p.get_score(i) for i in ids}
         ranked = all(float(s).is_integer() for s in scores.values())
-        self.chances = {p.id_to_piece(i): (i, (2.0 - s) ** -sharpness if ranked else math.exp(sharpness * s)) for i, s in scores.items()}
-        self.most = max(map(len, self.chances))
+        moves: dict[int, int] = {}
+        piece, weight = [-1], [0.0]
+        self.most = 1
+        for i, s in scores.items():
+            node, text = 0, p.id_to_piece(i)
+            for c in text:
+                key = node << 21 | ord(c)
+                if key not in moves:
+                    moves[key] = len(piece)
+                    piece.append(-1)
+                    weight.append(0.0)
+                node = moves[key]
+            piece[node], weight[node] = i, -sharpness * math.log(2 - s) if ranked else sharpness * s
+            self.most = max(self.most, len(text))
+        self.keys = np.array(sorted(moves), dtype=np.int64)
+        self.child = np.array([moves[k] for k in self.keys.tolist()], dtype=np.int64)
+        self.piece, self.weight = np.array(piece), np.array(weight)
         self.bytes = {b: p.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
-        self.fallback = (len(self.chances) + 2.0) ** -sharpness
-        self.memo: dict[str, tuple] = {}
-
-    def lattice(self, word: str) -> tuple:
-        """Of each place: number of edges; of each edge: length, chance given the place, piece (a character's bytes as -1 - code point)."""
-        n, get, most = len(word), self.chances.get, self.most
-        if n > 60:
-            return self._long_lattice(word)
-        beta = [0.0] * n + [1.0]
-        counts, steps, chances, pieces = [], [], [], []
-        for i in range(n - 1, -1, -1):
-            k, before = 0, len(steps)
-            for j in range(i + 1, min(n, i + most) + 1):
-                found = get(word[i:j])
-                if found:
-                    steps.append(j - i)
-                    pieces.append(found[0])
-                    chances.append(found[1] * beta[j])
-                elif j == i + 1:
-                    steps.append(1)
-                    pieces.append(-1 - ord(word[i]))
-                    chances.append(self.fallback ** len(word[i].encode("utf-8", "replace")) * beta[j])
-            total = sum(chances[before:])
-            beta[i] = total
-            for k in range(before, len(chances)):
-                chances[k] /= total
-            counts.append(len(steps) - before)
-        return n, array("i", counts).tobytes(), array("i", steps).tobytes(), array("d", chances).tobytes(), array("i", pieces).tobytes()
-
-    def _long_lattice(self, word: str) -> tuple:
-        """The same in logarithms, for words whose chances are too small for a double."""
-        n, get = len(word), self.chances.get
-        beta = [0.0] * (n + 1)
-        counts, steps, chances, pieces = [], [], [], []
-        for i in range(n - 1, -1, -1):
-            edges = [(j - i, found[0], math.log(found[1]) + beta[j]) for j in range(i + 1, min(n, i + self.most) + 1) if (found := get(word[i:j]))]
-            if not edges or edges[0][0] > 1:
-                edges.insert(0, (1, -1 - ord(word[i]), math.log(self.fallback) * len(word[i].encode("utf-8", "replace")) + beta[i + 1]))
-            top = max(v for *_, v in edges)
-            beta[i] = top + math.log(sum(math.exp(v - top) for *_, v in edges))
-            counts.append(len(edges))
-            steps += [k for k, *_ in edges]
-            pieces += [p for _, p, _ in edges]
-            chances += [math.exp(v - beta[i]) for *_, v in edges]
-        return n, array("i", counts).tobytes(), array("i", steps).tobytes(), array("d", chances).tobytes(), array("i", pieces).tobytes()
+        self.fallback = -sharpness * math.log(len(scores) + 2)
 
     def words(self, text: str) -> list[str]:
         return WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def lattices(self, words: list[str]) -> list[tuple]:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        for w in words:
-            if w not in self.memo:
-                self.memo[w] = self.lattice(w)
-        return [self.memo[w] for w in words]
+    def lattices(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Of each word its length; of each place the number of edges; of each edge length, log chance given the place, and piece.
+
+        A character's bytes are the piece -1 - code point.  All places of all
+        words walk the trie at once, and chances are summed from the words'
+        ends backwards.
+        """
+        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        owner = np.repeat(np.arange(len(words)), length)
+        stop = np.cumsum(length)[owner]
+        at, node = np.arange(len(code)), np.zeros(len(code), dtype=np.int64)
+        found = []
+        for k in range(1, self.most + 1):
+            key = node << 21 | code[at + k - 1]
+            i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            ok = np.flatnonzero(self.keys[i] == key)
+            node, piece = self.child[i[ok]], self.piece[self.child[i[ok]]]
+            if k == 1:
+                lone = np.ones(len(code), dtype=bool)
+                lone[at[ok[piece >= 0]]] = False
+                lone = np.flatnonzero(lone)
+                width = 1 + (code[lone] >= 0x80) + (code[lone] >= 0x800) + (code[lone] >= 0x10000)
+                found.append((lone, np.ones(len(lone), np.int64), -1 - code[lone], self.fallback * width))
+            at = at[ok]
+            hit = np.flatnonzero(piece >= 0)
+            found.append((at[hit], np.full(len(hit), k), piece[hit], self.weight[node[hit]]))
+            on = np.flatnonzero(at + k < stop[at])
+            at, node = at[on], node[on]
+            if not len(at):
+                break
+        place, step, piece, weight = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(place << 8 | step)
+        place, step, piece, weight = place[order], step[order], piece[order], weight[order]
+        counts = np.bincount(place, minlength=len(code))
+        first = np.cumsum(counts) - counts
+        # A word has a slot for each place and one for its end.
+        beta, slot = np.zeros(len(code) + len(words)), np.arange(len(code)) + owner
+        logs = np.empty(len(place))
+        left = stop - np.arange(len(code))
+        by_left = np.argsort(left, kind="stable")
+        cuts = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 2))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            spots = by_left[lo:hi]
+            c = counts[spots]
+            starts = np.cumsum(c) - c
+            of = np.repeat(np.arange(len(spots)), c)
+            e = first[spots][of] + np.arange(len(of)) - starts[of]
+            v = weight[e] + beta[slot[spots][of] + step[e]]
+            top = np.maximum.reduceat(v, starts)
+            total = top + np.log(np.add.reduceat(np.exp(v - top[of]), starts))
+            beta[slot[spots]] = total
+            logs[e] = v - total[of]
+        return length, counts, step, logs, piece
 
 
 @lru_cache(maxsize=2)
@@ -139,12 +155,8 @@ def sample(model: PieceModel, texts: list[str], keys: np.ndarray, n: int, seed:
     word = np.array([number.setdefault(w, len(number)) for ws in split for w in ws], dtype=np.int64)
     doc = np.repeat(np.arange(len(texts)), [len(ws) for ws in split])
     place = np.concatenate([np.arange(len(ws)) for ws in split]) if split else np.empty(0, np.int64)
-    parts = model.lattices(list(number))
-    length = np.array([p[0] for p in parts], dtype=np.int64)
-    joined = lambda k, kind: np.frombuffer(b"".join(p[k] for p in parts), kind)
-    counts, steps, chances, pieces = joined(1, np.int32), joined(2, np.int32), joined(3, np.float64), joined(4, np.int32)
-    logs = np.log(chances)
-    base = np.cumsum(length) - 1  # a word's places are stored from its end
+    length, counts, steps, logs, pieces = model.lattices(list(number))
+    base = np.cumsum(length) - length
     first_edge = np.cumsum(counts) - counts
     spot = lambda w, at: (w << 32) | at  # noqa: E731  order of a place in its text
 
@@ -163,7 +175,7 @@ def sample(model: PieceModel, texts: list[str], keys: np.ndarray, n: int, seed:
         walked, asides = [], []
         while (open_ := np.flatnonzero(at < length[word[occ]])).size:
             o, a = occ[open_], at[open_]
-            node = base[word[o]] - a
+            node = base[word[o]] + a
             c = counts[node]
             starts = np.cumsum(c) - c
             of = np.repeat(np.arange(len(o)), c)
@@ -273,7 +285,7 @@ def sampled_segmentations(df: DataFrame, model_path: str, n: int = 2, seed: int
         model = piece_model(model_path, sharpness)
         for batch in batches:
             keys, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            for a, b in slices(texts, 1 << 19):
+            for a, b in slices(texts):
                 some = [x or "" for x in texts[a:b]]
                 rows = []
                 for key, text, found in zip(keys[a:b].tolist(), some, sample(model, some, keys[a:b], n, seed), strict=True):

@@ -120,14 +120,13 @@ def test_blocks_round_trip():
 
 
 def every(model, word):
-    n, c, s, p, e = model.lattice(word)
-    c, s, p, e = np.frombuffer(c, np.int32), np.frombuffer(s, np.int32), np.frombuffer(p, np.float64), np.frombuffer(e, np.int32)
-    first, c = (np.cumsum(c) - c)[::-1], c[::-1]
+    (n,), c, s, p, e = model.lattices([word])
+    first = np.cumsum(c) - c
 
     def rest(i):
         if i == n:
             return [((), 1.0)]
-        return [((int(e[k]), *tail), p[k] * q) for k in range(first[i], first[i] + c[i]) for tail, q in rest(i + s[k])]
+        return [((int(e[k]), *tail), math.exp(p[k]) * q) for k in range(first[i], first[i] + c[i]) for tail, q in rest(i + s[k])]
 
     return dict(rest(0))
 
