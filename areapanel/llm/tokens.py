@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import string
 import unicodedata
 from array import array
@@ -19,6 +20,10 @@ BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: Texts with these are always left to the tokenizers library: marks of special tokens, characters that
 #: Python alone counts as white space, and a letter whose lower case depends on its place.
 WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "Σ")
+#: So many blanks in a row are left to the tokenizers library: tiktoken's regex keeps a state for each and
+#: its stack ends at a million.
+BLANKS = 100_000
+LONG_BLANKS = re.compile(rf"(?<!\s)\s{{{BLANKS},}}")
 MEMO_ENTRIES = 600_000
 
 
@@ -37,6 +42,10 @@ def left_whole(text: str) -> bool:
     return any(x in text for x in WHOLE)
 
 
+def long_blanks(text: str) -> bool:
+    return len(text) >= BLANKS and LONG_BLANKS.search(text) is not None
+
+
 class Memo(dict):
     """What a function has returned, by its argument."""
 
@@ -67,7 +76,7 @@ class ByteEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
-        return [packed(self.tokenizer.encode(x, add_special_tokens=False).ids if left_whole(x) else self.fast.encode_ordinary(x)) for x in (x or "" for x in texts)]
+        return [packed(self.tokenizer.encode(x, add_special_tokens=False).ids if left_whole(x) or long_blanks(x) else self.fast.encode_ordinary(x)) for x in (x or "" for x in texts)]
 
 
 class WordEncoder:

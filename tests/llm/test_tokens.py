@@ -50,6 +50,13 @@ def test_ids_of_any_text(text):
         assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("blanks", [" " * 1_100_000, "\n" * 1_100_000, " \u2003\t" * 400_000, " " * 99_999])
+def test_long_runs_of_blanks(blanks):
+    coder = tokens.byte_encoder(BYTE)
+    for text in (blanks, f"a{blanks}b  c"):
+        assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("window, parts", [(2048, 3), (64, 7), (64, 40)])
 def test_packing(spark, window, parts):
     rows = docs()
