@@ -151,7 +151,8 @@ class Matcher:
 
         The kind of an exact match is its term; near and quoted matches are
         kinds of their own, whatever the term, so that the training rows tell
-        how much they mean.  A word counts once however often it occurs.
+        how much they mean.  Every occurrence of a word is judged, and the word
+        counts once for each kind, so its order and number don't matter.
         """
         tokens = text.lower().split()
         words = set(tokens)
@@ -162,16 +163,19 @@ class Matcher:
                 self.hits[w] = near
         self.known |= words
         found: Counter = Counter()
-        counted = set()
+        seen: dict[str, set[str]] = {}
         if not words.isdisjoint(self.hits):
             for k, w in enumerate(tokens):
                 if near := self.hits.get(w):
                     edit, term = near
-                    if (word := bare(w)) in counted:
+                    kinds = seen.setdefault(bare(w), set())
+                    if len(kinds) == (3 if edit else 2):
                         continue
-                    counted.add(word)
                     around = context(tokens, k)
-                    found[term if not edit and around != "quoted" else f"{edit} {around} {'stem' if term.endswith('*') else 'word'}"] += 1
+                    kind = term if not edit and around != "quoted" else f"{edit} {around} {'stem' if term.endswith('*') else 'word'}"
+                    if kind not in kinds:
+                        kinds.add(kind)
+                        found[kind] += 1
         return len(tokens), found
 
 

@@ -78,6 +78,20 @@ def test_context():
     assert toxicity.context(k, 4) == "quoted" and toxicity.context("what an idiot".split(), 2) == "plain" and toxicity.context("you are an idiot".split(), 3) == "direct"
 
 
+def test_order_of_quoted_and_abusive_words():
+    filler = " ".join(f"w{k}" for k in range(20))
+    quoted, abuse, near = 'they said " vileness " today', "you are vileness yourself", "you are vilenes yourself"
+    match = toxicity.Matcher(["vileness"])
+    _, alone = match(f"{filler} {filler} {abuse}")
+    _, first = match(f"{quoted} {filler} {abuse}")
+    _, last = match(f"{abuse} {filler} {quoted} {filler} {quoted}")
+    assert alone == {"vileness": 1} and first == last == {"vileness": 1, "0 quoted word": 1}
+    assert match(f'{quoted.replace("vileness", "vilenes")} {filler} {near} {filler} {near}')[1] == {"1 quoted word": 1, "1 direct word": 1}
+    model = toxicity.ToxicityModel(["vileness"], {"vileness": (1e-6, 0.5)}, 0.2, 0.05)
+    scores = [model.score(*match(x)) for x in (f"{quoted} {filler} {abuse}", f"{abuse} {filler} {quoted}", quoted)]
+    assert scores[0] == scores[1] > 0.7 and scores[2] == 0.05
+
+
 @pytest.mark.parametrize("shards, block", [(16, 1 << 24), (5, 2000)])
 def test_lm_equals_direct_counts(spark, monkeypatch, shards, block):
     monkeypatch.setattr(ngram_lm, "BLOCK_BYTES", block)
