@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
@@ -23,6 +24,9 @@ WINDOW = 8
 LOOKALIKE = str.maketrans("0134578@$", "oieastbas")
 MEMO_WORDS = 400_000
 STATES = 100_000
+#: Texts that share the least hash of their runs of so many words, under any of the seeds, count as copies.
+RUN = 8
+SEEDS = tuple(0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64) for k in range(4))
 
 
 def bare(token: str) -> str:
@@ -183,6 +187,23 @@ def _terms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in range(3, min(7, len(word) - 1) + 1))]
 
 
+def least_hashes(text: str) -> list[int]:
+    """The least hash of the runs of ``RUN`` words under each seed; a shorter text is one run."""
+    words = np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in text.lower().split()], np.uint64)
+    width = max(1, min(RUN, len(words)))
+    n = max(1, len(words) - width + 1)
+    runs = np.full(n, len(words) if width < RUN else RUN, np.uint64)
+    for j in range(min(width, len(words))):
+        runs = runs * np.uint64(0x100000001B3) + words[j : j + n]
+        runs ^= runs >> np.uint64(29)
+    out = []
+    for seed in SEEDS:
+        mixed = (runs ^ np.uint64(seed)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(int((mixed ^ (mixed >> np.uint64(31))).min().view(np.int64)))
+    return out
+
+
 def _without_idle_stems(rows: dict[str, tuple[int, int]]) -> list[str]:
     """The terms (with their toxic and clean rows), without stems that longer terms account for.
 
@@ -233,11 +254,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     At most ``fit_rows`` labelled rows are used, those with the least hash of
     their id, so the labels can be broadcast whatever the corpus is.  A term is
-    a word or a stem of 3 to 7 letters.  Its support among toxic rows counts
-    rows, but every pair of neighbours for one row only, so copies of one text
-    don't make all its words look toxic; then each toxic row credits only its
-    strongest term, and terms that ``support`` rows don't credit go.  At most ``max_terms`` candidates are
-    kept, the strongest by log-likelihood ratio.
+    a word or a stem of 3 to 7 letters.  Copies and near copies (texts that
+    share a least hash of :func:`least_hashes`) count as one row for each label,
+    so that neither toxic nor clean copies outweigh the rest; terms that fewer
+    than ``support`` toxic rows then have go.  At most ``max_terms`` candidates
+    are kept, the strongest by log-likelihood ratio.
     """
     chosen = (
         labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
@@ -246,34 +267,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    train = save(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", "doc_id"), "toxicity-train")
 
-    def in_toxic(batches):
-        """(term, neighbours, row), each once."""
-        for batch in batches:
-            for text, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = [w for w in map(bare, text.lower().split()) if w]
-                near: set[tuple[str, int, int]] = set()
-                for k, w in enumerate(words):
-                    mark = xxhash.xxh64_intdigest(f"{words[k - 1] if k else ''} {words[k + 1] if k + 1 < len(words) else ''}") - (1 << 63)
-                    near.update((t, mark, row) for t in _terms(w[:40]))
-                if near:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*near, strict=True), (pa.string(), pa.int64(), pa.int64()), strict=True)], ["term", "mark", "row"])
-
-    def in_clean(batches):
-        """(term, rows that have it), summed over many rows."""
+    def marked(batches):
         for batch in batches:
             texts = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([least_hashes(x) for x in texts], pa.list_(pa.int64()))], [*batch.schema.names, "marks"])
+
+    numbered = texts.join(F.broadcast(chosen), "doc_id").select("text", (F.col("toxic") > 0).cast("int").alias("toxic"), F.monotonically_increasing_id().alias("row"))
+    rows = save(numbered.mapInArrow(marked, "text string, toxic int, row long, marks array<long>"), "toxicity-train")
+    first = rows.select("toxic", "row", F.posexplode("marks").alias("seed", "mark")).groupBy("toxic", "seed", "mark").agg(F.min("row").alias("row"))
+    once = save(first.groupBy("row").count().where(F.col("count") == len(SEEDS)).select("row"), "toxicity-once")
+    train = rows.join(once, "row", "left_semi").select("text", "toxic")
+
+    def having(batches):
+        """(term, toxic rows, clean rows that have it), summed over many rows."""
+        for batch in batches:
+            texts, ys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(texts, 1 << 24):
-                clean: Counter = Counter()
-                for text in texts[a:b]:
-                    clean.update({t for w in set(map(bare, text.lower().split())) if w for t in _terms(w[:40])})
-                yield pa.RecordBatch.from_arrays([pa.array(list(clean), pa.string()), pa.array(list(clean.values()), pa.int64())], ["term", "n"])
-
-    toxic = train.where("toxic > 0").select("text", "doc_id").mapInArrow(in_toxic, "term string, mark long, row long").groupBy("term", "mark").agg(F.min("row").alias("row"))
-    toxic = toxic.select("term", "row").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("t")).where(F.col("t") >= support)
-    clean = train.where("toxic <= 0").select("text").mapInArrow(in_clean, "term string, n long").groupBy("term").agg(F.sum("n").alias("c"))
-    both = save(toxic.join(clean, "term", "left").select("term", "t", F.coalesce("c", F.lit(0)).alias("c")), "toxicity-terms")
+                toxic, clean = Counter(), Counter()
+                for text, y in zip(texts[a:b], ys[a:b], strict=True):
+                    (toxic if y > 0 else clean).update({t for w in set(map(bare, text.lower().split())) if w for t in _terms(w[:40])})
+                terms = list(toxic.keys() | clean.keys())
+                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()), pa.array([clean[t] for t in terms], pa.int64())], ["term", "t", "c"])
+
+    both = save(train.mapInArrow(having, "term string, t long, c long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where(F.col("t") >= support), "toxicity-terms")
     sizes = {r.toxic: r.n for r in train.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
     if not n_toxic:

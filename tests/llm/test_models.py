@@ -78,6 +78,24 @@ def test_context():
     assert toxicity.context(k, 4) == "quoted" and toxicity.context("what an idiot".split(), 2) == "plain" and toxicity.context("you are an idiot".split(), 3) == "direct"
 
 
+def test_copies_count_alike_in_toxic_and_clean_rows(spark):
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice("abcdefghilmnorst") for _ in range(rnd.randint(3, 8))) for _ in range(500)]
+    some = lambda: " ".join(rnd.choice(words) for _ in range(30))
+    rows = [(f"{some()} nastyword {some()}", 1) for _ in range(60)] + [(f"{some()} go away vileness of ours {some()}", 1) for _ in range(60)]
+    rows += [(some(), 0) for _ in range(600)]
+    rows += [(f'{some()} they said " nastyword " today', 0)] * 400 + [(f"{some()} rareword {some()}", 1)] * 100
+    rows += [(" ".join(w if k != cut else rnd.choice(words) for k, w in enumerate(base)), 1) for base in [f"{some()} closeword {some()}".split()] for cut in rnd.choices(range(30), k=100)]
+    docs = spark.createDataFrame([(k, text) for k, (text, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    near = {t for t in ("nastyword", "vileness", "rareword", "closeword") if any(t == x or x.endswith("*") and t.startswith(x[:-1]) for x in model.terms)}
+    assert near == {"nastyword", "vileness"}
+    new = {"direct": "you are nastyword indeed", "phrase": f"{some()} go away vileness of ours", "clean": f"{some()} rareword"}
+    got = {k: model.score(*toxicity.Matcher(model.terms)(x)) for k, x in new.items()}
+    assert got["direct"] > 0.7 and got["phrase"] > 0.7 and got["clean"] < 0.3
+
+
 def test_order_of_quoted_and_abusive_words():
     filler = " ".join(f"w{k}" for k in range(20))
     quoted, abuse, near = 'they said " vileness " today', "you are vileness yourself", "you are vilenes yourself"
