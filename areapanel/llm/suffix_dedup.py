@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_saved, save
@@ -145,10 +148,15 @@ def suffix_order(hashes: PrefixHashes, start: np.ndarray, size: np.ndarray, grou
     return order
 
 
-def _sorted(parts: list[bytes], group: np.ndarray, reverse: bool) -> tuple[PrefixHashes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sort strings within groups; also the common prefixes of neighbours, verified byte by byte."""
-    raw = b"".join(x[::-1] for x in parts) if reverse else b"".join(parts)
-    data = np.frombuffer(raw or b"\0", np.uint8)
+def _sorted(parts: list[np.ndarray], group: np.ndarray, reverse: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted order of strings within groups, and the common prefix of each with the one before; hashes are never trusted.
+
+    Common prefixes are compared item by item, and neighbours have to ascend;
+    so a hash that two strings share can't change the result.
+    """
+    parts = [x[::-1] for x in parts] if reverse else parts
+    data = np.concatenate(parts) if parts else np.empty(0, np.uint8)
+    data = data if len(data) else np.zeros(1, np.uint8)
     size = np.fromiter(map(len, parts), np.int64, len(parts))
     start = np.cumsum(size) - size
     hashes = PrefixHashes(data)
@@ -156,18 +164,22 @@ def _sorted(parts: list[bytes], group: np.ndarray, reverse: bool) -> tuple[Prefi
     lcp = np.zeros(len(parts), dtype=np.int64)
     if len(parts) > 1:
         a, b = order[:-1], order[1:]
-        same = group[a] == group[b]
-        lcp[1:][same] = hashes.common(start[a[same]], start[b[same]], np.minimum(size[a[same]], size[b[same]]))
-        for t in (np.flatnonzero(same) + 1).tolist():
-            i, j, n = start[order[t - 1]], start[order[t]], lcp[t]
-            if raw[i : i + n] != raw[j : j + n]:  # two strings with one hash
-                return _plainly(parts, group, reverse, hashes, start, size)
-    return hashes, start, size, order, lcp
-
-
-def _plainly(parts, group, reverse, hashes, start, size):
-    """The same by comparing bytes, should hashes ever collide."""
-    text = [x[::-1] for x in parts] if reverse else parts
+        near = np.flatnonzero(group[a] == group[b])
+        a, b = a[near], b[near]
+        most = np.minimum(size[a], size[b])
+        lcp[near + 1] = n = hashes.common(start[a], start[b], most)
+        last = len(data) - 1
+        ascends = np.where(n == most, size[a] <= size[b], data[np.minimum(start[a] + n, last)] < data[np.minimum(start[b] + n, last)])
+        raw, w = data.tobytes(), data.itemsize
+        equal = (raw[i * w : (i + k) * w] == raw[j * w : (j + k) * w] for i, j, k in zip(start[a].tolist(), start[b].tolist(), n.tolist(), strict=True))
+        if not (ascends.all() and all(equal)):  # two strings with one hash
+            return _plainly(parts, group)
+    return order, lcp
+
+
+def _plainly(parts: list[np.ndarray], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same without hashes, should they ever collide."""
+    text = [x.tolist() for x in parts]
     order = np.array(sorted(range(len(parts)), key=lambda i: (group[i], text[i], i)))
     lcp = np.zeros(len(parts), dtype=np.int64)
     for t in range(1, len(parts)):
@@ -175,20 +187,45 @@ def _plainly(parts, group, reverse, hashes, start, size):
         if group[i] == group[j]:
             a, b = text[i], text[j]
             lcp[t] = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))  # noqa: B905
-    return hashes, start, size, order, lcp
+    return order, lcp
+
+
+class RangeMinimum:
+    """Least value of any range, from the least values of all ranges of a power of two."""
 
+    def __init__(self, values: np.ndarray):
+        self.levels = [values]
+        while (step := 1 << (len(self.levels) - 1)) * 2 <= len(values):
+            self.levels.append(np.minimum(self.levels[-1][:-step], self.levels[-1][step:]))
 
-def repeated_windows(left: list[bytes], right: list[bytes], group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For different contexts of anchors, by group: the most and the fewest bytes before the anchor that a
-    window of ``length`` bytes repeated in another context of the group has; (-1, ``length`` + 1) if none is.
+    def of(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Of [lo, hi); no range is empty."""
+        out = np.empty(len(lo), dtype=self.levels[0].dtype)
+        level = np.frexp(hi - lo)[1] - 1
+        for k in np.unique(level).tolist():
+            at = np.flatnonzero(level == k)
+            out[at] = np.minimum(self.levels[k][lo[at]], self.levels[k][hi[at] - (1 << k)])
+        return out
 
-    ``right`` begins with the anchor.
+
+def repeated_windows(left: list[np.ndarray], right: list[np.ndarray], group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For different contexts of anchors, by group: the most and the fewest items before the anchor that a
+    window of ``length`` items repeated in another context of the group has; (-1, ``length`` + 1) if none is.
+
+    Contexts are arrays of bytes or of numbers of words; ``right`` begins with
+    the anchor.
     """
     n = len(left)
     most, fewest = np.full(n, -1), np.full(n, length + 1)
-    _, _, r_size, r_order, r_lcp = _sorted(right, group, False)
-    l_hash, l_start, l_size, l_order, l_lcp = _sorted(left, group, True)
-    counts = np.bincount(group)[group] if n else np.empty(0, int)
+    if not n:
+        return most, fewest
+    l_size, r_size = (np.fromiter(map(len, x), np.int64, n) for x in (left, right))
+    r_order, r_lcp = _sorted(right, group, False)
+    l_order, l_lcp = _sorted(left, group, True)
+    l_rank = np.empty(n, dtype=np.int64)
+    l_rank[l_order] = np.arange(n)
+    l_least = RangeMinimum(l_lcp)
+    counts = np.bincount(group)[group]
     # Small groups: pairs at distance d in the order of what follows the anchor.
     small = counts[r_order] <= PAIRS
     run = np.full(n, np.iinfo(np.int64).max)
@@ -201,14 +238,15 @@ def repeated_windows(left: list[bytes], right: list[bytes], group: np.ndarray, l
         i, j, ahead = r_order[t - d], r_order[t], run[t]
         ok = ahead + np.minimum(l_size[i], l_size[j]) >= length
         i, j, ahead = i[ok], j[ok], ahead[ok]
-        back = l_hash.common(l_start[i], l_start[j], np.minimum(l_size[i], l_size[j]))
+        x, y = l_rank[i], l_rank[j]
+        back = l_least.of(np.minimum(x, y) + 1, np.maximum(x, y) + 1)
         ok = back + ahead >= length
         i, j, ahead, back = i[ok], j[ok], ahead[ok], back[ok]
         for x in (i, j):
             np.maximum.at(most, x, back)
             np.minimum.at(fewest, x, np.maximum(0, length - ahead))
     # Large groups: contexts that share a window have the same class in both orders.
-    for g in np.unique(group[counts > PAIRS]) if n else ():
+    for g in np.unique(group[counts > PAIRS]):
         at = np.flatnonzero(group == g)
         lo, hi = at[0], at[-1] + 1
         r_at, l_at = r_order[lo:hi], l_order[lo:hi]
@@ -225,45 +263,91 @@ def repeated_windows(left: list[bytes], right: list[bytes], group: np.ndarray, l
     return most, fewest
 
 
-def _compare(length: int):
+class Bytes:
+    """A text as the string of its bytes."""
+
+    split = staticmethod(lambda text: text)
+    join = staticmethod(lambda items: items)
+    keys = staticmethod(lambda items: np.frombuffer(items, np.uint8))
+
+    @staticmethod
+    def numbers(contexts: list[bytes]) -> list[np.ndarray]:
+        return [np.frombuffer(x, np.uint8) for x in contexts]
+
+
+class WordHashes(dict):
+    """Hashes of words; emptied before it grows past a million."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+
+class Words:
+    """A text as the string of its words ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case."""
+
+    hashes = WordHashes()
+    split = staticmethod(lambda text: text.lower().split())
+    join = staticmethod(b" ".join)
+
+    @staticmethod
+    def keys(items: list[bytes]) -> np.ndarray:
+        """Hashes that only choose anchors; what is equal is decided by the words themselves."""
+        return np.fromiter(map(Words.hashes.__getitem__, items), np.uint64, len(items))
+
+    @staticmethod
+    def numbers(contexts: list[bytes]) -> list[np.ndarray]:
+        known: dict[bytes, int] = {}
+        split = [x.split() for x in contexts]
+        return [np.fromiter((known.setdefault(w, len(known)) for w in x), np.int64, len(x)) for x in split]
+
+
+UNITS = {"bytes": Bytes, "words": Words}
+
+
+def _compare(sizes: list[tuple[str, int]]):
     """Streams groups (rows sorted by anchor hash) through the suffix sort, a few thousand contexts at a time."""
 
-    def flush(rows: list[tuple]) -> pa.RecordBatch:
-        h, doc, mark, pos, left, right = zip(*rows, strict=True)
-        group = np.cumsum(np.diff(np.array(h), prepend=h[0]) != 0)
-        most, fewest = repeated_windows(list(left), list(right), group, length)
-        ok = most >= 0
-        pos = np.array(pos)
-        columns = [np.array(doc)[ok], np.array(mark)[ok], (pos - most)[ok], (pos - fewest + length)[ok]]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["doc_id", "mark", "start", "end"])
+    def flush(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for kind, (unit, length) in enumerate(sizes):
+            if not (mine := [r for r in rows if r[0] & 1 == kind]):
+                continue
+            h, doc, mark, pos, left, right = zip(*mine, strict=True)
+            group = np.cumsum(np.diff(np.array(h), prepend=h[0]) != 0)
+            numbers = UNITS[unit].numbers([*left, *right])
+            most, fewest = repeated_windows(numbers[: len(mine)], numbers[len(mine) :], group, length)
+            ok = most >= 0
+            pos = np.array(pos)
+            columns = [np.array(doc)[ok], np.array(mark)[ok], np.full(ok.sum(), kind), (pos - most)[ok], (pos - fewest + length)[ok]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["doc_id", "mark", "kind", "start", "end"])
 
     def run(batches):
         rows: list[tuple] = []
-        done = 0  # rows before this belong to complete groups
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if rows and rows[-1][0] != row[0]:
-                    done = len(rows)
-                    if done >= 4096:
-                        yield flush(rows)
-                        rows, done = [], 0
+                if len(rows) >= 4096 and rows[-1][0] != row[0]:
+                    yield from flush(rows)
+                    rows = []
                 rows.append(row)
         if rows:
-            yield flush(rows)
+            yield from flush(rows)
 
     return run
 
 
-def _windows(length: int):
+def _windows(sizes: list[tuple[str, int]]):
     """Every window around the anchors of very large groups, by digest."""
 
     def run(batches):
         for batch in batches:
-            h, doc, mark, pos, left, right = (c.to_pylist() for c in batch.columns)
-            for row in zip(h, doc, mark, pos, left, right, strict=True):
-                l, text = len(row[4]), row[4] + row[5]
-                back = [a for a in range(l + 1) if len(row[5]) >= length - a]
-                digests = [hashlib.blake2b(text[l - a : l - a + length], digest_size=16).digest() for a in back]
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                unit, length = sizes[row[0] & 1]
+                left, right = (UNITS[unit].split(x) for x in row[4:6])
+                l, text = len(left), left + right
+                back = [a for a in range(l + 1) if len(right) >= length - a]
+                digests = [hashlib.blake2b(UNITS[unit].join(text[l - a : l - a + length]), digest_size=16).digest() for a in back]
                 k = len(back)
                 arrays = [pa.array([x] * k, pa.int64()) for x in row[:4]] + [pa.array(back, pa.int32()), pa.array(digests, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["h", "doc_id", "mark", "pos", "back", "digest"])
@@ -271,61 +355,90 @@ def _windows(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
-    """Spans to remove, by (``doc_id``, ``mark``): column ``spans``, an array of (start, end) in bytes that may overlap.
+def _semi_join(rows: DataFrame, keys: DataFrame, on: list[str], total: int) -> DataFrame:
+    """``rows`` whose key is in ``keys`` (which has the rows of each key as ``n``), however often a key occurs.
+
+    Keys with more than a thousandth of all rows, a thousand at most, are
+    broadcast; the others are joined by a shuffle and no task gets much.
+    """
+    hot = F.broadcast(keys.where(F.col("n") * 1000 > total).select(*on))
+    rest = keys.where(F.col("n") * 1000 <= total).select(*on)
+    return rows.join(hot, on, "left_semi").unionByName(rows.join(hot, on, "left_anti").join(rest, on, "left_semi"))
+
+
+def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame:
+    """Spans that occur again, by (``doc_id``, ``mark``): column ``spans``, an array of (kind, start, end) that may overlap.
 
     ``docs`` has ``doc_id``, ``mark`` (a hash of the text) and ``text`` as binary.
+    ``sizes`` holds one or two (unit, length); a span's kind is its place there,
+    and it is counted in that unit: ``bytes``, or ``words``.
 
-    1. Every window of ``length`` bytes has an anchor (:func:`anchors`).  Only
-       anchors, with a digest of all bytes that windows around them can reach,
-       are shuffled: about one for a hundred bytes.
+    1. Every window of ``length`` items has an anchor (:func:`anchors`).  Only
+       anchors, with a digest of all that windows around them can reach, are
+       shuffled: about one for a hundred bytes.  The last bit of an anchor's
+       hash is its kind, so kinds never meet.
     2. An anchor whose hash no other anchor has can't be in a repeated window.
        One whose whole context occurs again is repeated in all of its windows;
-       copies are settled here by counting digests, whatever their number.
+       copies are settled here by counting 128-bit digests, whatever their
+       number.
     3. What is left are different contexts of one anchor, mostly the edges of
        repeated passages.  One context of each kind is fetched, and each group
        is suffix-sorted both ways to find the windows that contexts share.
        Groups with more different contexts than ``HOT_CLASSES`` count digests of
        their windows instead, which Spark combines before it shuffles.
     """
-    gram = length // 2
+    reach = [(length - length // 2, length) for _, length in sizes]
 
     def found(batches):
+        names = ["doc_id", "mark", "pos", "h", "full"]
+        batch_of = lambda columns, full: pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns] + [pa.array(full, pa.binary())], names)
+        columns, full = ([], [], [], []), []
         for batch in batches:
-            ids, marks, pos, hashes, full = [], [], [], [], []
             for doc, mark, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                at, h = anchors(np.frombuffer(text, np.uint8), length)
-                if len(at):
-                    ids.append(np.full(len(at), doc))
-                    marks.append(np.full(len(at), mark))
-                    pos.append(at)
-                    hashes.append(h.view(np.int64))
+                for kind, (unit, length) in enumerate(sizes):
+                    items, back = UNITS[unit].split(text), reach[kind][0]
+                    if len(items) < length:
+                        continue
+                    at, h = anchors(UNITS[unit].keys(items), length)
+                    h = (h & np.uint64(U64 - 1)) | np.uint64(kind)
+                    for column, values in zip(columns, (np.full(len(at), doc), np.full(len(at), mark), at, h.view(np.int64)), strict=True):
+                        column.append(values)
                     for p in at.tolist():
-                        back = min(p, length - gram)
-                        full.append(hashlib.blake2b(text[p - back : p + length], digest_size=16, salt=back.to_bytes(4, "little")).digest())
+                        b = min(p, back)
+                        full.append(hashlib.blake2b(UNITS[unit].join(items[p - b : p + length]), digest_size=16, salt=b.to_bytes(4, "little")).digest())
                 if len(full) > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, marks, pos, hashes)] + [pa.array(full, pa.binary())], ["doc_id", "mark", "pos", "h", "full"])
-                    ids, marks, pos, hashes, full = [], [], [], [], []
-            if full:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, marks, pos, hashes)] + [pa.array(full, pa.binary())], ["doc_id", "mark", "pos", "h", "full"])
+                    yield batch_of(columns, full)
+                    columns, full = ([], [], [], []), []
+        if full:
+            yield batch_of(columns, full)
+
+    def of_kind(values: list[int]) -> Column:
+        return F.when(F.col("h").bitwiseAND(1) == 0, values[0]).otherwise(values[-1])
 
     every = save(docs.select("doc_id", "mark", "text").mapInArrow(found, "doc_id long, mark long, pos long, h long, full binary"), "suffix-anchors")
-    again = every.groupBy("h").count().where("count > 1").select("h")
-    shared = save(every.join(again, "h"), "suffix-shared")
-    drop_saved(every)
-    rep = F.min(F.struct("doc_id", "mark", "pos")).alias("rep")
-    classes = save(shared.groupBy("h", "full").agg(F.count(F.lit(1)).alias("n"), rep), "suffix-classes")
-    whole = shared.join(classes.where("n > 1").select("h", "full"), ["h", "full"]).select("doc_id", "mark", F.greatest(F.col("pos") - (length - gram), F.lit(0)).alias("start"), (F.col("pos") + length).alias("end"))
+    again = save(every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-again")
+    shared = save(_semi_join(every, again, ["h"], every.count()), "suffix-shared")
+    rep = [F.first(c).alias(c) for c in ("doc_id", "mark", "pos")]  # of one row, as all three change together
+    classes = save(shared.groupBy("h", "full").agg(F.count(F.lit(1)).alias("n"), *rep), "suffix-classes")
+    drop_saved(every, again)
+    copies = _semi_join(shared, classes.where("n > 1"), ["h", "full"], shared.count())
+    kind = F.col("h").bitwiseAND(1).alias("kind")
+    whole = copies.select("doc_id", "mark", kind, F.greatest(F.col("pos") - of_kind([b for b, _ in reach]), F.lit(0)).alias("start"), (F.col("pos") + of_kind([n for _, n in reach])).alias("end"))
 
     mixed = classes.groupBy("h").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    wanted = classes.join(mixed, "h").select("h", "classes", "rep.*").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("h", "classes", "pos")).alias("at"))
+    wanted = classes.join(mixed, "h").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("h", "classes", "pos")).alias("at"))
 
     def fetched(batches):
         for batch in batches:
             rows = []
             for doc, mark, text, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                split = {}
                 for h, classes, p in (x.values() for x in at):
-                    rows.append((h, doc, mark, p, text[max(0, p - length + gram) : p], text[p : p + length], classes))
+                    unit, length = sizes[h & 1]
+                    if h & 1 not in split:
+                        split[h & 1] = UNITS[unit].split(text)
+                    items, join = split[h & 1], UNITS[unit].join
+                    rows.append((h, doc, mark, p, join(items[max(0, p - reach[h & 1][0]) : p]), join(items[p : p + length]), classes))
             for k in range(0, len(rows), 20_000):
                 part = list(zip(*rows[k : k + 20_000], strict=True))
                 kinds = [pa.int64()] * 4 + [pa.binary()] * 2 + [pa.int64()]
@@ -335,20 +448,35 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     contexts = save(docs.join(wanted, ["doc_id", "mark"]).select("doc_id", "mark", "text", "at").mapInArrow(fetched, "h long, doc_id long, mark long, pos long, left binary, right binary, classes long"), "suffix-contexts")
     columns = ["h", "doc_id", "mark", "pos", "left", "right"]
     usual = contexts.where(F.col("classes") <= HOT_CLASSES).select(*columns).repartition("h").sortWithinPartitions("h")
-    edges = usual.mapInArrow(_compare(length), "doc_id long, mark long, start long, end long")
+    edges = usual.mapInArrow(_compare(sizes), "doc_id long, mark long, kind long, start long, end long")
     hot = contexts.where(F.col("classes") > HOT_CLASSES).select(*columns)
-    windows = hot.mapInArrow(_windows(length), "h long, doc_id long, mark long, pos long, back int, digest binary")
+    windows = hot.mapInArrow(_windows(sizes), "h long, doc_id long, mark long, pos long, back int, digest binary")
     twice = windows.groupBy("h", "back", "digest").count().where("count > 1").drop("count")
-    hot_edges = windows.join(twice, ["h", "back", "digest"]).groupBy("doc_id", "mark", "pos").agg(F.max("back").alias("most"), F.min("back").alias("fewest")).select("doc_id", "mark", (F.col("pos") - F.col("most")).alias("start"), (F.col("pos") - F.col("fewest") + length).alias("end"))
-    spans = whole.unionByName(edges).unionByName(hot_edges)
-    return spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-
-
-def cut(text: bytes, spans: list | None) -> tuple[bytes, int, int]:
+    hot_edges = windows.join(twice, ["h", "back", "digest"]).groupBy("h", "doc_id", "mark", "pos").agg(F.max("back").alias("most"), F.min("back").alias("fewest"))
+    hot_edges = hot_edges.select("doc_id", "mark", kind, (F.col("pos") - F.col("most")).alias("start"), (F.col("pos") - F.col("fewest") + of_kind([n for _, n in reach])).alias("end"))
+    spans = whole.unionByName(edges).unionByName(hot_edges).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("kind", "start", "end")).alias("spans"))
+    spans = save(spans, "suffix-spans")
+    drop_saved(shared, classes, contexts)
+    return spans
+
+
+def in_bytes(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs of words that spans cover as spans of bytes, from the first byte of the first word to the last of the last."""
+    at = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)] if spans else []
+    runs: list[list[int]] = []
+    for a, b in sorted(spans):
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = max(b, runs[-1][1])
+        else:
+            runs.append([a, b])
+    return [(at[a][0], at[min(b, len(at)) - 1][1]) for a, b in runs]
+
+
+def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     """What is left of a text, the bytes removed, and the number of maximal runs removed."""
     left, at, runs, gone = [], 0, 0, 0
     end = None
-    for a, b in sorted((x["start"], min(x["end"], len(text))) for x in spans or ()):
+    for a, b in sorted((a, min(b, len(text))) for a, b in spans):
         if end is None or a > end:
             if end is not None:
                 gone += end - at
@@ -363,15 +491,19 @@ def cut(text: bytes, spans: list | None) -> tuple[bytes, int, int]:
     return b"".join(left), gone, runs
 
 
-def _with_spans(df: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame]:
+def _with_spans(df: DataFrame, id_col: str, text_col: str, sizes: list[tuple[str, int]]) -> DataFrame:
+    """Columns ``row`` (the whole input row), ``id``, ``text`` (bytes) and ``spans``; no column of ``df`` can clash."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = df.where(F.col(id_col).isNotNull()).withColumns({"_id": F.col(id_col).cast("long"), "_text": text})
-    rows = rows.withColumn("_mark", F.xxhash64("_text"))
-    docs = rows.select(F.col("_id").alias("doc_id"), F.col("_mark").alias("mark"), F.col("_text").alias("text"))
-    return rows, repeated_spans(docs, length).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("spans").alias("_spans"))
+    rows = df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), text.alias("text")).where("id is not null").withColumn("mark", F.xxhash64("text"))
+    spans = repeated_spans(rows.select(F.col("id").alias("doc_id"), "mark", "text"), sizes)
+    return rows.join(spans.withColumnRenamed("doc_id", "id"), ["id", "mark"], "left")
+
 
+def _of_kind(spans, kind: int) -> list[tuple[int, int]]:
+    return [] if spans is None else [(x["start"], x["end"]) for x in spans if x["kind"] == kind]
 
-def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
+
+def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, words: int | None = None) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string that also starts anywhere else.
 
     One row per input row: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``
@@ -379,37 +511,59 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Strings are judged on the input; matches never cross documents and may lie
     in one document.
 
-    A null text counts as empty.  Rows that repeat an id and text are copies of
-    each other.  Rows with a null id are left out and match nothing.  An empty
-    table gives an empty result.
+    With ``words``, strings of so many words (A-Z in lower case, whatever white
+    space is between them) are looked for in the same run and reported, not
+    removed: ``n_passages`` (maximal runs of words that such strings cover) and
+    ``passage_bytes`` (their bytes, white space between their words included).
+    400 bytes are about 65 words of prose, so a passage of 50 to 60 words is
+    seen only this way.
+
+    A null text counts as empty and, like any text that is too short, has no
+    spans.  Texts are never cut or skipped for their length; a task holds one
+    batch of whole texts.  Rows that repeat an id and text are copies of each
+    other.  Rows with a null id are left out and match nothing.  Other columns
+    are ignored, whatever their names.  An empty table gives an empty result.
     """
-    rows, spans = _with_spans(df, id_col, text_col, length)
+    sizes = [("bytes", length)] + ([("words", words)] if words else [])
 
     def done(batches):
         for batch in batches:
             ids, texts, at = (c.to_pylist() for c in batch.columns)
-            out = [cut(t, s) for t, s in zip(texts, at, strict=True)]
+            out = [cut(t, _of_kind(s, 0)) for t, s in zip(texts, at, strict=True)]
             digests = [hashlib.sha256(x[0]).hexdigest() for x in out]
             columns = [pa.array(ids, pa.int64()), pa.array(map(len, texts), pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64()), pa.array(digests)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            if words:
+                more = [cut(t, in_bytes(t, _of_kind(s, 1)))[1:] for t, s in zip(texts, at, strict=True)]
+                columns += [pa.array([x[1] for x in more], pa.int64()), pa.array([x[0] for x in more], pa.int64())]
+                names += ["n_passages", "passage_bytes"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", n_passages long, passage_bytes long" if words else "")
+    return _with_spans(df, id_col, text_col, sizes).select("id", "text", "spans").mapInArrow(done, schema)
 
-    joined = rows.select("_id", "_mark", "_text").join(spans, ["_id", "_mark"], "left").select("_id", "_text", "_spans")
-    return joined.mapInArrow(done, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, unit: str = "bytes") -> DataFrame:
+    """``df`` with strings of ``length`` bytes, or of ``length`` words, that occur again cut out of ``text_col``.
 
-def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """``df`` with the repeated strings cut out of ``text_col``; a character that loses a byte goes with it.
+    Every occurrence goes.  A character that loses a byte goes with it.  Words
+    are compared with A-Z in lower case, whatever white space is between them.
 
-    Rows and columns stay; rows with a null id are left out, null texts stay null.
+    Rows and columns stay, in the columns' order and whatever their names; rows
+    with a null id are left out, null texts stay null, and a text of which
+    nothing is left is empty.  An empty table gives an empty result.
     """
-    rows, spans = _with_spans(df, id_col, text_col, length)
 
     def left(text, spans):
         import pandas as pd
 
-        return pd.Series([cut(t, None if s is None else list(s))[0].decode("utf-8", "ignore") for t, s in zip(text, spans, strict=True)])
+        out = []
+        for t, s in zip(text, spans, strict=True):
+            some = _of_kind(s, 0)
+            out.append(cut(t, in_bytes(t, some) if unit == "words" else some)[0].decode("utf-8", "ignore"))
+        return pd.Series(out, dtype=object)
 
     keep = F.pandas_udf(left, "string")
-    joined = rows.join(spans, ["_id", "_mark"], "left")
-    new = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(keep("_text", "_spans"))
-    return joined.withColumn(text_col, new).select(*df.columns)
+    joined = _with_spans(df, id_col, text_col, [(unit, length)])
+    new = F.when(F.col("spans").isNull(), F.col("row").getField(text_col)).otherwise(keep("text", "spans"))
+    return joined.select(*(new.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in df.columns))

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -77,11 +79,8 @@ def test_components(spark):
 
 
 def removed(docs, length):
-    seen = {}
     data = [(d, (t or "").encode()) for d, t in docs]
-    for _, b in data:
-        for p in range(len(b) - length + 1):
-            seen[b[p : p + length]] = seen.get(b[p : p + length], 0) + 1
+    seen = Counter(b[p : p + length] for _, b in data for p in range(len(b) - length + 1))
     out = []
     for d, b in data:
         cover = np.zeros(len(b), dtype=int)
@@ -93,19 +92,70 @@ def removed(docs, length):
     return sorted(out)
 
 
-@pytest.mark.parametrize("length, hot", [(40, 8192), (24, 8192), (41, 2)])
-def test_suffix_dedup(spark, monkeypatch, length, hot):
+def without_passages(docs, words):
+    """Texts without repeated runs of words, the number of runs and their bytes."""
+    split = [[(m.group().lower(), *m.span()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", (t or "").encode())] for _, t in docs]
+    seen = Counter(tuple(x[0] for x in w[p : p + words]) for w in split for p in range(len(w) - words + 1))
+    out = []
+    for (d, t), w in zip(docs, split, strict=True):
+        cover = np.zeros(len(w) + 1, dtype=int)
+        for p in range(len(w) - words + 1):
+            if seen[tuple(x[0] for x in w[p : p + words])] > 1:
+                cover[p : p + words] = 1
+        raw, left, at, gone = (t or "").encode(), b"", 0, 0
+        edges = np.flatnonzero(np.diff(cover, prepend=0))
+        for a, b in zip(edges[::2], edges[1::2], strict=True):
+            left, at, gone = left + raw[at : w[a][1]], w[b - 1][2], gone + w[b - 1][2] - w[a][1]
+        out.append((d, None if t is None else (left + raw[at:]).decode(), len(edges) // 2, gone))
+    return out
+
+
+@pytest.mark.parametrize("length, words, hot", [(40, 9, 8192), (24, 4, 8192), (41, 12, 2)])
+def test_suffix_dedup(spark, monkeypatch, length, words, hot):
     monkeypatch.setattr(suffix_dedup, "HOT_CLASSES", hot)
     docs = texts()
-    got = sorted(map(tuple, suffix_dedup.suffix_dedup(frame(spark, docs), length=length).collect()))
-    assert got == removed(docs, length)
+    got = sorted(map(tuple, suffix_dedup.suffix_dedup(frame(spark, docs), length=length, words=words).collect()))
+    passages = sorted((d, n, size) for d, _, n, size in without_passages(docs, words))
+    assert [r[:5] for r in got] == removed(docs, length)
+    assert sorted((r[0], *r[5:]) for r in got) == passages and any(n for _, n, _ in passages)
+    assert sorted(map(tuple, suffix_dedup.suffix_dedup(frame(spark, docs), length=length).collect())) == [r[:5] for r in got]
+
+
+def test_suffix_dedup_with_production_sizes(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choices("etaoins", k=rnd.randint(1, 9)))
+    line = lambda k: " ".join(word() for _ in range(k))
+    short, long = [line(51) for _ in range(3)], [line(140) for _ in range(3)]
+    docs = [(k, f"{line(20)} {rnd.choice(short)} {line(9)} {rnd.choice(long)}") for k in range(30)]
+    docs += [(k + 100, f"{line(30)}\n{short[0].upper().replace(' ', '  ')}\n{line(k)}") for k in range(5)]
+    docs += [(k + 200, line(80)) for k in range(20)] + [(300, line(49) + " x"), (301, "a" * 400), (302, "a" * 399), (303, "ab " * 60)]
+    got = sorted(map(tuple, suffix_dedup.suffix_dedup(frame(spark, docs), length=400, words=51).collect()))
+    assert [r[:5] for r in got] == removed(docs, 400)
+    want = without_passages(docs, 51)
+    assert [(r[0], *r[5:]) for r in got] == sorted((d, n, size) for d, _, n, size in want)
+    left = suffix_dedup.without_repeats(frame(spark, docs), length=51, unit="words")
+    assert {r.doc_id: r.text for r in left.collect()} == {d: t for d, t, *_ in want}
+
+
+def test_suffix_dedup_of_very_long_texts(spark):
+    rng = np.random.default_rng(4)
+    long = bytes(rng.integers(97, 123, 1_400_000, dtype=np.uint8)).decode()  # more than one chunk of anchors
+    docs = [(1, long), (2, "?" * 500 + long[1_048_000:1_049_500] + "!" * 50), (3, long[700_000:700_400]), (4, long[5:404])]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.suffix_dedup(frame(spark, docs)).collect()}
+    assert got == {1: (1900, 2), 2: (2000, 1), 3: (400, 1), 4: (0, 0)}
 
 
 def test_suffix_dedup_of_empty_table_and_extra_columns(spark):
-    assert suffix_dedup.suffix_dedup(frame(spark, [])).count() == 0
+    assert suffix_dedup.suffix_dedup(frame(spark, []), words=51).count() == 0
     left = suffix_dedup.without_repeats(frame(spark, [(1, "é" * 30 + "x"), (2, "é" * 30 + "y"), (3, None)]), length=41)
     assert left.columns == ["doc_id", "text", "fp", "spans"]
     assert {r.doc_id: r.text for r in left.collect()} == {1: "x", 2: "y", 3: None}
+    names = ["_id", "doc_id", "id", "mark", "spans", "row", "text", "_text", "a.b"]
+    same = spark.createDataFrame([("k", 1, 7, 8, 9, 10, "a b", "t", 5), ("l", 2, 7, 8, 9, 10, "A  B c", "t", 6), ("m", None, 7, 8, 9, 10, "a b", "t", 6)], "_id string, doc_id long, id int, mark int, spans int, row int, text string, _text string, `a.b` int")
+    out = suffix_dedup.without_repeats(same, length=2, unit="words")
+    assert out.columns == names and out.dtypes == same.dtypes
+    assert sorted(map(tuple, out.collect())) == [("k", 1, 7, 8, 9, 10, "", "t", 5), ("l", 2, 7, 8, 9, 10, " c", "t", 6)]
+    assert suffix_dedup.without_repeats(same.where("false")).count() == 0
 
 
 @pytest.mark.parametrize("pairs", [64, 2])
@@ -116,7 +166,8 @@ def test_windows_shared_by_contexts(monkeypatch, pairs):
     left = [bytes(rnd.choices(b"ab", k=rnd.randint(0, length - gram))) for _ in range(200)]
     group = np.sort(np.array([rnd.randint(0, 30) for _ in range(200)]))
     right = [b"anchor" + bytes(rnd.choices(b"ab", k=rnd.randint(0, length - gram))) for _ in range(200)]
-    most, fewest = suffix_dedup.repeated_windows(left, right, group, length)
+    arrays = [[np.frombuffer(x, np.uint8) for x in part] for part in (left, right)]
+    most, fewest = suffix_dedup.repeated_windows(*arrays, group, length)
     for i in range(200):
         hits = []
         for a in range(len(left[i]) + 1):
@@ -128,7 +179,7 @@ def test_windows_shared_by_contexts(monkeypatch, pairs):
 
 def test_hash_collisions_are_noticed(monkeypatch):
     monkeypatch.setattr(suffix_dedup.PrefixHashes, "of", lambda self, start, length: np.zeros(len(start), dtype=np.uint64))
-    *_, order, lcp = suffix_dedup._sorted([b"abc", b"abd", b"ab", b"x"], np.array([0, 0, 0, 1]), False)
+    order, lcp = suffix_dedup._sorted([np.frombuffer(x, np.uint8) for x in (b"abc", b"abd", b"ab", b"x")], np.array([0, 0, 0, 1]), False)
     assert order.tolist() == [2, 0, 1, 3] and lcp.tolist() == [0, 2, 2, 0]
 
 
