@@ -9,7 +9,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ U64 = (1 << 64) - 1
 CHUNK_BITS = 20
 PAIRS = 64
 HOT_CLASSES = 8192
+LONG_WORD = 16
 
 
 @lru_cache(maxsize=4)
@@ -266,36 +266,48 @@ def repeated_windows(left: list[np.ndarray], right: list[np.ndarray], group: np.
 class Bytes:
     """A text as the string of its bytes."""
 
-    split = staticmethod(lambda text: text)
-    join = staticmethod(lambda items: items)
-    keys = staticmethod(lambda items: np.frombuffer(items, np.uint8))
+    def __init__(self, text: bytes):
+        self.text = text
 
-    @staticmethod
-    def numbers(contexts: list[bytes]) -> list[np.ndarray]:
-        return [np.frombuffer(x, np.uint8) for x in contexts]
+    def __len__(self) -> int:
+        return len(self.text)
 
+    def keys(self) -> np.ndarray:
+        return np.frombuffer(self.text, np.uint8)
 
-class WordHashes(dict):
-    """Hashes of words; emptied before it grows past a million."""
+    def part(self, a: int, b: int) -> bytes:
+        return self.text[a:b]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
+    @staticmethod
+    def numbers(contexts: list[bytes]) -> list[np.ndarray]:
+        return [np.frombuffer(x, np.uint8) for x in contexts]
 
 
 class Words:
-    """A text as the string of its words ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case."""
+    """A text as the string of its words ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case, one space between them."""
 
-    hashes = WordHashes()
-    split = staticmethod(lambda text: text.lower().split())
-    join = staticmethod(b" ".join)
+    def __init__(self, text: bytes):
+        self.text = b" ".join(text.lower().split())
+        self.codes = np.frombuffer(self.text, np.uint8)
+        space = np.flatnonzero(self.codes == 32)
+        self.starts = np.concatenate(([0], space + 1)) if self.text else np.empty(0, np.int64)
+        self.ends = np.append(space, len(self.text)) if self.text else np.empty(0, np.int64)
 
-    @staticmethod
-    def keys(items: list[bytes]) -> np.ndarray:
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def keys(self) -> np.ndarray:
         """Hashes that only choose anchors; what is equal is decided by the words themselves."""
-        return np.fromiter(map(Words.hashes.__getitem__, items), np.uint64, len(items))
+        if not len(self.starts):
+            return np.empty(0, np.uint64)
+        place = np.arange(len(self.codes)) - np.repeat(self.starts, np.diff(np.append(self.starts, len(self.codes))))
+        values = self.codes * powers(1 << LONG_WORD)[0][place & ((1 << LONG_WORD) - 1)]
+        values[self.ends[:-1]] = 0  # the spaces
+        return _mixed(np.add.reduceat(values, self.starts))
+
+    def part(self, a: int, b: int) -> bytes:
+        b = min(b, len(self.starts))
+        return self.text[self.starts[a] : self.ends[b - 1]] if a < b else b""
 
     @staticmethod
     def numbers(contexts: list[bytes]) -> list[np.ndarray]:
@@ -344,10 +356,10 @@ def _windows(sizes: list[tuple[str, int]]):
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 unit, length = sizes[row[0] & 1]
-                left, right = (UNITS[unit].split(x) for x in row[4:6])
-                l, text = len(left), left + right
+                left, right = (UNITS[unit](x) for x in row[4:6])
+                l, text = len(left), UNITS[unit](row[4] + (b" " if unit == "words" else b"") + row[5])
                 back = [a for a in range(l + 1) if len(right) >= length - a]
-                digests = [hashlib.blake2b(UNITS[unit].join(text[l - a : l - a + length]), digest_size=16).digest() for a in back]
+                digests = [hashlib.blake2b(text.part(l - a, l - a + length), digest_size=16).digest() for a in back]
                 k = len(back)
                 arrays = [pa.array([x] * k, pa.int64()) for x in row[:4]] + [pa.array(back, pa.int32()), pa.array(digests, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["h", "doc_id", "mark", "pos", "back", "digest"])
@@ -396,16 +408,16 @@ def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame:
         for batch in batches:
             for doc, mark, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for kind, (unit, length) in enumerate(sizes):
-                    items, back = UNITS[unit].split(text), reach[kind][0]
+                    items, back = UNITS[unit](text), reach[kind][0]
                     if len(items) < length:
                         continue
-                    at, h = anchors(UNITS[unit].keys(items), length)
+                    at, h = anchors(items.keys(), length)
                     h = (h & np.uint64(U64 - 1)) | np.uint64(kind)
                     for column, values in zip(columns, (np.full(len(at), doc), np.full(len(at), mark), at, h.view(np.int64)), strict=True):
                         column.append(values)
                     for p in at.tolist():
                         b = min(p, back)
-                        full.append(hashlib.blake2b(UNITS[unit].join(items[p - b : p + length]), digest_size=16, salt=b.to_bytes(4, "little")).digest())
+                        full.append(hashlib.blake2b(items.part(p - b, p + length), digest_size=16, salt=b.to_bytes(4, "little")).digest())
                 if len(full) > 200_000:
                     yield batch_of(columns, full)
                     columns, full = ([], [], [], []), []
@@ -436,9 +448,9 @@ def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame:
                 for h, classes, p in (x.values() for x in at):
                     unit, length = sizes[h & 1]
                     if h & 1 not in split:
-                        split[h & 1] = UNITS[unit].split(text)
-                    items, join = split[h & 1], UNITS[unit].join
-                    rows.append((h, doc, mark, p, join(items[max(0, p - reach[h & 1][0]) : p]), join(items[p : p + length]), classes))
+                        split[h & 1] = UNITS[unit](text)
+                    items = split[h & 1]
+                    rows.append((h, doc, mark, p, items.part(max(0, p - reach[h & 1][0]), p), items.part(p, p + length), classes))
             for k in range(0, len(rows), 20_000):
                 part = list(zip(*rows[k : k + 20_000], strict=True))
                 kinds = [pa.int64()] * 4 + [pa.binary()] * 2 + [pa.int64()]
