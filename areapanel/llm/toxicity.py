@@ -286,7 +286,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for a, b in slices(texts, 1 << 24):
                 toxic, clean = Counter(), Counter()
                 for text, y in zip(texts[a:b], ys[a:b], strict=True):
-                    (toxic if y > 0 else clean).update({t for w in set(map(bare, text.lower().split())) if w for t in _terms(w[:40])})
+                    (toxic if y > 0 else clean).update({t for w in set(map(bare, text.lower().split())) if w for t in _terms(w)})
                 terms = list(toxic.keys() | clean.keys())
                 yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()), pa.array([clean[t] for t in terms], pa.int64())], ["term", "t", "c"])
 
