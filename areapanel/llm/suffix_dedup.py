@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_saved, save
+from .tokens import slices
 
 BASE = 0x9E3779B97F4A7C15 | 1
 U64 = (1 << 64) - 1
-CHUNK_BITS = 20
+CHUNK_BITS = 14
 PAIRS = 64
 HOT_CLASSES = 8192
 LONG_WORD = 16
@@ -71,40 +75,49 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of a text.
+def anchors(texts: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of texts: number of the text, position, hash.
 
-    Of every window of ``length`` bytes, the string of half that length with
-    the least hash in it (the last such) is an anchor.  The choice depends on
-    the window's bytes alone, so equal windows have equal anchors at equal
-    places.  About one position in a hundred is an anchor for windows of 400.
+    Of every window of ``length`` items, the string of a third of that length
+    with the least hash in it (the last such) is an anchor.  The choice depends
+    on the window alone, so equal windows have equal anchors at equal places.
+    About one position in 130 is an anchor for windows of 400.
+
+    Texts are taken one after the other in chunks that fit the cache; windows
+    that reach from one into the next don't count.
     """
-    gram = length // 2
+    gram = max(1, length // 3)
     span = length - gram + 1
+    data = np.concatenate(texts) if texts else np.empty(0, np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes)
     grams = len(data) - gram + 1
-    if len(data) < length:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    picked, mask = [], np.uint64((1 << CHUNK_BITS) - 1)
-    hashes = np.empty(grams, dtype=np.uint64)
-    for start in range(0, max(1, grams - span + 1), (1 << CHUNK_BITS) - span + 1):
-        stop = min(grams, start + (1 << CHUNK_BITS))
+    chunk = max(1 << CHUNK_BITS, 1 << (2 * span).bit_length())
+    picked, found, mask = [], [], np.uint64(chunk - 1)
+    inside = np.repeat(ends - length, sizes) >= np.arange(len(data))
+    for start in range(0, max(0, grams - span + 1), chunk - span + 1):
+        stop = min(grams, start + chunk)
+        windows, width = stop - start - span + 1, 1
+        whole = np.flatnonzero(inside[start : start + windows])
+        if not len(whole):
+            continue
         part = PrefixHashes(data[start : stop + gram - 1])
         h = _mixed((part.sums[gram:] - part.sums[:-gram]) * part.inverse[: stop - start])
-        hashes[start:stop] = h
         key = (h & ~mask) | (mask - np.arange(stop - start, dtype=np.uint64))
-        windows = len(key) - span + 1
-        blocks = -(-len(key) // span)
-        grid = np.full(blocks * span, np.uint64(U64))
-        grid[: len(key)] = key
-        grid = grid.reshape(blocks, span)
-        ahead = np.minimum.accumulate(grid, axis=1).reshape(-1)
-        behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-        least = np.minimum(behind[:windows], ahead[span - 1 : span - 1 + windows])
-        flag = np.zeros(len(key), dtype=bool)
+        while width * 2 <= span:  # least of so many, twice as many at each step
+            key = np.minimum(key[:-width], key[width:])
+            width *= 2
+        least = np.minimum(key[:windows], key[span - width : span - width + windows])[whole]
+        flag = np.zeros(stop - start, dtype=bool)
         flag[(mask - (least & mask)).astype(np.int64)] = True
-        picked.append(np.flatnonzero(flag) + start)
-    at = np.unique(np.concatenate(picked))
-    return at, hashes[at]
+        at = np.flatnonzero(flag)
+        picked.append(at + start)
+        found.append(h[at])
+    if not picked:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    at, first = np.unique(np.concatenate(picked), return_index=True)
+    owner = np.searchsorted(ends, at, "right")
+    return owner, at - (ends - sizes)[owner], np.concatenate(found)[first]
 
 
 def suffix_order(hashes: PrefixHashes, start: np.ndarray, size: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -359,7 +372,7 @@ def _windows(sizes: list[tuple[str, int]]):
                 left, right = (UNITS[unit](x) for x in row[4:6])
                 l, text = len(left), UNITS[unit](row[4] + (b" " if unit == "words" else b"") + row[5])
                 back = [a for a in range(l + 1) if len(right) >= length - a]
-                digests = [hashlib.blake2b(text.part(l - a, l - a + length), digest_size=16).digest() for a in back]
+                digests = [xxhash.xxh3_128_digest(text.part(l - a, l - a + length)) for a in back]
                 k = len(back)
                 arrays = [pa.array([x] * k, pa.int64()) for x in row[:4]] + [pa.array(back, pa.int32()), pa.array(digests, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["h", "doc_id", "mark", "pos", "back", "digest"])
@@ -399,30 +412,21 @@ def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame:
        Groups with more different contexts than ``HOT_CLASSES`` count digests of
        their windows instead, which Spark combines before it shuffles.
     """
-    reach = [(length - length // 2, length) for _, length in sizes]
+    reach = [(length - max(1, length // 3), length) for _, length in sizes]
 
     def found(batches):
         names = ["doc_id", "mark", "pos", "h", "full"]
-        batch_of = lambda columns, full: pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns] + [pa.array(full, pa.binary())], names)
-        columns, full = ([], [], [], []), []
         for batch in batches:
-            for doc, mark, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for kind, (unit, length) in enumerate(sizes):
-                    items, back = UNITS[unit](text), reach[kind][0]
-                    if len(items) < length:
-                        continue
-                    at, h = anchors(items.keys(), length)
-                    h = (h & np.uint64(U64 - 1)) | np.uint64(kind)
-                    for column, values in zip(columns, (np.full(len(at), doc), np.full(len(at), mark), at, h.view(np.int64)), strict=True):
-                        column.append(values)
-                    for p in at.tolist():
-                        b = min(p, back)
-                        full.append(hashlib.blake2b(items.part(p - b, p + length), digest_size=16, salt=b.to_bytes(4, "little")).digest())
-                if len(full) > 200_000:
-                    yield batch_of(columns, full)
-                    columns, full = ([], [], [], []), []
-        if full:
-            yield batch_of(columns, full)
+            ids, marks, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            for (a, b), (kind, (unit, length)) in itertools.product(slices(texts, 1 << 18), enumerate(sizes)):
+                items = [UNITS[unit](x) for x in texts[a:b]]
+                owner, at, h = anchors([x.keys() for x in items], length)
+                if not len(at):
+                    continue
+                back = np.minimum(at, reach[kind][0])
+                full = [xxhash.xxh3_128_digest(items[o].part(p - k, p + length), k) for o, p, k in zip(owner.tolist(), at.tolist(), back.tolist(), strict=True)]
+                h = ((h & np.uint64(U64 - 1)) | np.uint64(kind)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (ids[a:b][owner], marks[a:b][owner], at, h)), pa.array(full, pa.binary())], names)
 
     def of_kind(values: list[int]) -> Column:
         return F.when(F.col("h").bitwiseAND(1) == 0, values[0]).otherwise(values[-1])
@@ -472,35 +476,44 @@ def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame:
     return spans
 
 
-def in_bytes(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Runs of words that spans cover as spans of bytes, from the first byte of the first word to the last of the last."""
-    at = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)] if spans else []
-    runs: list[list[int]] = []
-    for a, b in sorted(spans):
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = max(b, runs[-1][1])
-        else:
-            runs.append([a, b])
-    return [(at[a][0], at[min(b, len(at)) - 1][1]) for a, b in runs]
-
-
-def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """What is left of a text, the bytes removed, and the number of maximal runs removed."""
-    left, at, runs, gone = [], 0, 0, 0
-    end = None
-    for a, b in sorted((a, min(b, len(text))) for a, b in spans):
-        if end is None or a > end:
-            if end is not None:
-                gone += end - at
-                at = end
-            left.append(text[at:a])
-            at, end, runs = a, b, runs + 1
-        end = max(end, b)
-    if end is not None:
-        gone += end - at
-        at = end
-    left.append(text[at:])
-    return b"".join(left), gone, runs
+def runs(spans: pa.Array, kind: int, sizes: np.ndarray) -> list[list[tuple[int, int]]]:
+    """Of each row's spans of a kind, the maximal runs that they cover, within the row's size; spans that touch are one run."""
+    if isinstance(spans, pa.ChunkedArray):
+        spans = spans.combine_chunks()
+    n = len(spans)
+    row = np.repeat(np.arange(n), spans.value_lengths().fill_null(0).to_numpy())
+    flat = spans.flatten()
+    kinds, start, end = (flat.field(k).to_numpy() for k in ("kind", "start", "end"))
+    mine = np.flatnonzero(kinds == kind)
+    row, start = row[mine], start[mine]
+    end = np.minimum(end[mine], sizes[row])
+    order = np.lexsort((start, row))
+    row, start, end = row[order], start[order], end[order]
+    far = row << 40
+    reached = np.maximum.accumulate(end + far) if len(end) else end
+    first = np.ones(len(end), dtype=bool)
+    first[1:] = (start + far)[1:] > reached[:-1]
+    at = np.flatnonzero(first)
+    last = (reached - far)[np.append(at[1:], len(end)) - 1] if len(at) else at
+    out: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    for r, a, b in zip(row[at].tolist(), start[at].tolist(), last.tolist(), strict=True):
+        out[r].append((a, b))
+    return out
+
+
+def in_bytes(text: bytes, words: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs of words as runs of bytes, from the first byte of the first word to the last of the last."""
+    at = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)] if words else []
+    return [(at[a][0], at[min(b, len(at)) - 1][1]) for a, b in words]
+
+
+def cut(text: bytes, gone: list[tuple[int, int]]) -> bytes:
+    """What is left of a text without some ascending runs."""
+    if not gone:
+        return text
+    ends = [0, *(b for _, b in gone)]
+    starts = [*(a for a, _ in gone), len(text)]
+    return b"".join(text[a:b] for a, b in zip(ends, starts, strict=True))
 
 
 def _with_spans(df: DataFrame, id_col: str, text_col: str, sizes: list[tuple[str, int]]) -> DataFrame:
@@ -511,10 +524,6 @@ def _with_spans(df: DataFrame, id_col: str, text_col: str, sizes: list[tuple[str
     return rows.join(spans.withColumnRenamed("doc_id", "id"), ["id", "mark"], "left")
 
 
-def _of_kind(spans, kind: int) -> list[tuple[int, int]]:
-    return [] if spans is None else [(x["start"], x["end"]) for x in spans if x["kind"] == kind]
-
-
 def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, words: int | None = None) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string that also starts anywhere else.
 
@@ -540,14 +549,16 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def done(batches):
         for batch in batches:
-            ids, texts, at = (c.to_pylist() for c in batch.columns)
-            out = [cut(t, _of_kind(s, 0)) for t, s in zip(texts, at, strict=True)]
-            digests = [hashlib.sha256(x[0]).hexdigest() for x in out]
-            columns = [pa.array(ids, pa.int64()), pa.array(map(len, texts), pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64()), pa.array(digests)]
+            texts, sizes = batch.column(1).to_pylist(), pc.binary_length(batch.column(1)).to_numpy().astype(np.int64)
+            gone = runs(batch.column(2), 0, sizes)
+            total = lambda some: pa.array([sum(b - a for a, b in x) for x in some], pa.int64())
+            number = lambda some: pa.array(map(len, some), pa.int64())
+            digests = [hashlib.sha256(cut(t, x)).hexdigest() for t, x in zip(texts, gone, strict=True)]
+            columns = [batch.column(0), pa.array(sizes), total(gone), number(gone), pa.array(digests, pa.string())]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if words:
-                more = [cut(t, in_bytes(t, _of_kind(s, 1)))[1:] for t, s in zip(texts, at, strict=True)]
-                columns += [pa.array([x[1] for x in more], pa.int64()), pa.array([x[0] for x in more], pa.int64())]
+                more = [in_bytes(t, x) for t, x in zip(texts, runs(batch.column(2), 1, sizes), strict=True)]
+                columns += [number(more), total(more)]
                 names += ["n_passages", "passage_bytes"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -566,16 +577,18 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nothing is left is empty.  An empty table gives an empty result.
     """
 
-    def left(text, spans):
-        import pandas as pd
+    names = [f"c{k}" for k in range(len(df.columns))]  # no name can clash
+    numbered, at = df.toDF(*names), df.columns.index(text_col)
+    rows = _with_spans(numbered, names[df.columns.index(id_col)], names[at], [(unit, length)]).select("row.*", "text", "spans")
 
-        out = []
-        for t, s in zip(text, spans, strict=True):
-            some = _of_kind(s, 0)
-            out.append(cut(t, in_bytes(t, some) if unit == "words" else some)[0].decode("utf-8", "ignore"))
-        return pd.Series(out, dtype=object)
+    def left(batches):
+        for batch in batches:
+            *columns, raw, spans = batch.columns
+            texts, out = raw.to_pylist(), columns[at].to_pylist()
+            for k, some in enumerate(runs(spans, 0, pc.binary_length(raw).to_numpy().astype(np.int64))):
+                if some:
+                    out[k] = cut(texts[k], in_bytes(texts[k], some) if unit == "words" else some).decode("utf-8", "ignore")
+            columns[at] = pa.array(out, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    keep = F.pandas_udf(left, "string")
-    joined = _with_spans(df, id_col, text_col, [(unit, length)])
-    new = F.when(F.col("spans").isNull(), F.col("row").getField(text_col)).otherwise(keep("text", "spans"))
-    return joined.select(*(new.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in df.columns))
+    return rows.mapInArrow(left, numbered.schema).toDF(*df.columns)

@@ -11,6 +11,8 @@ import pytest
 import corpus_pipeline
 from areapanel.llm import ngram_lm, toxicity
 
+from test_text_dedup import without_passages
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string"
 
 
@@ -176,19 +178,30 @@ def test_elias_fano_and_trie():
 
 def test_pipeline(spark, tmp_path):
     docs, labels = corpus(900)
+    rnd = random.Random(6)
+    line = lambda k: " ".join("".join(rnd.choices("aeiostr", k=rnd.randint(3, 8))) for _ in range(k))
+    passages = [line(51), line(60)]
     docs += [(1000, docs[1][1], "en", "s", 1, "x"), (1001, docs[3][1], "en", "s", 1, "x"), (1002, "", "en", "s", 0, "x")]
-    columns = "doc_id long, text string, lang string, source string, n_chars long"
-    spark.createDataFrame([d[:5] for d in docs], columns).write.parquet(f"{tmp_path}/documents.parquet")
+    docs += [(2000 + k, f"{line(90)} {passages[k % 2]}\n{line(40)}", "en", "s", 1, "x") for k in range(10)]
+    spark.createDataFrame([(*d[:5], 0.5, 7) for d in docs], "doc_id long, text string, lang string, source string, n_chars long, score double, predicted int").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     stage, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    columns = stage.columns
     for name, run in corpus_pipeline.STAGES[:-1]:
         stage = run(spark, stage, str(tmp_path))
-        assert stage.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-        kept[name] = {r.doc_id for r in stage.collect()}
+        assert stage.columns == columns
+        rows = stage.collect()
+        assert all((r.score, r.predicted) == (0.5, 7) for r in rows)  # columns that clash keep their values
+        kept[name] = {r.doc_id: r.text for r in rows}
     toxic = {k for k, _, t in labels if t}
     clean = {d[0] for d in docs} - toxic
-    assert len(kept["toxicity"] & toxic) <= 0.05 * len(toxic) and len(clean - kept["toxicity"]) <= 0.02 * len(clean)
-    assert 1000 not in kept["simhash_near_dedup"] and 1 in kept["simhash_near_dedup"] and 1001 not in kept["simhash_near_dedup"]
-    assert kept["suffix_dedup"] == kept["simhash_near_dedup"]
+    assert len(kept["toxicity"].keys() & toxic) <= 0.05 * len(toxic) and len(clean - kept["toxicity"].keys()) <= 0.02 * len(clean)
+    near = kept["simhash_near_dedup"]
+    assert 1000 not in near and 1 in near and 1001 not in near
+    want = {d: t for d, t, *_ in without_passages(sorted(near.items()), 51)}
+    assert kept["suffix_dedup"] == want and all(len(want[k].split()) == 130 for k in range(2000, 2010))
+    assert sum(want[d] != near[d] for d in want) == 10  # the others are left alone
     out = corpus_pipeline.run(spark, str(tmp_path))
-    assert {r.doc_id for r in out.collect()} == kept["suffix_dedup"]
+    assert {r.doc_id for r in out.collect()} == kept["suffix_dedup"].keys()
+    for _, run in corpus_pipeline.STAGES:
+        assert run(spark, spark.read.parquet(f"{tmp_path}/documents.parquet").where("false"), str(tmp_path)).count() == 0
