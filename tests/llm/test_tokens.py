@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -127,8 +128,8 @@ def test_blocks_round_trip():
 
 
 def every(model, word):
-    (n,), c, s, p, e = model.lattices([word])
-    first = np.cumsum(c) - c
+    lat = piece_sampling.Lattices(model, [word])
+    n, c, s, p, e, first = len(word), lat.counts, lat.steps, lat.logs, lat.pieces, lat.first
 
     def rest(i):
         if i == n:
@@ -153,10 +154,35 @@ def test_sampling_without_replacement():
         q = sum(chances[o] * p / (1 - chances[o]) for o in chances if o != ids)
         assert abs(second.count(ids) / len(keys) - q) < 0.015
     # Weights of one over the inclusion estimate sums over all segmentations without bias.
-    mean = np.mean([sum(math.exp(s[1]) / s[3] * len(s[0]) for s in x) for x in got])
+    mean = np.mean([sum(math.exp(s[1] - s[3]) * len(s[0]) for s in x) for x in got])
     assert abs(mean - sum(p * len(ids) for ids, p in chances.items())) < 0.02
 
 
+def test_sampling_texts_of_several_words():
+    """Pairs of first and second segmentations of short texts occur as often as drawing without replacement has them."""
+    model = piece_sampling.piece_model(PIECE, 0.1)
+    for text in ("a on", "to Ⓐ in"):
+        parts = [every(model, w) for w in model.words(text)]
+        chances = {tuple(i for ids in x for i in ids): math.prod(p[ids] for p, ids in zip(parts, x, strict=True)) for x in itertools.product(*parts)}
+        assert abs(sum(chances.values()) - 1) < 1e-12 and len(chances) >= 8
+        plain = lambda ids: tuple(piece_sampling._with_bytes(model, np.array(ids)).tolist())
+        want = {(plain(a), plain(b)): p * q / (1 - p) for a, p in chances.items() for b, q in chances.items() if a != b}
+        chances = {plain(k): p for k, p in chances.items()}
+        keys = np.arange(20_000)
+        got = piece_sampling.sample(model, [text] * len(keys), keys, 3, 9)
+        seen = Counter((tuple(x[0][0].tolist()), tuple(x[1][0].tolist())) for x in got)
+        assert seen.keys() <= want.keys()
+        for pair, p in want.items():
+            assert abs(seen[pair] / len(keys) - p) < 5 * math.sqrt(p / len(keys)) + 1e-4
+        assert all(len({tuple(s[0].tolist()) for s in x}) == 3 and x[0][2] > x[1][2] > x[2][2] for x in got)
+        assert all(abs(math.log(chances[tuple(s[0].tolist())]) - s[1]) < 1e-9 for x in got for s in x)
+        # The first values have a Gumbel law: mean 0.5772, and the inclusion weights sum to one without bias.
+        assert abs(np.mean([x[0][2] for x in got]) - 0.5772) < 0.03
+        assert abs(np.mean([sum(math.exp(s[1] - s[3]) for s in x) for x in got]) - 1) < 0.02
+    few = piece_sampling.sample(model, ["a"], np.array([5]), 50, 1)[0]
+    assert len(few) == len(every(model, "▁a")) and all(s[3] == 0 for s in few)
+
+
 def test_sampling_query(spark):
     rows = [(d, t) for d, t in docs(20) if d != 3] + [(800, "x" * 200), (801, "▁ mark"), (None, "no id")]
     run = lambda parts: piece_sampling.sampled_segmentations(frame(spark, rows).repartition(parts), PIECE, n=3).collect()
@@ -164,5 +190,6 @@ def test_sampling_query(spark):
     assert all(r.round_trip for r in got if r.doc_id != 801)
     assert {r.doc_id for r in got} == {d for d, _ in rows if d is not None}
     assert len({(r.doc_id, r.ids_crc32) for r in got}) == len(got)
+    assert all(r.log_chance - 1e-6 <= r.log_inclusion <= 0 for r in got)
     assert sorted(map(tuple, got)) == sorted(map(tuple, run(5)))
     assert piece_sampling.sampled_segmentations(frame(spark, []), PIECE).count() == 0
