@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import save
+
 #: Short licence texts and the notices that stand for longer ones, by SPDX id.
 LICENSES = [
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -14,6 +16,15 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
     ("0BSD", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -25,37 +36,52 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
     ("CC0-1.0", "Licensed under CC0 1.0."),
 ]
 
-#: (pattern, replacement), applied in turn to the lower-cased text; the same in Java's and RE2's syntax.
-STEPS = [
-    (r"\r", ""),
-    (r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*", r"\n"),
-    (r"all rights reserved", " "),
-    (r"licence", "license"),
-    (r"non-?commercial", "noncommercial"),
-    (r"sub-license", "sublicense"),
-    (r"http:", "https:"),
-    (r"&", " and "),
-    ("[!-/:-@\\[-`{-~“”‘’«»–—…]+", " "),
-    (r"[ \t]+", " "),
-    (r" ?\n[ \n]*", r"\n"),
-    (r"^[ \n]+|[ \n]+$", ""),
-]
+#: The canonical form of longer licences, as their publishers give them: SPDX id, characters, SHA-256.
+WHOLE_TEXTS = [
+    ("Apache-2.0", 9703, "cc411e5c73676ae13e68bf0fe2c031a62b3a1ef56829577a7d168699686c1e7e"),
+    ("Artistic-1.0-Perl", 5683, "cc2cd6cccfacd5fb622fb0e9b9a373fa9dcb86a8c152213a2b856dfbe24fe304"),
+    ("BSD-3-Clause", 1361, "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"),
+    ("CC0-1.0", 6692, "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", 19515, "f06741c6c5feec30d99f80228f0d9ea6b884eae0e790ab18a0f4257184befa86"),
+    ("GFDL-1.3", 21884, "80229e90e6f40a551a447f33ef48bd361a8e3166d53f29a2d1537245e2064feb"),
+    ("GPL-1.0", 11773, "f28265030cc2618a1aae8373267c1ffa00be4df7f9ec10e59f2d9e3d059e8199"),
+    ("GPL-2.0", 17053, "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
+    ("GPL-3.0", 33277, "f3ab5ee40da170411ea6671f9845ada2aaba303ee57ba6086b373d1e66c9dc3f"),
+    ("LGPL-2.0", 23955, "a3d8ea00ba614882dda24d20f22870936e9c07464f9f4bc70d157a6e7c9e835b"),
+    ("LGPL-2.1", 25042, "bfd6e2cd84528b8e253b080d815b43d5156829ecdd9ca0b4fd174fcff32467aa"),
+    ("LGPL-3.0", 7104, "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", 22320, "1cfb6cca26abe2169c9c61164807107b2d4a0b64955a2cf2de46fad3483acda1"),
+    ("MPL-2.0", 14272, "3dacd2c104719e7227969cbdcc7d581518827199e830b9379627eec0a32f8ab7"),
+]
+
+#: Replaced in turn, after lower-casing, so that equivalent spellings are one.
+SPELLINGS = [("all rights reserved", " "), ("licence", "license"), ("non-commercial", "noncommercial"), ("sub-license", "sublicense"), ("http:", "https:"), ("&", " and ")]
+COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
+BLANKS_AND_MARKS = "[ \\t!-/:-@\\[-`{-~“”‘’«»–—…]+"
 
 
 def canonical_lines(text: Column) -> Column:
     """Lines in canonical form: lower case; no punctuation, copyright lines or blank lines; one spelling for variants."""
-    out = F.lower(text)
-    for pattern, new in STEPS:
-        out = F.regexp_replace(out, pattern, new.replace(r"\n", "\n"))
-    return out
+    out = F.regexp_replace(F.replace(F.lower(text), F.lit("\r"), F.lit("")), COPYRIGHT_LINE, "\n")
+    for old, new in SPELLINGS:
+        out = F.replace(out, F.lit(old), F.lit(new))
+    out = F.regexp_replace(F.regexp_replace(out, BLANKS_AND_MARKS, " "), r" ?\n[ \n]*", "\n")
+    return F.btrim(out, F.lit(" \n"))
+
+
+def joined(lines: Column) -> Column:
+    return F.replace(lines, F.lit("\n"), F.lit(" "))
 
 
-def digest(lines: Column) -> Column:
-    """SHA-256 of canonical lines joined by spaces."""
-    return F.sha2(F.regexp_replace(lines, "\n", " "), 256)
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None, whole: list[tuple[str, int, str]] | None = None) -> DataFrame:
+    """Columns ``digest`` and ``license`` (the lesser id where two texts have one digest) and ``size`` in characters."""
+    texts = spark.createDataFrame(LICENSES if known is None else known, "license string, text string").select("license", joined(canonical_lines(F.col("text"))).alias("text"))
+    made = texts.where("text <> ''").select("license", F.length("text").alias("size"), F.sha2("text", 256).alias("digest"))
+    given = spark.createDataFrame((WHOLE_TEXTS if known is None else []) if whole is None else whole, "license string, size int, digest string")
+    return made.unionByName(given).groupBy("digest").agg(F.min("license").alias("license"), F.min("size").alias("size"))
 
 
-def license_scan(df: DataFrame, known: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_scan(df: DataFrame, known: list[tuple[str, str]] | None = None, whole: list[tuple[str, int, str]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Look whole texts, and each of their lines, up among known licence texts by canonical digest.
 
     One row per input row: ``doc_id``, ``digest`` (of the whole canonical text),
@@ -63,47 +89,56 @@ def license_scan(df: DataFrame, known: list[tuple[str, str]] | None = None, id_c
     licences or notices that a line is equal to, ascending, comma-separated;
     empty if none) and ``n_notices`` (such lines).
 
-    ``known`` holds (id, text) and is broadcast: it is a list of licences, made
-    by the caller, and doesn't grow with the corpus.  Where two known texts have
-    one digest the lesser id stands.  A null or empty text has the digest of the
-    empty string and no licence.  Rows that repeat an id are counted line by
-    line together and then have the same notices.  Rows with a null id are left
-    out.  Everything runs in the JVM.
+    ``known`` holds (id, text), ``whole`` holds (id, characters, digest) of
+    canonical texts; both are lists of licences, made by the caller, which
+    don't grow with the corpus, and are broadcast.  Each text is put into
+    canonical form once; a line's digest is only taken if a known text has its
+    length, which loses nothing.  Where two known texts have one digest the
+    lesser id stands.  A null or empty text has the digest of the empty string
+    and no licence.  Very long texts are taken whole.  Rows that repeat an id
+    are counted line by line together and then have the same notices.  Rows
+    with a null id are left out; other columns are ignored, whatever their
+    names; an empty table gives an empty result.  Everything runs in the JVM.
     """
-    spark = df.sparkSession
-    table = spark.createDataFrame(known if known is not None else LICENSES, "license string, text string")
-    table = table.select(digest(canonical_lines(F.col("text"))).alias("digest"), "license").where(F.col("digest") != F.sha2(F.lit(""), 256)).groupBy("digest").agg(F.min("license").alias("license"))
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), canonical_lines(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("lines")).where("doc_id is not null")
-    lines = docs.select("doc_id", F.explode(F.split("lines", "\n")).alias("line")).where("line <> ''").select("doc_id", F.sha2("line", 256).alias("digest"))
-    hits = lines.join(F.broadcast(table), "digest").groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"), F.count(F.lit(1)).alias("n_notices"))
-    whole = docs.select("doc_id", digest(F.col("lines")).alias("digest")).join(F.broadcast(table), "digest", "left")
-    return whole.join(hits, "doc_id", "left").select("doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"), F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices"))
+    table = known_digests(df.sparkSession, known, whole)
+    sizes = sorted(r.size for r in table.select("size").distinct().collect())
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), canonical_lines(text).alias("lines")).where("doc_id is not null")
+    lines = F.transform(F.filter(F.split("lines", "\n"), lambda x: F.length(x).isin(sizes)), lambda x: F.sha2(x, 256))
+    once = save(docs.select("doc_id", F.sha2(joined(F.col("lines")), 256).alias("digest"), lines.alias("lines")), "license-digests")
+    table = F.broadcast(table.select("digest", "license"))
+    hits = once.select("doc_id", F.explode("lines").alias("digest")).join(table, "digest").groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"), F.count(F.lit(1)).alias("n_notices"))
+    return once.join(table, "digest", "left").join(hits, "doc_id", "left").select("doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"), F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices"))
 
 
 def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _sql_lines(column: str) -> str:
-    out = f"lower({column})"
-    for pattern, new in STEPS:
-        value = "chr(10)" if new == r"\n" else _sql_text(new)
-        out = f"regexp_replace({out}, {_sql_text(pattern)}, {value}, 'g')"
-    return out
+#: The canonical form once more, line by line and without the constants above, so that a fault in them shows.
+SQL_LINES = """list_filter(list_transform(list_filter(
+  string_split(replace(lower({}), chr(13), ''), chr(10)),
+  lambda l: NOT regexp_matches(l, '^[ \\t]*(copyright|\\(c\\)|©)')),
+  lambda l: trim(regexp_replace(translate(
+    replace(replace(replace(replace(replace(replace(l, 'all rights reserved', ' '), 'licence', 'license'), 'non-commercial', 'noncommercial'), 'sub-license', 'sublicense'), 'http:', 'https:'), '&', ' and '),
+    chr(9) || '!"#$%''()*+,-./:;<=>?@[\\]^_`{{|}}~“”‘’«»–—…', '                                          '), ' +', ' ', 'g'), ' ')),
+  lambda l: l <> '')"""
 
 
 def license_sql() -> str:
     """The query over ``documents`` for DuckDB."""
-    values = ", ".join(f"({_sql_text(i)}, {_sql_text(t)})" for i, t in LICENSES)
-    whole = "sha256(replace({}, chr(10), ' '))".format
+    texts = ", ".join(f"({_sql_text(i)}, {_sql_text(t)})" for i, t in LICENSES)
+    whole = ", ".join(f"({_sql_text(i)}, {_sql_text(d)})" for i, _, d in WHOLE_TEXTS)
     return f"""
 WITH known AS (
-  SELECT digest, min(license) AS license FROM (SELECT {whole(_sql_lines('text'))} AS digest, license FROM (VALUES {values}) t(license, text))
+  SELECT digest, min(license) AS license FROM (
+    SELECT sha256(array_to_string({SQL_LINES.format("text")}, ' ')) AS digest, license FROM (VALUES {texts}) t(license, text)
+    UNION ALL SELECT digest, license FROM (VALUES {whole}) w(license, digest))
   WHERE digest <> sha256('') GROUP BY digest),
-docs AS (SELECT doc_id, {_sql_lines("coalesce(text, '')")} AS lines FROM documents WHERE doc_id IS NOT NULL),
+docs AS (SELECT doc_id, {SQL_LINES.format("coalesce(text, '')")} AS lines FROM documents WHERE doc_id IS NOT NULL),
 hits AS (
   SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS notices, count(*) AS n_notices
-  FROM (SELECT doc_id, unnest(string_split(lines, chr(10))) AS line FROM docs) l JOIN known ON sha256(line) = known.digest WHERE line <> '' GROUP BY doc_id)
-SELECT doc_id, {whole('lines')} AS digest, known.license, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices
-FROM docs LEFT JOIN known ON {whole('lines')} = known.digest LEFT JOIN hits USING (doc_id)
+  FROM (SELECT doc_id, unnest(lines) AS line FROM docs) l JOIN known ON sha256(line) = known.digest GROUP BY doc_id)
+SELECT doc_id, sha256(array_to_string(lines, ' ')) AS digest, known.license, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices
+FROM docs LEFT JOIN known ON sha256(array_to_string(lines, ' ')) = known.digest LEFT JOIN hits USING (doc_id)
 """

@@ -1,10 +1,12 @@
 """SimHash near-dedup, suffix dedup and licences against brute force."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -185,7 +187,32 @@ def test_hash_collisions_are_noticed(monkeypatch):
 
 def test_licenses(spark):
     mit = licenses.LICENSES[0][1]
-    docs = [(1, "Copyright (c) 2020 Somebody\n\n" + mit.upper().replace(",", " ,")), (2, "prose\nlicensed under CC BY-NC 4.0\nReleased under the MIT Licence!"), (3, None), (4, ""), (5, "(c) me"), (6, mit + " more"), (None, mit)]
+    docs = [(1, "Copyright (c) 2020 Somebody\n\n" + mit.upper().replace(",", " ,")), (2, "prose\nlicensed under CC BY-NC 4.0\nReleased under the MIT Licence!"), (3, None), (4, ""), (5, "(c) me"), (6, mit + " more"), (None, mit), (7, "released under the MIT license"), (7, "prose"), (8, "x\n" + mit.replace("\n", " "))]
     got = {r.doc_id: r for r in licenses.license_scan(frame(spark, docs)).collect()}
-    assert {k: (r.license, r.notices, r.n_notices) for k, r in got.items()} == {1: ("MIT", "", 0), 2: (None, "CC-BY-NC-4.0,MIT", 2), 3: (None, "", 0), 4: (None, "", 0), 5: (None, "", 0), 6: (None, "", 0)}
+    want = {1: ("MIT", "", 0), 2: (None, "CC-BY-NC-4.0,MIT", 2), 3: (None, "", 0), 4: (None, "", 0), 5: (None, "", 0), 6: (None, "", 0), 8: (None, "MIT", 1)}
+    assert {k: (r.license, r.notices, r.n_notices) for k, r in got.items() if k != 7} == want
+    assert sorted((r.license or "", r.notices) for r in licenses.license_scan(frame(spark, docs)).where("doc_id = 7").collect()) == [("", "MIT"), ("MIT", "MIT")]
     assert licenses.license_scan(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("name, file", [("Apache-2.0", "Apache-2.0"), ("GPL-3.0", "GPL-3"), ("GPL-2.0", "GPL-2"), ("LGPL-2.1", "LGPL-2.1"), ("MPL-2.0", "MPL-2.0"), ("BSD-3-Clause", "BSD")])
+def test_whole_licenses(spark, name, file):
+    path = f"/usr/share/common-licenses/{file}"
+    if not os.path.exists(path):
+        pytest.skip("no licence texts on this machine")
+    with open(path) as f:
+        text = f.read()
+    docs = [(1, text), (2, "Copyright 2021 Me\n" + text.upper()), (3, text.replace("\n", "\r\n").replace("  ", "\t ")), (4, text + " and more"), (5, text[:-9])]
+    got = {r.doc_id: r.license for r in licenses.license_scan(frame(spark, docs)).collect()}
+    assert got == {1: name, 2: name, 3: name, 4: None, 5: None}
+
+
+def test_license_sql_agrees(spark):
+    rnd = random.Random(1)
+    bits = ["Copyright", "(c) ", "©", "\n", "\r\n", " ", "\t", "All Rights Reserved", "Licence", "non-commercial", "Sub-License", "http://x", "&", "«a»", "…", "word", "É", "\n \t(C) x\n", "'", "`", "{|}", "Licensed under CC BY 4.0"]
+    docs = [(k, "".join(rnd.choices(bits, k=rnd.randint(0, 30)))) for k in range(300)] + [(400, None)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    want = sorted(con.execute(licenses.license_sql()).fetchall(), key=lambda r: r[0])
+    assert sorted((tuple(r) for r in licenses.license_scan(frame(spark, docs)).collect()), key=lambda r: r[0]) == want
