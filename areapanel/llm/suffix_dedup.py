@@ -21,7 +21,7 @@ from .tokens import slices
 BASE = 0x9E3779B97F4A7C15 | 1
 U64 = (1 << 64) - 1
 CHUNK_BITS = 14
-PAIRS = 64
+PAIRS = 512
 HOT_CLASSES = 8192
 LONG_WORD = 16
 
@@ -238,26 +238,24 @@ def repeated_windows(left: list[np.ndarray], right: list[np.ndarray], group: np.
     l_rank = np.empty(n, dtype=np.int64)
     l_rank[l_order] = np.arange(n)
     l_least = RangeMinimum(l_lcp)
-    counts = np.bincount(group)[group]
-    # Small groups: pairs at distance d in the order of what follows the anchor.
-    small = counts[r_order] <= PAIRS
-    run = np.full(n, np.iinfo(np.int64).max)
-    for d in range(1, PAIRS):
-        t = np.arange(d, n)
-        t = t[small[d:] & (group[r_order[t]] == group[r_order[t - d]])]
-        if not len(t):
-            break
-        run[t] = np.minimum(run[t - 1] if d > 1 else run[t], r_lcp[t])
-        i, j, ahead = r_order[t - d], r_order[t], run[t]
-        ok = ahead + np.minimum(l_size[i], l_size[j]) >= length
-        i, j, ahead = i[ok], j[ok], ahead[ok]
+    counts, begin = np.bincount(group)[group], np.searchsorted(group, group)
+    # Small groups: pairs at distance d in the order of what follows the anchor, as long as they can share a window.
+    t, d = np.flatnonzero((counts <= PAIRS) & (begin < np.arange(n))), 1
+    ahead = np.full(len(t), length)
+    while len(t):
+        ahead = np.minimum(ahead, r_lcp[t - d + 1])
+        on = ahead + l_size[r_order[t]] >= length
+        t, ahead = t[on], ahead[on]
+        i, j = r_order[t - d], r_order[t]
         x, y = l_rank[i], l_rank[j]
         back = l_least.of(np.minimum(x, y) + 1, np.maximum(x, y) + 1)
-        ok = back + ahead >= length
-        i, j, ahead, back = i[ok], j[ok], ahead[ok], back[ok]
-        for x in (i, j):
-            np.maximum.at(most, x, back)
-            np.minimum.at(fewest, x, np.maximum(0, length - ahead))
+        hit = np.flatnonzero(back + ahead >= length)
+        for x in (i[hit], j[hit]):
+            np.maximum.at(most, x, back[hit])
+            np.minimum.at(fewest, x, length - ahead[hit])
+        d += 1
+        on = t - d >= begin[t]
+        t, ahead = t[on], ahead[on]
     # Large groups: contexts that share a window have the same class in both orders.
     for g in np.unique(group[counts > PAIRS]):
         at = np.flatnonzero(group == g)
