@@ -145,9 +145,33 @@ def unsupervised_rank(df: DataFrame, columns: list[str], ks: tuple[int, ...] = (
     return model_importance(RandomForestClassifier(numTrees=20, seed=seed).fit(best), columns)
 
 
+def supervised_rank(df: DataFrame, columns: list[str], key: list[str], label: str = "label", trees: int = 40, folds: int = 3, grid: range | list[int] | None = None, seed: int = 42) -> tuple[list[tuple[str, float]], list[str]]:
+    """Features by importance, and the selected ones.
+
+    The importance is that of a random forest fitted on all rows.  The first k
+    features are then selected, for the k of ``grid`` (all k by default) whose
+    model has the best average precision on rows that it was not fitted on;
+    the least k of those that tie.  Rows are dealt to ``folds`` by the hash of
+    their key.
+    """
+    data = df.withColumn("_fold", F.pmod(F.xxhash64(*key), F.lit(folds))).withColumn("_label", F.col(label).cast("double"))
+    forest = lambda: RandomForestClassifier(labelCol="_label", numTrees=trees, seed=seed)
+    vector = lambda some: VectorAssembler(inputCols=some, outputCol="features", handleInvalid="skip")
+    ranked = sorted(model_importance(forest().fit(vector(columns).transform(data)), columns), key=lambda x: (-x[1], x[0]))
+    names = [c for c, _ in ranked]
+
+    def evaluate(rows: DataFrame, some: list[str]) -> float:
+        model = forest().fit(vector(some).transform(rows.where("_fold > 0")))
+        scored = _score(model.transform(vector(some).transform(rows.where("_fold = 0"))), "score")
+        return round(average_precision(scored, label="_label").first()[0] or 0.0, 9)
+
+    k, _ = select_k(data, names, evaluate, range(1, len(names) + 1) if grid is None else grid)
+    return ranked, names[:k]
+
+
 def type_model(positives: DataFrame, columns: list[str], category: str = "category") -> PipelineModel:
     """Multinomial model of the category of events."""
-    return Pipeline(stages=[StringIndexer(inputCol=category, outputCol="label", handleInvalid="keep"), VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep"), LogisticRegression(family="multinomial", maxIter=20)]).fit(positives)
+    return Pipeline(stages=[StringIndexer(inputCol=category, outputCol="_type", handleInvalid="keep"), VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep"), LogisticRegression(labelCol="_type", family="multinomial", maxIter=20)]).fit(positives)
 
 
 def type_risk(model: PipelineModel, df: DataFrame, score: str = "score") -> DataFrame:

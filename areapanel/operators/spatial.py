@@ -20,13 +20,17 @@ def _cell(col: Column, size: float) -> Column:
     return F.floor(col / size).cast("long")
 
 
-def tag_areas(points: DataFrame, edges: DataFrame, cell: float = 0.01, lat: str = "lat", lon: str = "lon", key: str = "point_id") -> DataFrame:
+def tag_areas(points: DataFrame, edges: DataFrame, cell: float = 0.01, lat: str = "lat", lon: str = "lon", key: str = "point_id", nearest_fallback: bool = False) -> DataFrame:
     """The area whose polygon holds each point: ``point_id`` and ``area_id`` (the least, if polygons overlap; null if none).
 
     ``edges``: ``area_id, x1, y1, x2, y2`` of all rings, holes included (x is
     longitude).  A point is inside if a ray to the right crosses an odd number
     of edges.  Edges are dealt to the rows of cells that they span, and points
     to their row, so a point only meets edges of areas near its latitude.
+
+    With ``nearest_fallback`` a point outside all polygons gets the area whose
+    centroid is nearest (the least of those at one distance, to a digit of a
+    metre); ``point_id`` is unique then.
     """
     box = edges.groupBy("area_id").agg(F.min(F.least("x1", "x2")).alias("w"), F.max(F.greatest("x1", "x2")).alias("e"), F.min(F.least("y1", "y2")).alias("s"), F.max(F.greatest("y1", "y2")).alias("n"))
     cells = box.select("area_id", F.explode(F.sequence(_cell(F.col("w"), cell), _cell(F.col("e"), cell))).alias("cx"), "s", "n").select("area_id", "cx", F.explode(F.sequence(_cell(F.col("s"), cell), _cell(F.col("n"), cell))).alias("cy"))
@@ -34,7 +38,13 @@ def tag_areas(points: DataFrame, edges: DataFrame, cell: float = 0.01, lat: str
     near = points.select(key, F.col(lat).alias("py"), F.col(lon).alias("px"), _cell(F.col(lon), cell).alias("cx"), _cell(F.col(lat), cell).alias("cy")).join(cells, ["cx", "cy"])
     crosses = ((F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py"))) & (F.col("px") < (F.col("x2") - F.col("x1")) * (F.col("py") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
     hits = near.join(spans, ["area_id", "cy"]).where(crosses).groupBy(key, "area_id").agg(F.count(F.lit(1)).alias("c")).where("c % 2 = 1")
-    return points.select(key).join(hits.groupBy(key).agg(F.min("area_id").alias("area_id")), key, "left")
+    tagged = points.select(key).join(hits.groupBy(key).agg(F.min("area_id").alias("area_id")), key, "left")
+    if not nearest_fallback:
+        return tagged
+    outside = points.select(F.col(key).alias("src_id"), F.col(lat).alias("lat"), F.col(lon).alias("lon")).join(tagged.where("area_id is null").select(F.col(key).alias("src_id")), "src_id", "left_semi")
+    middles = centroids(edges).select(F.col("area_id").alias("dst_id"), F.col("lat").alias("dst_lat"), F.col("lon").alias("dst_lon"))
+    close = nearest(outside, middles).select(F.col("src_id").alias(key), F.col("dst_id").alias("_near"))
+    return tagged.join(close, key, "left").select(key, F.coalesce("area_id", "_near").alias("area_id"))
 
 
 def extract_point(df: DataFrame, lat: str = "latitude", lon: str = "longitude", text: str = "location") -> DataFrame:
@@ -55,41 +65,74 @@ def _distance(metric: str, lat1: Column, lon1: Column, lat2: Column, lon2: Colum
     return F.sqrt(F.pow(mercator_x(lon1) - mercator_x(lon2), 2) + F.pow(mercator_y(lat1) - mercator_y(lat2), 2))
 
 
-def near_pairs(src: DataFrame, dst: DataFrame, radius_m: float, max_lat: float = 60.0) -> DataFrame:
-    """Pairs within ``radius_m`` (haversine) of ``src`` (src_id, lat, lon) and ``dst`` (dst_id, dst_lat, dst_lon, ...).
+def _lon_cell(lon: Column, row: Column, height: float, radius: float) -> tuple[Column, Column]:
+    """Cell of a longitude in a row of cells ``height`` degrees high, and the number of cells around the globe there.
 
-    Cells are at least a radius wide up to latitude ``max_lat``, so a pair lies in neighbouring cells.
+    A cell is as wide as any two points within the radius (in radians) can be
+    apart in that row; a row near a pole is one cell.
     """
-    dy, dx = radius_m / DEGREE_M * 1.01, radius_m / (DEGREE_M * math.cos(math.radians(max_lat))) * 1.01
-    left = src.withColumns({"cx": _cell(F.col("lon"), dx), "cy": _cell(F.col("lat"), dy)})
-    steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    right = dst.withColumns({"ox": F.explode(steps)}).withColumn("oy", F.explode(steps)).withColumns({"cx": _cell(F.col("dst_lon"), dx) + F.col("ox"), "cy": _cell(F.col("dst_lat"), dy) + F.col("oy")}).drop("ox", "oy")
-    joined = left.join(right, ["cx", "cy"]).withColumn("distance", haversine(F.col("lat"), F.col("lon"), F.col("dst_lat"), F.col("dst_lon")))
-    return joined.where(F.col("distance") <= radius_m).drop("cx", "cy")
+    top = F.greatest(F.abs(row * height), F.abs((row + 1) * height))
+    ratio = math.sin(radius) / F.cos(F.radians(top))
+    whole = (top >= 90) | (ratio >= 1) | F.lit(radius >= math.pi / 2)
+    n = F.when(whole, F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor(360 / (F.degrees(F.asin(ratio)) * 1.01)))).cast("long")
+    return F.pmod(F.floor((lon + 180) / 360 * n).cast("long"), n), n
 
 
-def nearest_distance(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000) -> DataFrame:
-    """``src_id`` and the distance to the nearest row of ``dst`` in metres, rounded to one digit.
+def near_pairs(src: DataFrame, dst: DataFrame, radius_m: float, metric: str = "haversine") -> DataFrame:
+    """Pairs within ``radius_m`` of ``src`` (src_id, lat, lon) and ``dst`` (dst_id, dst_lat, dst_lon, ...), and their ``distance``.
+
+    Both sides meet in cells a radius wide or more: on the globe, rows of
+    latitude whose cells widen towards the poles and close at 180 degrees; under
+    ``webmercator``, squares of the plane.  Rows with a null coordinate have no
+    pairs.
+    """
+    here, there = (F.col("lat"), F.col("lon")), (F.col("dst_lat"), F.col("dst_lon"))
+    steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    if metric == "haversine":
+        height, radius = radius_m / DEGREE_M * 1.01, radius_m / 6_371_000.0 * 1.001
+        left = src.withColumn("cy", _cell(F.col("lat"), height))
+        left = left.withColumn("cx", _lon_cell(F.col("lon"), F.col("cy"), height, radius)[0])
+        right = dst.withColumn("oy", F.explode(steps)).withColumn("cy", _cell(F.col("dst_lat"), height) + F.col("oy")).drop("oy")
+        x, n = _lon_cell(F.col("dst_lon"), F.col("cy"), height, radius)
+        right = right.withColumn("cx", F.explode(F.array_distinct(F.transform(steps, lambda i: F.pmod(x + i, n)))))
+    else:
+        left = src.withColumns({"cx": _cell(mercator_x(here[1]), radius_m), "cy": _cell(mercator_y(here[0]), radius_m)})
+        right = dst.withColumn("ox", F.explode(steps)).withColumn("oy", F.explode(steps))
+        right = right.withColumns({"cx": _cell(mercator_x(there[1]), radius_m) + F.col("ox"), "cy": _cell(mercator_y(there[0]), radius_m) + F.col("oy")}).drop("ox", "oy")
+    return left.join(right, ["cx", "cy"]).withColumn("distance", _distance(metric, *here, *there)).where(F.col("distance") <= radius_m).drop("cx", "cy")
+
+
+def nearest(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000) -> DataFrame:
+    """``src_id``, the ``dst_id`` nearest to it (the least of those at one distance) and their ``distance`` in metres, rounded to one digit.
 
     Up to ``most`` destinations (stations, buildings) every source scans a
-    broadcast array of them.  More are searched by cells of doubling size until
-    every source has found one; both ways are exact.
+    broadcast array of them.  More are searched by cells of growing size until
+    every source has found one.  Both ways are exact and give the same rows: one
+    for each source (``src_id`` is unique), with nulls where it or every
+    destination has no coordinates.  Counting the destinations, and each round
+    of the search, is an action while the plan is made.
     """
-    if dst.limit(most + 1).count() <= most:
-        all_ = dst.select(F.struct(F.col("dst_lat").alias("lat"), F.col("dst_lon").alias("lon")).alias("p")).agg(F.collect_list("p").alias("ps"))
-        found = F.array_min(F.transform("ps", lambda p: _distance(metric, F.col("lat"), F.col("lon"), p["lat"], p["lon"])))
-        return src.crossJoin(F.broadcast(all_)).select("src_id", F.round(found, 1).alias("distance"))
-    done, left, radius = None, src, 250.0
+    placed = dst.where("dst_lat is not null and dst_lon is not null").select("dst_id", "dst_lat", "dst_lon")
+    best = F.struct(F.round("distance", 1).alias("distance"), "dst_id")
+    if placed.limit(most + 1).count() <= most:
+        all_ = placed.agg(F.collect_list(F.struct("dst_id", "dst_lat", "dst_lon")).alias("ps"))
+        each = F.transform("ps", lambda p: F.struct(F.round(_distance(metric, F.col("lat"), F.col("lon"), p["dst_lat"], p["dst_lon"]), 1).alias("distance"), p["dst_id"].alias("dst_id")))
+        found = src.crossJoin(F.broadcast(all_)).select("src_id", F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.array_min(each)).alias("best"))
+        return found.select("src_id", "best.dst_id", "best.distance")
+    done, left, radius = None, src.where("lat is not null and lon is not null").select("src_id", "lat", "lon"), 250.0
     while True:
-        got = near_pairs(left, dst, radius).groupBy("src_id").agg(F.min("distance").alias("d")).join(left, "src_id")
-        part = got.select("src_id", F.round("d", 1).alias("distance")) if metric == "haversine" else None
-        if part is None:
-            raise ValueError("many destinations: haversine only")
+        part = near_pairs(left, placed, radius + 0.1, metric).groupBy("src_id").agg(F.min(best).alias("best"))  # 0.1: ties after rounding
+        part = part.where(F.col("best.distance") <= radius) if radius < 1e8 else part
         done = part if done is None else done.unionByName(part)
         left = left.join(part, "src_id", "left_anti")
-        if radius > 20_000_000 or not left.limit(1).count():
-            return done
-        radius *= 4
+        if radius >= 1e8 or not left.limit(1).count():
+            return src.select("src_id").join(done, "src_id", "left").select("src_id", "best.dst_id", "best.distance")
+        radius *= 8
+
+
+def nearest_distance(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000) -> DataFrame:
+    """``src_id`` and the distance to the nearest row of ``dst``; see :func:`nearest`."""
+    return nearest(src, dst, metric, most).select("src_id", "distance")
 
 
 def count_within(src: DataFrame, dst: DataFrame, radii: list[float], weight: str | None = None) -> DataFrame:

@@ -231,10 +231,16 @@ def m01_m06_m09_stack(spark, d):
 
 @query()
 def m16_unsupervised_rank(spark, d):
-    rows = ml.unsupervised_rank(_training(spark, d), ["prior_3", "prior_7", "dow"], (2, 3))
+    rows = ml.unsupervised_rank(_training(spark, d), ["prior_3", "prior_7", "dow"])
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+@query()
+def m17_supervised_rank(spark, d):
+    rows, chosen = ml.supervised_rank(_training(spark, d), ["prior_3", "prior_7", "dow", "area_n"], ["area_id", "date"])
+    return spark.createDataFrame([(c, v, c in chosen) for c, v in rows], "feature string, importance double, selected boolean")
+
+
 @query()
 def m19_type_risk(spark, d):
     e = events(spark, d).select("event_id", "category", F.col("hour").cast("double").alias("hour"), "value", "score")

@@ -382,6 +382,17 @@ def g01_tag_areas(spark, d):
     return spatial.tag_areas(events(spark, d).select(F.col("event_id").alias("point_id"), "lat", "lon"), cell_edges(spark, d))
 
 
+_HAV = "2 * 6371000.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, power(sin(radians({1}.lat - {0}.lat) / 2), 2) + cos(radians({0}.lat)) * cos(radians({1}.lat)) * power(sin(radians({1}.lon - {0}.lon) / 2), 2))))".format
+_MOVED = "pt AS (SELECT event_id, lat + CASE WHEN event_id % 5 = 0 THEN 0.20037193::DOUBLE ELSE 0.00041371::DOUBLE END AS lat, lon - CASE WHEN event_id % 7 = 0 THEN 0.30041371::DOUBLE ELSE 0.00037193::DOUBLE END AS lon FROM ev)"
+
+
+@query(f"WITH {EV}, {CE}, {_MOVED}, m AS (SELECT area_id, (s + n) / 2 AS lat, (w + e) / 2 AS lon FROM box), i AS (SELECT event_id, min(area_id) AS area_id FROM (SELECT event_id, ce.area_id FROM pt JOIN ce ON (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 GROUP BY ALL HAVING count(*) % 2 = 1) GROUP BY event_id), o AS (SELECT event_id, round({_HAV('pt', 'm')}, 1) AS dist, m.area_id FROM pt ANTI JOIN i USING (event_id) CROSS JOIN m), f AS (SELECT event_id, area_id FROM o QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY dist, area_id) = 1) SELECT pt.event_id AS point_id, coalesce(i.area_id, f.area_id) AS area_id FROM pt LEFT JOIN i USING (event_id) LEFT JOIN f USING (event_id)")
+def g02_nearest_fallback(spark, d):
+    e = events(spark, d)
+    moved = e.select(F.col("event_id").alias("point_id"), (F.col("lat") + F.when(F.col("event_id") % 5 == 0, 0.20037193).otherwise(0.00041371)).alias("lat"), (F.col("lon") - F.when(F.col("event_id") % 7 == 0, 0.30041371).otherwise(0.00037193)).alias("lon"))
+    return spatial.tag_areas(moved, cell_edges(spark, d), nearest_fallback=True)
+
+
 @query("SELECT event_id, round(37.7::DOUBLE + event_id % 100 / 1000.0::DOUBLE, 6) AS lat, round(-122.5::DOUBLE + event_id % 70 / 1000.0::DOUBLE, 6) AS lon FROM events")
 def g03_extract_point(spark, d):
     lat, lon = F.round(37.7 + F.col("event_id") % 100 / 1000.0, 6), F.round(-122.5 + F.col("event_id") % 70 / 1000.0, 6)
@@ -391,7 +402,6 @@ def g03_extract_point(spark, d):
     return rounded(spatial.extract_point(e).select("event_id", "lat", "lon"))
 
 
-_HAV = "2 * 6371000.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, power(sin(radians({1}.lat - {0}.lat) / 2), 2) + cos(radians({0}.lat)) * cos(radians({1}.lat)) * power(sin(radians({1}.lon - {0}.lon) / 2), 2))))".format
 
 
 def _src(spark, d):

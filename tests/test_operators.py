@@ -1,12 +1,15 @@
 """Small frames for traps and edges."""
 
 import datetime as dt
+import json
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from areapanel.functions import calendar, keys, numbers
-from areapanel.operators import aggregate, binning, enrich, evaluate, panel, project, spatial, topk, windows
+from areapanel.operators import aggregate, binning, enrich, evaluate, ml, panel, project, spatial, topk, windows
 from areapanel.sources import tables
 
 D = dt.date
@@ -147,3 +150,121 @@ def test_sources(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         tables.read_first(spark, [str(tmp_path / "none")])
     assert tables.read_first(spark, [str(tmp_path / "none"), path]).count() == 2
+
+
+def haversine_m(a, b):
+    (p, x), (q, y) = ((math.radians(v) for v in c) for c in (a, b))
+    return 2 * 6371000.0 * math.asin(math.sqrt(min(1.0, math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin((y - x) / 2) ** 2)))
+
+
+@pytest.mark.parametrize("lat, lon, spread, radius", [(72, 10, 0.05, 1000), (-72, 179.99, 0.05, 1500), (89.9, 0, 180, 9000), (0, -179.999, 0.02, 800), (37.7, -122.4, 0.02, 500), (10, 20, 60, 3_000_000)])
+def test_near_pairs_at_every_latitude(spark, lat, lon, spread, radius):
+    rnd = random.Random(3)
+    place = lambda: (min(90.0, max(-90.0, lat + rnd.uniform(-0.03, 0.03) * (1 if spread <= 1 or lat > 80 else 500))), (lon + rnd.uniform(-spread, spread) + 180) % 360 - 180)
+    a, b = [place() for _ in range(90)], [place() for _ in range(90)]
+    src = spark.createDataFrame([(i, *p) for i, p in enumerate(a)] + [(900, None, 1.0)], "src_id int, lat double, lon double")
+    dst = spark.createDataFrame([(i, *p) for i, p in enumerate(b)] + [(901, 1.0, None)], "dst_id int, dst_lat double, dst_lon double")
+    got = sorted((r.src_id, r.dst_id) for r in spatial.near_pairs(src, dst, radius).collect())
+    want = sorted((i, j) for i, p in enumerate(a) for j, q in enumerate(b) if haversine_m(p, q) <= radius)
+    assert got == want and want
+
+
+@pytest.mark.parametrize("metric", ["haversine", "webmercator"])
+def test_nearest_either_way(spark, metric):
+    rnd = random.Random(4)
+    src = spark.createDataFrame([(i, rnd.uniform(-80, 80), rnd.uniform(-180, 180)) for i in range(60)] + [(900, None, 1.0), (901, 5.0, None)], "src_id int, lat double, lon double")
+    dst = spark.createDataFrame([(i, rnd.uniform(-80, 80), rnd.uniform(-180, 180)) for i in range(50)] + [(70, 3.0, 3.0), (71, 3.0, 3.0), (72, None, 3.0)], "dst_id int, dst_lat double, dst_lon double")
+    small, large = (sorted(map(tuple, spatial.nearest(src, dst, metric, most=m).collect())) for m in (1000, 5))
+    assert small == large and len(small) == 62 and [r for r in small if r[1] is None] == [(900, None, None), (901, None, None)]
+    nothing = dst.where("false")
+    assert {r.distance for r in spatial.nearest_distance(src, nothing).collect()} == {None}
+
+
+def test_nearest_fallback(spark):
+    square = lambda name, x, y: [(name, x, y, x + 1, y), (name, x + 1, y, x + 1, y + 1), (name, x + 1, y + 1, x, y + 1), (name, x, y + 1, x, y)]
+    edges = spark.createDataFrame([(n, *map(float, e)) for n, *e in square("a", 0, 0) + square("b", 5, 0)], "area_id string, x1 double, y1 double, x2 double, y2 double")
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 0.5, 2.0), (3, 0.5, 4.0), (4, None, 1.0)], "point_id int, lat double, lon double")
+    tagged = lambda **k: {r.point_id: r.area_id for r in spatial.tag_areas(points, edges, cell=0.5, **k).collect()}
+    assert tagged() == {1: "a", 2: None, 3: None, 4: None}
+    assert tagged(nearest_fallback=True) == {1: "a", 2: "a", 3: "b", 4: None}
+
+
+def test_columns_by_name_and_type(spark):
+    df = spark.createDataFrame([(1, 300, 1 << 40, None, "x")], "`a b` int, `a-b` int, big long, none int, lat_GEO string")
+    assert project.sanitize_columns(df).columns == ["a_b", "a_b_dup1", "big", "none", "lat_GEO"]
+    assert project.drop_by_pattern(df, "geo$|^none$").columns == ["a b", "a-b", "big"]
+    assert project.select_features(df, ["big", "gone", "a b"], ("none", "big")).columns == ["none", "big", "a b"]
+    assert dict(project.compact_types(project.sanitize_columns(df)).dtypes) == {"a_b": "tinyint", "a_b_dup1": "smallint", "big": "bigint", "none": "int", "lat_GEO": "string"}
+    many = spark.range(500).withColumnRenamed("id", "k")
+    one, two = (sorted(r.k for r in topk.sample_n(many.repartition(n), 50, 1, "k").collect()) for n in (2, 5))
+    assert one == two and len(one) == 50 and topk.sample_n(many, 900, 1, "k").count() == 500
+
+
+def test_side_outputs(spark, tmp_path):
+    tables.write_json_row(spark.createDataFrame([(3, 0.5)], "k int, threshold double"), f"{tmp_path}/best")
+    assert [tuple(r) for r in spark.read.json(f"{tmp_path}/best").select("k", "threshold").collect()] == [(3, 0.5)]
+    tables.write_manifest(spark, [{"run": "a", "rows": 1}], f"{tmp_path}/manifest")
+    rows = tables.write_manifest(spark, [{"run": "b", "rows": 2, "note": "x"}], f"{tmp_path}/manifest")
+    assert sorted((r.run, r.rows, r.note) for r in rows.collect()) == [("a", 1, None), ("b", 2, "x")]
+    (tmp_path / "pages").mkdir()
+    for name, page in (("1.json", [{"id": 1}, {"id": 2}]), ("2.json", [{"id": 3, "more": "y"}])):
+        (tmp_path / "pages" / name).write_text(json.dumps(page, indent=1))
+    got = tables.read_landing(spark, f"{tmp_path}/pages")
+    assert sorted((r.id, r.more, r.source_file) for r in got.collect()) == [(1, None, "1.json"), (2, None, "1.json"), (3, "y", "2.json")]
+
+
+@pytest.fixture(scope="module")
+def signal(spark):
+    """Rows whose label follows ``x`` and nothing else."""
+    rnd = random.Random(5)
+    day = dt.date(2024, 1, 1)
+    rows = []
+    for i in range(600):
+        x, noise, other = rnd.random(), rnd.random(), rnd.random()
+        rows.append((i % 12, day + dt.timedelta(i // 12), x, noise, other, int(x + rnd.gauss(0, 0.05) > 0.6)))
+    return spark.createDataFrame(rows, "area_id int, date date, x double, noise double, other double, label int").cache()
+
+
+def test_stack_finds_the_signal_and_survives_saving(spark, signal, tmp_path):
+    stages = ml.preprocessor(["x", "noise"], ["other"], [])
+    models = {k: v for k, v in ml.base_models().items() if k in ("lr", "rf", "gbt")}
+    stack = ml.fit_stack(signal, stages, models, 2, ["area_id", "date"])
+    scored = stack.score(signal)
+    m = ml.model_metrics(scored).first().asDict()
+    assert m["roc_auc"] > 0.95 and m["average_precision"] > 0.9 and 0 < stack.threshold < 1
+    assert scored.count() == 600 and scored.where("score < 0 or score > 1 or score is null").count() == 0
+    stack.save(f"{tmp_path}/stack")
+    again = ml.Stack.load(f"{tmp_path}/stack", list(models), stack.threshold)
+    one, two = (sorted((r.area_id, r.date, round(r.score, 9)) for r in s.score(signal).collect()) for s in (stack, again))
+    assert one == two
+    losses = ml.permutation_importance(stack.score, signal, ["x", "noise"], "x", repeats=1)
+    assert losses[0][0] == "x" and losses[0][1] > 0.2 > abs(losses[1][1])
+
+
+def test_selection(spark, signal):
+    ranked, chosen = ml.supervised_rank(signal, ["noise", "x", "other"], ["area_id", "date"], trees=10)
+    assert ranked[0][0] == "x" and abs(sum(v for _, v in ranked) - 1) < 0.01 and chosen[0] == "x" and len(chosen) <= 3
+    names = [c for c, _ in ranked]
+    gain = lambda df, some: {1: 0.5, 2: 0.9, 3: 0.9}[len(some)]
+    assert ml.forward_select(signal, names, gain) == [(1, 0.5), (2, 0.9), (3, 0.9)]
+    assert ml.select_k(signal, names, gain, range(1, 10)) == (2, 0.9)
+    groups = signal.withColumn("x", F.round("x") * 10)
+    assert ml.unsupervised_rank(groups, ["x", "noise"])[0][0] == "x"
+
+
+def test_types_and_horizons(spark, signal):
+    facts = signal.withColumn("category", F.when(F.col("x") > 0.5, "high").otherwise("low")).withColumn("score", F.lit(0.4))
+    out = ml.type_risk(ml.type_model(facts, ["x", "noise"]), facts)
+    assert out.where(F.abs(F.col("risk_high") + F.col("risk_low") - 0.4) > 1e-6).count() == 0
+    assert out.where((F.col("risk_high") > F.col("risk_low")) != (F.col("category") == "high")).count() < 60
+    led = signal.withColumn("ahead", F.col("label"))
+    models = ml.horizon_models(led, ["x", "noise"], [1, 7], ["area_id"], "date")
+    scored = ml.score_horizons(led, models, ["x", "noise"], ["area_id", "date"])
+    assert scored.count() == 1200 and {r.horizon for r in scored.select("horizon").distinct().collect()} == {1, 7}
+    assert scored.where("score < 0 or score > 1").count() == 0
+
+
+def test_stratified_split(spark, signal):
+    s = evaluate.stratified_split(signal.withColumn("k", F.monotonically_increasing_id()), "label", 0.25, 3, "k")
+    shares = {r.label: r.share for r in s.groupBy("label").agg(F.avg((F.col("split") == "test").cast("int")).alias("share")).collect()}
+    assert set(shares) == {0, 1} and all(0.15 < v < 0.35 for v in shares.values())
