@@ -13,41 +13,62 @@ from .common import connected_components, save
 BITS = 64
 CHUNK = 1 << 15
 ENTRIES = 1 << 20
+#: Increment and multipliers of the 64-bit mixer splitmix64 (fixed values).
+MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
-def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
-    """SimHash of the word shingles of a text given as UTF-8.
+def _votes(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """For each of ``bits`` bits, the number of hashes that set it; words after the first are mixed from the hash."""
+    words = np.empty((len(hashes), bits // BITS), dtype="<u8")
+    words[:, 0] = hashes
+    for k in range(1, words.shape[1]):
+        x = hashes + np.uint64((k * MIX[0]) % (1 << 64))
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX[1])
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX[2])
+        words[:, k] = x ^ (x >> np.uint64(31))
+    set_ = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
+    whole = len(set_) // 255 * 255  # sums of 255 bits fit in a byte
+    return set_[:whole].reshape(-1, 255, bits).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64) + set_[whole:].sum(axis=0, dtype=np.uint8)
+
+
+def wide_fingerprint(text: bytes | None, words: int = 4, seed: int = 42, bits: int = BITS) -> np.ndarray:
+    """SimHash of the word shingles of a text given as UTF-8, as ``bits`` / 64 unsigned numbers.
 
     A-Z are lower-cased; words are runs of bytes other than ASCII white space;
     a text of fewer words than a shingle has is one shingle; none give zero.
-    A bit is 1 if it is set in over half of the shingles' XXH64, repeats included.
+    A bit is 1 if it is set in over half of the shingles' hashes, repeats
+    included.  The first 64 bits are those of XXH64, the others are mixed from it.
     """
     parts = (text or b"").lower().split()
     if not parts:
-        return 0
+        return np.zeros(bits // BITS, dtype="<u8")
     joined = b" ".join(parts)
     count = max(1, len(parts) - words + 1)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[:count]
     ends = ends[min(words, len(parts)) - 1 :]
-    votes = np.zeros(BITS, dtype=np.int64)
+    votes = np.zeros(bits, dtype=np.int64)
     for k in range(0, count, CHUNK):
         hashed = [xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts[k : k + CHUNK].tolist(), ends[k : k + CHUNK].tolist(), strict=True)]
-        bits = np.unpackbits(np.array(hashed, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        votes += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(votes * 2 > count, bitorder="little").view("<u8")[0])
+        votes += _votes(np.array(hashed, dtype=np.uint64), bits)
+    return np.packbits(votes * 2 > count, bitorder="little").view("<u8")
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
-    """Columns ``doc_id`` and ``fp`` (the fingerprint's bits as a signed long)."""
+def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
+    """The fingerprint of 64 bits as a number."""
+    return int(wide_fingerprint(text, words, seed)[0])
+
+
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42, bits: int = BITS) -> DataFrame:
+    """Columns ``doc_id``, ``fp`` (the fingerprint's first 64 bits as a signed long) and ``rest`` (the other bits)."""
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            fps = np.array([fingerprint(x, words, seed) for x in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            fps = [wide_fingerprint(x, words, seed, bits) for x in batch.column(1).to_pylist()]
+            first = np.array([x[0] for x in fps], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first), pa.array([x[1:].tobytes() for x in fps], pa.binary())], ["doc_id", "fp", "rest"])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).where("doc_id is not null").mapInArrow(run, "doc_id long, fp long")
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).where("doc_id is not null").mapInArrow(run, "doc_id long, fp long, rest binary")
 
 
 def _half_range(diff: int, radius: int) -> tuple[int, int]:
@@ -55,7 +76,7 @@ def _half_range(diff: int, radius: int) -> tuple[int, int]:
     return -((radius - diff) // 2), (radius + diff) // 2
 
 
-def _tiles(radius: int):
+def _tiles(radius: int, total_radius: int):
     """Compare two tiles of fingerprints (or one with itself), each of one population count."""
 
     def compare(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
@@ -64,9 +85,11 @@ def _tiles(radius: int):
         pop, block = t["pop"].to_numpy(), t["block"].to_numpy()
         reps, fps = t["rep"].to_numpy(), t["fp"].to_numpy().view(np.uint64)
         upper = np.bitwise_count(fps >> np.uint64(32)).astype(np.int64)
+        rest = np.array([np.frombuffer(x, "<u8") for x in t["rest"].to_pylist()], dtype=np.uint64).reshape(len(fps), -1)
         first = (pop == p_lo) & (block == b_lo)
         order = np.lexsort((upper, ~first))
-        reps, fps, upper = reps[order], fps[order], upper[order]
+        reps, fps, upper, rest = reps[order], fps[order], upper[order], rest[order]
+        entries = ENTRIES // (1 + rest.shape[1])
         split = int(first.sum())
         left = slice(0, split)
         right = left if same else slice(split, len(fps))
@@ -77,13 +100,16 @@ def _tiles(radius: int):
         for u in np.unique(upper[left]):
             rows = np.flatnonzero(upper[left] == u)
             lo, hi = np.searchsorted(r_upper, [u - high, u - low + 1])
-            step = max(1, ENTRIES // max(1, hi - lo))
+            step = max(1, entries // max(1, hi - lo))
             for k in range(0, len(rows), step):
                 part = rows[k : k + step]
                 near = np.bitwise_count(fps[part][:, None] ^ r_fps[None, lo:hi]) <= radius
                 i, j = np.nonzero(near)
                 i, j = part[i], j + lo + shift
                 i, j = (x[i != j] for x in (i, j))
+                if rest.shape[1]:
+                    whole = np.bitwise_count(fps[i] ^ fps[j]) + np.bitwise_count(rest[i] ^ rest[j]).sum(axis=1, dtype=np.int64)
+                    i, j = (x[whole <= total_radius] for x in (i, j))
                 if len(i):
                     touched[i] = touched[j] = True
                     labels = _merge(labels, i, j)
@@ -107,7 +133,7 @@ def _merge(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             pass
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4, seed: int = 42, tile_rows: int = 1024) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4, seed: int = 42, tile_rows: int = 1024, bits: int = BITS, total_radius: int | None = None) -> DataFrame:
     """Near-duplicate classes of whole texts by SimHash.
 
     One row per input row: ``doc_id``, ``fingerprint`` (16 lower-case hex
@@ -123,12 +149,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     applied to the upper and lower halves.  Tasks return spanning links only,
     at most one for each of their rows.
 
+    Fingerprints of more ``bits`` tell similar texts from others more sharply:
+    two link if the first 64 bits differ in ``radius`` or fewer and all bits in
+    ``total_radius`` or fewer.  Shingles that two texts share in a proportion J
+    of all leave about arccos(2J / (1 + J)) / pi of the bits different.
+
     A null text counts as empty; texts without words have fingerprint zero and
     link like any other.  Rows that repeat an id stay; rows with a null id are
     left out.  An empty table gives an empty result.
     """
-    docs = save(fingerprints(df, id_col, text_col, words, seed), "simhash-docs")
-    reps = docs.groupBy("fp").agg(F.min("doc_id").alias("rep")).withColumn("pop", F.bit_count("fp"))
+    docs = save(fingerprints(df, id_col, text_col, words, seed, bits), "simhash-docs")
+    reps = docs.groupBy("fp", "rest").agg(F.min("doc_id").alias("rep")).withColumn("pop", F.bit_count("fp"))
     reps = save(reps, "simhash-reps")
     total = reps.count()
     rows = max(1, int((total * tile_rows) ** 0.5))
@@ -140,16 +171,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         reps.join(sized, "pop")
         .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
         .withColumn("q", F.explode("near"))
-        .select("fp", "rep", "pop", "block", F.col("q.q").alias("q"), F.explode(F.sequence(F.lit(0), F.col("q.q_blocks") - 1)).alias("q_block"))
+        .select("fp", "rest", "rep", "pop", "block", F.col("q.q").alias("q"), F.explode(F.sequence(F.lit(0), F.col("q.q_blocks") - 1)).alias("q_block"))
     )
     ahead = (F.col("pop") < F.col("q")) | ((F.col("pop") == F.col("q")) & (F.col("block") <= F.col("q_block")))
     one, two = F.struct("pop", "block"), F.struct(F.col("q").alias("pop"), F.col("q_block").alias("block"))
     cells = tiled.withColumns({"lo": F.when(ahead, one).otherwise(two), "hi": F.when(ahead, two).otherwise(one)})
-    cells = cells.select(F.col("lo.pop").alias("p_lo"), F.col("lo.block").alias("b_lo"), F.col("hi.pop").alias("p_hi"), F.col("hi.block").alias("b_hi"), "fp", "rep", "pop", "block")
-    links = cells.groupBy("p_lo", "b_lo", "p_hi", "b_hi").applyInArrow(_tiles(radius), "rep long, root long")
+    cells = cells.select(F.col("lo.pop").alias("p_lo"), F.col("lo.block").alias("b_lo"), F.col("hi.pop").alias("p_hi"), F.col("hi.block").alias("b_hi"), "fp", "rest", "rep", "pop", "block")
+    links = cells.groupBy("p_lo", "b_lo", "p_hi", "b_hi").applyInArrow(_tiles(radius, bits if total_radius is None else total_radius), "rep long, root long")
     components = connected_components(links.select(F.col("rep").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("id", "rep")
-    classes = reps.join(components, "rep", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
-    return docs.join(classes, "fp").select(
+    classes = reps.join(components, "rep", "left").select("fp", "rest", F.coalesce("component_id", "rep").alias("component_id"))
+    return docs.join(classes, ["fp", "rest"]).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from areapanel.llm import licenses, simhash, suffix_dedup
 from areapanel.llm.common import connected_components
 
@@ -66,6 +67,40 @@ def test_simhash(spark, tile_rows):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def shingles(text, n=5):
+    w = text.lower().split()
+    return {tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))}
+
+
+def test_wide_simhash_finds_near_copies(spark):
+    """Of texts that share 0.82 or more of their five-word shingles nearly all link, of those below 0.6 none."""
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choices("abcdefghiklmnorstu", k=rnd.randint(2, 8)))
+    docs, pairs = [], []
+    for k in range(120):
+        base = [word() for _ in range(rnd.randint(60, 500))]
+        other = list(base)
+        for at in rnd.sample(range(len(base)), max(1, round(len(base) * (0.005, 0.015, 0.08)[k % 3]))):
+            other[at] = word()
+        docs += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+        a, b = (shingles(" ".join(x)) for x in (base, other))
+        pairs.append((2 * k, len(a & b) / len(a | b)))
+    docs += [(900, ""), (901, None), (902, "one two"), (903, "One  TWO")]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, docs), **corpus_pipeline.NEAR).collect()}
+    near, far = [k for k, j in pairs if j >= 0.82], [k for k, j in pairs if j < 0.6]
+    assert len(near) > 50 and len(far) > 30
+    assert sum(got[k + 1] == k for k in near) >= 0.97 * len(near) and all(got[k + 1] == k + 1 for k in far)
+    assert got[900] == got[901] == 900 and got[902] == got[903] == 902
+
+
+def test_wide_fingerprint_starts_with_the_narrow_one():
+    rnd = random.Random(9)
+    for n in (0, 1, 5, 258, 259, 260, 600):
+        text = " ".join(str(rnd.randint(0, 99)) for _ in range(n)).encode()
+        wide = simhash.wide_fingerprint(text, bits=512)
+        assert len(wide) == 8 and int(wide[0]) == simhash.fingerprint(text) == fingerprint(text.decode())
+
+
 def test_half_ranges_are_exact():
     for d in range(-4, 5):  # tiles further apart never meet
         for x in range(-8, 9):
