@@ -1,7 +1,7 @@
 """Metrics, splits and leak checks, without a global sort of rows.
 
-Curves are made from counts for each distinct score, so the ordered window
-holds a row for each score and not for each example.
+Curves are running totals over the counts of each distinct score; no task gets
+all scores.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import running_totals
 
 
 def classification_metrics(df: DataFrame, score: str = "score", label: str = "label", threshold: float = 0.5) -> DataFrame:
@@ -23,9 +24,9 @@ def classification_metrics(df: DataFrame, score: str = "score", label: str = "la
 def score_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """By distinct score, descending: tp, fp, and the totals."""
     per = df.groupBy(score).agg(F.sum(label).cast("double").alias("p"), F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy(F.desc(score))
     total = per.agg(F.sum("p").alias("positives"), F.sum("c").alias("rows"))
-    return per.withColumn("tp", F.sum("p").over(w)).withColumn("fp", F.sum("c").over(w) - F.sum("p").over(w)).crossJoin(F.broadcast(total))
+    curve = running_totals(per, score, {"tp": "p", "upto": "c"}, descending=True)
+    return curve.withColumn("fp", F.col("upto") - F.col("tp")).drop("upto").crossJoin(F.broadcast(total))
 
 
 def average_precision(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:

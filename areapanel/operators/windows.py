@@ -31,33 +31,58 @@ def prior_days_sum(df: DataFrame, value: str, days: int, keys: list[str], date:
 def ema(df: DataFrame, value: str, alphas: list[float], keys: list[str], order: str) -> DataFrame:
     """Exponential moving averages (first value, then a*x + (1-a)*previous), as ``ema_<alpha>``.
 
-    A series is folded as one sorted array, so it must fit in a row; a series
-    has a row for each period, not for each event.
+    Null values leave the average as it was; before the first value it is null.
+    A task takes the whole series of an area, which has a row for each period
+    and not for each event; its work grows with the series' length.
     """
-    series = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("v")))).alias("s"))
-    def fold(a: float):
-        def step(acc, x):
-            last = F.element_at(acc, -1)["e"]
-            return F.concat(acc, F.array(F.struct(F.coalesce(a * x["v"] + (1 - a) * last, x["v"], last).alias("e"))))
+    names = [f"ema_{a:g}".replace(".", "_") for a in alphas]
+    rows = df.select(*keys, order, F.col(value).cast("double").alias(value))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), *(f"`{n}` double" for n in names)])
 
-        return F.slice(F.aggregate("s", F.array(F.struct(F.lit(None).cast("double").alias("e"))), step)["e"], 2, F.size("s"))
+    def smooth(series):
+        series = series.sort_values(order, kind="stable")
+        means = {n: series[value].ewm(alpha=a, adjust=False, ignore_na=True).mean() for n, a in zip(names, alphas, strict=True)}
+        return series.assign(**means)
 
-    series = series.withColumns({f"ema_{a:g}".replace(".", "_"): fold(a) for a in alphas})
-    names = [f"ema_{a:g}".replace(".", "_") for a in alphas]
-    zipped = series.select(*keys, F.explode(F.arrays_zip("s", *names)).alias("x"))
-    return zipped.select(*keys, F.col("x.s.o").alias(order), F.col("x.s.v").alias(value), *[F.col(f"x.{n}").alias(n) for n in names])
+    return rows.groupBy(*keys).applyInPandas(smooth, schema)
+
+
+def running_totals(df: DataFrame, score: str, totals: dict[str, str], descending: bool = False, buckets: int = 1024) -> DataFrame:
+    """Adds, by name, the sums of columns over all rows whose score comes before or equals the row's.
+
+    Scores are numbers, one row for each.  They are dealt to ``buckets`` ranges
+    of equal width between the least and the greatest, so that only the totals
+    of the ranges meet in one task; each range adds its own rows to what comes
+    before it.  Nulls are the least and NaN the greatest score, as in sorting.
+    """
+    x = F.col(score).cast("double")
+    ends = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    place = F.nanvl((x - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * buckets, F.lit(0.0))
+    bucket = F.when(x.isNull(), -1).when(F.isnan(x), buckets).otherwise(F.coalesce(F.least(F.floor(place), F.lit(buckets - 1)), F.lit(0)))
+    dealt = df.crossJoin(F.broadcast(ends)).withColumn("_bucket", bucket.cast("int")).drop("_lo", "_hi")
+    by = (lambda c: F.desc(c)) if descending else (lambda c: F.asc(c))
+    before = Window.orderBy(by("_bucket")).rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    sums = dealt.groupBy("_bucket").agg(*[F.sum(c).alias(f"_{n}") for n, c in totals.items()])
+    sums = sums.select("_bucket", *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in totals])
+    inside = Window.partitionBy("_bucket").orderBy(by(score))
+    joined = dealt.join(F.broadcast(sums), "_bucket")
+    return joined.withColumns({n: F.col(f"_{n}") + F.sum(c).over(inside) for n, c in totals.items()}).drop("_bucket", *[f"_{n}" for n in totals])
 
 
 def decile(df: DataFrame, score: str, tie: str, out: str = "decile", bins: int = 10, keys: list[str] = ()) -> DataFrame:
     """Equal-count bins of the rank by (score, tie) with exact integer edges.
 
-    Without ``keys`` all rows are ranked; the ranks are made of a count for each
-    distinct score and a rank inside equal scores, so no task gets all rows.
+    Without ``keys`` all rows are ranked; the ranks are made of running totals of
+    the counts of distinct scores and a rank inside equal scores, so no task gets
+    all rows or all scores; rows of equal score are ordered in one task.
     """
     keys = list(keys)
     per = df.groupBy(*keys, score).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*keys).orderBy(score)
-    before = per.withColumn("_b", F.sum("_c").over(w) - F.col("_c")).withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
+    if keys:
+        before = per.withColumn("_b", F.sum("_c").over(w) - F.col("_c")).withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
+    else:
+        before = running_totals(per, score, {"_t": "_c"}).withColumn("_b", F.col("_t") - F.col("_c")).crossJoin(F.broadcast(per.agg(F.sum("_c").alias("_n"))))
     inner = df.withColumn("_i", F.row_number().over(Window.partitionBy(*keys, score).orderBy(tie)))
     joined = inner.join(before.select(*keys, score, "_b", "_n"), [*keys, score])
     r = (F.col("_b") + F.col("_i") - 1).cast("long")
@@ -66,10 +91,9 @@ def decile(df: DataFrame, score: str, tie: str, out: str = "decile", bins: int =
 
 
 def rank_pct(df: DataFrame, score: str, out: str = "rank_pct") -> DataFrame:
-    """Average rank over the number of rows; ranks come from counts of distinct scores."""
+    """Average rank over the number of rows; ranks are running totals of the counts of distinct scores."""
     per = df.groupBy(score).agg(F.count(F.lit(1)).alias("_c")).where(F.col(score).isNotNull())
-    w = Window.orderBy(score)
-    ranked = per.withColumn("_b", F.sum("_c").over(w) - F.col("_c")).withColumn("_n", F.sum("_c").over(Window.partitionBy()))
+    ranked = running_totals(per, score, {"_t": "_c"}).withColumn("_b", F.col("_t") - F.col("_c")).crossJoin(F.broadcast(per.agg(F.sum("_c").alias("_n"))))
     pct = (F.col("_b") + (F.col("_c") + 1) / 2) / F.col("_n")
     return df.join(ranked.select(score, pct.alias(out)), score, "left")
 

@@ -25,30 +25,67 @@ def once_by_id(events: DataFrame, key: str = "event_id", late: str = "1 hour") -
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
 
 
-def upsert_stream(stream: DataFrame, base_path: str, keys: list[str], order: list[str], checkpoint: str):
+def upsert_stream(stream: DataFrame, base_path: str, keys: list[str], order: list[str], checkpoint: str, buckets: int = 64):
     """A writer that merges each micro-batch into a table, the latest row of each key by ``order``.
 
-    Versions are numbered by batch, so a batch that is run again writes the same
-    folder again, and readers take the last complete one.
+    The table lies in ``buckets`` folders by key.  A batch reads and writes only
+    those that its keys fall into, under its own number, so a batch that is run
+    again writes the same folders again.  Readers take the last complete version
+    of each bucket; the one before it stays for readers at work, older ones go.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        before = current(spark, base_path, number)
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        batch = batch.persist()
+        touched = [r.b for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
+        before = _read(spark, base_path, {b: v for b, v in _versions(spark, base_path, number).items() if b in touched})
         merged = dedupe(batch, keys, order) if before is None else upsert(before, batch, keys, order)
-        merged.write.mode("overwrite").parquet(f"{base_path}/version={number}")
+        if touched:
+            merged.withColumn("_bucket", bucket).repartition("_bucket").write.partitionBy("_bucket").mode("overwrite").parquet(f"{base_path}/version={number}")
+            _drop_old(spark, base_path, set(touched), number)
+        batch.unpersist()
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
 
 
-def current(spark, base_path: str, below: int | None = None) -> DataFrame | None:
-    """The last complete version of an upserted table (below a batch number), or None."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base_path)
+def _folders(spark, base_path: str):
+    """File system, and (version, bucket, path) of each bucket folder of complete versions."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    path = hadoop(base_path)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    names = [s.getPath() for s in fs.listStatus(path)]
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    done = [int(p.getName().split("=")[1]) for p in names if p.getName().startswith("version=") and fs.exists(jvm_path(p, "_SUCCESS"))]
-    done = [n for n in done if below is None or n < below]
-    return spark.read.parquet(f"{base_path}/version={max(done)}") if done else None
+    found = []
+    for version in fs.listStatus(path) if fs.exists(path) else ():
+        version = version.getPath()
+        if version.getName().startswith("version=") and fs.exists(hadoop(version, "_SUCCESS")):
+            inside = [s.getPath() for s in fs.listStatus(version)]
+            found += [(int(version.getName().split("=")[1]), int(p.getName().split("=")[1]), p) for p in inside if p.getName().startswith("_bucket=")]
+    return fs, found
+
+
+def _versions(spark, base_path: str, below: int | None = None) -> dict[int, int]:
+    """The last version (below a batch number) of each bucket."""
+    last: dict[int, int] = {}
+    for version, bucket, _ in _folders(spark, base_path)[1]:
+        if below is None or version < below:
+            last[bucket] = max(version, last.get(bucket, version))
+    return last
+
+
+def _read(spark, base_path: str, versions: dict[int, int]) -> DataFrame | None:
+    paths = [f"{base_path}/version={v}/_bucket={b}" for b, v in sorted(versions.items())]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def _drop_old(spark, base_path: str, touched: set[int], number: int) -> None:
+    """Delete what the touched buckets held before their last version but one."""
+    fs, found = _folders(spark, base_path)
+    for bucket in touched:
+        older = sorted((v, p.toString()) for v, b, p in found if b == bucket and v < number)
+        for _, path in older[:-1]:
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def current(spark, base_path: str, below: int | None = None) -> DataFrame | None:
+    """The last complete version (below a batch number) of each bucket of an upserted table, or None."""
+    return _read(spark, base_path, _versions(spark, base_path, below))

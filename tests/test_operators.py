@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from areapanel.functions import calendar, keys, numbers
 from areapanel.operators import aggregate, binning, enrich, evaluate, ml, panel, project, spatial, topk, windows
 from areapanel.sources import tables
+from areapanel.streaming import jobs
 
 D = dt.date
 
@@ -268,3 +269,49 @@ def test_stratified_split(spark, signal):
     s = evaluate.stratified_split(signal.withColumn("k", F.monotonically_increasing_id()), "label", 0.25, 3, "k")
     shares = {r.label: r.share for r in s.groupBy("label").agg(F.avg((F.col("split") == "test").cast("int")).alias("share")).collect()}
     assert set(shares) == {0, 1} and all(0.15 < v < 0.35 for v in shares.values())
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_totals_in_ranges(spark, descending):
+    rnd = random.Random(3)
+    some = [None, math.nan, math.inf, -math.inf, 0.0, 1e300, 5.0]
+    for scores in ([], [2.5], some, some[:2], [rnd.lognormvariate(0, 3) for _ in range(500)], [rnd.random() for _ in range(500)] + [None, math.nan]):
+        rows = [(x, rnd.randint(0, 9), 1) for x in scores]
+        place = lambda x: (-1, 0.0) if x is None else (1, 0.0) if math.isnan(x) else (0, x)
+        df = spark.createDataFrame(rows, "s double, p long, c long")
+        got = windows.running_totals(df, "s", {"sp": "p", "sc": "c"}, descending, buckets=16).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            upto = [x for x in rows if (place(x[0]) >= place(r.s) if descending else place(x[0]) <= place(r.s))]
+            assert (r.sp, r.sc) == (sum(x[1] for x in upto), len(upto))
+
+
+def test_ema_of_gaps(spark):
+    values = {"a": [None, 2.0, None, 4.0, 1.0], "b": [3.0], "c": [None]}
+    df = spark.createDataFrame([(k, i, v) for k, vs in values.items() for i, v in enumerate(vs)], "k string, i int, v double")
+    got = {(r.k, r.i): r for r in windows.ema(df, "v", [0.3, 1.0], ["k"], "i").collect()}
+    assert len(got) == 7
+    for k, vs in values.items():
+        last = None
+        for i, v in enumerate(vs):
+            last = last if v is None else v if last is None else 0.3 * v + 0.7 * last
+            r = got[k, i]
+            assert r.v == v and (r.ema_0_3 is None if last is None else abs(r.ema_0_3 - last) < 1e-12)
+    assert windows.ema(df.limit(0), "v", [0.5], ["k"], "i").count() == 0
+
+
+def test_upsert_stream_rewrites_touched_buckets(spark, tmp_path):
+    rnd, want = random.Random(5), {}
+    table, log = f"{tmp_path}/table", f"{tmp_path}/log"
+    for turn in range(5):
+        rows = [(rnd.randint(0, 40), 100 * turn + k) for k in range(6 if turn else 60)]
+        for k, n in rows:
+            want[k] = max(n, want.get(k, n))
+        spark.createDataFrame(rows, "k int, n int").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("k int, n int").parquet(f"{tmp_path}/in")
+        jobs.upsert_stream(stream, table, ["k"], ["n"], log, buckets=8).trigger(availableNow=True).start().awaitTermination()
+        now = jobs.current(spark, table)
+        assert now.columns == ["k", "n"] and {r.k: r.n for r in now.collect()} == want and now.count() == len(want)
+    kept = [b.name for v in (tmp_path / "table").iterdir() for b in v.iterdir() if b.name.startswith("_bucket=")]
+    assert max(kept.count(b) for b in kept) == 2
+    assert jobs.current(spark, table, 0) is None
