@@ -11,17 +11,27 @@ SEASONS = ("Winter", "Spring", "Summer", "Fall")
 
 
 def _values(spark: SparkSession, name: str, values) -> DataFrame:
-    return spark.createDataFrame([(v,) for v in values], f"{name} {'string' if isinstance(next(iter(values)), str) else 'int'}")
+    """A row for each value, in one partition: cross joins multiply partitions."""
+    return spark.range(0, 1, 1, 1).select(F.explode(F.array(*map(F.lit, values))).alias(name))
 
 
 def calendar_panel(events: DataFrame, threshold: int = 6, area: str = "area_id", ts: str = "ts") -> DataFrame:
     """Area x season x weekday x hour (672 rows for each area), with ``event_count`` and ``label`` (count >= threshold)."""
-    spark = events.sparkSession
     keyed = events.select(area, season(F.to_date(ts)).alias("season"), F.weekday(ts).alias("day_of_week"), F.hour(ts).alias("hour")).dropna()
-    counts = keyed.groupBy(area, "season", "day_of_week", "hour").agg(F.count(F.lit(1)).alias("event_count"))
-    dims = _values(spark, "season", SEASONS).crossJoin(_values(spark, "day_of_week", range(7))).crossJoin(_values(spark, "hour", range(24)))
-    grid = keyed.select(area).distinct().crossJoin(F.broadcast(dims))
-    return _filled(grid, counts, [area, "season", "day_of_week", "hour"], threshold)
+    names = F.array(*map(F.lit, SEASONS))
+    slot = (F.array_position(names, F.col("season")) - 1) * 168 + F.col("day_of_week") * 24 + F.col("hour")
+    counts = keyed.groupBy(area, slot.cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    # An area has at most 672 counts; its rows are unfolded from them, so that the grid is neither shuffled nor joined.
+    by_area = counts.groupBy(area).agg(F.map_from_entries(F.collect_list(F.struct("slot", "n"))).alias("n"))
+    rows = by_area.select(area, "n", F.explode(F.sequence(F.lit(0), F.lit(671))).alias("slot"))
+    out = rows.select(
+        area,
+        F.get(names, F.expr("slot div 168").cast("int")).alias("season"),
+        F.expr("slot div 24 % 7").cast("int").alias("day_of_week"),
+        F.expr("slot % 24").cast("int").alias("hour"),
+        F.coalesce(F.try_element_at("n", F.col("slot")), F.lit(0)).alias("event_count"),
+    )
+    return out.withColumn("label", (F.col("event_count") >= threshold).cast("int"))
 
 
 def _filled(grid: DataFrame, counts: DataFrame, keys: list[str], threshold: int) -> DataFrame:

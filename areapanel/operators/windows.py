@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,19 +33,29 @@ def ema(df: DataFrame, value: str, alphas: list[float], keys: list[str], order:
     """Exponential moving averages (first value, then a*x + (1-a)*previous), as ``ema_<alpha>``.
 
     Null values leave the average as it was; before the first value it is null.
-    A task takes the whole series of an area, which has a row for each period
-    and not for each event; its work grows with the series' length.
+    Series are dealt to tasks and sorted there; rows stream past the last
+    averages, so no series has to fit in memory.
     """
     names = [f"ema_{a:g}".replace(".", "_") for a in alphas]
     rows = df.select(*keys, order, F.col(value).cast("double").alias(value))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), *(f"`{n}` double" for n in names)])
 
-    def smooth(series):
-        series = series.sort_values(order, kind="stable")
-        means = {n: series[value].ewm(alpha=a, adjust=False, ignore_na=True).mean() for n, a in zip(names, alphas, strict=True)}
-        return series.assign(**means)
-
-    return rows.groupBy(*keys).applyInPandas(smooth, schema)
+    def smooth(batches):
+        at, last = None, []
+        for batch in batches:
+            series = zip(*(c.to_pylist() for c in batch.columns[: len(keys)]), strict=True) if keys else [()] * batch.num_rows
+            means = []
+            for key, x in zip(series, batch.column(len(keys) + 1).to_pylist(), strict=True):
+                if key != at:
+                    at, last = key, [None] * len(alphas)
+                if x is not None:
+                    last = [x if e is None else a * x + (1 - a) * e for a, e in zip(alphas, last, strict=True)]
+                means.append(last)
+            columns = [pa.array([m[k] for m in means], pa.float64()) for k in range(len(alphas))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
+
+    dealt = rows.repartition(*keys) if keys else rows.coalesce(1)
+    return dealt.sortWithinPartitions(*keys, order).mapInArrow(smooth, schema)
 
 
 def running_totals(df: DataFrame, score: str, totals: dict[str, str], descending: bool = False, buckets: int = 1024) -> DataFrame:
