@@ -3,45 +3,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share.
-
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (tests, a laptop) a temporary folder of this machine is used instead.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path is None:
-        path = f"file://{tempfile.mkdtemp(prefix='areapanel-')}"
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and read it back.
-
-    This cuts the lineage: what follows survives the loss of any executor and
-    never recomputes ``df``.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_saved(*tables: DataFrame) -> None:
-    """Delete the files of tables made by :func:`save` once nothing reads them any more."""
-    for df in tables:
-        jvm = df.sparkSession.sparkContext._jvm
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+from ..shared import drop_saved, new_path, run_folder, save, shared_dir  # noqa: F401
 
 
 def finite_vector(col) -> "F.Column":

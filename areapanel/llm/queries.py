@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import embed_dedup, simhash
 from .common import table
+from .exact_dedup import exact_dedup
 from .licenses import license_scan, license_sql
 from .ngram_lm import lm_scores
 from .packing import pack
@@ -62,13 +63,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op5_license_scan, op6_lm_scores, op7_toxicity, op8_packing, op9_piece_sampling, op10_token_files, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op5_license_scan, op6_lm_scores, op7_toxicity, op8_packing, op9_piece_sampling, op10_token_files, op13_exact_dedup, pipeline)}
 
 #: Cosines of all pairs within a label in doubles, and the components by repeated joins.
 OP1_SQL = """
@@ -98,4 +103,9 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE_SQL = {"op1_embedding_near_dedup": OP1_SQL, "op3_exact_top_k": OP3_SQL, "op5_license_scan": license_sql()}
+OP13_SQL = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+ORACLE_SQL = {"op1_embedding_near_dedup": OP1_SQL, "op3_exact_top_k": OP3_SQL, "op5_license_scan": license_sql(), "op13_exact_dedup": OP13_SQL}
