@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from . import embed_dedup, simhash
 from .common import table
 from .exact_dedup import exact_dedup
+from .fill_middle import fill_in_middle_digests
 from .licenses import license_scan, license_sql
 from .ngram_lm import lm_scores
 from .packing import pack
 from .piece_sampling import sampled_segmentations
+from .prefix_trie import prefix_trie
 from .suffix_dedup import suffix_dedup
 from .token_files import read_token_files, token_file_path, write_token_files
 from .topk import exact_top_k
@@ -63,6 +65,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -73,7 +83,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op5_license_scan, op6_lm_scores, op7_toxicity, op8_packing, op9_piece_sampling, op10_token_files, op13_exact_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_simhash_near_dedup, op3_exact_top_k, op4_suffix_dedup, op5_license_scan, op6_lm_scores, op7_toxicity, op8_packing, op9_piece_sampling, op10_token_files, op11_fill_in_middle, op12_conversation_prefix_trie, op13_exact_dedup, pipeline)}
 
 #: Cosines of all pairs within a label in doubles, and the components by repeated joins.
 OP1_SQL = """
@@ -103,9 +113,20 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p
+"""
+
 OP13_SQL = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE_SQL = {"op1_embedding_near_dedup": OP1_SQL, "op3_exact_top_k": OP3_SQL, "op5_license_scan": license_sql(), "op13_exact_dedup": OP13_SQL}
+ORACLE_SQL = {"op1_embedding_near_dedup": OP1_SQL, "op3_exact_top_k": OP3_SQL, "op5_license_scan": license_sql(), "op11_fill_in_middle": OP11_SQL, "op13_exact_dedup": OP13_SQL}
