@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hour_key
 from ..functions.numbers import percent_text, title
+from .scan import quantiles
 
 
 def call_summary(calls: DataFrame, area: str = "area_id", ts: str = "ts") -> DataFrame:
@@ -108,9 +109,14 @@ def group_rare(df: DataFrame, column: str, min_share: float = 0.01, min_count: i
 
 
 def impute(df: DataFrame, numeric: list[str], categorical: list[str], counts: list[str] = ()) -> DataFrame:
-    """Medians, modes and zeros for nulls, from one aggregate."""
-    stats = df.agg(*[F.median(c).alias(f"_{c}") for c in numeric], *[F.mode(c, True).alias(f"_{c}") for c in categorical])
-    out = df.crossJoin(F.broadcast(stats)).withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in (*numeric, *categorical)})
+    """Medians, modes (the least of the commonest values) and zeros for nulls; neither gathers a column's values in one task."""
+    out = df
+    if numeric:
+        out = out.crossJoin(F.broadcast(quantiles(df, {c: [0.5] for c in numeric}).select(*[F.get(c, F.lit(0)).alias(f"_{c}") for c in numeric])))
+    for c in categorical:
+        seen = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+        out = out.crossJoin(F.broadcast(seen.agg(F.min(F.struct((-F.col("_n")).alias("_m"), F.col(c)))[c].alias(f"_{c}"))))
+    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in (*numeric, *categorical)})
     return out.drop(*[f"_{c}" for c in (*numeric, *categorical)]).fillna(0, subset=list(counts))
 
 

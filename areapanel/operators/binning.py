@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scan import quantiles
+
 
 def fd_bins(df: DataFrame, column: str, max_bins: int = 10) -> DataFrame:
     """One row ``bins``: Freedman-Diaconis count within 2..max; sqrt(n) if the middle half is one value; 1 if all are."""
-    s = df.agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.75))).alias("q"), F.min(column).alias("lo"), F.max(column).alias("hi"), F.count(column).alias("n"))
+    s = quantiles(df, {column: [0.25, 0.75]}).select(F.col(column).alias("q")).crossJoin(df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"), F.count(column).alias("n")))
     width = 2 * (F.col("q")[1] - F.col("q")[0]) / F.pow(F.col("n"), F.lit(1 / 3))
     raw = F.when(width > 0, F.ceil((F.col("hi") - F.col("lo")) / width)).otherwise(F.ceil(F.sqrt("n")))
     bins = F.when(F.col("n") == 0, 1).when(F.col("hi") == F.col("lo"), 1).otherwise(F.greatest(F.lit(2), F.least(F.lit(max_bins), raw)))
@@ -16,8 +18,8 @@ def fd_bins(df: DataFrame, column: str, max_bins: int = 10) -> DataFrame:
 
 
 def _edges(df: DataFrame, column: str, bins: int, distinct: bool) -> DataFrame:
-    cuts = F.percentile(column, F.array(*[F.lit(i / bins) for i in range(bins + 1)]))
-    return df.agg((F.array_distinct(cuts) if distinct else cuts).alias("_e"))
+    cuts = quantiles(df, {column: [i / bins for i in range(bins + 1)]})
+    return cuts.select((F.array_distinct(column) if distinct else F.col(column)).alias("_e"))
 
 
 def bucket(x: Column, edges: Column) -> Column:
@@ -55,7 +57,7 @@ def equal_width(df: DataFrame, column: str, bins: int = 5, out: str = "bin") ->
 
 def risk_level(df: DataFrame, score: str, threshold: float, out: str = "level") -> DataFrame:
     """critical, high, medium, low: at the threshold or more, at the 90th or 80th percentile or more, below."""
-    q = df.agg(F.percentile(score, 0.8).alias("_q80"), F.percentile(score, 0.9).alias("_q90"))
+    q = quantiles(df, {score: [0.8, 0.9]}).select(F.get(score, F.lit(0)).alias("_q80"), F.get(score, F.lit(1)).alias("_q90"))
     level = F.when(F.col(score) >= threshold, "critical").when(F.col(score) >= F.col("_q90"), "high").when(F.col(score) >= F.col("_q80"), "medium").otherwise("low")
     return df.crossJoin(F.broadcast(q)).withColumn(out, level).drop("_q80", "_q90")
 
@@ -72,5 +74,5 @@ def scale_to(df: DataFrame, column: str, top: float = 3.0, out: str = "scaled")
 
 
 def winsorize_upper(df: DataFrame, column: str, q: float) -> DataFrame:
-    s = df.agg(F.percentile(column, q).alias("_q"))
+    s = quantiles(df, {column: [q]}).select(F.get(column, F.lit(0)).alias("_q"))
     return df.crossJoin(F.broadcast(s)).withColumn(column, F.least(F.col(column), F.col("_q"))).drop("_q")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import quantiles
 from .windows import running_totals
 
 
@@ -59,7 +60,8 @@ def oot_split(df: DataFrame, horizon_days: int, date: str = "date") -> DataFrame
 
 
 def quantile_split(df: DataFrame, q: float = 0.8, ts: str = "ts") -> DataFrame:
-    cut = df.agg(F.percentile(F.unix_timestamp(F.col(ts).cast("timestamp")), q).alias("_cut"))
+    seconds = df.select(F.unix_timestamp(F.col(ts).cast("timestamp")).alias("_s"))
+    cut = quantiles(seconds, {"_s": [q]}).select(F.get("_s", F.lit(0)).alias("_cut"))
     return df.crossJoin(F.broadcast(cut)).withColumn("split", F.when(F.unix_timestamp(F.col(ts).cast("timestamp")) > F.col("_cut"), "test").otherwise("train")).drop("_cut")
 
 

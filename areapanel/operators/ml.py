@@ -8,10 +8,11 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .evaluate import average_precision, best_threshold, classification_metrics, roc_auc, time_folds
+from .scan import scan
 
 
 def preprocessor(counts: list[str], numeric: list[str], categorical: list[str], scale: bool = True) -> list:
@@ -114,10 +115,17 @@ def model_importance(model, columns: list[str]) -> list[tuple[str, float]]:
 
 
 def shuffled(df: DataFrame, column: str, seed: int, key: str) -> DataFrame:
-    """The column's values dealt to other rows: by rank of one hash to rank of another."""
-    to = df.withColumn("_i", F.row_number().over(Window.orderBy(F.xxhash64(key, F.lit(seed)), key)))
-    source = df.select(F.col(column).alias("_v"), F.row_number().over(Window.orderBy(F.xxhash64(key, F.lit(seed + 1)), key)).alias("_i"))
-    return to.drop(column).join(source, "_i").withColumnRenamed("_v", column).drop("_i")
+    """The column's values dealt to other rows: rows are numbered in order of a hash, and each value moves on by the same number of places.
+
+    Ranges of the hash are numbered in parallel; no row keeps its own value if there are others.
+    """
+    h = F.xxhash64(key, F.lit(seed))
+    numbered = scan(df.withColumn("_h", h), [], ["_h", key], {"_i": (F.lit(1), "sum")}, "shuffled").drop("_h")
+    numbered = numbered.crossJoin(F.broadcast(numbered.agg(F.count(F.lit(1)).alias("_rows"))))
+    step = 1 + F.pmod(F.xxhash64(F.lit(seed)), F.greatest(F.col("_rows") - 1, F.lit(1)))
+    source = numbered.select(F.col(column).alias("_v"), F.pmod(F.col("_i") + step, F.col("_rows")).alias("_place"))
+    to = numbered.withColumn("_place", F.pmod("_i", "_rows")).drop(column, "_i", "_rows")
+    return to.join(source, "_place").withColumnRenamed("_v", column).drop("_place").select(df.columns)
 
 
 def permutation_importance(stack, df: DataFrame, columns: list[str], key: str, repeats: int = 5, label: str = "label") -> list[tuple[str, float]]:

@@ -15,6 +15,7 @@ from .aggregate import category_share, daily_from_hourly
 from .binning import risk_level
 from .enrich import lookup_fallback
 from .project import dedupe
+from .scan import quantiles
 from .windows import decile, rank_pct
 
 
@@ -84,10 +85,11 @@ def daily_risk(hourly: DataFrame, threshold: float) -> DataFrame:
 
 def reason_codes(df: DataFrame, rules: list[tuple[str, str, float]], most: int = 5, out: str = "reasons") -> DataFrame:
     """Texts of the rules that hold, in order, at most ``most``: (column, text, factor); a column must exceed factor x its median, or be below for a negative factor."""
-    medians = df.agg(*[F.median(c).alias(f"_{c}") for c in dict.fromkeys(c for c, _, _ in rules)])
+    columns = list(dict.fromkeys(c for c, _, _ in rules))
+    medians = quantiles(df, {c: [0.5] for c in columns}).select(*[F.get(c, F.lit(0)).alias(f"_{c}") for c in columns])
     codes = [F.when(F.col(c) > f * F.col(f"_{c}") if f > 0 else F.col(c) < -f * F.col(f"_{c}"), F.lit(t)) for c, t, f in rules]
     text = F.array_join(F.slice(F.filter(F.array(*codes), lambda x: x.isNotNull()), 1, most), "; ")
-    return df.crossJoin(F.broadcast(medians)).withColumn(out, text).drop(*[f"_{c}" for c in dict.fromkeys(c for c, _, _ in rules)])
+    return df.crossJoin(F.broadcast(medians)).withColumn(out, text).drop(*[f"_{c}" for c in columns])
 
 
 def spatial_target_encode(train: DataFrame, edges: DataFrame, m: float = 50.0, label: str = "label", area: str = "area_id") -> DataFrame:

@@ -12,15 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import haversine, mercator_x, mercator_y
+from ..shared import save
 
 DEGREE_M = 111_000.0
+#: A degree of a great circle of the globe with radius 6,371,000 m.
+METRES = math.pi * 6_371_000.0 / 180
 
 
 def _cell(col: Column, size: float) -> Column:
     return F.floor(col / size).cast("long")
 
 
-def tag_areas(points: DataFrame, edges: DataFrame, cell: float = 0.01, lat: str = "lat", lon: str = "lon", key: str = "point_id", nearest_fallback: bool = False) -> DataFrame:
+def tag_areas(points: DataFrame, edges: DataFrame, cell: float = 0.01, lat: str = "lat", lon: str = "lon", key: str = "point_id", nearest_fallback: bool = False, max_distance: float | None = None) -> DataFrame:
     """The area whose polygon holds each point: ``point_id`` and ``area_id`` (the least, if polygons overlap; null if none).
 
     ``edges``: ``area_id, x1, y1, x2, y2`` of all rings, holes included (x is
@@ -30,7 +33,9 @@ def tag_areas(points: DataFrame, edges: DataFrame, cell: float = 0.01, lat: str
 
     With ``nearest_fallback`` a point outside all polygons gets the area whose
     centroid is nearest (the least of those at one distance, to a digit of a
-    metre); ``point_id`` is unique then.
+    metre).  With ``max_distance`` (metres) it gets the area whose boundary is
+    nearest instead, if one is within that distance; see :func:`nearest_area`.
+    ``point_id`` is unique then.
     """
     box = edges.groupBy("area_id").agg(F.min(F.least("x1", "x2")).alias("w"), F.max(F.greatest("x1", "x2")).alias("e"), F.min(F.least("y1", "y2")).alias("s"), F.max(F.greatest("y1", "y2")).alias("n"))
     cells = box.select("area_id", F.explode(F.sequence(_cell(F.col("w"), cell), _cell(F.col("e"), cell))).alias("cx"), "s", "n").select("area_id", "cx", F.explode(F.sequence(_cell(F.col("s"), cell), _cell(F.col("n"), cell))).alias("cy"))
@@ -39,6 +44,10 @@ def tag_areas(points: DataFrame, edges: DataFrame, cell: float = 0.01, lat: str
     crosses = ((F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py"))) & (F.col("px") < (F.col("x2") - F.col("x1")) * (F.col("py") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
     hits = near.join(spans, ["area_id", "cy"]).where(crosses).groupBy(key, "area_id").agg(F.count(F.lit(1)).alias("c")).where("c % 2 = 1")
     tagged = points.select(key).join(hits.groupBy(key).agg(F.min("area_id").alias("area_id")), key, "left")
+    if max_distance is not None:
+        missed = points.select(key, lat, lon).join(tagged.where("area_id is null").select(key), key, "left_semi")
+        close = nearest_area(missed, edges, max_distance, lat, lon, key).select(key, F.col("area_id").alias("_near"))
+        return tagged.join(close, key, "left").select(key, F.coalesce("area_id", "_near").alias("area_id"))
     if not nearest_fallback:
         return tagged
     outside = points.select(F.col(key).alias("src_id"), F.col(lat).alias("lat"), F.col(lon).alias("lon")).join(tagged.where("area_id is null").select(F.col(key).alias("src_id")), "src_id", "left_semi")
@@ -102,15 +111,99 @@ def near_pairs(src: DataFrame, dst: DataFrame, radius_m: float, metric: str = "h
     return left.join(right, ["cx", "cy"]).withColumn("distance", _distance(metric, *here, *there)).where(F.col("distance") <= radius_m).drop("cx", "cy")
 
 
-def nearest(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000) -> DataFrame:
+def _place(lat: Column, lon: Column, metric: str) -> list[Column]:
+    """Coordinates in which straight distances order as the metric does: on the globe's unit sphere, or in the Mercator plane."""
+    if metric == "haversine":
+        phi, lam = F.radians(lat), F.radians(lon)
+        return [F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)]
+    return [mercator_x(lon), mercator_y(lat)]
+
+
+def _pyramid(dst: DataFrame, axes: list[str], top: float, most: int, deepest: int) -> DataFrame:
+    """Occupied cells of all levels: ``level, cell, n, lo, hi`` (box of what is in them), ``parent``.
+
+    A cell of more than ``most`` destinations is cut in 4 along each axis, down
+    to ``deepest`` levels; the box of a cell is that of its destinations.
+    """
+    cell = lambda k: F.concat_ws("_", *[_cell(F.col(a), top / 4**k).cast("string") for a in axes])
+    box = [F.array(*[F.min(a) for a in axes]).alias("lo"), F.array(*[F.max(a) for a in axes]).alias("hi")]
+    levels, rows = None, dst.withColumn("parent", F.lit("-"))
+    for k in range(deepest + 1):
+        rows = rows.withColumn("cell", cell(k))
+        cells = save(rows.groupBy("parent", "cell").agg(F.count(F.lit(1)).alias("n"), *box).withColumn("level", F.lit(k)), "nearest-cells")
+        levels = cells if levels is None else levels.unionByName(cells)
+        full = cells.where(F.col("n") > most)
+        if k == deepest or not full.limit(1).count():
+            return levels
+        rows = rows.drop("parent").join(full.select("cell"), "cell", "left_semi").withColumnRenamed("cell", "parent")
+    return levels
+
+
+def _bounds(axes: list[str]) -> tuple[Column, Column]:
+    """Squares of the least and the greatest distance from the source to a box."""
+    gap = [F.greatest(F.get("lo", F.lit(i)) - F.col(a), F.col(a) - F.get("hi", F.lit(i)), F.lit(0.0)) for i, a in enumerate(axes)]
+    far = [F.greatest(F.abs(F.get("lo", F.lit(i)) - F.col(a)), F.abs(F.get("hi", F.lit(i)) - F.col(a))) for i, a in enumerate(axes)]
+    total = lambda parts: sum((x * x for x in parts[1:]), parts[0] * parts[0])
+    return total(gap), total(far)
+
+
+def _descend(src: DataFrame, dst: DataFrame, metric: str, best: Column, leaf: int, deepest: int) -> DataFrame:
+    """``src_id`` and the best of its destinations, by going down a pyramid of occupied cells.
+
+    Every source keeps a saved frontier: the cells whose least possible distance
+    is not more than the least of the greatest possible ones.  Only these are
+    opened, level by level, so that a source meets a few cells at each level and
+    the destinations of a few leaves, however far or dense they lie.
+    """
+    axes = ["_x", "_y", "_z"] if metric == "haversine" else ["_x", "_y"]
+    put = lambda df, lat, lon: df.withColumns(dict(zip(axes, _place(F.col(lat), F.col(lon), metric), strict=True)))
+    there = save(put(dst, "dst_lat", "dst_lon"), "nearest-destinations")
+    spans = there.agg(*[F.max(F.abs(F.col(a))).alias(a) for a in axes]).first()
+    top = max([1e-9, *(float(x) for x in spans)]) / 2  # a few cells along each axis at the top
+    cells = _pyramid(there, axes, top, leaf, deepest)
+    least, most = _bounds(axes)
+    # Rounding: distances are compared to a digit of a metre, so boxes get twice that more.
+    slack = F.lit(0.2 if metric != "haversine" else 0.2 / 6_371_000.0)
+    here = put(src, "lat", "lon").select("src_id", "lat", "lon", *axes)
+    frontier, leaves = here.withColumn("at", F.lit("-")), None
+    depth = cells.agg(F.max("level")).first()[0]
+    for k in range(depth + 1):
+        level = cells.where(F.col("level") == k).select(F.col("parent").alias("at"), "cell", "n", "lo", "hi")
+        if k == 0:
+            level = F.broadcast(level)  # at most 9 cells along each axis
+        opened = frontier.join(level, "at").withColumns({"least": least, "most": most})
+        reach = opened.select("src_id", "most")
+        if leaves is not None:
+            reach = reach.unionByName(leaves.select("src_id", "most"))
+        reach = reach.groupBy("src_id").agg(F.min("most").alias("reach"))
+        kept = opened.join(reach, "src_id").where(F.sqrt("least") <= F.sqrt("reach") + slack).select("src_id", "lat", "lon", *axes, F.col("cell").alias("at"), "n", "least", "most", F.lit(k).alias("level"))
+        kept = save(kept, "nearest-frontier")
+        end = kept if k == depth else kept.where(F.col("n") <= leaf)
+        leaves = end if leaves is None else leaves.unionByName(end)
+        frontier = kept.where(F.col("n") > leaf).select("src_id", "lat", "lon", *axes, "at")
+    reach = leaves.groupBy("src_id").agg(F.min("most").alias("reach"))
+    wanted = leaves.join(reach, "src_id").where(F.sqrt("least") <= F.sqrt("reach") + slack).select("src_id", "lat", "lon", "level", "at")
+    inside = None
+    for k in range(depth + 1):
+        part = there.withColumn("at", F.concat_ws("_", *[_cell(F.col(a), top / 4**k).cast("string") for a in axes])).withColumn("level", F.lit(k)).select("level", "at", "dst_id", "dst_lat", "dst_lon")
+        ends = cells.where((F.col("level") == k) & ((F.col("n") <= leaf) | F.lit(k == depth))).select(F.col("cell").alias("at"))
+        part = part.join(ends, "at", "left_semi")
+        inside = part if inside is None else inside.unionByName(part)
+    pairs = wanted.join(inside, ["level", "at"]).withColumn("distance", _distance(metric, F.col("lat"), F.col("lon"), F.col("dst_lat"), F.col("dst_lon")))
+    return pairs.groupBy("src_id").agg(F.min(best).alias("best"))
+
+
+def nearest(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000, leaf: int = 64, deepest: int = 14) -> DataFrame:
     """``src_id``, the ``dst_id`` nearest to it (the least of those at one distance) and their ``distance`` in metres, rounded to one digit.
 
     Up to ``most`` destinations (stations, buildings) every source scans a
-    broadcast array of them.  More are searched by cells of growing size until
-    every source has found one.  Both ways are exact and give the same rows: one
-    for each source (``src_id`` is unique), with nulls where it or every
-    destination has no coordinates.  Counting the destinations, and each round
-    of the search, is an action while the plan is made.
+    broadcast array of them.  More are searched through a pyramid of occupied
+    cells, whose leaves hold up to ``leaf`` destinations (more only where they
+    lie within a metre or so, ``deepest`` levels down).  Both ways are exact and
+    give the same rows: one for each source (``src_id`` is unique), with nulls
+    where it or every destination has no coordinates.  Counting the
+    destinations, and each level of the search, is an action while the plan is
+    made.
     """
     placed = dst.where("dst_lat is not null and dst_lon is not null").select("dst_id", "dst_lat", "dst_lon")
     best = F.struct(F.round("distance", 1).alias("distance"), "dst_id")
@@ -119,15 +212,8 @@ def nearest(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int
         each = F.transform("ps", lambda p: F.struct(F.round(_distance(metric, F.col("lat"), F.col("lon"), p["dst_lat"], p["dst_lon"]), 1).alias("distance"), p["dst_id"].alias("dst_id")))
         found = src.crossJoin(F.broadcast(all_)).select("src_id", F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.array_min(each)).alias("best"))
         return found.select("src_id", "best.dst_id", "best.distance")
-    done, left, radius = None, src.where("lat is not null and lon is not null").select("src_id", "lat", "lon"), 250.0
-    while True:
-        part = near_pairs(left, placed, radius + 0.1, metric).groupBy("src_id").agg(F.min(best).alias("best"))  # 0.1: ties after rounding
-        part = part.where(F.col("best.distance") <= radius) if radius < 1e8 else part
-        done = part if done is None else done.unionByName(part)
-        left = left.join(part, "src_id", "left_anti")
-        if radius >= 1e8 or not left.limit(1).count():
-            return src.select("src_id").join(done, "src_id", "left").select("src_id", "best.dst_id", "best.distance")
-        radius *= 8
+    done = _descend(src.where("lat is not null and lon is not null").select("src_id", "lat", "lon"), placed, metric, best, leaf, deepest)
+    return src.select("src_id").join(done, "src_id", "left").select("src_id", "best.dst_id", "best.distance")
 
 
 def nearest_distance(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000) -> DataFrame:
@@ -152,10 +238,76 @@ def neighbor_sum(edges: DataFrame, facts: DataFrame, value: str, keys: list[str]
     return edges.join(side, "neighbor").groupBy(area, *keys).agg(F.sum("_v").alias(f"neighbor_{value}"))
 
 
-def build_adjacency(edges: DataFrame) -> DataFrame:
-    """Pairs of areas that share a vertex, both ways: ``area_id, neighbor``."""
-    v = edges.select("area_id", F.col("x1").alias("x"), F.col("y1").alias("y")).union(edges.select("area_id", "x2", "y2")).distinct()
-    return v.join(v.select(F.col("area_id").alias("neighbor"), "x", "y"), ["x", "y"]).where("area_id <> neighbor").select("area_id", "neighbor").distinct()
+def _crossed_cells(edges: DataFrame, cell: float, margin: float) -> DataFrame:
+    """Edges by the grid cells that they cross (``cx``, ``cy``), cells within ``margin`` of them included."""
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    rows = edges.withColumn("cy", F.explode(F.sequence(_cell(low - margin, cell), _cell(high + margin, cell))))
+    # The part of the edge in this row of cells: a share of its way from the lower to the upper end.
+    flat = F.col("y1") == F.col("y2")
+    share = lambda y: F.when(flat, F.lit(None)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (y - F.col("y1")) / (F.col("y2") - F.col("y1")))))
+    at = lambda y: F.col("x1") + share(y) * (F.col("x2") - F.col("x1"))
+    a, b = F.coalesce(at(F.col("cy") * cell - margin), F.col("x1")), F.coalesce(at((F.col("cy") + 1) * cell + margin), F.col("x2"))
+    return rows.withColumn("cx", F.explode(F.sequence(_cell(F.least(a, b) - margin, cell), _cell(F.greatest(a, b) + margin, cell))))
+
+
+def _off(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Square of the distance from a point to a segment."""
+    dx, dy = x2 - x1, y2 - y1
+    t = F.coalesce(F.try_divide((px - x1) * dx + (py - y1) * dy, dx * dx + dy * dy), F.lit(0.0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+    ex, ey = px - (x1 + t * dx), py - (y1 + t * dy)
+    return ex * ex + ey * ey
+
+
+def build_adjacency(edges: DataFrame, cell: float = 0.01, tolerance: float = 1e-9) -> DataFrame:
+    """Pairs of areas whose boundaries meet, both ways: ``area_id, neighbor``.
+
+    A corner, part of a side, a crossing or a corner on another's side will do;
+    ends may miss a side by ``tolerance``, in the unit of the coordinates (1e-9
+    degrees are a tenth of a millimetre).  Sides meet in the grid cells that they
+    cross, so only sides of one cell are compared: they cross if each separates
+    the other's ends, and touch if an end of one lies on the other.  Choose
+    ``cell`` near the length of the longer sides.
+    """
+    e = _crossed_cells(edges.select("area_id", "x1", "y1", "x2", "y2"), cell, 2 * tolerance)
+    other = e.select("cx", "cy", F.col("area_id").alias("neighbor"), F.col("x1").alias("u1"), F.col("y1").alias("v1"), F.col("x2").alias("u2"), F.col("y2").alias("v2"))
+    boxes = (F.least("x1", "x2") <= F.greatest("u1", "u2") + tolerance) & (F.least("u1", "u2") <= F.greatest("x1", "x2") + tolerance) & (F.least("y1", "y2") <= F.greatest("v1", "v2") + tolerance) & (F.least("v1", "v2") <= F.greatest("y1", "y2") + tolerance)
+    p, q = [tuple(map(F.col, c)) for c in (("x1", "y1"), ("x2", "y2"))], [tuple(map(F.col, c)) for c in (("u1", "v1"), ("u2", "v2"))]
+    side = lambda s, r: F.signum((s[1][0] - s[0][0]) * (r[1] - s[0][1]) - (s[1][1] - s[0][1]) * (r[0] - s[0][0]))
+    crosses = (side(p, q[0]) * side(p, q[1]) < 0) & (side(q, p[0]) * side(q, p[1]) < 0)
+    touches = F.least(*[_off(*r, *p[0], *p[1]) for r in q], *[_off(*r, *q[0], *q[1]) for r in p]) <= tolerance * tolerance
+    pairs = e.join(other, ["cx", "cy"]).where((F.col("area_id") < F.col("neighbor")) & boxes & (crosses | touches)).select("area_id", "neighbor").distinct()
+    return pairs.unionByName(pairs.select(F.col("neighbor").alias("area_id"), F.col("area_id").alias("neighbor")))
+
+
+def nearest_area(points: DataFrame, edges: DataFrame, max_distance: float, lat: str = "lat", lon: str = "lon", key: str = "point_id") -> DataFrame:
+    """``key``, ``area_id`` and ``distance`` (metres, to a digit) of the area whose boundary is nearest, for points with one within ``max_distance``.
+
+    Distances are to the sides, on the plane that touches the globe's parallel at
+    the point; fine for up to some kilometres.  Sides are dealt to the cells from
+    which they can be reached: rows ``max_distance`` high, whose cells widen
+    towards the poles.  No side crosses the 180th meridian.  The least area of
+    those at one distance is taken.
+    """
+    height = max_distance / DEGREE_M * 1.01
+    top = lambda row: F.least(F.lit(89.9), F.greatest(F.abs(row * height), F.abs((row + 1) * height)) + height)
+    width = lambda row: F.lit(height) / F.cos(F.radians(top(row)))
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    sides = edges.select("area_id", "x1", "y1", "x2", "y2").withColumn("cy", F.explode(F.sequence(_cell(low - height, height), _cell(high + height, height))))
+    share = lambda y: F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(y - F.col("y1"), F.col("y2") - F.col("y1"))))
+    at = lambda y, flat: F.when(F.col("y1") == F.col("y2"), F.col(flat)).otherwise(F.col("x1") + share(y) * (F.col("x2") - F.col("x1")))
+    a, b = at((F.col("cy") - 1) * height, "x1"), at((F.col("cy") + 2) * height, "x2")
+    w = width(F.col("cy"))
+    sides = sides.withColumn("cx", F.explode(F.sequence(F.floor(F.least(a, b) / w).cast("long") - 1, F.floor(F.greatest(a, b) / w).cast("long") + 1)))
+    here = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.col(key).alias("_key"), F.col(lat).alias("_py"), F.col(lon).alias("_px"), _cell(F.col(lat), height).alias("cy"))
+    here = here.withColumn("cx", F.floor(F.col("_px") / width(F.col("cy"))).cast("long"))
+    east, north = F.cos(F.radians("_py")) * METRES, F.lit(METRES)
+    x = lambda c: (F.col(c) - F.col("_px")) * east
+    y = lambda c: (F.col(c) - F.col("_py")) * north
+    off = F.sqrt(_off(F.lit(0.0), F.lit(0.0), x("x1"), y("y1"), x("x2"), y("y2")))
+    near = here.join(sides, ["cx", "cy"]).withColumn("_off", off).where(F.col("_off") <= max_distance)
+    best = near.groupBy("_key").agg(F.min(F.struct(F.round("_off", 1).alias("distance"), "area_id")).alias("best"))
+    return best.select(F.col("_key").alias(key), "best.area_id", "best.distance")
 
 
 def radius_adjacency(centroids: DataFrame, radius_m: float) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .project import dedupe, last_days
+from .scan import scan
 from .windows import top_k_per_group
 
 
@@ -76,7 +77,7 @@ def vocab(frames: list[DataFrame], column: str) -> DataFrame:
 
 
 def assign_ids(values: DataFrame, existing: DataFrame) -> DataFrame:
-    """Ids of a vocabulary (``value``): existing ones stay, new values follow the greatest in order."""
-    new = values.join(existing, "value", "left_anti").withColumn("_n", F.row_number().over(Window.orderBy("value")))
+    """Ids of a vocabulary (``value``): existing ones stay, new values follow the greatest in order, numbered in ranges."""
+    new = scan(values.join(existing, "value", "left_anti"), [], ["value"], {"_n": (F.lit(1), "sum")})
     start = existing.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("_m"))
     return existing.select("value", F.col("id").cast("long").alias("id")).unionByName(new.crossJoin(F.broadcast(start)).select("value", (F.col("_m") + F.col("_n")).cast("long").alias("id")))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import averages, lookup, scan
+
 
 def prior_rows_sum(df: DataFrame, value: str, rows: int, keys: list[str], order: str, out: str, min_rows: int = 1, lag: int = 1) -> DataFrame:
     """Sum over the ``rows`` rows that end ``lag`` rows before; null with fewer than ``min_rows`` of them."""
@@ -33,80 +34,53 @@ def ema(df: DataFrame, value: str, alphas: list[float], keys: list[str], order:
     """Exponential moving averages (first value, then a*x + (1-a)*previous), as ``ema_<alpha>``.
 
     Null values leave the average as it was; before the first value it is null.
-    Series are dealt to tasks and sorted there; rows stream past the last
-    averages, so no series has to fit in memory.
+    Rows are dealt to ranges of (keys, order), so one long series may lie in many
+    tasks; see :func:`averages`.
     """
-    names = [f"ema_{a:g}".replace(".", "_") for a in alphas]
     rows = df.select(*keys, order, F.col(value).cast("double").alias(value))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), *(f"`{n}` double" for n in names)])
-
-    def smooth(batches):
-        at, last = None, []
-        for batch in batches:
-            series = zip(*(c.to_pylist() for c in batch.columns[: len(keys)]), strict=True) if keys else [()] * batch.num_rows
-            means = []
-            for key, x in zip(series, batch.column(len(keys) + 1).to_pylist(), strict=True):
-                if key != at:
-                    at, last = key, [None] * len(alphas)
-                if x is not None:
-                    last = [x if e is None else a * x + (1 - a) * e for a, e in zip(alphas, last, strict=True)]
-                means.append(last)
-            columns = [pa.array([m[k] for m in means], pa.float64()) for k in range(len(alphas))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
-
-    dealt = rows.repartition(*keys) if keys else rows.coalesce(1)
-    return dealt.sortWithinPartitions(*keys, order).mapInArrow(smooth, schema)
-
-
-def running_totals(df: DataFrame, score: str, totals: dict[str, str], descending: bool = False, buckets: int = 1024) -> DataFrame:
+    return averages(rows, keys, [order], value, {f"ema_{a:g}".replace(".", "_"): a for a in alphas})
+
+
+def running_totals(df: DataFrame, score: str, totals: dict[str, str], descending: bool = False, buckets: int | None = None) -> DataFrame:
     """Adds, by name, the sums of columns over all rows whose score comes before or equals the row's.
 
-    Scores are numbers, one row for each.  They are dealt to ``buckets`` ranges
-    of equal width between the least and the greatest, so that only the totals
-    of the ranges meet in one task; each range adds its own rows to what comes
-    before it.  Nulls are the least and NaN the greatest score, as in sorting.
+    Scores are one row each.  Ranges (``buckets``) of the sampled order are the tasks, so
+    outliers, infinities and close scores change nothing.  Nulls are the least
+    and NaN the greatest score, as in sorting.
     """
-    x = F.col(score).cast("double")
-    ends = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    place = F.nanvl((x - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * buckets, F.lit(0.0))
-    bucket = F.when(x.isNull(), -1).when(F.isnan(x), buckets).otherwise(F.coalesce(F.least(F.floor(place), F.lit(buckets - 1)), F.lit(0)))
-    dealt = df.crossJoin(F.broadcast(ends)).withColumn("_bucket", bucket.cast("int")).drop("_lo", "_hi")
-    by = (lambda c: F.desc(c)) if descending else (lambda c: F.asc(c))
-    before = Window.orderBy(by("_bucket")).rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
-    sums = dealt.groupBy("_bucket").agg(*[F.sum(c).alias(f"_{n}") for n, c in totals.items()])
-    sums = sums.select("_bucket", *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in totals])
-    inside = Window.partitionBy("_bucket").orderBy(by(score))
-    joined = dealt.join(F.broadcast(sums), "_bucket")
-    return joined.withColumns({n: F.col(f"_{n}") + F.sum(c).over(inside) for n, c in totals.items()}).drop("_bucket", *[f"_{n}" for n in totals])
+    return scan(df, [], [F.desc(score) if descending else F.asc(score)], {n: (F.col(c), "sum") for n, c in totals.items()}, ranges=buckets)
+
+
+#: A key or score with more than one in so many of all rows is broadcast, so at most so many are.
+HOT = 4096
 
 
 def decile(df: DataFrame, score: str, tie: str, out: str = "decile", bins: int = 10, keys: list[str] = ()) -> DataFrame:
-    """Equal-count bins of the rank by (score, tie) with exact integer edges.
+    """Equal-count bins of the rank by (score, tie) with exact integer edges; within ``keys``, if there are any.
 
-    Without ``keys`` all rows are ranked; the ranks are made of running totals of
-    the counts of distinct scores and a rank inside equal scores, so no task gets
-    all rows or all scores; rows of equal score are ordered in one task.
+    Rows without a score stay, have no bin and don't count; null keys are one
+    key.  Ranks are running counts over ranges of (keys, score, tie): neither a
+    hot key nor a score that many rows share meets in one task.
     """
     keys = list(keys)
-    per = df.groupBy(*keys, score).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy(score)
+    ranked = scan(df, keys, [F.asc(score), tie], {"_r": (F.col(score).isNotNull(), "sum")})
+    total = ranked.agg(F.count(score).alias("_n"))
     if keys:
-        before = per.withColumn("_b", F.sum("_c").over(w) - F.col("_c")).withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
+        sizes = ranked.groupBy(*keys).agg(F.count(score).alias("_n")).crossJoin(F.broadcast(total.withColumnRenamed("_n", "_all")))
+        ranked = lookup(ranked, sizes, keys, F.col("_n") * HOT > F.col("_all")).drop("_all")
     else:
-        before = running_totals(per, score, {"_t": "_c"}).withColumn("_b", F.col("_t") - F.col("_c")).crossJoin(F.broadcast(per.agg(F.sum("_c").alias("_n"))))
-    inner = df.withColumn("_i", F.row_number().over(Window.partitionBy(*keys, score).orderBy(tie)))
-    joined = inner.join(before.select(*keys, score, "_b", "_n"), [*keys, score])
-    r = (F.col("_b") + F.col("_i") - 1).cast("long")
-    value = F.when(F.col("_n") == 1, F.lit(1)).otherwise(F.greatest(F.lit(1), F.expr(f"cast((({bins} * (_b + _i - 1)) + (_n - 2)) div greatest(_n - 1, 1) as int)")))
-    return joined.withColumn(out, value).drop("_b", "_n", "_i")
+        ranked = ranked.crossJoin(F.broadcast(total))
+    value = F.when(F.col("_n") == 1, F.lit(1)).otherwise(F.greatest(F.lit(1), F.expr(f"cast((({bins} * (_r - 1)) + (_n - 2)) div greatest(_n - 1, 1) as int)")))
+    return ranked.withColumn(out, F.when(F.col(score).isNotNull(), value)).select(*df.columns, out)
 
 
 def rank_pct(df: DataFrame, score: str, out: str = "rank_pct") -> DataFrame:
-    """Average rank over the number of rows; ranks are running totals of the counts of distinct scores."""
+    """Average rank over the number of rows; ranks are running totals of the counts of distinct scores, hot scores are joined by broadcast."""
     per = df.groupBy(score).agg(F.count(F.lit(1)).alias("_c")).where(F.col(score).isNotNull())
-    ranked = running_totals(per, score, {"_t": "_c"}).withColumn("_b", F.col("_t") - F.col("_c")).crossJoin(F.broadcast(per.agg(F.sum("_c").alias("_n"))))
-    pct = (F.col("_b") + (F.col("_c") + 1) / 2) / F.col("_n")
-    return df.join(ranked.select(score, pct.alias(out)), score, "left")
+    ranked = running_totals(per, score, {"_t": "_c"})
+    ranked = ranked.crossJoin(F.broadcast(ranked.agg(F.sum("_c").alias("_n"))))
+    pct = (F.col("_t") - F.col("_c") + (F.col("_c") + 1) / 2) / F.col("_n")
+    return lookup(df, ranked.select(score, pct.alias(out), "_c", "_n"), [score], F.col("_c") * HOT > F.col("_n")).drop("_c", "_n")
 
 
 def top_k_per_group(df: DataFrame, keys: list[str], order: list, k: int, out: str = "rank") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import calendar, keys, numbers
-from ..operators import aggregate, binning, enrich, project, spatial
+from ..operators import aggregate, binning, enrich, project, scan, spatial
 from .registry import CE, ED, EV, PO, cell_edges, dated, events, pois, query, rounded, table, user_edges
 
 # --- functions -------------------------------------------------------------------------------------------------
@@ -430,7 +430,7 @@ def g06_g07_count_within(spark, d):
 @query(f"WITH {EV}, {PO}, n AS (SELECT event_id, min({_HAV('ev', 'po')}) AS dist FROM ev CROSS JOIN po GROUP BY event_id), r AS (SELECT quantile_cont(round(dist, 1), 0.75) AS r FROM n) SELECT event_id AS src_id, count(CASE WHEN {_HAV('ev', 'po')} <= r THEN 1 END) AS n FROM ev CROSS JOIN po CROSS JOIN r GROUP BY event_id")
 def g08_count_within_p75(spark, d):
     src, dst = _src(spark, d), _dst(spark, d)
-    radius = spatial.nearest_distance(src, dst).agg(F.percentile("distance", 0.75)).first()[0]
+    radius = scan.quantiles(spatial.nearest_distance(src, dst), {"distance": [0.75]}).first()[0][0]
     return spatial.count_within(src, dst, [radius]).toDF("src_id", "n")
 
 
@@ -445,6 +445,27 @@ def g10_build_adjacency(spark, d):
     return spatial.build_adjacency(e)
 
 
+@query(f"WITH {EV}, {CE}, y AS (SELECT r, c, c * 0.01::DOUBLE + r % 2 * 0.005::DOUBLE AS x FROM cells) SELECT 'cell_' || a.r || '_' || a.c AS area_id, 'cell_' || b.r || '_' || b.c AS neighbor FROM y a JOIN y b ON (a.r, a.c) <> (b.r, b.c) AND abs(a.r - b.r) <= 1 AND abs(a.x - b.x) <= 0.01::DOUBLE + 1e-9")
+def g10_bricks(spark, d):
+    """Rows of areas set off by half a side: most neighbours share part of a side and no corner."""
+    odd = F.split("area_id", "_")[1].cast("int") % 2 * 0.005
+    return spatial.build_adjacency(cell_edges(spark, d).withColumns({"x1": F.col("x1") + odd, "x2": F.col("x2") + odd}))
+
+
+_OFF = "sqrt(pow(greatest(box.w - lon, lon - box.e, 0.0) * cos(radians(lat)), 2) + pow(greatest(box.s - lat, lat - box.n, 0.0), 2)) * pi() * 6371000 / 180"
+
+
+@query(f"WITH {EV}, {CE}, o AS (SELECT event_id, lat + 0.000031::DOUBLE AS lat, lon + 0.000043::DOUBLE AS lon FROM ev), p AS (SELECT event_id, area, min(d) AS d FROM (SELECT event_id, box.area_id AS area, {_OFF} AS d FROM o CROSS JOIN box JOIN cells ON box.area_id = 'cell_' || r || '_' || c WHERE (r + c) % 2 = 0) GROUP BY ALL), n AS (SELECT event_id, arg_min(area, (round(d, 1), area)) AS area FROM p WHERE d <= 300 GROUP BY event_id) SELECT event_id AS point_id, area AS area_id FROM ev LEFT JOIN n USING (event_id)")
+def g02_nearest_boundary(spark, d):
+    """Every other cell is an area; points elsewhere get the area whose boundary is nearest, within 300 m.
+
+    Points are moved off the grid of their coordinates, so that none lies on a corner of two areas.
+    """
+    part = F.split("area_id", "_")
+    edges = cell_edges(spark, d).where((part[1].cast("int") + part[2].cast("int")) % 2 == 0)
+    return spatial.tag_areas(events(spark, d).select(F.col("event_id").alias("point_id"), (F.col("lat") + 0.000031).alias("lat"), (F.col("lon") + 0.000043).alias("lon")), edges, max_distance=300.0)
+
+
 @query(f"WITH {EV}, {CE}, m AS (SELECT area_id, (s + n) / 2 AS lat, (w + e) / 2 AS lon FROM box) SELECT a.area_id, b.area_id AS neighbor FROM m a JOIN m b ON a.area_id <> b.area_id AND {_HAV('a', 'b')} <= 1300")
 def g11_radius_adjacency(spark, d):
     return spatial.radius_adjacency(spatial.centroids(cell_edges(spark, d)), 1300)
