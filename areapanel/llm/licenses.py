@@ -60,9 +60,9 @@ COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 BLANKS_AND_MARKS = "[ \\t!-/:-@\\[-`{-~“”‘’«»–—…]+"
 
 
-def canonical_lines(text: Column) -> Column:
+def canonical_lines(text: Column, notice: str = COPYRIGHT_LINE) -> Column:
     """Lines in canonical form: lower case; no punctuation, copyright lines or blank lines; one spelling for variants."""
-    out = F.regexp_replace(F.replace(F.lower(text), F.lit("\r"), F.lit("")), COPYRIGHT_LINE, "\n")
+    out = F.regexp_replace(F.replace(F.lower(text), F.lit("\r"), F.lit("")), notice, "\n")
     for old, new in SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
     out = F.regexp_replace(F.regexp_replace(out, BLANKS_AND_MARKS, " "), r" ?\n[ \n]*", "\n")
@@ -73,9 +73,42 @@ def joined(lines: Column) -> Column:
     return F.replace(lines, F.lit("\n"), F.lit(" "))
 
 
+#: Fixed values, in canonical form: titles that files carry over the text of a licence.
+TITLES = [
+    "mit license", "the mit license", "the mit license mit", "mit license mit", "mit", "license", "isc license", "the isc license", "isc license isc", "internet systems consortium license",
+    "bsd 2 clause license", "the bsd 2 clause license", "bsd 2 clause simplified license", "simplified bsd license", "freebsd license", "bsd 3 clause license", "the bsd 3 clause license",
+    "bsd 3 clause new or revised license", "new bsd license", "revised bsd license", "modified bsd license", "bsd license", "the bsd license", "bsd zero clause license", "zero clause bsd license", "zero clause bsd", "0bsd license",
+]
+#: Pattern and what stands for it, over a text joined to one line: who holds the rights, and numbers of a list.
+SLOTS = [
+    ("neither the names? of .{1,200}? nor the names? of (?:its|their|any) contributors", "neither the name of the copyright holder nor the names of its contributors"),
+    ("this software is provided by .{1,200}? as is and any express", "this software is provided by the copyright holders and contributors as is and any express"),
+    ("in no event shall .{1,200}? be liable for any (claim|special|direct)", "in no event shall the holder be liable for any $1"),
+    ("as is and .{1,200}? disclaims? all warranties", "as is and the author disclaims all warranties"),
+    ("(?:^| )[1-4] (redistributions|neither)", " $1"),
+]
+
+
+#: A copyright line, but not a line of a wrapped sentence that goes on about copyright.
+NOTICE_LINE = r"(^|\n)[ \t]*(copyright(?![ \t]+(?:notices?|holders?|owners?|licenses?|laws?|and|or)\b)|\(c\)|©)[^\n]*"
+
+
+def body(text: Column, lines: Column) -> Column:
+    """A text without titles over it, joined to one line, with one spelling of what holders fill in; ``lines`` is its canonical form.
+
+    Only texts that speak of "as is" have holders to fill in.
+    """
+    untitled = lambda x: joined(F.regexp_replace(x, "^(?:(?:" + "|".join(TITLES) + ")(?:\n|$))+", ""))
+    filled = untitled(canonical_lines(text, NOTICE_LINE))
+    for pattern, one in SLOTS:
+        filled = F.regexp_replace(filled, pattern, one)
+    return F.when(F.rlike(text, F.lit("(?i)\\bas\\s+is\\b")), filled).otherwise(untitled(lines))
+
+
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None, whole: list[tuple[str, int, str]] | None = None) -> DataFrame:
     """Columns ``digest`` and ``license`` (the lesser id where two texts have one digest) and ``size`` in characters."""
-    texts = spark.createDataFrame(LICENSES if known is None else known, "license string, text string").select("license", joined(canonical_lines(F.col("text"))).alias("text"))
+    lines = spark.createDataFrame(LICENSES if known is None else known, "license string, text string").select("license", "text", canonical_lines(F.col("text")).alias("lines"))
+    texts = lines.select("license", F.explode(F.array_distinct(F.array(joined(F.col("lines")), body(F.col("text"), F.col("lines"))))).alias("text"))
     made = texts.where("text <> ''").select("license", F.length("text").alias("size"), F.sha2("text", 256).alias("digest"))
     given = spark.createDataFrame((WHOLE_TEXTS if known is None else []) if whole is None else whole, "license string, size int, digest string")
     return made.unionByName(given).groupBy("digest").agg(F.min("license").alias("license"), F.min("size").alias("size"))
@@ -85,7 +118,8 @@ def license_scan(df: DataFrame, known: list[tuple[str, str]] | None = None, whol
     """Look whole texts, and each of their lines, up among known licence texts by canonical digest.
 
     One row per input row: ``doc_id``, ``digest`` (of the whole canonical text),
-    ``license`` (whose digest the whole text has, else null), ``notices`` (ids of
+    ``license`` (whose digest the whole text has, or the text without titles over
+    it and with one spelling of its holders; else null), ``notices`` (ids of
     licences or notices that a line is equal to, ascending, comma-separated;
     empty if none) and ``n_notices`` (such lines).
 
@@ -103,12 +137,15 @@ def license_scan(df: DataFrame, known: list[tuple[str, str]] | None = None, whol
     table = known_digests(df.sparkSession, known, whole)
     sizes = sorted(r.size for r in table.select("size").distinct().collect())
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), canonical_lines(text).alias("lines")).where("doc_id is not null")
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), canonical_lines(text).alias("lines")).where("doc_id is not null")
     lines = F.transform(F.filter(F.split("lines", "\n"), lambda x: F.length(x).isin(sizes)), lambda x: F.sha2(x, 256))
-    once = save(docs.select("doc_id", F.sha2(joined(F.col("lines")), 256).alias("digest"), lines.alias("lines")), "license-digests")
+    digests = [F.sha2(joined(F.col("lines")), 256).alias("digest"), F.sha2(body(F.col("text"), F.col("lines")), 256).alias("body")]
+    once = save(docs.select("doc_id", *digests, lines.alias("lines")), "license-digests")
     table = F.broadcast(table.select("digest", "license"))
     hits = once.select("doc_id", F.explode("lines").alias("digest")).join(table, "digest").groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"), F.count(F.lit(1)).alias("n_notices"))
-    return once.join(table, "digest", "left").join(hits, "doc_id", "left").select("doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"), F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices"))
+    bodies = table.select(F.col("digest").alias("body"), F.col("license").alias("of_body"))
+    found = once.join(table, "digest", "left").join(bodies, "body", "left").join(hits, "doc_id", "left")
+    return found.select("doc_id", "digest", F.coalesce("license", "of_body").alias("license"), F.coalesce("notices", F.lit("")).alias("notices"), F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices"))
 
 
 def _sql_text(text: str) -> str:
@@ -125,6 +162,20 @@ SQL_LINES = """list_filter(list_transform(list_filter(
   lambda l: l <> '')"""
 
 
+#: The same, but lines of sentences about copyright stay.
+SQL_KEPT_LINES = SQL_LINES.replace("(copyright|\\(c\\)|©)')", "(copyright|\\(c\\)|©)') OR regexp_matches(l, '^[ \\t]*copyright[ \\t]+(notice|notices|holder|holders|owner|owners|license|licenses|law|laws|and|or)\\b')")
+#: A text's lines without titles, joined, with holders and numbers taken out of it, again without the constants above.
+SQL_BODY = """(SELECT CASE WHEN regexp_matches({1}, '(?i)\\bas[ \\t\\n\\f\\r\\v]+is\\b') THEN
+  regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,
+    'neither the name(s)? of .{{1,200}}? nor the name(s)? of (its|their|any) contributors', 'neither the name of the copyright holder nor the names of its contributors', 'g'),
+    'this software is provided by .{{1,200}}? as is and any express', 'this software is provided by the copyright holders and contributors as is and any express', 'g'),
+    'in no event shall .{{1,200}}? be liable for any (claim|special|direct)', 'in no event shall the holder be liable for any \\1', 'g'),
+    'as is and .{{1,200}}? disclaim(s)? all warranties', 'as is and the author disclaims all warranties', 'g'),
+    '(^| )(1|2|3|4) (redistributions|neither)', ' \\3', 'g') ELSE t END
+  FROM (SELECT array_to_string(u[coalesce(nullif(list_position(list_transform(u, lambda l: regexp_full_match(l,
+    '(the )?mit license( mit)?|mit|license|(the )?isc license|isc license isc|internet systems consortium license|(the )?bsd (2|3) clause license|bsd 2 clause simplified license|bsd 3 clause new or revised license|(simplified|new|revised|modified) bsd license|freebsd license|(the )?bsd license|bsd zero clause license|zero clause bsd( license)?|0bsd license')), false), 0), len(u) + 1):], ' ') AS t FROM (SELECT CASE WHEN regexp_matches({1}, '(?i)\\bas[ \\t\\n\\f\\r\\v]+is\\b') THEN {2} ELSE {0} END AS u)))"""
+
+
 def license_sql() -> str:
     """The query over ``documents`` for DuckDB."""
     texts = ", ".join(f"({_sql_text(i)}, {_sql_text(t)})" for i, t in LICENSES)
@@ -132,13 +183,13 @@ def license_sql() -> str:
     return f"""
 WITH known AS (
   SELECT digest, min(license) AS license FROM (
-    SELECT sha256(array_to_string({SQL_LINES.format("text")}, ' ')) AS digest, license FROM (VALUES {texts}) t(license, text)
+    SELECT sha256(unnest([array_to_string(lines, ' '), {SQL_BODY.format("lines", "text", "more")}])) AS digest, license FROM (SELECT license, text, {SQL_LINES.format("text")} AS lines, {SQL_KEPT_LINES.format("text")} AS more FROM (VALUES {texts}) t(license, text))
     UNION ALL SELECT digest, license FROM (VALUES {whole}) w(license, digest))
   WHERE digest <> sha256('') GROUP BY digest),
-docs AS (SELECT doc_id, {SQL_LINES.format("coalesce(text, '')")} AS lines FROM documents WHERE doc_id IS NOT NULL),
+docs AS (SELECT doc_id, coalesce(text, '') AS text, {SQL_LINES.format("coalesce(text, '')")} AS lines, {SQL_KEPT_LINES.format("coalesce(text, '')")} AS more FROM documents WHERE doc_id IS NOT NULL),
 hits AS (
   SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS notices, count(*) AS n_notices
   FROM (SELECT doc_id, unnest(lines) AS line FROM docs) l JOIN known ON sha256(line) = known.digest GROUP BY doc_id)
-SELECT doc_id, sha256(array_to_string(lines, ' ')) AS digest, known.license, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices
-FROM docs LEFT JOIN known ON sha256(array_to_string(lines, ' ')) = known.digest LEFT JOIN hits USING (doc_id)
+SELECT doc_id, sha256(array_to_string(lines, ' ')) AS digest, coalesce(known.license, b.license) AS license, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices
+FROM docs LEFT JOIN known ON sha256(array_to_string(lines, ' ')) = known.digest LEFT JOIN known b ON sha256({SQL_BODY.format("lines", "text", "more")}) = b.digest LEFT JOIN hits USING (doc_id)
 """

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import textwrap
 from collections import Counter
 
 import duckdb
@@ -242,10 +243,33 @@ def test_whole_licenses(spark, name, file):
     assert got == {1: name, 2: name, 3: name, 4: None, 5: None}
 
 
+def license_files():
+    """Texts as repositories carry them: (expected id, text)."""
+    by = {}
+    for name, text in licenses.LICENSES:
+        by.setdefault(name, text)
+    wrap = lambda text: "\n\n".join(textwrap.fill(part, 78) for part in text.split("\n"))
+    holder = "Copyright (c) 2021 Some Body. All rights reserved.\n\n"
+    acme = by["BSD-3-Clause"].replace("the copyright holder nor", "Acme Corp, Inc. nor")
+    stars = wrap(acme).replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+    return [
+        ("MIT", f"MIT License\n\n{holder}{wrap(by['MIT'])}\n"), ("MIT", f"The MIT License (MIT)\n\n{holder}{wrap(by['MIT'])}"), ("MIT", f"{holder}{wrap(by['MIT'])}"), ("MIT", f"# The MIT License\r\n{holder}{by['MIT']}"),
+        ("ISC", f"ISC License\n\n{holder}{wrap(by['ISC'])}"), ("0BSD", f"BSD Zero Clause License\n\n{holder}{wrap(by['0BSD'])}"), ("BSD-3-Clause", f"BSD 3-Clause License\n\n{holder}{wrap(by['BSD-3-Clause'])}"),
+        ("BSD-3-Clause", f"{holder}{wrap(acme)}"), ("BSD-3-Clause", f"BSD 3-Clause License\n{holder}{stars}"), ("BSD-2-Clause", f"The BSD 2-Clause License\n{holder}{wrap(by['BSD-2-Clause']).replace('COPYRIGHT HOLDERS', 'AUTHORS')}"),
+        (None, "MIT License"), (None, f"MIT License\nmore\n{by['MIT']}"), (None, f"{by['MIT']}\nMIT License"), (None, f"{wrap(by['BSD-3-Clause'])} and one thing more"),
+    ]
+
+
+def test_license_files(spark):
+    files = license_files()
+    got = {r.doc_id: r.license for r in licenses.license_scan(frame(spark, [(k, t) for k, (_, t) in enumerate(files)])).collect()}
+    assert got == {k: want for k, (want, _) in enumerate(files)}
+
+
 def test_license_sql_agrees(spark):
     rnd = random.Random(1)
     bits = ["Copyright", "(c) ", "©", "\n", "\r\n", " ", "\t", "All Rights Reserved", "Licence", "non-commercial", "Sub-License", "http://x", "&", "«a»", "…", "word", "É", "\n \t(C) x\n", "'", "`", "{|}", "Licensed under CC BY 4.0"]
-    docs = [(k, "".join(rnd.choices(bits, k=rnd.randint(0, 30)))) for k in range(300)] + [(400, None)]
+    docs = [(k, "".join(rnd.choices(bits, k=rnd.randint(0, 30)))) for k in range(300)] + [(400, None)] + [(500 + k, t) for k, (_, t) in enumerate(license_files())]
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
