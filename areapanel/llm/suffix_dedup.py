@@ -389,8 +389,25 @@ def _semi_join(rows: DataFrame, keys: DataFrame, on: list[str], total: int) -> D
     return rows.join(hot, on, "left_semi").unionByName(rows.join(hot, on, "left_anti").join(rest, on, "left_semi"))
 
 
-def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame:
-    """Spans that occur again, by (``doc_id``, ``mark``): column ``spans``, an array of (kind, start, end) that may overlap.
+#: Equal rows of one key that are dealt to so many groups of a join.
+SALTS = 64
+KEY = ["doc_id", "mark"]
+
+
+def _dealt(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` with ``salt``: rows of hot keys (a thousand keys at most) are dealt to groups."""
+    marked = rows.join(F.broadcast(hot.select(*KEY, F.lit(True).alias("often"))), KEY, "left")
+    return marked.withColumn("salt", F.when(F.col("often"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(0).cast("int")).drop("often")
+
+
+def _for_each(table: DataFrame, hot: DataFrame) -> DataFrame:
+    """``table`` (one row for each key) with ``salt``: a copy for each group to which the key's rows are dealt."""
+    marked = table.join(F.broadcast(hot.select(*KEY, F.lit(True).alias("often"))), KEY, "left")
+    return marked.withColumn("salt", F.explode(F.when(F.col("often"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("often")
+
+
+def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> tuple[DataFrame, DataFrame]:
+    """Spans that occur again, by (``doc_id``, ``mark``): column ``spans``, a set of (kind, start, end) that may overlap; and the keys of many equal rows.
 
     ``docs`` has ``doc_id``, ``mark`` (a hash of the text) and ``text`` as binary.
     ``sizes`` holds one or two (unit, length); a span's kind is its place there,
@@ -413,7 +430,7 @@ def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame:
     reach = [(length - max(1, length // 3), length) for _, length in sizes]
 
     def found(batches):
-        names = ["doc_id", "mark", "pos", "h", "full"]
+        names = ["doc_id", "mark", "pos", "h", "full", "head"]
         for batch in batches:
             ids, marks, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
             for (a, b), (kind, (unit, length)) in itertools.product(slices(texts, 1 << 18), enumerate(sizes)):
@@ -424,12 +441,16 @@ def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame:
                 back = np.minimum(at, reach[kind][0])
                 full = [xxhash.xxh3_128_digest(items[o].part(p - k, p + length), k) for o, p, k in zip(owner.tolist(), at.tolist(), back.tolist(), strict=True)]
                 h = ((h & np.uint64(U64 - 1)) | np.uint64(kind)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*map(pa.array, (ids[a:b][owner], marks[a:b][owner], at, h)), pa.array(full, pa.binary())], names)
+                head = np.append(True, owner[1:] != owner[:-1])  # once for each row and kind
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (ids[a:b][owner], marks[a:b][owner], at, h)), pa.array(full, pa.binary()), pa.array(head)], names)
 
     def of_kind(values: list[int]) -> Column:
         return F.when(F.col("h").bitwiseAND(1) == 0, values[0]).otherwise(values[-1])
 
-    every = save(docs.select("doc_id", "mark", "text").mapInArrow(found, "doc_id long, mark long, pos long, h long, full binary"), "suffix-anchors")
+    every = save(docs.select("doc_id", "mark", "text").mapInArrow(found, "doc_id long, mark long, pos long, h long, full binary, head boolean"), "suffix-anchors")
+    heads = every.where("head").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    equal = save(heads.where(F.col("n") * 1000 > F.lit(every.where("head").count())).select(*KEY), "suffix-equal-rows")
+    every = every.drop("head")
     again = save(every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-again")
     shared = save(_semi_join(every, again, ["h"], every.count()), "suffix-shared")
     rep = [F.first(c).alias(c) for c in ("doc_id", "mark", "pos")]  # of one row, as all three change together
@@ -458,8 +479,12 @@ def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame:
                 kinds = [pa.int64()] * 4 + [pa.binary()] * 2 + [pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, kinds, strict=True)], ["h", "doc_id", "mark", "pos", "left", "right", "classes"])
 
-    # A row that occurs twice brings its contexts twice; they are repeated then, as its digests say already.
-    contexts = save(docs.join(wanted, ["doc_id", "mark"]).select("doc_id", "mark", "text", "at").mapInArrow(fetched, "h long, doc_id long, mark long, pos long, left binary, right binary, classes long"), "suffix-contexts")
+    wanted = save(wanted, "suffix-wanted")
+    # Of many equal rows one brings its contexts; those of a task are one before they are shuffled.  Where few rows
+    # are equal each does, and its contexts are repeated then, as their digests say already.
+    often = docs.select(*KEY, "text").join(F.broadcast(equal), KEY, "left_semi").groupBy(*KEY).agg(F.first("text").alias("text"))
+    one = docs.select(*KEY, "text").join(F.broadcast(equal), KEY, "left_anti").unionByName(often)
+    contexts = save(one.join(wanted, KEY).select(*KEY, "text", "at").mapInArrow(fetched, "h long, doc_id long, mark long, pos long, left binary, right binary, classes long"), "suffix-contexts")
     columns = ["h", "doc_id", "mark", "pos", "left", "right"]
     usual = contexts.where(F.col("classes") <= HOT_CLASSES).select(*columns).repartition("h").sortWithinPartitions("h")
     edges = usual.mapInArrow(_compare(sizes), "doc_id long, mark long, kind long, start long, end long")
@@ -468,10 +493,10 @@ def repeated_spans(docs: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame:
     twice = windows.groupBy("h", "back", "digest").count().where("count > 1").drop("count")
     hot_edges = windows.join(twice, ["h", "back", "digest"]).groupBy("h", "doc_id", "mark", "pos").agg(F.max("back").alias("most"), F.min("back").alias("fewest"))
     hot_edges = hot_edges.select("doc_id", "mark", kind, (F.col("pos") - F.col("most")).alias("start"), (F.col("pos") - F.col("fewest") + of_kind([n for _, n in reach])).alias("end"))
-    spans = whole.unionByName(edges).unionByName(hot_edges).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("kind", "start", "end")).alias("spans"))
+    spans = whole.unionByName(edges).unionByName(hot_edges).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("kind", "start", "end")).alias("spans"))
     spans = save(spans, "suffix-spans")
-    drop_saved(shared, classes, contexts)
-    return spans
+    drop_saved(shared, classes, contexts, wanted)
+    return spans, equal
 
 
 def runs(spans: pa.Array, kind: int, sizes: np.ndarray) -> list[list[tuple[int, int]]]:
@@ -518,8 +543,9 @@ def _with_spans(df: DataFrame, id_col: str, text_col: str, sizes: list[tuple[str
     """Columns ``row`` (the whole input row), ``id``, ``text`` (bytes) and ``spans``; no column of ``df`` can clash."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), text.alias("text")).where("id is not null").withColumn("mark", F.xxhash64("text"))
-    spans = repeated_spans(rows.select(F.col("id").alias("doc_id"), "mark", "text"), sizes)
-    return rows.join(spans.withColumnRenamed("doc_id", "id"), ["id", "mark"], "left")
+    rows = rows.withColumnRenamed("id", "doc_id")
+    spans, equal = repeated_spans(rows.select(*KEY, "text"), sizes)
+    return _dealt(rows, equal).join(_for_each(spans, equal), [*KEY, "salt"], "left").drop("salt").withColumnRenamed("doc_id", "id")
 
 
 def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, words: int | None = None) -> DataFrame:

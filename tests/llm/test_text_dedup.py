@@ -275,3 +275,22 @@ def test_license_sql_agrees(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
     want = sorted(con.execute(licenses.license_sql()).fetchall(), key=lambda r: r[0])
     assert sorted((tuple(r) for r in licenses.license_scan(frame(spark, docs)).collect()), key=lambda r: r[0]) == want
+
+
+def test_many_equal_rows(spark):
+    """Rows of one id and text give one list of spans, as long as two such rows do, and the same bytes go."""
+    rnd = random.Random(7)
+    text = " ".join(rnd.choice(["alpha", "beta", "gamma", "delta"]) + str(rnd.randint(0, 99)) for _ in range(300))
+    other = text[500:1400] + " and then something else " * 5
+    few, many = ([(1, text)] * n + [(2, other), (3, "short"), (4, None)] for n in (2, 3000))
+
+    def spans(rows):
+        docs = frame(spark, rows).selectExpr("doc_id", "xxhash64(cast(coalesce(text, '') as binary)) as mark", "cast(coalesce(text, '') as binary) as text")
+        found, hot = suffix_dedup.repeated_spans(docs, [("bytes", 400), ("words", 51)])
+        return {r.doc_id: sorted(map(tuple, r.spans)) for r in found.collect()}, {r.doc_id for r in hot.collect()}
+
+    (a, _), (b, hot) = spans(few), spans(many)
+    assert a == b and 1 in hot
+    out = [{tuple(r) for r in suffix_dedup.suffix_dedup(frame(spark, rows), words=51).collect()} for rows in (few, many)]
+    assert out[0] == out[1] and len(out[0]) == 4
+    assert suffix_dedup.suffix_dedup(frame(spark, many), words=51).where("doc_id = 1").count() == 3000
