@@ -66,8 +66,7 @@ def _merge(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         if (labels[i] == least).all() and (labels[j] == least).all():
             return labels
         for side in (i, j):
-            np.minimum.at(labels, labels[side], least)
-            np.minimum.at(labels, side, least)
+            np.minimum.at(labels, labels[side], least)  # only the label's own row, to which its others follow
         while not (labels == (labels := labels[labels])).all():
             pass
 

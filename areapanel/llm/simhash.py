@@ -13,6 +13,8 @@ from .common import connected_components, save
 BITS = 64
 CHUNK = 1 << 15
 ENTRIES = 1 << 20
+#: Links of one text that meet a copy of its shingles.
+GROUP = 1024
 #: Increment and multipliers of the 64-bit mixer splitmix64 (fixed values).
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -60,15 +62,20 @@ def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42, bits: int = BITS) -> DataFrame:
-    """Columns ``doc_id``, ``fp`` (the fingerprint's first 64 bits as a signed long) and ``rest`` (the other bits)."""
+    """Columns ``doc_id``, ``mark`` (a hash of the text), ``fp`` (the fingerprint's first 64 bits as a signed long) and ``rest`` (the other bits)."""
 
     def run(batches):
         for batch in batches:
             fps = [wide_fingerprint(x, words, seed, bits) for x in batch.column(1).to_pylist()]
             first = np.array([x[0] for x in fps], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first), pa.array([x[1:].tobytes() for x in fps], pa.binary())], ["doc_id", "fp", "rest"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(first), pa.array([x[1:].tobytes() for x in fps], pa.binary())], ["doc_id", "mark", "fp", "rest"])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).where("doc_id is not null").mapInArrow(run, "doc_id long, fp long, rest binary")
+    return _texts(df, id_col, text_col).mapInArrow(run, "doc_id long, mark long, fp long, rest binary")
+
+
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("binary")
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark")).where("doc_id is not null")
 
 
 def _half_range(diff: int, radius: int) -> tuple[int, int]:
@@ -76,8 +83,12 @@ def _half_range(diff: int, radius: int) -> tuple[int, int]:
     return -((radius - diff) // 2), (radius + diff) // 2
 
 
-def _tiles(radius: int, total_radius: int):
-    """Compare two tiles of fingerprints (or one with itself), each of one population count."""
+def _tiles(radius: int, total_radius: int, pairs: bool = False):
+    """Compare two tiles of fingerprints (or one with itself), each of one population count.
+
+    Returns links to the least of those reached in the tiles; with ``pairs``,
+    the links of a forest of least distances, which are pairs that differ so little.
+    """
 
     def compare(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         p_lo, b_lo, p_hi, b_hi = (x.as_py() for x in key)
@@ -96,6 +107,7 @@ def _tiles(radius: int, total_radius: int):
         r_fps, r_upper, shift = fps[right], upper[right], 0 if same else split
         labels = np.arange(len(fps))
         touched = np.zeros(len(fps), dtype=bool)
+        forest = [np.empty(0, dtype=np.int64)] * 3
         low, high = _half_range(p_lo - p_hi, radius)
         for u in np.unique(upper[left]):
             rows = np.flatnonzero(upper[left] == u)
@@ -107,12 +119,15 @@ def _tiles(radius: int, total_radius: int):
                 i, j = np.nonzero(near)
                 i, j = part[i], j + lo + shift
                 i, j = (x[i != j] for x in (i, j))
-                if rest.shape[1]:
-                    whole = np.bitwise_count(fps[i] ^ fps[j]) + np.bitwise_count(rest[i] ^ rest[j]).sum(axis=1, dtype=np.int64)
-                    i, j = (x[whole <= total_radius] for x in (i, j))
-                if len(i):
+                whole = np.bitwise_count(fps[i] ^ fps[j]) + np.bitwise_count(rest[i] ^ rest[j]).sum(axis=1, dtype=np.int64)
+                i, j, whole = (x[whole <= total_radius] for x in (i, j, whole))
+                if len(i) and pairs:
+                    forest = _forest(len(fps), *map(np.concatenate, zip(forest, (i, j, whole), strict=True)))
+                elif len(i):
                     touched[i] = touched[j] = True
                     labels = _merge(labels, i, j)
+        if pairs:
+            return pa.table({"rep": reps[forest[0]], "root": reps[forest[1]]})
         root = np.full(len(fps), np.iinfo(np.int64).max)
         np.minimum.at(root, labels, reps)
         return pa.table({"rep": reps[touched], "root": root[labels][touched]})
@@ -127,13 +142,75 @@ def _merge(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         if (labels[i] == least).all() and (labels[j] == least).all():
             return labels
         for side in (i, j):
-            np.minimum.at(labels, labels[side], least)
-            np.minimum.at(labels, side, least)
+            np.minimum.at(labels, labels[side], least)  # only the label's own row, to which its others follow
         while not (labels == (labels := labels[labels])).all():
             pass
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4, seed: int = 42, tile_rows: int = 1024, bits: int = BITS, total_radius: int | None = None) -> DataFrame:
+def _forest(n: int, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> list[np.ndarray]:
+    """Of weighted links between n rows, those of a spanning forest of least weight: each part takes its nearest link, all at once, until none is left."""
+    order = np.lexsort((j, i, far))  # a link's place in the order is its weight, so there are no ties
+    i, j, far = i[order], j[order], far[order]
+    label, taken = np.arange(n), np.zeros(len(i), dtype=bool)
+    left = np.flatnonzero(i != j)
+    while len(left):
+        a, b = label[i[left]], label[j[left]]
+        left = left[a != b]
+        a, b = label[i[left]], label[j[left]]
+        best = np.full(n, len(i), dtype=np.int64)
+        np.minimum.at(best, a, left)
+        np.minimum.at(best, b, left)
+        new = np.unique(best[best < len(i)])
+        taken[new] = True
+        label = _merge(label, i[new], j[new])
+    return [i[taken], j[taken], far[taken]]
+
+
+def shingles(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
+    """Hashes of the different word shingles of a text, ascending."""
+    parts = (text or b"").lower().split()
+    count = max(1, len(parts) - words + 1) if parts else 0
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(parts[k : k + words]), seed) for k in range(count)), np.uint64, count))
+
+
+def confirmed(links: DataFrame, reps: DataFrame, df: DataFrame, id_col: str, text_col: str, words: int, seed: int, least: float) -> DataFrame:
+    """The links (``rep``, ``root``) whose texts share ``least`` or more of all their different shingles.
+
+    The shingles of each linked text are hashed once and meet those of its links;
+    a text with many links is copied to groups of them, so no task gets them all.
+    """
+    links = save(links.select("rep", "root"), "simhash-pairs")
+    ends = links.select(F.explode(F.array("rep", "root")).alias("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    ends = save(ends.withColumn("copies", F.ceil(F.col("n") / GROUP).cast("int")), "simhash-ends")
+
+    def hashed(batches):
+        for batch in batches:
+            sets = [shingles(x, words, seed).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), batch.column(2)], ["doc_id", "shingles", "copies"])
+
+    wanted = reps.select(F.col("rep").alias("doc_id"), "mark").distinct().join(ends, "doc_id")
+    texts = _texts(df, id_col, text_col).join(wanted, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
+    sets = save(texts.select("doc_id", "text", "copies").mapInArrow(hashed, "doc_id long, shingles binary, copies int"), "simhash-shingles")
+    sets = sets.withColumn("group", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    many = ends.where("copies > 1").select("doc_id", "copies")  # at most one id for every GROUP / 2 links
+
+    def meet(rows: DataFrame, end: str, out: str) -> DataFrame:
+        dealt = rows.join(many.withColumnRenamed("doc_id", end), end, "left").withColumn("group", F.coalesce(F.pmod(F.xxhash64("rep", "root"), F.col("copies")), F.lit(0)).cast("int")).drop("copies")
+        return dealt.join(sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(out), "group"), [end, "group"]).drop("group")
+
+    def shared(batches):
+        for batch in batches:
+            a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
+            both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b, strict=True)], dtype=np.int64)
+            every = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)], dtype=np.int64) - both
+            near = pa.array((every == 0) | (both >= least * every))
+            yield pa.RecordBatch.from_arrays([c.filter(near) for c in batch.columns[:2]], ["rep", "root"])
+
+    pairs = meet(meet(links, "rep", "a"), "root", "b").select("rep", "root", "a", "b")
+    return pairs.mapInArrow(shared, "rep long, root long")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4, seed: int = 42, tile_rows: int = 1024, bits: int = BITS, total_radius: int | None = None, least: float | None = None) -> DataFrame:
     """Near-duplicate classes of whole texts by SimHash.
 
     One row per input row: ``doc_id``, ``fingerprint`` (16 lower-case hex
@@ -154,12 +231,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``total_radius`` or fewer.  Shingles that two texts share in a proportion J
     of all leave about arccos(2J / (1 + J)) / pi of the bits different.
 
+    With ``least``, a link also needs two texts that share that proportion of
+    their different shingles, counted exactly.  Tasks then return the nearest
+    links that span what they reach, and each of those is confirmed or dropped.
+    So no document is joined to a group without such a text, and pairs that
+    agree in the proportion are missed only where the fingerprints put them
+    farther apart than others that don't.  Equal fingerprints need no proof.
+
     A null text counts as empty; texts without words have fingerprint zero and
     link like any other.  Rows that repeat an id stay; rows with a null id are
     left out.  An empty table gives an empty result.
     """
     docs = save(fingerprints(df, id_col, text_col, words, seed, bits), "simhash-docs")
-    reps = docs.groupBy("fp", "rest").agg(F.min("doc_id").alias("rep")).withColumn("pop", F.bit_count("fp"))
+    reps = docs.groupBy("fp", "rest").agg(F.min(F.struct("doc_id", "mark")).alias("r")).select("fp", "rest", F.col("r.doc_id").alias("rep"), F.col("r.mark").alias("mark"), F.bit_count("fp").alias("pop"))
     reps = save(reps, "simhash-reps")
     total = reps.count()
     rows = max(1, int((total * tile_rows) ** 0.5))
@@ -177,7 +261,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one, two = F.struct("pop", "block"), F.struct(F.col("q").alias("pop"), F.col("q_block").alias("block"))
     cells = tiled.withColumns({"lo": F.when(ahead, one).otherwise(two), "hi": F.when(ahead, two).otherwise(one)})
     cells = cells.select(F.col("lo.pop").alias("p_lo"), F.col("lo.block").alias("b_lo"), F.col("hi.pop").alias("p_hi"), F.col("hi.block").alias("b_hi"), "fp", "rest", "rep", "pop", "block")
-    links = cells.groupBy("p_lo", "b_lo", "p_hi", "b_hi").applyInArrow(_tiles(radius, bits if total_radius is None else total_radius), "rep long, root long")
+    links = cells.groupBy("p_lo", "b_lo", "p_hi", "b_hi").applyInArrow(_tiles(radius, bits if total_radius is None else total_radius, least is not None), "rep long, root long")
+    if least is not None:
+        links = confirmed(links, reps, df, id_col, text_col, words, seed, least)
     components = connected_components(links.select(F.col("rep").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("id", "rep")
     classes = reps.join(components, "rep", "left").select("fp", "rest", F.coalesce("component_id", "rep").alias("component_id"))
     return docs.join(classes, ["fp", "rest"]).select(

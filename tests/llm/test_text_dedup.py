@@ -277,6 +277,60 @@ def test_license_sql_agrees(spark):
     assert sorted((tuple(r) for r in licenses.license_scan(frame(spark, docs)).collect()), key=lambda r: r[0]) == want
 
 
+def test_links_are_confirmed(spark, monkeypatch):
+    """Every document that goes is linked by texts of 0.8 or more, and every such pair is in one class."""
+    monkeypatch.setattr(simhash, "GROUP", 3)  # a text with many links is dealt to groups
+    rnd = random.Random(21)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    docs = []
+    for base in range(25):
+        words = rnd.choices(vocabulary, k=rnd.randint(60, 400))
+        docs.append(" ".join(words))
+        for _ in range(rnd.choice([1, 1, 2, 12])):
+            copy = list(words)
+            for _ in range(max(1, int(len(words) * rnd.choice([0.005, 0.02, 0.03, 0.045, 0.06])))):
+                copy[rnd.randrange(len(copy))] = rnd.choice(vocabulary)
+            docs.append(" ".join(copy))
+    docs += ["", None, "one", "One ", "two words", docs[0].upper()]
+    rows = list(enumerate(docs))
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows), **corpus_pipeline.NEAR).collect()}
+    sets = {i: set(simhash.shingles((t or "").encode(), 5).tolist()) for i, t in rows}
+    near = {(a, b) for a in sets for b in sets if a < b and (sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))}
+    plain = {i: i for i in sets}
+    for _ in sets:
+        for a, b in near:
+            plain[a] = plain[b] = min(plain[a], plain[b])
+    assert all(plain[i] == plain[c] for i, c in got.items())  # nothing is joined that exact links don't join
+    linked = [(a, b) for a, b in near if got[a] == got[b]]
+    assert len(linked) >= 0.98 * len(near)
+
+
+def test_merged_labels_are_components():
+    for seed in range(100):
+        rng = np.random.default_rng(seed)
+        labels, plain = np.arange(40), list(range(40))
+        for _ in range(5):
+            i, j = rng.integers(0, 40, 6), rng.integers(0, 40, 6)
+            labels = simhash._merge(labels, i, j)
+            for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                low, high = sorted((plain[x], plain[y]))
+                plain = [low if p == high else p for p in plain]
+            assert labels.tolist() == plain
+
+
+def test_forest_has_the_least_weight():
+    rnd = np.random.default_rng(5)
+    for n, m in ((2, 1), (30, 60), (200, 900)):
+        i, j, far = rnd.integers(0, n, m), rnd.integers(0, n, m), rnd.integers(0, 9, m)
+        a, b, w = simhash._forest(n, i, j, far)
+        label, total, parts = list(range(n)), 0, n
+        for x, y, f in sorted(zip(i.tolist(), j.tolist(), far.tolist(), strict=True), key=lambda e: e[2]):
+            if label[x] != label[y]:
+                old, new, total, parts = label[x], label[y], total + f, parts - 1
+                label = [new if k == old else k for k in label]
+        assert w.sum() == total and len(a) == n - parts
+
+
 def test_many_equal_rows(spark):
     """Rows of one id and text give one list of spans, as long as two such rows do, and the same bytes go."""
     rnd = random.Random(7)
