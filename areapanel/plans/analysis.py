@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from ..functions import numbers
 from ..operators import aggregate, binning, evaluate, forecast, ml, panel, risk, spatial, topk, windows
+from ..shared import new_path
 from ..sources import tables
 from ..streaming import jobs
 from .features import _HAV, _dst, _src
@@ -303,11 +302,8 @@ def h05_top_types(spark, d):
 
 
 def _folder(spark) -> str:
-    """A new folder that all executors share: below the checkpoint folder, or a temporary one of this machine where none is set."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base}/{uuid.uuid4().hex}" if base else f"file://{tempfile.mkdtemp(prefix='areapanel-')}"
+    """A new folder that all executors share."""
+    return new_path(spark, "tables")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders")
@@ -342,40 +338,50 @@ def s12_write_report(spark, d):
 # --- streams ---------------------------------------------------------------------------------------------------
 
 
-def _stream(spark, d):
-    e = table(spark, d, "events")
-    return spark.readStream.schema(e.schema).option("pathGlobFilter", "*.parquet").parquet(f"{d.rstrip('/')}/events.parque[t]").select("event_id", F.lpad(F.col("user_id").cast("string"), 11, "0").alias("area_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("category"))
+#: Four arrivals by time; every 7th event comes one arrival late, every 13th comes again with the next.
+_BATCH = "CAST(floor(4 * epoch(ts - lo) / (epoch(hi - lo) + 1)) AS INTEGER)"
+_ARRIVALS = f"""ar AS (SELECT ev.*, {_BATCH} + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS batch FROM ev CROSS JOIN (SELECT min(ts) AS lo, max(ts) AS hi FROM ev)
+ UNION ALL SELECT ev.*, {_BATCH} + 1 FROM ev CROSS JOIN (SELECT min(ts) AS lo, max(ts) AS hi FROM ev) WHERE event_id % 13 = 0),
+ wm AS (SELECT b AS batch, (SELECT max(ts) FROM ar WHERE batch < b) - INTERVAL 1 HOUR AS mark FROM range(6) r(b))"""
 
 
-def _finish(spark, stream, mode: str):
-    """Run a stream over what there is and return its output."""
+def _replayed(spark, d, make):
+    """What a stream has written after all arrivals, each after a restart, and one restart more."""
+    e = events(spark, d).select("event_id", "area_id", F.col("ts").cast("timestamp").alias("ts"), "category")
+    ends = e.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    seconds = lambda c: F.unix_micros(c) / 1e6
+    at = F.floor(4 * (seconds(F.col("ts")) - seconds(F.col("lo"))) / (seconds(F.col("hi")) - seconds(F.col("lo")) + 1)).cast("int")
+    rows = e.crossJoin(F.broadcast(ends)).withColumn("batch", at).drop("lo", "hi")
+    rows = rows.withColumn("batch", F.col("batch") + (F.col("event_id") % 7 == 0).cast("int")).unionByName(rows.where("event_id % 13 = 0").withColumn("batch", F.col("batch") + 1))
     path = _folder(spark)
-    if mode == "append":
-        stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").outputMode("append").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
-        return spark.read.schema(stream.schema).parquet(f"{path}/out")
-    write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/out")
-    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/out")
+    live = lambda: make(spark.readStream.schema(e.schema).parquet(f"{path}/in"))
+    jobs.replay([rows.where(F.col("batch") == k).drop("batch") for k in range(5)], f"{path}/in", lambda: jobs.append_to(live(), f"{path}/out", f"{path}/checkpoint"))
+    return spark.read.schema(live().schema).parquet(f"{path}/out")
 
 
-@query("SELECT lpad(CAST(user_id AS VARCHAR), 11, '0') AS area_id, strftime(time_bucket(INTERVAL 3 HOUR, ts), '%Y-%m-%d %H') AS start, count(*) AS n FROM events GROUP BY ALL")
+@query(f"WITH {EV}, {_ARRIVALS} SELECT area_id, strftime(time_bucket(INTERVAL 3 HOUR, ts), '%Y-%m-%d %H') AS start, count(*) AS n FROM ar JOIN wm USING (batch) WHERE (mark IS NULL OR time_bucket(INTERVAL 3 HOUR, ts) + INTERVAL 3 HOUR > mark) AND time_bucket(INTERVAL 3 HOUR, ts) + INTERVAL 3 HOUR <= (SELECT max(mark) FROM wm) GROUP BY ALL")
 def st1_tumbling_counts(spark, d):
-    return _finish(spark, jobs.tumbling_counts(_stream(spark, d)), "complete").select("area_id", F.date_format("start", "yyyy-MM-dd HH").alias("start"), "n")
+    """Rows that come after their window has closed are dropped; windows that are open at the end aren't written yet."""
+    return _replayed(spark, d, jobs.tumbling_counts).select("area_id", F.date_format("start", "yyyy-MM-dd HH").alias("start"), "n")
 
 
 @query("SELECT event_id, event_type AS category FROM events")
 def st2_once_by_id(spark, d):
-    return _finish(spark, jobs.once_by_id(_stream(spark, d)), "append").select("event_id", "category")
+    """Late and repeated rows over five restarts: every event once."""
+    return _replayed(spark, d, lambda s: jobs.once_by_id(s, late="3650 days")).select("event_id", "category")
 
 
 @query("WITH e AS (SELECT lpad(CAST(user_id AS VARCHAR), 11, '0') AS area_id, max(event_id) AS event_id FROM events GROUP BY ALL) SELECT * FROM e")
 def st3_upsert(spark, d):
+    """Five batches into a table of versions, some of them twice."""
+    e = events(spark, d).select("area_id", "event_id")
     path = _folder(spark)
-    rows = _stream(spark, d).select("area_id", "event_id")
-    jobs.upsert_stream(rows, f"{path}/table", ["area_id"], ["event_id"], f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    stream = lambda: spark.readStream.schema(e.schema).parquet(f"{path}/in")
+    start = lambda: jobs.upsert_stream(stream(), f"{path}/table", ["area_id"], ["event_id"], f"{path}/checkpoint").trigger(availableNow=True).start()
+    jobs.replay([e.where(F.pmod(F.xxhash64("event_id"), F.lit(5)) == k) for k in range(5)], f"{path}/in", start)
     return jobs.current(spark, f"{path}/table")
 
 
-@query("WITH w AS (SELECT event_type AS category, time_bucket(INTERVAL 1 HOUR, ts) - k * INTERVAL 1 HOUR AS start FROM events CROSS JOIN range(6) r(k)) SELECT category, strftime(start, '%Y-%m-%d %H') AS start, count(*) AS n FROM w GROUP BY ALL")
+@query(f"WITH {EV}, {_ARRIVALS}, w AS (SELECT category, batch, time_bucket(INTERVAL 1 HOUR, ts) - k * INTERVAL 1 HOUR AS start FROM ar CROSS JOIN range(6) r(k)) SELECT category, strftime(start, '%Y-%m-%d %H') AS start, count(*) AS n FROM w JOIN wm USING (batch) WHERE (mark IS NULL OR start + INTERVAL 6 HOUR > mark) AND start + INTERVAL 6 HOUR <= (SELECT max(mark) FROM wm) GROUP BY ALL")
 def st4_sliding_counts(spark, d):
-    return _finish(spark, jobs.sliding_counts(_stream(spark, d), area="category"), "complete").select("category", F.date_format("start", "yyyy-MM-dd HH").alias("start"), "n")
+    return _replayed(spark, d, lambda s: jobs.sliding_counts(s, area="category")).select("category", F.date_format("start", "yyyy-MM-dd HH").alias("start"), "n")
