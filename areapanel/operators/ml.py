@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import save
 from .evaluate import average_precision, best_threshold, classification_metrics, roc_auc, time_folds
 from .scan import scan
 
@@ -44,22 +47,34 @@ def _score(df: DataFrame, out: str) -> DataFrame:
     return df.withColumn(out, p).drop("probability", "rawPrediction", "prediction")
 
 
-def oof_predict(df: DataFrame, stages: list, models: dict, folds: int, keys: list[str], date: str = "date", label: str = "label") -> DataFrame:
+def _fit_all(fits: list, at_once: int) -> list:
+    """What the functions return, in their order; ``at_once`` of them run side by side, each a series of Spark jobs."""
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        return list(pool.map(lambda f: f(), fits))
+
+
+def oof_predict(df: DataFrame, stages: list, models: dict, folds: int, keys: list[str], date: str = "date", label: str = "label", at_once: int = 4) -> DataFrame:
     """Out-of-fold scores of each model over expanding time folds: ``keys``, label, ``p_<model>``; rows of the first run are left out.
 
-    The driver loops over folds and models; keep both few.
+    The features of each fold are made once and kept in the shared folder;
+    ``at_once`` models are fitted side by side on them.  There are as many fits
+    as folds times models; keep both few.
     """
     with_folds = time_folds(df, folds, date)
-    out = None
+    kept = [*dict.fromkeys([*keys, label]), "features"]
+    ready = []
     for k in range(1, folds + 1):
         train, test = with_folds.where(F.col("fold") < k), with_folds.where(F.col("fold") == k)
         prepared = Pipeline(stages=stages).fit(train)
-        a, b = prepared.transform(train), prepared.transform(test).select(*keys, label, "features")
-        for name, model in models.items():
-            b = _score(model.copy({}).setLabelCol(label).fit(a).transform(b), f"p_{name}")
+        ready.append((save(prepared.transform(train).select(label, "features"), "fold-train"), save(prepared.transform(test).select(*kept), "fold-test")))
+    fitted = iter(_fit_all([lambda m=m, a=a: m.copy({}).setLabelCol(label).fit(a) for a, _ in ready for m in models.values()], at_once))
+    out = None
+    for _, b in ready:
+        for name in models:
+            b = _score(next(fitted).transform(b), f"p_{name}")
         part = b.drop("features")
         out = part if out is None else out.unionByName(part)
-    return out
+    return save(out, "fold-scores")
 
 
 def fit_meta(oof: DataFrame, label: str = "label") -> PipelineModel:
@@ -83,25 +98,39 @@ class Stack:
         return _score(self.meta.transform(out.drop("features")), "score").select(*keep, "score")
 
     def save(self, path: str) -> None:
+        """All models, their names and the threshold."""
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(list(self.models), float(self.threshold))], "models array<string>, threshold double").coalesce(1).write.mode("overwrite").json(f"{path}/stack")
         self.prepared.write().overwrite().save(f"{path}/prepared")
         self.meta.write().overwrite().save(f"{path}/meta")
         for name, model in self.models.items():
             PipelineModel([model]).write().overwrite().save(f"{path}/model_{name}")
 
     @classmethod
-    def load(cls, path: str, names: list[str], threshold: float) -> Stack:
-        models = {n: PipelineModel.load(f"{path}/model_{n}").stages[0] for n in names}
-        return cls(PipelineModel.load(f"{path}/prepared"), models, PipelineModel.load(f"{path}/meta"), threshold)
+    def load(cls, path: str, names: list[str] | None = None, threshold: float | None = None) -> Stack:
+        """A saved stack; ``names`` and ``threshold`` replace those that were saved with it."""
+        kept = SparkSession.getActiveSession().read.schema("models array<string>, threshold double").json(f"{path}/stack").first()
+        models = {n: PipelineModel.load(f"{path}/model_{n}").stages[0] for n in (kept.models if names is None else names)}
+        return cls(PipelineModel.load(f"{path}/prepared"), models, PipelineModel.load(f"{path}/meta"), kept.threshold if threshold is None else threshold)
+
+    def decide(self, df: DataFrame) -> DataFrame:
+        """The input's columns, ``score`` and ``predicted`` (1 if the score reaches the threshold)."""
+        return self.score(df).withColumn("predicted", (F.col("score") >= self.threshold).cast("int"))
 
 
-def fit_stack(df: DataFrame, stages: list, models: dict, folds: int, keys: list[str], date: str = "date", label: str = "label") -> Stack:
-    """Out-of-fold scores, meta model and threshold from them, then all base models on all rows."""
-    oof = oof_predict(df, stages, models, folds, keys, date, label)
+def fit_stack(df: DataFrame, stages: list, models: dict, folds: int, keys: list[str], date: str = "date", label: str = "label", at_once: int = 4) -> Stack:
+    """Out-of-fold scores, meta model and threshold from them, then all base models on all rows, ``at_once`` of them side by side.
+
+    The rows are computed once and kept in the shared folder.
+    """
+    df = save(df, "stack-rows")
+    oof = oof_predict(df, stages, models, folds, keys, date, label, at_once)
     meta = fit_meta(oof, label)
     threshold = best_threshold(_score(meta.transform(oof), "score"), label=label).first().threshold
     prepared = Pipeline(stages=stages).fit(df)
-    ready = prepared.transform(df)
-    return Stack(prepared, {n: m.copy({}).setLabelCol(label).fit(ready) for n, m in models.items()}, meta, threshold)
+    ready = save(prepared.transform(df).select(label, "features"), "stack-features")
+    fitted = _fit_all([lambda m=m: m.copy({}).setLabelCol(label).fit(ready) for m in models.values()], at_once)
+    return Stack(prepared, dict(zip(models, fitted, strict=True)), meta, threshold)
 
 
 def model_metrics(scored: DataFrame, label: str = "label") -> DataFrame:

@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import clip, logit, poisson_any, sigmoid
-from .aggregate import category_share, daily_from_hourly
-from .binning import risk_level
+from ..shared import save
+from .aggregate import category_share
+from .binning import equal_width, quantile_range, risk_level
 from .enrich import lookup_fallback
 from .project import dedupe
 from .scan import quantiles
-from .windows import decile, rank_pct
+from .spatial import count_within
+from .windows import decile, rank_pct, top_k_per_group
 
 
 def poisson_baseline(events: DataFrame, window_days: int | None = None, area: str = "area_id", hour: str = "hour", date: str = "date") -> tuple[DataFrame, DataFrame]:
@@ -77,10 +79,59 @@ def hourly_risk(scored: DataFrame, events: DataFrame, threshold: float, tie: str
     return expected_count(ranked, fine, coarse)
 
 
-def daily_risk(hourly: DataFrame, threshold: float) -> DataFrame:
-    """Chance of any event in the day, its level and decile."""
-    daily = daily_from_hourly(hourly, ["area_id", "date"])
-    return decile(risk_level(daily, "any_score", threshold), "any_score", "_tie") if "_tie" in daily.columns else decile(risk_level(daily.withColumn("_tie", F.concat_ws("|", "area_id", F.col("date").cast("string"))), "any_score", threshold), "any_score", "_tie").drop("_tie")
+def daily_level(score: Column, threshold: float, q80: Column, q90: Column) -> Column:
+    """critical and high need the threshold (0.8 of it) and the 90th (80th) percentile; medium needs half the threshold."""
+    return F.when(score >= F.greatest(F.lit(threshold), q90), "critical").when(score >= F.greatest(F.lit(0.8 * threshold), q80), "high").when(score >= 0.5 * threshold, "medium").otherwise("low")
+
+
+def daily_risk(hourly: DataFrame, threshold: float, types: DataFrame | None = None, k: int = 3) -> DataFrame:
+    """A row for each area and day of an hourly risk table (``area_id``, ``date``, ``score``, ``expected_count``).
+
+    ``any_score``: chance of any event in the day (to twelve digits, so that the
+    order of its factors doesn't matter); ``expected_count`` of the day; ``level``
+    (:func:`daily_level`); ``decile``.  With ``types`` (``area_id``, ``date``,
+    ``category``, ``category_expected``: what is expected of the commonest
+    categories of each hour) also ``top1`` to ``topk`` of the day by their sums,
+    with ``_expected`` and the ``_chance`` of any; null where a day has fewer.
+    """
+    p = clip(F.coalesce(F.col("score"), F.lit(0.0)), 0.0, 1.0)
+    daily = hourly.groupBy("area_id", "date").agg(F.round(1 - F.product(1 - p), 12).alias("any_score"), F.sum("expected_count").alias("expected_count"))
+    q = quantiles(daily, {"any_score": [0.8, 0.9]}).select(F.get("any_score", F.lit(0)).alias("_q80"), F.get("any_score", F.lit(1)).alias("_q90"))
+    levels = daily.crossJoin(F.broadcast(q)).withColumn("level", daily_level(F.col("any_score"), threshold, F.col("_q80"), F.col("_q90"))).drop("_q80", "_q90")
+    out = decile(levels.withColumn("_tie", F.concat_ws("|", "area_id", F.col("date").cast("string"))), "any_score", "_tie").drop("_tie")
+    if types is None:
+        return out
+    keys = ["area_id", "date"]
+    sums = types.where("category <> ''").groupBy(*keys, "category").agg(F.sum("category_expected").alias("_e"))
+    ranked = top_k_per_group(sums, keys, [F.desc(F.round("_e", 12)), F.asc("category")], k)
+    pick = lambda i, c: F.max(F.when(F.col("rank") == i, c))
+    wide = ranked.groupBy(*keys).agg(*[x for i in range(1, k + 1) for x in (pick(i, F.col("category")).alias(f"top{i}"), pick(i, F.col("_e")).alias(f"top{i}_expected"), pick(i, poisson_any(F.col("_e"))).alias(f"top{i}_chance"))])
+    return out.join(wide, keys, "left")
+
+
+def place_features(places: DataFrame, type_risk: DataFrame, areas: DataFrame, radii: list[float] = (), bins: int = 5, none: str = "No_POI") -> DataFrame:
+    """What lies in and around each area: a row for each of ``areas`` (``area_id``, ``lat``, ``lon``).
+
+    ``places``: ``poi_id``, ``area_id``, ``poi_type``, ``lat``, ``lon``; ``type_risk``:
+    ``poi_type``, ``risk`` (a type without one has 0).  In the area: ``poi_count``,
+    ``poi_risk`` (sum), ``poi_type`` (the commonest, the least of those; ``none``
+    without any), and the ranges ``poi_count_range``, ``poi_risk_range`` (by
+    quantile) and ``poi_count_class`` (of equal width).  Around its middle:
+    ``within_<r>`` places and ``sum_<r>`` of their risks.
+    """
+    rated = places.join(type_risk.select("poi_type", F.col("risk").cast("double").alias("_risk")), "poi_type", "left").fillna(0.0, subset=["_risk"])
+    kinds = rated.where(F.col("poi_type").isNotNull() & (F.col("poi_type") != "")).groupBy("area_id", "poi_type").agg(F.count(F.lit(1)).alias("_n"))
+    commonest = kinds.groupBy("area_id").agg(F.min(F.struct((-F.col("_n")).alias("_n"), "poi_type")).alias("_m")).select("area_id", F.col("_m.poi_type").alias("poi_type"))
+    inside = rated.groupBy("area_id").agg(F.count(F.lit(1)).alias("poi_count"), F.sum("_risk").alias("poi_risk"))
+    out = areas.select("area_id").join(inside, "area_id", "left").fillna(0, subset=["poi_count", "poi_risk"]).join(commonest, "area_id", "left").fillna(none, subset=["poi_type"])
+    out = save(out, "place-features")
+    out = quantile_range(quantile_range(out, "poi_count", bins), "poi_risk", bins)
+    out = equal_width(out, "poi_count", bins, "poi_count_class")
+    if radii:
+        there = rated.select(F.col("poi_id").alias("dst_id"), F.col("lat").alias("dst_lat"), F.col("lon").alias("dst_lon"), "_risk")
+        around = count_within(areas.select(F.col("area_id").alias("src_id"), "lat", "lon"), there, list(radii), "_risk")
+        out = out.join(around.withColumnRenamed("src_id", "area_id"), "area_id")
+    return out
 
 
 def reason_codes(df: DataFrame, rules: list[tuple[str, str, float]], most: int = 5, out: str = "reasons") -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import numbers
-from ..operators import aggregate, binning, evaluate, forecast, ml, panel, risk, spatial, topk, windows
+from ..operators import aggregate, binning, clean, evaluate, forecast, ml, panel, risk, spatial, topk, windows
 from ..shared import new_path
 from ..sources import tables
 from ..streaming import jobs
 from .features import _HAV, _dst, _src
-from .registry import DP, ED, EV, PO, dated, events, query, rounded, table, user_edges
+from .registry import DP, ED, EV, PO, dated, events, pois, query, rounded, table, user_edges
 
 # --- risk ------------------------------------------------------------------------------------------------------
 
@@ -84,6 +84,48 @@ def r09_poi_type_risk(spark, d):
     return rounded(binning.scale_to(n, "m").select("poi_type", F.col("scaled").alias("risk")), 2)
 
 
+_RANGE = "CASE WHEN len({e}) < 2 THEN CAST(CAST(trunc({e}[1]) AS INTEGER) AS VARCHAR) ELSE CAST(CAST(trunc({e}[{b}]) AS INTEGER) AS VARCHAR) || '-' || CAST(CAST(trunc({e}[{b} + 1]) AS INTEGER) AS VARCHAR) END".format
+_EDGES = "list_sort(list_distinct(quantile_cont({c}, [0, 0.2, 0.4, 0.6, 0.8, 1.0])))".format
+_BIN = "greatest(1, len(list_filter({e}, lambda x: x < {c})))".format
+
+
+@dated(f"""WITH {_HOURLY}, x AS (SELECT r.area_id, date, r.hour, score, {_EXP} AS e FROM r LEFT JOIN fine f ON f.area_id = r.area_id AND f.hour = r.hour LEFT JOIN coarse c ON c.hour = r.hour),
+ ct AS (SELECT area_id, category, count(*) AS n FROM ev GROUP BY ALL), sh AS (SELECT *, n / sum(n) OVER (PARTITION BY area_id) AS share, row_number() OVER (PARTITION BY area_id ORDER BY n DESC, category) AS place FROM ct),
+ ts AS (SELECT area_id, date, category, sum(e * share) AS lam FROM x JOIN sh USING (area_id) WHERE place <= 3 GROUP BY ALL), tr AS (SELECT *, row_number() OVER (PARTITION BY area_id, date ORDER BY round(lam, 12) DESC, category) AS k FROM ts),
+ w AS (SELECT area_id, date, max(CASE WHEN k = 1 THEN category END) AS top1, max(CASE WHEN k = 1 THEN lam END) AS l1, max(CASE WHEN k = 2 THEN category END) AS top2, max(CASE WHEN k = 2 THEN lam END) AS l2, max(CASE WHEN k = 3 THEN category END) AS top3, max(CASE WHEN k = 3 THEN lam END) AS l3 FROM tr GROUP BY ALL),
+ dy AS (SELECT area_id, date, round(1 - product(1 - score), 12) AS s, sum(e) AS e FROM x GROUP BY ALL), qd AS (SELECT quantile_cont(s, 0.8) AS a, quantile_cont(s, 0.9) AS b FROM dy), rk AS (SELECT *, row_number() OVER (ORDER BY s, area_id || '|' || CAST(date AS VARCHAR)) AS k, count(*) OVER () AS n FROM dy)
+ SELECT area_id, date, round(s, 6) AS any_score, round(e, 6) AS expected_count, CASE WHEN s >= greatest(0.66::DOUBLE, qd.b) THEN 'critical' WHEN s >= greatest(0.8::DOUBLE * 0.66::DOUBLE, qd.a) THEN 'high' WHEN s >= 0.33::DOUBLE THEN 'medium' ELSE 'low' END AS level, CAST(greatest(1, (10 * (k - 1) + n - 2) // (n - 1)) AS INTEGER) AS decile,
+ top1, round(l1, 6) AS top1_expected, round(1 - exp(-l1), 6) AS top1_chance, top2, round(l2, 6) AS top2_expected, round(1 - exp(-l2), 6) AS top2_chance, top3, round(l3, 6) AS top3_expected, round(1 - exp(-l3), 6) AS top3_chance
+ FROM rk CROSS JOIN qd LEFT JOIN w USING (area_id, date)""")
+def r07_daily_risk_table(spark, d):
+    """The hourly risk table rolled up to days: level, decile, and the day's three likeliest categories."""
+    e = events(spark, d)
+    hourly = risk.hourly_risk(e.select("event_id", "area_id", "date", "hour", "score"), e, 0.66)
+    types = risk.top_category_risk(hourly, e, ["area_id"])
+    return rounded(risk.daily_risk(hourly, 0.66, types))
+
+
+@query(f"""WITH {EV}, {PO}, tr AS (SELECT poi_type, avg(weight) AS risk FROM po WHERE CAST(poi_type AS INTEGER) % 5 > 0 GROUP BY poi_type),
+ ar AS (SELECT 'cell_' || r || '_' || c AS area_id, 37.70::DOUBLE + r * 0.01::DOUBLE + 0.005::DOUBLE AS lat, -122.51::DOUBLE + c * 0.01::DOUBLE + 0.005::DOUBLE AS lon FROM range(10) x(r) CROSS JOIN range(12) y(c)),
+ pl AS (SELECT po.*, 'cell_' || CAST(floor((lat - 37.70::DOUBLE) * 100 + 1e-9) AS INTEGER) || '_' || CAST(floor((lon + 122.51::DOUBLE) * 100 + 1e-9) AS INTEGER) AS area_id, coalesce(risk, 0) AS risk FROM po LEFT JOIN tr USING (poi_type)),
+ ins AS (SELECT area_id, count(*) AS n, sum(risk) AS s FROM pl GROUP BY area_id), md AS (SELECT area_id, arg_min(poi_type, (-n, poi_type)) AS kind FROM (SELECT area_id, poi_type, count(*) AS n FROM pl GROUP BY ALL) GROUP BY area_id),
+ b AS (SELECT ar.area_id, coalesce(n, 0) AS n, coalesce(s, 0) AS s, coalesce(kind, 'No_POI') AS kind FROM ar LEFT JOIN ins USING (area_id) LEFT JOIN md USING (area_id)),
+ e AS (SELECT {_EDGES(c="n")} AS en, {_EDGES(c="s")} AS es, min(n) AS lo, max(n) AS hi FROM b),
+ rd AS (SELECT ar.area_id, count(CASE WHEN {_HAV('ar', 'pl')} <= 300 THEN 1 END) AS within_300, count(CASE WHEN {_HAV('ar', 'pl')} <= 900 THEN 1 END) AS within_900, coalesce(sum(CASE WHEN {_HAV('ar', 'pl')} <= 300 THEN risk END), 0) AS sum_300, coalesce(sum(CASE WHEN {_HAV('ar', 'pl')} <= 900 THEN risk END), 0) AS sum_900 FROM ar CROSS JOIN pl GROUP BY ar.area_id)
+ SELECT area_id, n AS poi_count, round(s, 4) AS poi_risk, kind AS poi_type, {_RANGE(e="en", b=_BIN(e="en", c="n"))} AS poi_count_range, {_RANGE(e="es", b=_BIN(e="es", c="s"))} AS poi_risk_range, CASE WHEN hi = lo THEN 1 ELSE CAST(greatest(1, ceil((n - lo) / (hi - lo) * 5)) AS INTEGER) END AS poi_count_class,
+ within_300, within_900, round(sum_300, 4) AS sum_300, round(sum_900, 4) AS sum_900 FROM b CROSS JOIN e JOIN rd USING (area_id)""")
+def r10_place_features(spark, d):
+    """Square areas: places in them, the commonest type, ranges, and what lies within two radii of their middles."""
+    p = table(spark, d, "supplier").select(F.col("s_suppkey").alias("poi_id")).join(pois(spark, d), "poi_id")
+    name = lambda r, c: F.concat_ws("_", F.lit("cell"), r, c)
+    cell = lambda c, low: F.floor((F.col(c) - low) * 100 + 1e-9).cast("int")
+    places = p.withColumn("area_id", name(cell("lat", 37.70), cell("lon", -122.51)))
+    grid = spark.range(0, 120, 1, 1).select((F.col("id") / 12).cast("int").alias("r"), (F.col("id") % 12).cast("int").alias("c"))
+    areas = grid.select(name(F.col("r"), F.col("c")).alias("area_id"), (F.lit(37.70) + F.col("r") * F.lit(0.01) + 0.005).alias("lat"), (F.lit(-122.51) + F.col("c") * F.lit(0.01) + 0.005).alias("lon"))
+    ratings = p.where(F.col("poi_type").cast("int") % 5 > 0).groupBy("poi_type").agg(F.avg("weight").alias("risk"))
+    return rounded(risk.place_features(places, ratings, areas, [300, 900]), 4)
+
+
 @query(f"WITH {EV}, {PO}, a AS (SELECT area_id, avg(lat) AS lat, avg(lon) AS lon FROM ev GROUP BY area_id) SELECT area_id, count(CASE WHEN {_HAV('a', 'po')} <= 500 THEN 1 END) AS poi_count, round(coalesce(sum(CASE WHEN {_HAV('a', 'po')} <= 500 THEN weight END), 0), 4) AS poi_risk FROM a CROSS JOIN po GROUP BY area_id")
 def r10_poi_features(spark, d):
     a = spatial.event_centroids(events(spark, d)).withColumnRenamed("area_id", "src_id")
@@ -108,6 +150,31 @@ def r14_clean_panel(spark, d):
     return aggregate.group_rare(e, "category", 0.2, 100).groupBy("area_id", "date", F.col("category_grouped").alias("category")).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Rows as they come from files: keys with words around them, spaced and shouted categories, numbers and truth as text.
+_RAW = """raw AS (SELECT event_id, 'SF ' || area_id || ' x' AS area_id, CAST(date AS VARCHAR) AS date, ' ' || upper(category) || ' ' AS category, CASE WHEN event_id % 5 > 0 THEN event_id % 4 || '.6' END AS event_count,
+ CASE event_id % 6 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no' WHEN 2 THEN 'TRUE' WHEN 3 THEN ' evet ' WHEN 4 THEN 'maybe' END AS is_near, CASE WHEN event_id % 7 > 0 THEN CAST(value AS VARCHAR) ELSE 'n/a' END AS distance, CASE WHEN event_id % 3 > 0 THEN CAST(event_id % 5 AS VARCHAR) END AS distance_range,
+ CASE WHEN event_id % 2 > 0 THEN CAST(value AS VARCHAR) END AS population, CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE category END AS kind FROM ev WHERE category <> 'error' OR event_id % 20 = 0)"""
+
+
+@dated(f"""WITH {EV}, {_RAW}, c AS (SELECT event_id, regexp_extract(area_id, '[0-9]+') AS area_id, CAST(date AS DATE) AS date, upper(left(trim(category), 1)) || lower(substr(trim(category), 2)) AS category, CAST(round(coalesce(CAST(event_count AS DOUBLE), 0)) AS BIGINT) AS event_count,
+ CASE WHEN event_id % 6 IN (0, 2, 3) THEN 1 ELSE 0 END AS is_near, coalesce(TRY_CAST(distance AS DOUBLE), 9999) AS distance, coalesce(CAST(distance_range AS BIGINT), (SELECT max(CAST(distance_range AS BIGINT)) FROM raw)) AS distance_range, coalesce(CAST(population AS DOUBLE), (SELECT median(CAST(population AS DOUBLE)) FROM raw)) AS population, coalesce(nullif(kind, ''), 'None') AS kind FROM raw),
+ k AS (SELECT category, count(*) AS t FROM c GROUP BY ALL), g AS (SELECT c.*, CASE WHEN t >= 0.1::DOUBLE * (SELECT sum(t) FROM k) AND t >= 50 THEN category ELSE 'Other' END AS category_grouped FROM c JOIN k USING (category)),
+ y AS (SELECT area_id, category_grouped, date, sum(event_count) AS n FROM g GROUP BY ALL),
+ z AS (SELECT a.area_id, a.category_grouped, a.date, coalesce(sum(CASE WHEN b.date >= a.date - 7 THEN b.n END), 0) AS nr_7d, coalesce(sum(b.n), 0) AS nr_14d FROM y a LEFT JOIN y b ON b.area_id = a.area_id AND b.category_grouped = a.category_grouped AND b.date BETWEEN a.date - 14 AND a.date - 1 GROUP BY ALL)
+ SELECT event_id, g.area_id, g.date, category, g.category_grouped, event_count, is_near, distance, distance_range, population, kind, CAST(nr_7d AS DOUBLE) AS nr_7d, CAST(nr_14d AS DOUBLE) AS nr_14d, CASE g.category_grouped WHEN 'Click' THEN round((distance + event_count) / 2, 6) WHEN 'View' THEN round(population, 6) ELSE 0 END AS externals_score FROM g JOIN z USING (area_id, category_grouped, date)""")
+def r14_clean_rows(spark, d):
+    """The whole cleaning step over rows as files have them."""
+    e, k = events(spark, d), F.col("event_id")
+    raw = e.where("category <> 'error' or event_id % 20 = 0").select(
+        "event_id", F.concat(F.lit("SF "), "area_id", F.lit(" x")).alias("area_id"), F.col("date").cast("string").alias("date"), F.concat(F.lit(" "), F.upper("category"), F.lit(" ")).alias("category"),
+        F.when(k % 5 > 0, F.concat((k % 4).cast("string"), F.lit(".6"))).alias("event_count"), F.when(k % 6 == 0, "Yes").when(k % 6 == 1, "no").when(k % 6 == 2, "TRUE").when(k % 6 == 3, " evet ").when(k % 6 == 4, "maybe").alias("is_near"),
+        F.when(k % 7 > 0, F.col("value").cast("string")).otherwise("n/a").alias("distance"), F.when(k % 3 > 0, (k % 5).cast("string")).alias("distance_range"), F.when(k % 2 > 0, F.col("value").cast("string")).alias("population"),
+        F.when(k % 4 == 0, "").when(k % 4 > 1, F.col("category")).alias("kind"),
+    )
+    out = clean.clean_panel(raw, counts=["event_count"], flags=["is_near"], distances=["distance"], distance_ranges=["distance_range"], medians=["population"], kinds=["kind"], externals={"Click": ["distance", "event_count"], "View": ["population"]}, min_share=0.1, min_count=50)
+    return out.withColumn("externals_score", F.round("externals_score", 6) + F.lit(0.0))
+
+
 @dated(f"WITH {DP}, {ED}, p AS (SELECT area_id, date, event_count, label, CAST(sum(event_count) OVER (PARTITION BY area_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS BIGINT) AS prior_7 FROM dp), s AS (SELECT ed.area_id, date, sum(event_count) AS neighbor_event_count FROM ed JOIN dp ON dp.area_id = ed.neighbor GROUP BY ALL), v AS (SELECT area_id, avg(value) AS mean_value FROM ev GROUP BY ALL) SELECT p.area_id, p.date, p.event_count, p.label, p.prior_7, CAST(neighbor_event_count AS BIGINT) AS neighbor_event_count, round(mean_value, 6) AS mean_value FROM p LEFT JOIN s ON s.area_id = p.area_id AND s.date = p.date LEFT JOIN v ON v.area_id = p.area_id")
 def r15_assemble_features(spark, d):
     from ..operators import enrich
@@ -220,12 +287,12 @@ def _training(spark, d):
 
 @query()
 def m01_m06_m09_stack(spark, d):
-    """Expanding folds, meta model and scores of the stack over the whole panel."""
+    """All learners over three expanding folds, meta model and threshold; saved, loaded, and the whole panel scored and decided."""
     stages = ml.preprocessor(["prior_3", "prior_7"], ["dow"], [])
-    models = {k: v for k, v in ml.base_models().items() if k in ("lr", "svc")}
     train = _training(spark, d)
-    stack = ml.fit_stack(train, stages, models, 2, ["area_id", "date"])
-    return rounded(stack.score(train).select("area_id", "date", "label", "score"))
+    path = _folder(spark)
+    ml.fit_stack(train, stages, ml.base_models(), 3, ["area_id", "date"]).save(path)
+    return rounded(ml.Stack.load(path).decide(train).select("area_id", "date", "label", "score", "predicted"))
 
 
 @query()
@@ -291,11 +358,43 @@ def h04_score_horizon(spark, d):
     return rounded(g.groupBy("area_id", F.to_date("ts").alias("date")).agg(F.avg("score").alias("mean_score")))
 
 
+def _table_sql(horizon, keys, k):
+    """A forecast table in SQL: scores by the mean number at area and hour, shares by ``keys``, reasons by value."""
+    slot = {"24h": "g.hour", "7d": "g.hour // 3 * 3", "365d": "NULL"}[horizon]
+    on = " AND ".join(f"sh.{c} = t.{c}" for c in keys)
+    names = ", ".join(keys)
+    return f"""(WITH {_grid_sql(horizon)}, r AS (SELECT area_id, hour, count(*) / 30.0::DOUBLE AS r FROM ev GROUP BY ALL),
+ s AS (SELECT g.area_id, CAST(g.ts AS DATE) AS date, CAST({slot} AS INTEGER) AS hour, g.value, 1 - exp(-coalesce(r.r, 0)) AS score FROM g LEFT JOIN r ON r.area_id = g.area_id AND r.hour = g.hour),
+ tb AS (SELECT area_id, date, hour, avg(score) AS score, sum(score) AS e, avg(value) AS value FROM s GROUP BY ALL), md AS (SELECT median(value) AS v FROM tb),
+ k AS (SELECT *, row_number() OVER (ORDER BY round(score, 12), concat_ws('|', area_id, CAST(date AS VARCHAR), CAST(hour AS VARCHAR))) AS k, count(*) OVER () AS n FROM tb), dc AS (SELECT *, CAST(greatest(1, (10 * (k - 1) + n - 2) // (n - 1)) AS INTEGER) AS decile FROM k),
+ ct AS (SELECT {names}, category, count(*) AS n FROM ev GROUP BY ALL), pl AS (SELECT *, n / sum(n) OVER (PARTITION BY {names}) AS share, row_number() OVER (PARTITION BY {names} ORDER BY n DESC, category) AS place FROM ct),
+ sh AS (SELECT {names}, list(category ORDER BY place) AS c, list(share ORDER BY place) AS p FROM pl WHERE place <= {k} GROUP BY {names}),
+ al AS (SELECT list(category ORDER BY n DESC, category) AS c, list(n / t ORDER BY n DESC, category) AS p FROM (SELECT category, count(*) AS n, sum(count(*)) OVER () AS t FROM ev GROUP BY category ORDER BY n DESC, category LIMIT {k}))
+ SELECT '{horizon}' AS horizon, t.area_id, date, t.hour, round(score, 6) AS score, round(e, 6) AS expected_count, decile, CASE WHEN decile <= 3 THEN 'low' WHEN decile <= 7 THEN 'medium' ELSE 'high' END AS level, array_to_string(coalesce(sh.c, al.c), ';') AS categories, round(coalesce(sh.p, al.p)[1] * score, 6) AS top1_chance, round(coalesce(sh.p, al.p)[1] * e, 6) AS top1_expected,
+ concat_ws('; ', CASE WHEN value > 1.1::DOUBLE * md.v THEN 'high value' END, CASE WHEN value < 0.9::DOUBLE * md.v THEN 'low value' END) AS reasons FROM dc t CROSS JOIN md CROSS JOIN al LEFT JOIN sh ON {on})"""
+
+
+def _detailed(spark, d):
+    e = events(spark, d)
+    scored = {h: forecast.baseline_score(_grid(spark, d, h), e, 30, ["area_id", "hour"]).withColumn("expected_count", F.col("score")) for h in forecast.HORIZONS}
+    return forecast.detailed_tables(scored, e, [("value", "high value", 1.1), ("value", "low value", -0.9)])
+
+
+@dated(" UNION ALL ".join(f"SELECT * FROM {_table_sql(h, keys, k)}" for h, (k, keys) in forecast.TABLES.items()))
+def h03_detailed_tables(spark, d):
+    """All three forecast tables with their categories and reasons, one after the other."""
+    parts = []
+    for horizon, t in _detailed(spark, d).items():
+        hour = F.col("hour") if "hour" in t.columns else F.lit(None)
+        names, first = F.array_join(F.transform("top", lambda x: x["category"]), ";"), F.col("top")[0]
+        parts.append(t.select(F.lit(horizon).alias("horizon"), "area_id", "date", hour.cast("int").alias("hour"), "score", "expected_count", "decile", "level", names.alias("categories"), first["chance"].alias("top1_chance"), first["expected"].alias("top1_expected"), "reasons"))
+    return rounded(topk.union_all(parts))
+
+
 @query('SELECT event_type AS "column", round(sum(value), 4) AS total FROM events GROUP BY ALL ORDER BY total DESC, "column" LIMIT 3')
 def h05_top_types(spark, d):
-    names = sorted(r.category for r in events(spark, d).select("category").distinct().collect())
-    wide = events(spark, d).groupBy("area_id").pivot("category", names).agg(F.sum("value"))
-    return rounded(topk.top_columns(wide, names, 3), 4)
+    top = forecast.top_types(events(spark, d), 3, value="value")
+    return rounded(top.select(F.col("category").alias("column"), "total"), 4)
 
 
 # --- sources and sinks -----------------------------------------------------------------------------------------
