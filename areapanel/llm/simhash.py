@@ -13,6 +13,8 @@ from .common import connected_components, save
 BITS = 64
 CHUNK = 1 << 15
 ENTRIES = 1 << 20
+#: Links of a row to rows of another tile that are confirmed by counting.
+NEAREST = 4
 #: Links of one text that meet a copy of its shingles.
 GROUP = 1024
 #: Increment and multipliers of the 64-bit mixer splitmix64 (fixed values).
@@ -87,7 +89,7 @@ def _tiles(radius: int, total_radius: int, pairs: bool = False):
     """Compare two tiles of fingerprints (or one with itself), each of one population count.
 
     Returns links to the least of those reached in the tiles; with ``pairs``,
-    the links of a forest of least distances, which are pairs that differ so little.
+    the links of each row to those that differ least from it, ``NEAREST`` at most.
     """
 
     def compare(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
@@ -107,7 +109,7 @@ def _tiles(radius: int, total_radius: int, pairs: bool = False):
         r_fps, r_upper, shift = fps[right], upper[right], 0 if same else split
         labels = np.arange(len(fps))
         touched = np.zeros(len(fps), dtype=bool)
-        forest = [np.empty(0, dtype=np.int64)] * 3
+        closest = [np.empty(0, dtype=np.int64)] * 3
         low, high = _half_range(p_lo - p_hi, radius)
         for u in np.unique(upper[left]):
             rows = np.flatnonzero(upper[left] == u)
@@ -122,12 +124,13 @@ def _tiles(radius: int, total_radius: int, pairs: bool = False):
                 whole = np.bitwise_count(fps[i] ^ fps[j]) + np.bitwise_count(rest[i] ^ rest[j]).sum(axis=1, dtype=np.int64)
                 i, j, whole = (x[whole <= total_radius] for x in (i, j, whole))
                 if len(i) and pairs:
-                    forest = _forest(len(fps), *map(np.concatenate, zip(forest, (i, j, whole), strict=True)))
+                    closest = _closest(*map(np.concatenate, zip(closest, (i, j, whole), (j, i, whole), strict=True)))
                 elif len(i):
                     touched[i] = touched[j] = True
                     labels = _merge(labels, i, j)
         if pairs:
-            return pa.table({"rep": reps[forest[0]], "root": reps[forest[1]]})
+            ends = np.unique(np.sort(np.stack([reps[closest[0]], reps[closest[1]]], axis=1), axis=1), axis=0)
+            return pa.table({"rep": ends[:, 0], "root": ends[:, 1]})
         root = np.full(len(fps), np.iinfo(np.int64).max)
         np.minimum.at(root, labels, reps)
         return pa.table({"rep": reps[touched], "root": root[labels][touched]})
@@ -147,23 +150,16 @@ def _merge(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             pass
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> list[np.ndarray]:
-    """Of weighted links between n rows, those of a spanning forest of least weight: each part takes its nearest link, all at once, until none is left."""
-    order = np.lexsort((j, i, far))  # a link's place in the order is its weight, so there are no ties
+def _closest(i: np.ndarray, j: np.ndarray, far: np.ndarray) -> list[np.ndarray]:
+    """Of links from rows i to rows j, the ``NEAREST`` of least distance of each i; repeats count once."""
+    order = np.lexsort((j, far, i))
     i, j, far = i[order], j[order], far[order]
-    label, taken = np.arange(n), np.zeros(len(i), dtype=bool)
-    left = np.flatnonzero(i != j)
-    while len(left):
-        a, b = label[i[left]], label[j[left]]
-        left = left[a != b]
-        a, b = label[i[left]], label[j[left]]
-        best = np.full(n, len(i), dtype=np.int64)
-        np.minimum.at(best, a, left)
-        np.minimum.at(best, b, left)
-        new = np.unique(best[best < len(i)])
-        taken[new] = True
-        label = _merge(label, i[new], j[new])
-    return [i[taken], j[taken], far[taken]]
+    new = np.ones(len(i), dtype=bool)
+    new[1:] = (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+    i, j, far = i[new], j[new], far[new]
+    starts = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else np.empty(0, dtype=np.int64)
+    place = np.arange(len(i)) - np.repeat(starts, np.diff(np.append(starts, len(i))))
+    return [x[place < NEAREST] for x in (i, j, far)]
 
 
 def shingles(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
@@ -179,7 +175,7 @@ def confirmed(links: DataFrame, reps: DataFrame, df: DataFrame, id_col: str, tex
     The shingles of each linked text are hashed once and meet those of its links;
     a text with many links is copied to groups of them, so no task gets them all.
     """
-    links = save(links.select("rep", "root"), "simhash-pairs")
+    links = save(links.select("rep", "root").distinct(), "simhash-pairs")
     ends = links.select(F.explode(F.array("rep", "root")).alias("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     ends = save(ends.withColumn("copies", F.ceil(F.col("n") / GROUP).cast("int")), "simhash-ends")
 
@@ -232,11 +228,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of all leave about arccos(2J / (1 + J)) / pi of the bits different.
 
     With ``least``, a link also needs two texts that share that proportion of
-    their different shingles, counted exactly.  Tasks then return the nearest
-    links that span what they reach, and each of those is confirmed or dropped.
-    So no document is joined to a group without such a text, and pairs that
-    agree in the proportion are missed only where the fingerprints put them
-    farther apart than others that don't.  Equal fingerprints need no proof.
+    their different shingles, counted exactly.  Tasks then return each row's
+    ``NEAREST`` nearest in the other tile, and each of those links is confirmed
+    or dropped.  So no document is joined to a group without such a text, and
+    links grow with the rows, not with their pairs.  A pair that agrees in the
+    proportion can only be missed where the fingerprints put both beyond the
+    radius, or as many other rows of the tile nearer to both.  Equal
+    fingerprints need no proof.
 
     A null text counts as empty; texts without words have fingerprint zero and
     link like any other.  Rows that repeat an id stay; rows with a null id are

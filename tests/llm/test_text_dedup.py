@@ -318,17 +318,28 @@ def test_merged_labels_are_components():
             assert labels.tolist() == plain
 
 
-def test_forest_has_the_least_weight():
-    rnd = np.random.default_rng(5)
-    for n, m in ((2, 1), (30, 60), (200, 900)):
-        i, j, far = rnd.integers(0, n, m), rnd.integers(0, n, m), rnd.integers(0, 9, m)
-        a, b, w = simhash._forest(n, i, j, far)
-        label, total, parts = list(range(n)), 0, n
-        for x, y, f in sorted(zip(i.tolist(), j.tolist(), far.tolist(), strict=True), key=lambda e: e[2]):
-            if label[x] != label[y]:
-                old, new, total, parts = label[x], label[y], total + f, parts - 1
-                label = [new if k == old else k for k in label]
-        assert w.sum() == total and len(a) == n - parts
+def test_closest_rows():
+    rng = np.random.default_rng(5)
+    for m in (0, 1, 50, 3000):
+        i, j, far = rng.integers(0, 20, m), rng.integers(0, 300, m), rng.integers(0, 90, m)
+        far = (i * 7 + j) % 90  # a pair has one distance
+        got = sorted(zip(*(x.tolist() for x in simhash._closest(i, j, far)), strict=True))
+        pairs = sorted({(a, d, b) for a, b, d in zip(i.tolist(), j.tolist(), far.tolist(), strict=True)})
+        assert got == sorted((a, b, d) for k in range(20) for a, d, b in [x for x in pairs if x[0] == k][: simhash.NEAREST])
+
+
+def test_copies_that_only_resemble_their_source(spark):
+    """Copies share 0.8 with one text and less with one another; chance makes some copies look nearer."""
+    rnd = random.Random(31)
+    words = [f"w{rnd.randrange(9000)}" for _ in range(300)]
+    rows = [(0, " ".join(words))]
+    for k in range(1, 400):
+        copy = list(words)
+        for p in rnd.sample(range(10, 290, 10), 6):
+            copy[p] = f"x{rnd.randrange(9000)}"
+        rows.append((k, " ".join(copy)))
+    got = simhash.near_duplicates(frame(spark, rows), **corpus_pipeline.NEAR)
+    assert got.where("component_id = 0").count() >= 0.99 * len(rows)
 
 
 def test_many_equal_rows(spark):
