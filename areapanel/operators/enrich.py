@@ -40,7 +40,7 @@ def duplicate_keys(side: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def enrich_static(df: DataFrame, dim: DataFrame, keys: list[str], keep: str = "rows", check: bool = True) -> DataFrame:
-    """Many-to-one join with a dimension; raises if the dimension repeats a key.
+    """Many-to-one join with a dimension; raises if the dimension repeats a key (``check`` runs a job while the plan is made).
 
     No hint: Spark broadcasts the dimension if its size allows.  ``keep="areas"`` keeps every row of the dimension.
     """

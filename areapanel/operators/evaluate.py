@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import quantiles
+from .scan import quantiles, scan
 from .windows import running_totals
 
 
@@ -88,12 +88,12 @@ def class_weight(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def find_leaky(df: DataFrame, columns: list[str], label: str = "label", threshold: float = 0.995, min_rows: int = 30) -> DataFrame:
-    """``column``, ``abs_corr``, ``auc``, ``leaky``: columns that alone tell the label."""
+    """``column``, ``abs_corr``, ``auc``, ``leaky``: columns that alone tell the label.  A column's values are ranked in ranges."""
     corr = df.agg(*[F.struct(F.abs(F.corr(F.col(c).cast("double"), F.col(label).cast("double"))).alias("r"), F.count(c).alias("n")).alias(c) for c in columns])
     corr = corr.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.r").alias("abs_corr"), F.col(f"{c}.n").alias("n")) for c in columns])).alias("x")).select("x.*")
     long = df.select(F.col(label).alias("_y"), *[F.col(c).cast("double").alias(c) for c in columns]).unpivot("_y", columns, "column", "v").where("v is not null")
     per = long.groupBy("column", "v").agg(F.sum("_y").cast("double").alias("p"), F.count(F.lit(1)).alias("c"))
-    below = per.withColumn("b", F.sum(F.col("c") - F.col("p")).over(Window.partitionBy("column").orderBy("v")) - (F.col("c") - F.col("p")))
+    below = scan(per, ["column"], ["v"], {"_upto": (F.col("c") - F.col("p"), "sum")}).withColumn("b", F.col("_upto") - (F.col("c") - F.col("p")))
     auc = below.groupBy("column").agg(F.try_divide(F.sum(F.col("p") * (F.col("b") + (F.col("c") - F.col("p")) / 2)), F.sum("p") * (F.sum("c") - F.sum("p"))).alias("auc"))
     out = corr.join(auc, "column", "left")
     strong = (F.coalesce("abs_corr", F.lit(0.0)) >= threshold) | (F.coalesce(F.greatest(F.col("auc"), 1 - F.col("auc")), F.lit(0.0)) >= threshold) & (F.col("n") >= min_rows)

@@ -160,7 +160,7 @@ def constant_columns(df: DataFrame) -> DataFrame:
 
 
 def drop_constant(df: DataFrame) -> DataFrame:
-    """Without constant and all-null columns; the driver sees one row for each such column."""
+    """Without constant and all-null columns; the driver sees one row for each such column, by a job that runs while the plan is made."""
     return df.drop(*[r.column for r in constant_columns(df).collect()])
 
 
@@ -182,7 +182,7 @@ def flags(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def compact_types(df: DataFrame) -> DataFrame:
-    """Integers in the narrowest type that holds their values; the driver sees one row of bounds."""
+    """Integers in the narrowest type that holds their values; the driver sees one row of bounds, by a job that runs while the plan is made."""
     whole = [c for c, k in df.dtypes if k in ("int", "bigint", "smallint")]
     if not whole:
         return df

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import numbers
-from ..operators import aggregate, binning, clean, evaluate, forecast, ml, panel, risk, spatial, topk, windows
-from ..shared import new_path
+from ..operators import aggregate, binning, clean, evaluate, forecast, ml, panel, project, risk, spatial, topk, windows
+from ..shared import new_path, save
 from ..sources import tables
 from ..streaming import jobs
 from .features import _HAV, _dst, _src
-from .registry import DP, ED, EV, PO, dated, events, pois, query, rounded, table, user_edges
+from .registry import CE, DP, ED, EV, PO, cell_edges, dated, events, pois, query, rounded, table, user_edges
 
 # --- risk ------------------------------------------------------------------------------------------------------
 
@@ -295,6 +295,35 @@ def m01_m06_m09_stack(spark, d):
     return rounded(ml.Stack.load(path).decide(train).select("area_id", "date", "label", "score", "predicted"))
 
 
+def _precision_of(df, columns):
+    """Average precision of a logistic model of some columns on the fifth of rows that it was not fitted on."""
+    data = df.withColumn("_fold", F.pmod(F.xxhash64("area_id", "date"), F.lit(5)))
+    stages = [*ml.preprocessor(list(columns), [], []), ml.base_models()["lr"].copy({}).setLabelCol("label")]
+    model = ml.Pipeline(stages=stages).fit(data.where("_fold > 0"))
+    scored = ml._score(model.transform(data.where("_fold = 0")), "score")
+    return round(evaluate.average_precision(scored).first()[0] or 0.0, 9)
+
+
+@query()
+def m12_permutation_importance(spark, d):
+    """Loss of average precision of a fitted model when each of its columns is shuffled, the mean of five times."""
+    train = save(_training(spark, d).withColumn("row", F.concat_ws("|", "area_id", F.col("date").cast("string"))), "importance-rows")
+    columns = ["prior_7", "dow"]
+    model = ml.Pipeline(stages=[*ml.preprocessor(columns, [], []), ml.base_models()["lr"].copy({}).setLabelCol("label")]).fit(train)
+    rows = ml.permutation_importance(lambda df: ml._score(model.transform(df), "score"), train, columns, "row")
+    return spark.createDataFrame(rows, "feature string, importance double")
+
+
+@query()
+def m14_m15_selection(spark, d):
+    """Precision of the first k of the ranked features, and the k that is selected."""
+    train = save(_training(spark, d), "selection-rows")
+    ranked = ["prior_7", "prior_3", "dow", "area_n"]
+    steps = ml.forward_select(train, ranked, _precision_of)
+    best, _ = ml.select_k(train, ranked, lambda _, some: dict(steps)[len(some)], range(1, 5))
+    return spark.createDataFrame([(k, ranked[k - 1], v, k == best) for k, v in steps], "k int, feature string, average_precision double, selected boolean")
+
+
 @query()
 def m16_unsupervised_rank(spark, d):
     rows = ml.unsupervised_rank(_training(spark, d), ["prior_3", "prior_7", "dow"])
@@ -434,6 +463,66 @@ def s12_write_report(spark, d):
     return topk.union_all([spark.read.parquet(f"{path}/{k}").select(F.lit(k).alias("report"), "member", "n") for k in parts])
 
 
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0")
+def s03_read_newest(spark, d):
+    """Of two candidates the one written last; a third doesn't exist."""
+    path, o = _folder(spark), table(spark, d, "orders").select("o_orderkey")
+    for name, rest in (("old", 1), ("new", 0)):
+        tables.write_table(o.where(F.pmod("o_orderkey", F.lit(3)) == rest), f"{path}/{name}")
+    return tables.read_first(spark, [f"{path}/none", f"{path}/old", f"{path}/new"], newest=True)
+
+
+@query(f"WITH {EV}, {CE} SELECT area_id, 0 AS ring, i AS seq, round(CASE WHEN i IN (0, 3) THEN w ELSE e END, 6) AS x1, round(CASE WHEN i < 2 THEN s ELSE n END, 6) AS y1, round(CASE WHEN i < 2 THEN e ELSE w END, 6) AS x2, round(CASE WHEN i IN (1, 2) THEN n ELSE s END, 6) AS y2 FROM box CROSS JOIN (SELECT CAST(i AS INTEGER) AS i FROM range(4) r(i)) k")
+def s05_geojson_edges(spark, d):
+    """Areas written as lines of GeoJSON features, read back as edges of polygons."""
+    e = cell_edges(spark, d).where("seq = 0").select("area_id", F.col("x1").alias("w"), F.col("y1").alias("s"), F.col("x2").alias("e"), (F.col("y1") + 0.01).alias("n"))
+    ring = F.array(*[F.array(a, b) for a, b in (("w", "s"), ("e", "s"), ("e", "n"), ("w", "n"), ("w", "s"))])
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct("area_id").alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry")))
+    path = _folder(spark)
+    e.select(feature.alias("value")).write.text(path)
+    return rounded(tables.polygon_edges(tables.read_geojson(spark, path), "area_id"))
+
+
+@query(f"WITH {PO} SELECT CAST(poi_id AS VARCHAR) AS stop_id, round(lat, 6) AS stop_lat, round(lon, 6) AS stop_lon FROM po")
+def s06_gtfs_stops(spark, d):
+    path = _folder(spark)
+    tables.write_table(pois(spark, d).select(F.col("poi_id").alias("Stop_ID"), F.col("lat").alias(" stop_lat"), F.col("lon").alias("stop_lon ")), f"{path}/stops.txt", "csv")
+    return rounded(tables.read_gtfs_stops(spark, path))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderkey % 100 AS small, o_orderstatus FROM orders")
+def s10_compact_types(spark, d):
+    """Narrow types written and read back: the same values."""
+    path, o = _folder(spark), table(spark, d, "orders")
+    tables.write_table(project.compact_types(o.select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 100).alias("small"), "o_orderstatus")), path)
+    return tables.read_table(spark, path)
+
+
+@query(f"WITH {EV} SELECT category, count(*) AS n, round(max(value), 6) AS greatest FROM ev GROUP BY ALL")
+def s11_json_output(spark, d):
+    path = _folder(spark)
+    tables.write_json_row(events(spark, d).groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("greatest")), path)
+    return rounded(spark.read.schema("category string, n long, greatest double").json(path))
+
+
+@query(f"WITH {EV} SELECT 'rows' AS step, category AS name, count(*) AS n FROM ev GROUP BY ALL UNION ALL SELECT 'areas', category, count(DISTINCT area_id) FROM ev GROUP BY ALL")
+def s13_run_manifest(spark, d):
+    """Two runs' metrics of each category, appended to one manifest."""
+    path, by = _folder(spark), events(spark, d).groupBy(F.col("category").alias("name"))
+    for step, measure in (("rows", F.count(F.lit(1))), ("areas", F.countDistinct("area_id"))):
+        out = tables.write_manifest(spark, [{"step": step, **r.asDict()} for r in by.agg(measure.alias("n")).collect()], path)
+    return out.select("step", "name", "n")
+
+
+@query("SELECT event_id, event_type, round(value, 6) AS value FROM events")
+def s14_landed_pages(spark, d):
+    """Events landed as pages of JSON lines, read as one table with the page that each row came from."""
+    path = _folder(spark)
+    table(spark, d, "events").select("event_id", "event_type", "value").repartition(3).write.json(path)
+    landed = tables.read_landing(spark, path, "jsonl")
+    return rounded(landed.where("source_file is not null").select("event_id", "event_type", "value"))
+
+
 # --- streams ---------------------------------------------------------------------------------------------------
 
 

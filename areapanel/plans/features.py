@@ -328,6 +328,28 @@ def j09_match_report(spark, d):
     return rounded(enrich.match_report(table(spark, d, "customer"), table(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"]))
 
 
+@query("SELECT c_custkey, c_name FROM customer ANTI JOIN (SELECT o_custkey FROM orders WHERE o_custkey % 3 = 0) o ON o_custkey = c_custkey")
+def j09_unmatched(spark, d):
+    return enrich.unmatched(table(spark, d, "customer"), table(spark, d, "orders").where("o_custkey % 3 = 0").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"]).select("c_custkey", "c_name")
+
+
+@query('SELECT o_orderkey AS o_key, o_custkey AS o_key_dup1, round(o_totalprice, 4) AS total FROM orders')
+def p04_sanitize_columns(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("o key"), F.col("o_custkey").alias("o-key"), F.round("o_totalprice", 4).alias("total ($)"))
+    return project.sanitize_columns(o)
+
+
+@query("SELECT o_orderstatus, round(o_totalprice, 4) AS o_totalprice FROM orders")
+def p23_drop_by_pattern(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.round("o_totalprice", 4).alias("o_totalprice"))
+    return project.drop_by_pattern(o, "key$")
+
+
+@query("SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders")
+def p28_select_features(spark, d):
+    return project.select_features(table(spark, d, "orders"), ["o_orderpriority", "absent", "o_orderstatus"], keep=("o_orderkey",))
+
+
 @query(f"WITH {EV} SELECT e.event_id, l.label FROM ev e LEFT JOIN (SELECT area_id, date, max(label) AS label FROM ev GROUP BY ALL) l ON l.area_id = e.area_id AND l.date = e.date")
 def j10_attach_label(spark, d):
     e = events(spark, d)
