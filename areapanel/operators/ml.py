@@ -77,10 +77,33 @@ def oof_predict(df: DataFrame, stages: list, models: dict, folds: int, keys: lis
     return save(out, "fold-scores")
 
 
-def fit_meta(oof: DataFrame, label: str = "label") -> PipelineModel:
-    """Logistic regression over the out-of-fold scores."""
+def meta_models(seed: int = 42) -> dict:
+    """Learners that may stand over the others."""
+    return {"lr": LogisticRegression(), "gbt": GBTClassifier(maxIter=20, maxDepth=3, seed=seed)}
+
+
+def fit_meta(oof: DataFrame, label: str = "label", learner=None) -> PipelineModel:
+    """A learner (logistic regression by default) over the out-of-fold scores."""
     inputs = [c for c in oof.columns if c.startswith("p_")]
-    return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"), LogisticRegression(labelCol=label)]).fit(oof)
+    learner = LogisticRegression() if learner is None else learner.copy({})
+    return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"), learner.setLabelCol(label)]).fit(oof)
+
+
+def evaluate_meta(oof: DataFrame, metas: dict, keys: list[str], label: str = "label", folds: int = 3, at_once: int = 4) -> list[dict]:
+    """Metrics of each meta learner on out-of-fold rows that it was not fitted on, the best ``average_precision`` first (in the order given where they tie).
+
+    Rows are dealt to ``folds`` by the hash of their keys; the fits run side by side.
+    """
+    dealt = oof.withColumn("_fold", F.pmod(F.xxhash64(*keys, F.lit("meta")), F.lit(folds)))
+    fitted = iter(_fit_all([lambda m=m, k=k: fit_meta(dealt.where(F.col("_fold") != k), label, m) for m in metas.values() for k in range(folds)], at_once))
+    out = []
+    for name in metas:
+        held = None
+        for k in range(folds):
+            part = _score(next(fitted).transform(dealt.where(F.col("_fold") == k)), "score").select(label, "score")
+            held = part if held is None else held.unionByName(part)
+        out.append({"meta": name, **model_metrics(save(held, "meta-scores"), label).first().asDict()})
+    return sorted(out, key=lambda r: -round(r["average_precision"] or 0.0, 9))
 
 
 class Stack:
@@ -118,14 +141,18 @@ class Stack:
         return self.score(df).withColumn("predicted", (F.col("score") >= self.threshold).cast("int"))
 
 
-def fit_stack(df: DataFrame, stages: list, models: dict, folds: int, keys: list[str], date: str = "date", label: str = "label", at_once: int = 4) -> Stack:
+def fit_stack(df: DataFrame, stages: list, models: dict, folds: int, keys: list[str], date: str = "date", label: str = "label", at_once: int = 4, metas: dict | None = None) -> Stack:
     """Out-of-fold scores, meta model and threshold from them, then all base models on all rows, ``at_once`` of them side by side.
 
+    Of several ``metas`` the one with the best average precision on rows that it
+    was not fitted on is taken (:func:`evaluate_meta`); logistic regression by default.
+
     The rows are computed once and kept in the shared folder.
     """
     df = save(df, "stack-rows")
     oof = oof_predict(df, stages, models, folds, keys, date, label, at_once)
-    meta = fit_meta(oof, label)
+    best = evaluate_meta(oof, metas, keys, label, at_once=at_once)[0]["meta"] if metas and len(metas) > 1 else None
+    meta = fit_meta(oof, label, metas[best] if best else next(iter((metas or {}).values()), None))
     threshold = best_threshold(_score(meta.transform(oof), "score"), label=label).first().threshold
     prepared = Pipeline(stages=stages).fit(df)
     ready = save(prepared.transform(df).select(label, "features"), "stack-features")

@@ -287,11 +287,11 @@ def _training(spark, d):
 
 @query()
 def m01_m06_m09_stack(spark, d):
-    """All learners over three expanding folds, meta model and threshold; saved, loaded, and the whole panel scored and decided."""
+    """All learners over three expanding folds, the better of two meta models, threshold; saved, loaded, and the whole panel scored and decided."""
     stages = ml.preprocessor(["prior_3", "prior_7"], ["dow"], [])
     train = _training(spark, d)
     path = _folder(spark)
-    ml.fit_stack(train, stages, ml.base_models(), 3, ["area_id", "date"]).save(path)
+    ml.fit_stack(train, stages, ml.base_models(), 3, ["area_id", "date"], metas=ml.meta_models()).save(path)
     return rounded(ml.Stack.load(path).decide(train).select("area_id", "date", "label", "score", "predicted"))
 
 

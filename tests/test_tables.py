@@ -84,3 +84,15 @@ def test_saved_stack_keeps_its_threshold(spark, tmp_path):
     assert kept.threshold == stack.threshold and list(kept.models) == list(models)
     a, b = ({(r.area_id, r.date): r.predicted for r in s.decide(df).collect()} for s in (stack, kept))
     assert a == b and sum(a[f"a{k % 5}", DAY + dt.timedelta(days=k // 5)] == rows[k][3] for k in range(200)) == 200
+
+
+def test_better_meta_learner_is_taken(spark):
+    """Labels that no line through the scores can part: trees win; where a line does, the first of those that tie."""
+    rows = [(k, (k % 20) / 20, float(k % 7), int(5 <= k % 20 < 15)) for k in range(800)]
+    oof = spark.createDataFrame(rows, "row int, p_a double, p_b double, label int")
+    ranked = ml.evaluate_meta(oof, ml.meta_models(), ["row"])
+    assert [r["meta"] for r in ranked] == ["gbt", "lr"] and ranked[0]["average_precision"] > 0.99 > 0.8 > ranked[1]["average_precision"]
+    easy = oof.withColumn("label", (F.col("p_a") > 0.5).cast("int"))
+    assert [r["meta"] for r in ml.evaluate_meta(easy, ml.meta_models(), ["row"])] == ["lr", "gbt"]
+    model = ml.fit_meta(oof, learner=ml.meta_models()["gbt"])
+    assert ml._score(model.transform(oof), "score").where("(score > 0.5) = (label = 1)").count() == 800
