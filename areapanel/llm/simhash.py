@@ -14,7 +14,7 @@ BITS = 64
 CHUNK = 1 << 15
 ENTRIES = 1 << 20
 #: Links of a row to rows of another tile that are confirmed by counting.
-NEAREST = 4
+NEAREST = 32
 #: Links of one text that meet a copy of its shingles.
 GROUP = 1024
 #: Increment and multipliers of the 64-bit mixer splitmix64 (fixed values).
@@ -85,8 +85,8 @@ def _half_range(diff: int, radius: int) -> tuple[int, int]:
     return -((radius - diff) // 2), (radius + diff) // 2
 
 
-def _tiles(radius: int, total_radius: int, pairs: bool = False):
-    """Compare two tiles of fingerprints (or one with itself), each of one population count.
+def _tiles(radius: int, total_radius: int, pairs: bool = False, band: int = 1):
+    """Compare two tiles of fingerprints (or one with itself), each of one population count, or of a ``band`` of them.
 
     Returns links to the least of those reached in the tiles; with ``pairs``,
     the links of each row to those that differ least from it, ``NEAREST`` at most.
@@ -110,7 +110,7 @@ def _tiles(radius: int, total_radius: int, pairs: bool = False):
         labels = np.arange(len(fps))
         touched = np.zeros(len(fps), dtype=bool)
         closest = [np.empty(0, dtype=np.int64)] * 3
-        low, high = _half_range(p_lo - p_hi, radius)
+        low, high = _half_range(p_lo - p_hi, radius) if band == 1 else (-radius, radius)
         for u in np.unique(upper[left]):
             rows = np.flatnonzero(upper[left] == u)
             lo, hi = np.searchsorted(r_upper, [u - high, u - low + 1])
@@ -130,7 +130,7 @@ def _tiles(radius: int, total_radius: int, pairs: bool = False):
                     labels = _merge(labels, i, j)
         if pairs:
             ends = np.unique(np.sort(np.stack([reps[closest[0]], reps[closest[1]]], axis=1), axis=1), axis=0)
-            return pa.table({"rep": ends[:, 0], "root": ends[:, 1]})
+            return pa.table({"rep": ends[:, 0], "root": ends[:, 1], "tile": np.full(len(ends), hash((p_lo, b_lo, p_hi, b_hi)), dtype=np.int64)})
         root = np.full(len(fps), np.iinfo(np.int64).max)
         np.minimum.at(root, labels, reps)
         return pa.table({"rep": reps[touched], "root": root[labels][touched]})
@@ -170,12 +170,12 @@ def shingles(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
 
 
 def confirmed(links: DataFrame, reps: DataFrame, df: DataFrame, id_col: str, text_col: str, words: int, seed: int, least: float) -> DataFrame:
-    """The links (``rep``, ``root``) whose texts share ``least`` or more of all their different shingles.
+    """The links (``rep``, ``root``) whose texts share ``least`` or more of all their different shingles; of those of a ``tile`` the ones that span what they reach.
 
     The shingles of each linked text are hashed once and meet those of its links;
     a text with many links is copied to groups of them, so no task gets them all.
     """
-    links = save(links.select("rep", "root").distinct(), "simhash-pairs")
+    links = save(links, "simhash-pairs")
     ends = links.select(F.explode(F.array("rep", "root")).alias("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     ends = save(ends.withColumn("copies", F.ceil(F.col("n") / GROUP).cast("int")), "simhash-ends")
 
@@ -196,17 +196,35 @@ def confirmed(links: DataFrame, reps: DataFrame, df: DataFrame, id_col: str, tex
 
     def shared(batches):
         for batch in batches:
-            a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
+            a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (3, 4))
             both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b, strict=True)], dtype=np.int64)
             every = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)], dtype=np.int64) - both
             near = pa.array((every == 0) | (both >= least * every))
-            yield pa.RecordBatch.from_arrays([c.filter(near) for c in batch.columns[:2]], ["rep", "root"])
+            yield pa.RecordBatch.from_arrays([c.filter(near) for c in batch.columns[:3]], ["rep", "root", "tile"])
 
-    pairs = meet(meet(links, "rep", "a"), "root", "b").select("rep", "root", "a", "b")
-    return pairs.mapInArrow(shared, "rep long, root long")
+    pairs = meet(meet(links, "rep", "a"), "root", "b").select("rep", "root", "tile", "a", "b")
+    return pairs.mapInArrow(shared, "rep long, root long, tile long").groupBy("tile").applyInArrow(_spanning, "rep long, root long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4, seed: int = 42, tile_rows: int = 1024, bits: int = BITS, total_radius: int | None = None, least: float | None = None) -> DataFrame:
+def _spanning(t: pa.Table) -> pa.Table:
+    """Of the links of a tile, those that join parts that no link before them has joined."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    kept = []
+    for k, (a, b) in enumerate(zip(t["rep"].to_pylist(), t["root"].to_pylist(), strict=True)):
+        a, b = root(a), root(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            kept.append(k)
+    return t.select(["rep", "root"]).take(pa.array(kept, pa.int64()))
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4, seed: int = 42, tile_rows: int = 1024, bits: int = BITS, total_radius: int | None = None, least: float | None = None, band: int = 1) -> DataFrame:
     """Near-duplicate classes of whole texts by SimHash.
 
     One row per input row: ``doc_id``, ``fingerprint`` (16 lower-case hex
@@ -220,7 +238,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     distance, only tile pairs within ``radius`` meet, each pair in a task of
     its own, by exclusive-or and bit counts.  Inside a pair the same bound is
     applied to the upper and lower halves.  Tasks return spanning links only,
-    at most one for each of their rows.
+    at most one for each of their rows.  With a wide radius most population
+    counts meet; ``band`` of them then share tiles, so that a fingerprint is
+    copied to fewer.
 
     Fingerprints of more ``bits`` tell similar texts from others more sharply:
     two link if the first 64 bits differ in ``radius`` or fewer and all bits in
@@ -241,14 +261,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     left out.  An empty table gives an empty result.
     """
     docs = save(fingerprints(df, id_col, text_col, words, seed, bits), "simhash-docs")
-    reps = docs.groupBy("fp", "rest").agg(F.min(F.struct("doc_id", "mark")).alias("r")).select("fp", "rest", F.col("r.doc_id").alias("rep"), F.col("r.mark").alias("mark"), F.bit_count("fp").alias("pop"))
+    reps = docs.groupBy("fp", "rest").agg(F.min(F.struct("doc_id", "mark")).alias("r")).select("fp", "rest", F.col("r.doc_id").alias("rep"), F.col("r.mark").alias("mark"), F.expr(f"bit_count(fp) div {band}").cast("int").alias("pop"))
     reps = save(reps, "simhash-reps")
     total = reps.count()
     rows = max(1, int((total * tile_rows) ** 0.5))
     sizes = reps.groupBy("pop").count().select("pop", F.ceil(F.col("count") / rows).cast("int").alias("blocks"))
     # At most 65 population counts: the table of tiles is small whatever the input.
     near = sizes.select(F.col("pop").alias("q"), F.col("blocks").alias("q_blocks"))
-    sized = F.broadcast(sizes.join(near, F.abs(sizes.pop - near.q) <= radius).groupBy("pop", "blocks").agg(F.collect_list(F.struct("q", "q_blocks")).alias("near")))
+    sized = F.broadcast(sizes.join(near, F.abs(sizes.pop - near.q) <= (radius + band - 1) // band).groupBy("pop", "blocks").agg(F.collect_list(F.struct("q", "q_blocks")).alias("near")))
     tiled = (
         reps.join(sized, "pop")
         .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
@@ -259,7 +279,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one, two = F.struct("pop", "block"), F.struct(F.col("q").alias("pop"), F.col("q_block").alias("block"))
     cells = tiled.withColumns({"lo": F.when(ahead, one).otherwise(two), "hi": F.when(ahead, two).otherwise(one)})
     cells = cells.select(F.col("lo.pop").alias("p_lo"), F.col("lo.block").alias("b_lo"), F.col("hi.pop").alias("p_hi"), F.col("hi.block").alias("b_hi"), "fp", "rest", "rep", "pop", "block")
-    links = cells.groupBy("p_lo", "b_lo", "p_hi", "b_hi").applyInArrow(_tiles(radius, bits if total_radius is None else total_radius, least is not None), "rep long, root long")
+    links = cells.groupBy("p_lo", "b_lo", "p_hi", "b_hi").applyInArrow(_tiles(radius, bits if total_radius is None else total_radius, least is not None, band), "rep long, root long" + (", tile long" if least is not None else ""))
     if least is not None:
         links = confirmed(links, reps, df, id_col, text_col, words, seed, least)
     components = connected_components(links.select(F.col("rep").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("id", "rep")
