@@ -13,10 +13,10 @@ from .common import connected_components, save
 BITS = 64
 CHUNK = 1 << 15
 ENTRIES = 1 << 20
-#: Links of a row to rows of another tile that are confirmed by counting.
+#: Candidates of a row that are tried before its others.
 NEAREST = 32
-#: Links of one text that meet a copy of its shingles.
-GROUP = 1024
+#: Texts of a class of candidates that one task compares by their shingles, and the bytes of those.
+GROUP, GROUP_BYTES = 1024, 32 << 20
 #: Increment and multipliers of the 64-bit mixer splitmix64 (fixed values).
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -35,44 +35,74 @@ def _votes(hashes: np.ndarray, bits: int) -> np.ndarray:
     return set_[:whole].reshape(-1, 255, bits).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64) + set_[whole:].sum(axis=0, dtype=np.uint8)
 
 
-def wide_fingerprint(text: bytes | None, words: int = 4, seed: int = 42, bits: int = BITS) -> np.ndarray:
-    """SimHash of the word shingles of a text given as UTF-8, as ``bits`` / 64 unsigned numbers.
-
-    A-Z are lower-cased; words are runs of bytes other than ASCII white space;
-    a text of fewer words than a shingle has is one shingle; none give zero.
-    A bit is 1 if it is set in over half of the shingles' hashes, repeats
-    included.  The first 64 bits are those of XXH64, the others are mixed from it.
-    """
+def _hashes(text: bytes | None, words: int, seed: int):
+    """Hashes of the word shingles of a text in their order, ``CHUNK`` at a time."""
     parts = (text or b"").lower().split()
     if not parts:
-        return np.zeros(bits // BITS, dtype="<u8")
+        return
     joined = b" ".join(parts)
     count = max(1, len(parts) - words + 1)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[:count]
     ends = ends[min(words, len(parts)) - 1 :]
-    votes = np.zeros(bits, dtype=np.int64)
     for k in range(0, count, CHUNK):
-        hashed = [xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts[k : k + CHUNK].tolist(), ends[k : k + CHUNK].tolist(), strict=True)]
-        votes += _votes(np.array(hashed, dtype=np.uint64), bits)
+        yield np.array([xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts[k : k + CHUNK].tolist(), ends[k : k + CHUNK].tolist(), strict=True)], dtype=np.uint64)
+
+
+def _majority(chunks, bits: int) -> np.ndarray:
+    """The fingerprint of hashes that come in chunks."""
+    votes, count = np.zeros(bits, dtype=np.int64), 0
+    for hashes in chunks:
+        votes += _votes(hashes, bits)
+        count += len(hashes)
     return np.packbits(votes * 2 > count, bitorder="little").view("<u8")
 
 
+def wide_fingerprint(text: bytes | None, words: int = 4, seed: int = 42, bits: int = BITS) -> np.ndarray:
+    """SimHash of the word shingles of a text given as UTF-8, as ``bits`` / 64 unsigned numbers.
+
+    A-Z are lower-cased; words are runs of bytes other than ASCII white space;
+    a text of fewer words than a shingle has is one shingle; none give zero.
+    A bit is 1 if it is set in over half of the shingles' hashes, repeats
+    included.  The first 64 bits are those of XXH64, the others are mixed from it.
+    """
+    return _majority(_hashes(text, words, seed), bits)
+
+
 def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
     """The fingerprint of 64 bits as a number."""
     return int(wide_fingerprint(text, words, seed)[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42, bits: int = BITS) -> DataFrame:
-    """Columns ``doc_id``, ``mark`` (a hash of the text), ``fp`` (the fingerprint's first 64 bits as a signed long) and ``rest`` (the other bits)."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42, bits: int = BITS, sets: bool = False) -> DataFrame:
+    """Columns ``doc_id``, ``mark`` (a hash of the text), ``fp`` (the fingerprint's first 64 bits as a signed long) and ``rest`` (the other bits).
+
+    With ``sets``, also ``grams``, a hash of the set of shingles, and their number ``size``; else both are zero.
+    """
 
     def run(batches):
         for batch in batches:
-            fps = [wide_fingerprint(x, words, seed, bits) for x in batch.column(1).to_pylist()]
+            fps, grams, size = [], [], []
+            for text in batch.column(1).to_pylist():
+                chunks = list(_hashes(text, words, seed)) if sets else _hashes(text, words, seed)
+                fps.append(_majority(chunks, bits))
+                different = _different(chunks) if sets else ()
+                grams.append(xxhash.xxh64_intdigest(different.tobytes(), seed) if sets else 0)
+                size.append(len(different))
             first = np.array([x[0] for x in fps], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(first), pa.array([x[1:].tobytes() for x in fps], pa.binary())], ["doc_id", "mark", "fp", "rest"])
+            columns = [batch.column(0), batch.column(2), pa.array(first), pa.array([x[1:].tobytes() for x in fps], pa.binary()), pa.array(np.array(grams, dtype=np.uint64).view(np.int64)), pa.array(size, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "fp", "rest", "grams", "size"])
 
-    return _texts(df, id_col, text_col).mapInArrow(run, "doc_id long, mark long, fp long, rest binary")
+    return _texts(df, id_col, text_col).mapInArrow(run, "doc_id long, mark long, fp long, rest binary, grams long, size long")
+
+
+def _different(chunks) -> np.ndarray:
+    return np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *chunks]))
+
+
+def shingles(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
+    """Hashes of the different word shingles of a text, ascending."""
+    return _different(_hashes(text, words, seed))
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -85,11 +115,11 @@ def _half_range(diff: int, radius: int) -> tuple[int, int]:
     return -((radius - diff) // 2), (radius + diff) // 2
 
 
-def _tiles(radius: int, total_radius: int, pairs: bool = False, band: int = 1):
+def _tiles(radius: int, total_radius: int, counts: bool = False, band: int = 1):
     """Compare two tiles of fingerprints (or one with itself), each of one population count, or of a ``band`` of them.
 
-    Returns links to the least of those reached in the tiles; with ``pairs``,
-    the links of each row to those that differ least from it, ``NEAREST`` at most.
+    Returns links to the least of those reached in the tiles; with ``counts``,
+    also the number ``n`` of rows that each row is near (twice within a tile).
     """
 
     def compare(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
@@ -109,7 +139,7 @@ def _tiles(radius: int, total_radius: int, pairs: bool = False, band: int = 1):
         r_fps, r_upper, shift = fps[right], upper[right], 0 if same else split
         labels = np.arange(len(fps))
         touched = np.zeros(len(fps), dtype=bool)
-        closest = [np.empty(0, dtype=np.int64)] * 3
+        degree = np.zeros(len(fps), dtype=np.int64)
         low, high = _half_range(p_lo - p_hi, radius) if band == 1 else (-radius, radius)
         for u in np.unique(upper[left]):
             rows = np.flatnonzero(upper[left] == u)
@@ -123,17 +153,13 @@ def _tiles(radius: int, total_radius: int, pairs: bool = False, band: int = 1):
                 i, j = (x[i != j] for x in (i, j))
                 whole = np.bitwise_count(fps[i] ^ fps[j]) + np.bitwise_count(rest[i] ^ rest[j]).sum(axis=1, dtype=np.int64)
                 i, j, whole = (x[whole <= total_radius] for x in (i, j, whole))
-                if len(i) and pairs:
-                    closest = _closest(*map(np.concatenate, zip(closest, (i, j, whole), (j, i, whole), strict=True)))
-                elif len(i):
+                if len(i):
                     touched[i] = touched[j] = True
                     labels = _merge(labels, i, j)
-        if pairs:
-            ends = np.unique(np.sort(np.stack([reps[closest[0]], reps[closest[1]]], axis=1), axis=1), axis=0)
-            return pa.table({"rep": ends[:, 0], "root": ends[:, 1], "tile": np.full(len(ends), hash((p_lo, b_lo, p_hi, b_hi)), dtype=np.int64)})
+                    degree += np.bincount(i, minlength=len(fps)) + np.bincount(j, minlength=len(fps))
         root = np.full(len(fps), np.iinfo(np.int64).max)
         np.minimum.at(root, labels, reps)
-        return pa.table({"rep": reps[touched], "root": root[labels][touched]})
+        return pa.table({"rep": reps[touched], "root": root[labels][touched]} | ({"n": degree[touched]} if counts else {}))
 
     return compare
 
@@ -162,66 +188,139 @@ def _closest(i: np.ndarray, j: np.ndarray, far: np.ndarray) -> list[np.ndarray]:
     return [x[place < NEAREST] for x in (i, j, far)]
 
 
-def shingles(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
-    """Hashes of the different word shingles of a text, ascending."""
-    parts = (text or b"").lower().split()
-    count = max(1, len(parts) - words + 1) if parts else 0
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(parts[k : k + words]), seed) for k in range(count)), np.uint64, count))
-
-
-def confirmed(links: DataFrame, reps: DataFrame, df: DataFrame, id_col: str, text_col: str, words: int, seed: int, least: float) -> DataFrame:
-    """The links (``rep``, ``root``) whose texts share ``least`` or more of all their different shingles; of those of a ``tile`` the ones that span what they reach.
-
-    The shingles of each linked text are hashed once and meet those of its links;
-    a text with many links is copied to groups of them, so no task gets them all.
+def _candidates(fps: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int, total_radius: int):
+    """Pairs of rows, one of ``left`` and one of ``right`` (all pairs if they are the same), that fingerprints put near: ends and distance, in parts."""
+    same, step = left is right, max(1, ENTRIES // (max(1, len(right)) * fps.shape[1]))
+    for k in range(0, len(left), step):
+        part = left[k : k + step]
+        others = right[k:] if same else right
+        i, j = np.nonzero(np.bitwise_count(fps[part, 0][:, None] ^ fps[others, 0][None]) <= radius)
+        if same:
+            i, j = (x[j > i] for x in (i, j))
+        i, j = part[i], others[j]
+        far = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1, dtype=np.int64)
+        yield [x[far <= total_radius] for x in (i, j, far)]
+
+
+def _alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two ascending sets share ``least`` or more of all their members."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a) or len(a) < least * len(b):
+        return not len(b)
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return both >= least * (len(a) + len(b) - both)
+
+
+def _prove(fps: np.ndarray, labels: np.ndarray, sets: list[bytes], left: np.ndarray, right: np.ndarray, radius: int, total_radius: int, least: float) -> list[tuple[int, int]]:
+    """Links between rows of different ``labels`` that hold by their sets.
+
+    All pairs are tried, each row's nearest first; a pair is left out only if
+    links that hold join its ends already, so the links found reach what all
+    that hold would.
     """
-    links = save(links, "simhash-pairs")
-    ends = links.select(F.explode(F.array("rep", "root")).alias("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    ends = save(ends.withColumn("copies", F.ceil(F.col("n") / GROUP).cast("int")), "simhash-ends")
-
-    def hashed(batches):
-        for batch in batches:
-            sets = [shingles(x, words, seed).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), batch.column(2)], ["doc_id", "shingles", "copies"])
-
-    wanted = reps.select(F.col("rep").alias("doc_id"), "mark").distinct().join(ends, "doc_id")
-    texts = _texts(df, id_col, text_col).join(wanted, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
-    sets = save(texts.select("doc_id", "text", "copies").mapInArrow(hashed, "doc_id long, shingles binary, copies int"), "simhash-shingles")
-    sets = sets.withColumn("group", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
-    many = ends.where("copies > 1").select("doc_id", "copies")  # at most one id for every GROUP / 2 links
+    found: list[tuple[int, int]] = []
+    for i, j, far in _candidates(fps, left, right, radius, total_radius):
+        nearest = _closest(np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([far, far]))[:2] if len(i) > NEAREST else []
+        for a, b in [nearest, (i, j)] if nearest else [(i, j)]:
+            step = 64
+            while len(a):
+                open_ = labels[a] != labels[b]
+                a, b = a[open_], b[open_]
+                for x, y in zip(a[:step].tolist(), b[:step].tolist(), strict=True):
+                    if labels[x] != labels[y] and _alike(np.frombuffer(sets[x], np.uint64), np.frombuffer(sets[y], np.uint64), least):
+                        labels[labels == labels[x]] = labels[y]
+                        found.append((x, y))
+                a, b, step = a[step:], b[step:], 2 * step
+    return found
+
+
+def _cells(radius: int, total_radius: int, least: float):
+    """Prove the links among the texts of each component of a cell, or between its two sides."""
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.sort_by("component")
+        component, rep, side = (t[c].to_numpy() for c in ("component", "rep", "side"))
+        words = [np.frombuffer(x, "<u8") for x in t["rest"].to_pylist()]
+        fps = np.column_stack([t["fp"].to_numpy().view(np.uint64), np.array(words, dtype=np.uint64).reshape(len(rep), -1)])
+        sets, label = t["shingles"].to_pylist(), t["label"].to_numpy()
+        ends, start = [], 0
+        for stop in [*(np.flatnonzero(np.diff(component)) + 1).tolist(), len(rep)]:
+            here = slice(start, stop)
+            left = np.flatnonzero(side[here])
+            right = left if len(left) == stop - start else np.flatnonzero(~side[here])
+            labels = np.unique(label[here], return_inverse=True)[1]
+            ends += [(start + a, start + b) for a, b in _prove(fps[here], labels, sets[here], left, right, radius, total_radius, least)]
+            start = stop
+        ends = np.array(ends, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"rep": rep[ends[:, 0]], "root": rep[ends[:, 1]]})
 
-    def meet(rows: DataFrame, end: str, out: str) -> DataFrame:
-        dealt = rows.join(many.withColumnRenamed("doc_id", end), end, "left").withColumn("group", F.coalesce(F.pmod(F.xxhash64("rep", "root"), F.col("copies")), F.lit(0)).cast("int")).drop("copies")
-        return dealt.join(sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(out), "group"), [end, "group"]).drop("group")
+    return compare
 
-    def shared(batches):
-        for batch in batches:
-            a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (3, 4))
-            both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b, strict=True)], dtype=np.int64)
-            every = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)], dtype=np.int64) - both
-            near = pa.array((every == 0) | (both >= least * every))
-            yield pa.RecordBatch.from_arrays([c.filter(near) for c in batch.columns[:3]], ["rep", "root", "tile"])
 
-    pairs = meet(meet(links, "rep", "a"), "root", "b").select("rep", "root", "tile", "a", "b")
-    return pairs.mapInArrow(shared, "rep long, root long, tile long").groupBy("tile").applyInArrow(_spanning, "rep long, root long")
+def _blocks(n: str, size: str) -> "F.Column":
+    return F.greatest(F.ceil(F.col(n) / GROUP), F.ceil(F.col(size) * 8 / GROUP_BYTES), F.lit(1)).cast("int")
 
 
-def _spanning(t: pa.Table) -> pa.Table:
-    """Of the links of a tile, those that join parts that no link before them has joined."""
-    parent: dict[int, int] = {}
+def confirmed(near: DataFrame, reps: DataFrame, df: DataFrame, id_col: str, text_col: str, words: int, seed: int, radius: int, total_radius: int, least: float) -> DataFrame:
+    """Links (``rep``, ``root``) that join what all candidates joined whose texts share ``least`` or more of their different shingles.
 
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
+    ``near`` has spanning links of the candidates, with the number ``n`` of each
+    row's.  Candidates lie within a component of those, so texts meet by
+    components, with their shingles.  Small components share tasks.  Large ones
+    are dealt to blocks, and the text near most others joins every block.  What
+    that leaves apart meets by pairs of blocks; a part as large as a block has
+    blocks of its own, which needn't meet one another.  So each pair of
+    candidates is counted, unless links that hold join its ends without it.
+    """
+    near = save(near, "simhash-near")
+    joined = connected_components(near.select(F.col("rep").alias("src"), F.col("root").alias("dst"))).select(F.col("id").alias("rep"), F.col("component_id").alias("component"))
+    degree = near.groupBy("rep").agg(F.sum("n").alias("n"))
+    rows = save(reps.join(joined, "rep").join(degree, "rep", "left").select("rep", "mark", "fp", "rest", "size", "component", F.coalesce("n", F.lit(0)).alias("n")), "simhash-rows")
+    classes = rows.groupBy("component").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("size"), F.max(F.struct("n", (-F.col("rep")).alias("hub"))).alias("most"))
+    large = save(classes.withColumn("blocks", _blocks("rows", "size")).where("blocks > 1").select("component", "blocks", (-F.col("most.hub")).alias("hub")), "simhash-large")
+    total = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("size")).select(_blocks("rows", "size").alias("blocks")).first()  # one row
+    shared = int(total.blocks or 1)
 
-    kept = []
-    for k, (a, b) in enumerate(zip(t["rep"].to_pylist(), t["root"].to_pylist(), strict=True)):
-        a, b = root(a), root(b)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            kept.append(k)
-    return t.select(["rep", "root"]).take(pa.array(kept, pa.int64()))
+    def hashed(batches):
+        for batch in batches:
+            sets = pa.array([shingles(x, words, seed).tobytes() for x in batch.column("text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rep", "fp", "rest", "component", "label", "cells")), sets], ["rep", "fp", "rest", "component", "label", "cells", "shingles"])
+
+    def prove(dealt: DataFrame) -> DataFrame:
+        """``cells`` lists the cells that a text goes to, as key, blocks and side."""
+        texts = _texts(df, id_col, text_col).withColumnRenamed("doc_id", "rep").join(dealt, ["rep", "mark"]).dropDuplicates(["rep", "mark"])
+        cell = "key: long, lo: int, hi: int, side: boolean"
+        sets = texts.select("rep", "fp", "rest", "component", "label", "cells", "text").mapInArrow(hashed, f"rep long, fp long, rest binary, component long, label long, cells array<struct<{cell}>>, shingles binary")
+        sets = sets.withColumn("cell", F.explode("cells")).select("rep", "fp", "rest", "component", "label", "shingles", "cell.*")
+        return sets.groupBy("key", "lo", "hi").applyInArrow(_cells(radius, total_radius, least), "rep long, root long")
+
+    own = F.pmod(F.xxhash64("rep", "mark"), F.col("blocks")).cast("int")
+    first = F.when(F.col("blocks").isNull(), F.array(F.lit(-1))).when(F.col("rep") == F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
+    key = F.when(F.col("blocks").isNull(), F.pmod(F.xxhash64("component"), F.lit(shared))).otherwise(F.col("component"))
+    dealt = rows.join(large, "component", "left").withColumns({"key": key, "to": first})
+    cells = F.transform("to", lambda b: F.struct(F.col("key"), b.alias("lo"), b.alias("hi"), F.lit(True).alias("side")))
+    links = save(prove(dealt.select("rep", "mark", "fp", "rest", "component", F.col("rep").alias("label"), cells.alias("cells"))), "simhash-links")
+    if large.isEmpty():
+        return links
+
+    joined = connected_components(links.select(F.col("rep").alias("src"), F.col("root").alias("dst"))).select(F.col("id").alias("rep"), F.col("component_id").alias("label"))
+    rest = save(rows.join(large.select("component"), "component").join(joined, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "simhash-rest")
+    parts = rest.groupBy("component", "label").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("size"))
+    parts = parts.withColumn("alone", (F.col("rows") > GROUP // 2) | (F.col("size") * 8 > GROUP_BYTES // 2))
+    apart = parts.groupBy("component").agg(F.count(F.lit(1)).alias("parts"), F.sum(F.when(~F.col("alone"), F.col("rows"))).alias("few_rows"), F.sum(F.when(~F.col("alone"), F.col("size"))).alias("few_size")).where("parts > 1")
+    apart = apart.withColumn("few", F.coalesce(_blocks("few_rows", "few_size"), F.lit(1))).select("component", "few")
+    parts = parts.join(apart, "component").select("component", "label", "alone", F.when(F.col("alone"), _blocks("rows", "size")).otherwise(F.col("few")).alias("blocks"))
+    place = F.when(F.col("alone"), F.xxhash64("rep", "mark")).otherwise(F.xxhash64("label"))
+    block = F.struct("alone", F.when(F.col("alone"), F.col("label")).otherwise(F.lit(0)).alias("of"), F.pmod(place, F.col("blocks")).cast("int").alias("k"))
+    rest = save(rest.join(parts, ["component", "label"]).withColumn("block", block).select("rep", "mark", "fp", "rest", "component", "label", "block"), "simhash-apart")
+    if rest.isEmpty():
+        return links
+    meet = rest.groupBy("component").agg(F.sort_array(F.collect_set("block")).alias("every"))  # a block for every GROUP / 2 rows or so
+    meet = rest.join(meet, "component").withColumn("at", (F.array_position("every", F.col("block")) - 1).cast("int"))
+    other = F.transform("every", lambda x, k: F.struct(F.col("component").alias("key"), F.least(F.col("at"), k).alias("lo"), F.greatest(F.col("at"), k).alias("hi"), (F.col("at") <= k).alias("side"), (x.alone & (x.of == F.col("block.of")) & F.col("block.alone")).alias("joined")))
+    cells = F.transform(F.filter(other, lambda x: ~x.joined), lambda x: F.struct(x.key.alias("key"), x.lo.alias("lo"), x.hi.alias("hi"), x.side.alias("side")))
+    return links.unionByName(prove(meet.select("rep", "mark", "fp", "rest", "component", "label", cells.alias("cells"))))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4, seed: int = 42, tile_rows: int = 1024, bits: int = BITS, total_radius: int | None = None, least: float | None = None, band: int = 1) -> DataFrame:
@@ -248,20 +347,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of all leave about arccos(2J / (1 + J)) / pi of the bits different.
 
     With ``least``, a link also needs two texts that share that proportion of
-    their different shingles, counted exactly.  Tasks then return each row's
-    ``NEAREST`` nearest in the other tile, and each of those links is confirmed
-    or dropped.  So no document is joined to a group without such a text, and
-    links grow with the rows, not with their pairs.  A pair that agrees in the
-    proportion can only be missed where the fingerprints put both beyond the
-    radius, or as many other rows of the tile nearer to both.  Equal
-    fingerprints need no proof.
+    their different shingles, counted exactly, also if fingerprints are equal.
+    Links of fingerprints are then candidates, all of which are confirmed or
+    dropped (``confirmed``), save those between texts that confirmed links have
+    joined: classes are those of all links that hold, while rows sent grow with
+    the rows, not with their pairs.  A pair that agrees in the proportion can
+    only be missed where the fingerprints put it beyond the radius.
 
     A null text counts as empty; texts without words have fingerprint zero and
     link like any other.  Rows that repeat an id stay; rows with a null id are
     left out.  An empty table gives an empty result.
     """
-    docs = save(fingerprints(df, id_col, text_col, words, seed, bits), "simhash-docs")
-    reps = docs.groupBy("fp", "rest").agg(F.min(F.struct("doc_id", "mark")).alias("r")).select("fp", "rest", F.col("r.doc_id").alias("rep"), F.col("r.mark").alias("mark"), F.expr(f"bit_count(fp) div {band}").cast("int").alias("pop"))
+    docs = save(fingerprints(df, id_col, text_col, words, seed, bits, least is not None), "simhash-docs")
+    same = ["fp", "rest"] if least is None else ["fp", "rest", "grams"]
+    reps = docs.groupBy(*same).agg(F.min(F.struct("doc_id", "mark", "size")).alias("r")).select(*same, F.col("r.doc_id").alias("rep"), F.col("r.mark").alias("mark"), F.col("r.size").alias("size"), F.expr(f"bit_count(fp) div {band}").cast("int").alias("pop"))
     reps = save(reps, "simhash-reps")
     total = reps.count()
     rows = max(1, int((total * tile_rows) ** 0.5))
@@ -279,12 +378,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one, two = F.struct("pop", "block"), F.struct(F.col("q").alias("pop"), F.col("q_block").alias("block"))
     cells = tiled.withColumns({"lo": F.when(ahead, one).otherwise(two), "hi": F.when(ahead, two).otherwise(one)})
     cells = cells.select(F.col("lo.pop").alias("p_lo"), F.col("lo.block").alias("b_lo"), F.col("hi.pop").alias("p_hi"), F.col("hi.block").alias("b_hi"), "fp", "rest", "rep", "pop", "block")
-    links = cells.groupBy("p_lo", "b_lo", "p_hi", "b_hi").applyInArrow(_tiles(radius, bits if total_radius is None else total_radius, least is not None, band), "rep long, root long" + (", tile long" if least is not None else ""))
+    links = cells.groupBy("p_lo", "b_lo", "p_hi", "b_hi").applyInArrow(_tiles(radius, bits if total_radius is None else total_radius, least is not None, band), "rep long, root long" + (", n long" if least is not None else ""))
     if least is not None:
-        links = confirmed(links, reps, df, id_col, text_col, words, seed, least)
+        links = confirmed(links, reps, df, id_col, text_col, words, seed, radius, bits if total_radius is None else total_radius, least)
     components = connected_components(links.select(F.col("rep").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("id", "rep")
-    classes = reps.join(components, "rep", "left").select("fp", "rest", F.coalesce("component_id", "rep").alias("component_id"))
-    return docs.join(classes, ["fp", "rest"]).select(
+    classes = reps.join(components, "rep", "left").select(*same, F.coalesce("component_id", "rep").alias("component_id"))
+    return docs.join(classes, same).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",

@@ -305,6 +305,79 @@ def test_links_are_confirmed(spark, monkeypatch):
     assert len(linked) >= 0.98 * len(near)
 
 
+def plain_classes(docs, near=corpus_pipeline.NEAR):
+    """Components of all links: every pair within both radii whose shingles agree, ids that occur again taken together."""
+    n = near["words"]
+    fps = np.array([simhash.wide_fingerprint((t or "").encode(), n, bits=near["bits"]) for _, t in docs])
+    sets = [shingles(t or "", n) if (t or "").split() else set() for _, t in docs]
+    parent = {d: d for d, _ in docs}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (d, _) in enumerate(docs):
+        bits = np.bitwise_count(fps ^ fps[i])
+        for j in np.flatnonzero((bits[:, 0] <= near["radius"]) & (bits.sum(axis=1) <= near["total_radius"])).tolist():
+            a, b = find(d), find(docs[j][0])
+            if a != b and (sets[i] == sets[j] or len(sets[i] & sets[j]) >= near["least"] * len(sets[i] | sets[j])):
+                parent[max(a, b)] = min(a, b)
+    return {d: find(d) for d, _ in docs}
+
+
+@pytest.mark.parametrize("group, size, tile_rows", [(1024, 32 << 20, 1024), (6, 32 << 20, 1024), (1024, 1 << 14, 2)])
+def test_classes_are_those_of_all_links(spark, monkeypatch, group, size, tile_rows):
+    """Chains, stars and look-alikes of several sources, in one block and in many."""
+    monkeypatch.setattr(simhash, "GROUP", group)
+    monkeypatch.setattr(simhash, "GROUP_BYTES", size)
+    rnd = random.Random(17)
+    word = lambda: f"w{rnd.randrange(5000)}"
+    docs = []
+    for source in range(6):
+        texts_ = [[word() for _ in range(rnd.randint(80, 250))]]
+        for _ in range((3, 12, 60)[source % 3]):
+            copy = list(rnd.choice(texts_[-3:]) if source < 3 else texts_[0])  # a chain, a star
+            for p in rnd.sample(range(len(copy)), max(1, round(len(copy) * rnd.choice([0.01, 0.02, 0.025, 0.03])))):
+                copy[p] = word()
+            texts_.append(copy)
+        docs += [" ".join(x) for x in texts_]
+    docs += ["", None, " \n", "one", "One ", "two words", docs[0].upper(), docs[9]]
+    rnd.shuffle(docs)
+    rows = [*enumerate(docs), (3, docs[5]), (3, docs[5]), (4, docs[70])]
+    want = plain_classes(rows)
+    got = simhash.near_duplicates(frame(spark, rows), **corpus_pipeline.NEAR, tile_rows=tile_rows).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == want
+    sizes = Counter(want.values())
+    assert len(sizes) > 20 and max(sizes.values()) > 20
+
+
+def test_no_link_is_lost_among_look_alikes(spark):
+    """Two texts of one set of shingles, each with 40 texts of nearer fingerprints and other shingles beside it."""
+    rnd = random.Random(3)
+    line = lambda k: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(k)) + " "
+    base, tail = line(40) * 20, line(100)
+    docs = [base + tail, base + tail * 5]
+    docs += [base + line(100) for _ in range(40)] + [base + tail * 5 + line(250) for _ in range(40)]
+    rows = list(enumerate(docs))
+    fps = [simhash.wide_fingerprint(t.encode(), 5, bits=512) for t in docs]
+    far = lambda a, b: int(np.bitwise_count(fps[a] ^ fps[b]).sum())
+    assert all(sum(far(a, k) < far(0, 1) <= 88 for k in range(2, 82)) >= 40 for a in (0, 1))
+    want = plain_classes(rows)
+    assert want == {k: max(0, k - 1) if k < 2 else k for k in range(82)}
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows), **corpus_pipeline.NEAR).collect()} == want
+
+
+def test_equal_fingerprints_need_equal_shingles(spark):
+    """A text that one passage outvotes has the fingerprint of the passage and stays all the same."""
+    rnd = random.Random(4)
+    line = lambda k: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(k)) + " "
+    docs = ["a " * 30, "a " * 30 + "b c d e", "a " * 50, "A " * 30 + "B C d e", "a " * 40 + line(9)]
+    fps = {tuple(simhash.wide_fingerprint(t.encode(), 5, bits=512)) for t in docs}
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, list(enumerate(docs))), **corpus_pipeline.NEAR).collect()}
+    assert len(fps) == 1 and got == {0: 0, 1: 1, 2: 0, 3: 1, 4: 4}
+
+
 def test_merged_labels_are_components():
     for seed in range(100):
         rng = np.random.default_rng(seed)
