@@ -287,9 +287,13 @@ def confirmed(near: DataFrame, reps: DataFrame, df: DataFrame, id_col: str, text
             sets = pa.array([shingles(x, words, seed).tobytes() for x in batch.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rep", "fp", "rest", "component", "label", "cells")), sets], ["rep", "fp", "rest", "component", "label", "cells", "shingles"])
 
-    def prove(dealt: DataFrame) -> DataFrame:
-        """``cells`` lists the cells that a text goes to, as key, blocks and side."""
-        texts = _texts(df, id_col, text_col).withColumnRenamed("doc_id", "rep").join(dealt, ["rep", "mark"]).dropDuplicates(["rep", "mark"])
+    def prove(dealt: DataFrame, ids: DataFrame) -> DataFrame:
+        """``cells`` lists the cells that a text goes to, as key, blocks and side; ``ids`` is a saved table of the same texts.
+
+        Ids alone pick the texts, so that Spark knows their size and can spare the shuffle of all texts while they are few.
+        """
+        texts = _texts(df, id_col, text_col).withColumnRenamed("doc_id", "rep").join(ids.select("rep", "mark"), ["rep", "mark"], "left_semi")
+        texts = texts.dropDuplicates(["rep", "mark"]).join(dealt, ["rep", "mark"])
         cell = "key: long, lo: int, hi: int, side: boolean"
         sets = texts.select("rep", "fp", "rest", "component", "label", "cells", "text").mapInArrow(hashed, f"rep long, fp long, rest binary, component long, label long, cells array<struct<{cell}>>, shingles binary")
         sets = sets.withColumn("cell", F.explode("cells")).select("rep", "fp", "rest", "component", "label", "shingles", "cell.*")
@@ -300,7 +304,7 @@ def confirmed(near: DataFrame, reps: DataFrame, df: DataFrame, id_col: str, text
     key = F.when(F.col("blocks").isNull(), F.pmod(F.xxhash64("component"), F.lit(shared))).otherwise(F.col("component"))
     dealt = rows.join(large, "component", "left").withColumns({"key": key, "to": first})
     cells = F.transform("to", lambda b: F.struct(F.col("key"), b.alias("lo"), b.alias("hi"), F.lit(True).alias("side")))
-    links = save(prove(dealt.select("rep", "mark", "fp", "rest", "component", F.col("rep").alias("label"), cells.alias("cells"))), "simhash-links")
+    links = save(prove(dealt.select("rep", "mark", "fp", "rest", "component", F.col("rep").alias("label"), cells.alias("cells")), rows), "simhash-links")
     if large.isEmpty():
         return links
 
@@ -320,7 +324,7 @@ def confirmed(near: DataFrame, reps: DataFrame, df: DataFrame, id_col: str, text
     meet = rest.join(meet, "component").withColumn("at", (F.array_position("every", F.col("block")) - 1).cast("int"))
     other = F.transform("every", lambda x, k: F.struct(F.col("component").alias("key"), F.least(F.col("at"), k).alias("lo"), F.greatest(F.col("at"), k).alias("hi"), (F.col("at") <= k).alias("side"), (x.alone & (x.of == F.col("block.of")) & F.col("block.alone")).alias("joined")))
     cells = F.transform(F.filter(other, lambda x: ~x.joined), lambda x: F.struct(x.key.alias("key"), x.lo.alias("lo"), x.hi.alias("hi"), x.side.alias("side")))
-    return links.unionByName(prove(meet.select("rep", "mark", "fp", "rest", "component", "label", cells.alias("cells"))))
+    return links.unionByName(prove(meet.select("rep", "mark", "fp", "rest", "component", "label", cells.alias("cells")), rest))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4, seed: int = 42, tile_rows: int = 1024, bits: int = BITS, total_radius: int | None = None, least: float | None = None, band: int = 1) -> DataFrame:
