@@ -318,10 +318,19 @@ def radius_adjacency(centroids: DataFrame, radius_m: float) -> DataFrame:
 
 
 def centroids(edges: DataFrame) -> DataFrame:
-    """Area centroids by the shoelace sums: ``area_id, lon, lat``."""
-    cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
-    sums = edges.groupBy("area_id").agg(F.sum(cross).alias("a"), F.sum((F.col("x1") + F.col("x2")) * cross).alias("sx"), F.sum((F.col("y1") + F.col("y2")) * cross).alias("sy"))
-    return sums.select("area_id", (F.col("sx") / (3 * F.col("a"))).alias("lon"), (F.col("sy") / (3 * F.col("a"))).alias("lat"))
+    """Area centroids by the shoelace sums: ``area_id, lon, lat``.
+
+    Coordinates count from a corner of the area: in sums of whole degrees a side
+    of 0.01 degrees would lose centimetres.  An area without extent has the
+    middle of its sides.
+    """
+    corner = edges.groupBy("area_id").agg(F.min("x1").alias("_x"), F.min("y1").alias("_y"))
+    own = edges.join(corner, "area_id").select("area_id", "_x", "_y", *[(F.col(c) - F.col("_x" if c[0] == "x" else "_y")).alias(c) for c in ("x1", "y1", "x2", "y2")])
+    cross, length = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"), F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    x, y = F.col("x1") + F.col("x2"), F.col("y1") + F.col("y2")
+    sums = own.groupBy("area_id", "_x", "_y").agg(F.sum(cross).alias("a"), F.sum(x * cross).alias("sx"), F.sum(y * cross).alias("sy"), F.sum(length).alias("l"), F.sum(x * length).alias("lx"), F.sum(y * length).alias("ly"))
+    middle = lambda c: (F.coalesce(F.try_divide(f"s{c}", 3 * F.col("a")), F.try_divide(f"l{c}", 2 * F.col("l")), F.lit(0.0)) + F.col(f"_{c}"))
+    return sums.select("area_id", middle("x").alias("lon"), middle("y").alias("lat"))
 
 
 def event_centroids(df: DataFrame, area: str = "area_id") -> DataFrame:
