@@ -7,6 +7,8 @@ after them, so nothing is compared with everything.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,21 +121,27 @@ def _place(lat: Column, lon: Column, metric: str) -> list[Column]:
     return [mercator_x(lon), mercator_y(lat)]
 
 
-def _pyramid(dst: DataFrame, axes: list[str], top: float, most: int, deepest: int) -> DataFrame:
+def _known(lat: Column, lon: Column, metric: str) -> Column:
+    """Whether both coordinates are numbers that the metric has a place for; false or null if not."""
+    parts = [F.abs(c) < float("inf") for c in _place(lat, lon, metric)]
+    return reduce(and_, parts)
+
+
+def _pyramid(dst: DataFrame, names: list[Column], axes: list[str], most: int) -> DataFrame:
     """Occupied cells of all levels: ``level, cell, n, lo, hi`` (box of what is in them), ``parent``.
 
-    A cell of more than ``most`` destinations is cut in 4 along each axis, down
-    to ``deepest`` levels; the box of a cell is that of its destinations.
+    ``names``: name of a row's cell by level.  A cell of more than ``most``
+    destinations is cut in 4 along each axis, down to the last level; the box of
+    a cell is that of its destinations.
     """
-    cell = lambda k: F.concat_ws("_", *[_cell(F.col(a), top / 4**k).cast("string") for a in axes])
     box = [F.array(*[F.min(a) for a in axes]).alias("lo"), F.array(*[F.max(a) for a in axes]).alias("hi")]
     levels, rows = None, dst.withColumn("parent", F.lit("-"))
-    for k in range(deepest + 1):
-        rows = rows.withColumn("cell", cell(k))
+    for k, name in enumerate(names):
+        rows = rows.withColumn("cell", name)
         cells = save(rows.groupBy("parent", "cell").agg(F.count(F.lit(1)).alias("n"), *box).withColumn("level", F.lit(k)), "nearest-cells")
         levels = cells if levels is None else levels.unionByName(cells)
         full = cells.where(F.col("n") > most)
-        if k == deepest or not full.limit(1).count():
+        if k == len(names) - 1 or not full.limit(1).count():
             return levels
         rows = rows.drop("parent").join(full.select("cell"), "cell", "left_semi").withColumnRenamed("cell", "parent")
     return levels
@@ -148,7 +156,7 @@ def _bounds(axes: list[str]) -> tuple[Column, Column]:
 
 
 def _descend(src: DataFrame, dst: DataFrame, metric: str, best: Column, leaf: int, deepest: int) -> DataFrame:
-    """``src_id`` and the best of its destinations, by going down a pyramid of occupied cells.
+    """``lat``, ``lon`` (different in each row of ``src``) and the best destination, by going down a pyramid of occupied cells.
 
     Every source keeps a saved frontier: the cells whose least possible distance
     is not more than the least of the greatest possible ones.  Only these are
@@ -158,62 +166,76 @@ def _descend(src: DataFrame, dst: DataFrame, metric: str, best: Column, leaf: in
     axes = ["_x", "_y", "_z"] if metric == "haversine" else ["_x", "_y"]
     put = lambda df, lat, lon: df.withColumns(dict(zip(axes, _place(F.col(lat), F.col(lon), metric), strict=True)))
     there = save(put(dst, "dst_lat", "dst_lon"), "nearest-destinations")
-    spans = there.agg(*[F.max(F.abs(F.col(a))).alias(a) for a in axes]).first()
-    top = max([1e-9, *(float(x) for x in spans)]) / 2  # a few cells along each axis at the top
-    cells = _pyramid(there, axes, top, leaf, deepest)
+    span = there.agg(*[f(a) for a in axes for f in (F.min, F.max)]).first()
+    low, high = span[::2], span[1::2]
+    top = max([1e-9, *(h - l for l, h in zip(low, high, strict=True))]) / 2  # up to 3 cells along each axis at the top
+    names = [F.concat_ws("_", *[_cell(F.col(a) - l, top / 4**k).cast("string") for a, l in zip(axes, low, strict=True)]) for k in range(deepest + 1)]
+    cells = _pyramid(there, names, axes, leaf)
     least, most = _bounds(axes)
     # Rounding: distances are compared to a digit of a metre, so boxes get twice that more.
     slack = F.lit(0.2 if metric != "haversine" else 0.2 / 6_371_000.0)
-    here = put(src, "lat", "lon").select("src_id", "lat", "lon", *axes)
+    here, place = put(src, "lat", "lon"), ["lat", "lon"]
     frontier, leaves = here.withColumn("at", F.lit("-")), None
     depth = cells.agg(F.max("level")).first()[0]
     for k in range(depth + 1):
         level = cells.where(F.col("level") == k).select(F.col("parent").alias("at"), "cell", "n", "lo", "hi")
         if k == 0:
-            level = F.broadcast(level)  # at most 9 cells along each axis
+            level = F.broadcast(level)  # at most 3 cells along each axis
         opened = frontier.join(level, "at").withColumns({"least": least, "most": most})
-        reach = opened.select("src_id", "most")
+        reach = opened.select(*place, "most")
         if leaves is not None:
-            reach = reach.unionByName(leaves.select("src_id", "most"))
-        reach = reach.groupBy("src_id").agg(F.min("most").alias("reach"))
-        kept = opened.join(reach, "src_id").where(F.sqrt("least") <= F.sqrt("reach") + slack).select("src_id", "lat", "lon", *axes, F.col("cell").alias("at"), "n", "least", "most", F.lit(k).alias("level"))
+            reach = reach.unionByName(leaves.select(*place, "most"))
+        reach = reach.groupBy(*place).agg(F.min("most").alias("reach"))
+        kept = opened.join(reach, place).where(F.sqrt("least") <= F.sqrt("reach") + slack).select(*place, *axes, F.col("cell").alias("at"), "n", "least", "most", F.lit(k).alias("level"))
         kept = save(kept, "nearest-frontier")
         end = kept if k == depth else kept.where(F.col("n") <= leaf)
         leaves = end if leaves is None else leaves.unionByName(end)
-        frontier = kept.where(F.col("n") > leaf).select("src_id", "lat", "lon", *axes, "at")
-    reach = leaves.groupBy("src_id").agg(F.min("most").alias("reach"))
-    wanted = leaves.join(reach, "src_id").where(F.sqrt("least") <= F.sqrt("reach") + slack).select("src_id", "lat", "lon", "level", "at")
+        frontier = kept.where(F.col("n") > leaf).select(*place, *axes, "at")
+    reach = leaves.groupBy(*place).agg(F.min("most").alias("reach"))
+    wanted = leaves.join(reach, place).where(F.sqrt("least") <= F.sqrt("reach") + slack).select(*place, "level", "at")
     inside = None
-    for k in range(depth + 1):
-        part = there.withColumn("at", F.concat_ws("_", *[_cell(F.col(a), top / 4**k).cast("string") for a in axes])).withColumn("level", F.lit(k)).select("level", "at", "dst_id", "dst_lat", "dst_lon")
+    for k, name in enumerate(names[: depth + 1]):
+        part = there.withColumn("at", name).withColumn("level", F.lit(k)).select("level", "at", "dst_id", "dst_lat", "dst_lon")
         ends = cells.where((F.col("level") == k) & ((F.col("n") <= leaf) | F.lit(k == depth))).select(F.col("cell").alias("at"))
         part = part.join(ends, "at", "left_semi")
         inside = part if inside is None else inside.unionByName(part)
     pairs = wanted.join(inside, ["level", "at"]).withColumn("distance", _distance(metric, F.col("lat"), F.col("lon"), F.col("dst_lat"), F.col("dst_lon")))
-    return pairs.groupBy("src_id").agg(F.min(best).alias("best"))
+    return pairs.groupBy(*place).agg(F.min(best).alias("best"))
 
 
-def nearest(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000, leaf: int = 64, deepest: int = 14) -> DataFrame:
+def _scan_all(src: DataFrame, dst: DataFrame, metric: str) -> DataFrame:
+    """``src`` and the ``best`` of all destinations, from a broadcast array of them."""
+    all_ = dst.agg(F.collect_list(F.struct("dst_id", "dst_lat", "dst_lon")).alias("ps"))
+    each = F.transform("ps", lambda p: F.struct(F.round(_distance(metric, F.col("lat"), F.col("lon"), p["dst_lat"], p["dst_lon"]), 1).alias("distance"), p["dst_id"].alias("dst_id")))
+    return src.crossJoin(F.broadcast(all_)).select(*src.columns, F.when(_known(F.col("lat"), F.col("lon"), metric), F.array_min(each)).alias("best"))
+
+
+def nearest(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000, leaf: int = 64, deepest: int = 14, pairs: int = 8_000_000) -> DataFrame:
     """``src_id``, the ``dst_id`` nearest to it (the least of those at one distance) and their ``distance`` in metres, rounded to one digit.
 
-    Up to ``most`` destinations (stations, buildings) every source scans a
-    broadcast array of them.  More are searched through a pyramid of occupied
-    cells, whose leaves hold up to ``leaf`` destinations (more only where they
-    lie within a metre or so, ``deepest`` levels down).  Both ways are exact and
+    Rows that share a place share the search: of destinations at one place only
+    the least id can be the answer, and each different place of the sources is
+    searched once.  Up to ``leaf`` places of destinations every source scans a
+    broadcast array of them; up to ``most`` every place of the sources does, if
+    that makes no more than ``pairs`` comparisons.  Beyond that they are searched
+    through a pyramid of occupied cells, whose leaves hold up to ``leaf`` places
+    (more only where they lie within a metre or so, ``deepest`` levels down), so
+    work does not grow with sources times destinations.  All ways are exact and
     give the same rows: one for each source (``src_id`` is unique), with nulls
-    where it or every destination has no coordinates.  Counting the
-    destinations, and each level of the search, is an action while the plan is
-    made.
+    where it or every destination has no coordinates (NaN and infinities are
+    none).  Counting the places, and each level of the search, is an action
+    while the plan is made.
     """
-    placed = dst.where("dst_lat is not null and dst_lon is not null").select("dst_id", "dst_lat", "dst_lon")
-    best = F.struct(F.round("distance", 1).alias("distance"), "dst_id")
-    if placed.limit(most + 1).count() <= most:
-        all_ = placed.agg(F.collect_list(F.struct("dst_id", "dst_lat", "dst_lon")).alias("ps"))
-        each = F.transform("ps", lambda p: F.struct(F.round(_distance(metric, F.col("lat"), F.col("lon"), p["dst_lat"], p["dst_lon"]), 1).alias("distance"), p["dst_id"].alias("dst_id")))
-        found = src.crossJoin(F.broadcast(all_)).select("src_id", F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.array_min(each)).alias("best"))
-        return found.select("src_id", "best.dst_id", "best.distance")
-    done = _descend(src.where("lat is not null and lon is not null").select("src_id", "lat", "lon"), placed, metric, best, leaf, deepest)
-    return src.select("src_id").join(done, "src_id", "left").select("src_id", "best.dst_id", "best.distance")
+    placed = dst.where(_known(F.col("dst_lat"), F.col("dst_lon"), metric)).groupBy("dst_lat", "dst_lon").agg(F.min("dst_id").alias("dst_id"))
+    n = placed.limit(most + 1).count()
+    if n <= min(leaf, most):
+        return _scan_all(src.select("src_id", "lat", "lon"), placed, metric).select("src_id", "best.dst_id", "best.distance")
+    places = save(src.where(_known(F.col("lat"), F.col("lon"), metric)).select("lat", "lon").distinct(), "nearest-sources")
+    if n <= most and n * places.count() <= pairs:
+        found = _scan_all(places.repartition(places.sparkSession.sparkContext.defaultParallelism), placed, metric)
+    else:
+        found = _descend(places, placed, metric, F.struct(F.round("distance", 1).alias("distance"), "dst_id"), leaf, deepest)
+    return src.select("src_id", "lat", "lon").join(found, ["lat", "lon"], "left").select("src_id", "best.dst_id", "best.distance")
 
 
 def nearest_distance(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000) -> DataFrame:

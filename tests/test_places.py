@@ -2,6 +2,10 @@
 
 import math
 
+import numpy as np
+from pyspark.sql import functions as F
+
+from areapanel import shared
 from areapanel.operators import spatial
 
 EDGES = "area_id string, x1 double, y1 double, x2 double, y2 double"
@@ -21,3 +25,48 @@ def test_centroids_keep_their_digits(spark):
     edges = spark.createDataFrame([e for k, v in cells.items() if k in ("cell_8_0", "cell_9_0") for e in box(k, *v)], EDGES)
     point = spark.createDataFrame([(1, 37.78981371, -122.71501371000001)], "point_id int, lat double, lon double")
     assert [tuple(r) for r in spatial.tag_areas(point, edges, nearest_fallback=True).collect()] == [(1, "cell_8_0")]
+
+
+def haversine(a, b, c, d):
+    a, b, c, d = map(np.radians, (a, b, c, d))
+    return 2 * 6_371_000 * np.arcsin(np.sqrt(np.sin((c - a) / 2) ** 2 + np.cos(a) * np.cos(c) * np.sin((d - b) / 2) ** 2))
+
+
+def saved_rows(monkeypatch):
+    """Rows of the tables that are saved from now on, by name."""
+    rows = {}
+
+    def keep(df, name):
+        done = shared.save(df, name)
+        rows.setdefault(name, []).append(done.count())
+        return done
+
+    monkeypatch.setattr(spatial, "save", keep)
+    return rows
+
+
+def test_nearest_searches_each_place_once(spark, monkeypatch):
+    rows = saved_rows(monkeypatch)
+    src = spark.range(20_000).select(F.col("id").alias("src_id"), (F.col("id") % 7 / 10.0).alias("lat"), (F.col("id") % 11 / 10.0).alias("lon"))
+    dst = spark.range(900).select(F.col("id").alias("dst_id"), (F.col("id") % 9 / 10.0 + 0.013).alias("dst_lat"), (F.col("id") % 10 / 10.0).alias("dst_lon"))
+    odd = spark.createDataFrame([(30_000, None, 1.0), (30_001, float("nan"), 1.0), (30_002, 0.1, float("inf")), (30_003, -0.0, 0.0)], "src_id long, lat double, lon double")
+    nowhere = spark.createDataFrame([(-1, 0.1, None), (-2, float("nan"), 0.1)], "dst_id long, dst_lat double, dst_lon double")
+    first, places = {}, [(i, i % 9 / 10 + 0.013, i % 10 / 10) for i in range(90)]
+    for a, b in {(i % 7, i % 11) for i in range(77)}:
+        first[a, b] = min((round(float(haversine(a / 10, b / 10, y, x)), 1), i) for i, y, x in places)
+    want = {i: first[i % 7, i % 11] for i in range(20_000)} | {30_000: (None, None), 30_001: (None, None), 30_002: (None, None), 30_003: first[0, 0]}
+    for k in ({}, {"pairs": 1}):  # all pairs of places; the pyramid
+        got = {r.src_id: (r.distance, r.dst_id) for r in spatial.nearest(src.unionByName(odd), dst.unionByName(nowhere), **k).collect()}
+        assert got == want
+    assert rows["nearest-sources"] == [77, 77] and rows["nearest-destinations"] == [90]
+
+
+def test_nearest_compares_no_product_of_many_places(spark, monkeypatch):
+    rows, n = saved_rows(monkeypatch), 4_000
+    rnd = np.random.default_rng(5)
+    a, b = (np.round(rnd.uniform((37.7, -122.5), (37.8, -122.4), (n, 2)), 9) for _ in range(2))
+    src = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(a)], "src_id int, lat double, lon double")
+    dst = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(b)], "dst_id int, dst_lat double, dst_lon double")
+    got = {r.src_id: r.distance for r in spatial.nearest_distance(src, dst).collect()}
+    assert all(abs(got[i] - haversine(*a[i], b[:, 0], b[:, 1]).min()) < 0.051 for i in range(n))
+    assert rows["nearest-frontier"] and sum(rows["nearest-frontier"]) * 64 < n * n / 2
