@@ -238,9 +238,9 @@ def nearest(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int
     return src.select("src_id", "lat", "lon").join(found, ["lat", "lon"], "left").select("src_id", "best.dst_id", "best.distance")
 
 
-def nearest_distance(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000) -> DataFrame:
+def nearest_distance(src: DataFrame, dst: DataFrame, metric: str = "haversine", most: int = 10_000, pairs: int = 8_000_000) -> DataFrame:
     """``src_id`` and the distance to the nearest row of ``dst``; see :func:`nearest`."""
-    return nearest(src, dst, metric, most).select("src_id", "distance")
+    return nearest(src, dst, metric, most, pairs=pairs).select("src_id", "distance")
 
 
 def count_within(src: DataFrame, dst: DataFrame, radii: list[float], weight: str | None = None) -> DataFrame:

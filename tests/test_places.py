@@ -70,3 +70,18 @@ def test_nearest_compares_no_product_of_many_places(spark, monkeypatch):
     got = {r.src_id: r.distance for r in spatial.nearest_distance(src, dst).collect()}
     assert all(abs(got[i] - haversine(*a[i], b[:, 0], b[:, 1]).min()) < 0.051 for i in range(n))
     assert rows["nearest-frontier"] and sum(rows["nearest-frontier"]) * 64 < n * n / 2
+
+
+def test_mercator_searches_each_place_once(spark, monkeypatch):
+    rows = saved_rows(monkeypatch)
+    flat = lambda lat, lon: (6378137 * math.radians(lon), 6378137 * math.log(math.tan(math.pi / 4 + math.radians(lat) / 2)))
+    a, b = [(i % 40 / 20, i % 41 / 20) for i in range(1640)], [(i % 30 / 15 + 0.007, i % 31 / 15) for i in range(930)]
+    pole = [(-1, -90.0, 0.3)]  # no place in the plane: it must not hide the others
+    src = spark.createDataFrame([(i, *a[i % 1640]) for i in range(4000)] + [(9000, -90.0, 0.3)], "src_id int, lat double, lon double")
+    dst = spark.createDataFrame([(i, *b[i % 930]) for i in range(2000)] + pole, "dst_id int, dst_lat double, dst_lon double")
+    there = np.array([flat(*q) for q in b])
+    want = [np.hypot(*(there - flat(*p)).T).min() for p in a]
+    for k in ({}, {"pairs": 1}):
+        got = {r.src_id: r.distance for r in spatial.nearest_distance(src, dst, "webmercator", **k).collect()}
+        assert got.pop(9000) is None and all(abs(got[i] - want[i % 1640]) < 0.051 for i in range(4000))
+    assert rows["nearest-sources"] == [1640, 1640] and rows["nearest-destinations"] == [930]
