@@ -95,21 +95,22 @@ def near_pairs(src: DataFrame, dst: DataFrame, radius_m: float, metric: str = "h
     Both sides meet in cells a radius wide or more: on the globe, rows of
     latitude whose cells widen towards the poles and close at 180 degrees; under
     ``webmercator``, squares of the plane.  Rows with a null coordinate have no
-    pairs.
+    pairs.  A radius of 0 pairs rows of one place.
     """
+    reach = max(radius_m, 1.0)  # cells have an extent even if the radius has none
     here, there = (F.col("lat"), F.col("lon")), (F.col("dst_lat"), F.col("dst_lon"))
     steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     if metric == "haversine":
-        height, radius = radius_m / DEGREE_M * 1.01, radius_m / 6_371_000.0 * 1.001
+        height, radius = reach / DEGREE_M * 1.01, reach / 6_371_000.0 * 1.001
         left = src.withColumn("cy", _cell(F.col("lat"), height))
         left = left.withColumn("cx", _lon_cell(F.col("lon"), F.col("cy"), height, radius)[0])
         right = dst.withColumn("oy", F.explode(steps)).withColumn("cy", _cell(F.col("dst_lat"), height) + F.col("oy")).drop("oy")
         x, n = _lon_cell(F.col("dst_lon"), F.col("cy"), height, radius)
         right = right.withColumn("cx", F.explode(F.array_distinct(F.transform(steps, lambda i: F.pmod(x + i, n)))))
     else:
-        left = src.withColumns({"cx": _cell(mercator_x(here[1]), radius_m), "cy": _cell(mercator_y(here[0]), radius_m)})
+        left = src.withColumns({"cx": _cell(mercator_x(here[1]), reach), "cy": _cell(mercator_y(here[0]), reach)})
         right = dst.withColumn("ox", F.explode(steps)).withColumn("oy", F.explode(steps))
-        right = right.withColumns({"cx": _cell(mercator_x(there[1]), radius_m) + F.col("ox"), "cy": _cell(mercator_y(there[0]), radius_m) + F.col("oy")}).drop("ox", "oy")
+        right = right.withColumns({"cx": _cell(mercator_x(there[1]), reach) + F.col("ox"), "cy": _cell(mercator_y(there[0]), reach) + F.col("oy")}).drop("ox", "oy")
     return left.join(right, ["cx", "cy"]).withColumn("distance", _distance(metric, *here, *there)).where(F.col("distance") <= radius_m).drop("cx", "cy")
 
 
@@ -244,14 +245,23 @@ def nearest_distance(src: DataFrame, dst: DataFrame, metric: str = "haversine",
 
 
 def count_within(src: DataFrame, dst: DataFrame, radii: list[float], weight: str | None = None) -> DataFrame:
-    """For each source the number of destinations within each radius (``within_<r>``), and their summed weights (``sum_<r>``); one join."""
-    pairs = near_pairs(src.select("src_id", "lat", "lon"), dst, max(radii))
+    """For each source the number of destinations within each radius (``within_<r>``), and their summed weights (``sum_<r>``); one join.
+
+    Rows that share a place are counted and summed before the join, and each
+    different place of the sources is joined once, so what is joined are pairs of
+    places.
+    """
     text = {r: f"{r:g}".replace(".", "_") for r in radii}
-    aggs = [F.count_if(F.col("distance") <= r).alias(f"within_{text[r]}") for r in radii]
+    places = src.where(_known(F.col("lat"), F.col("lon"), "haversine")).select("lat", "lon").distinct()
+    sums = [F.count(F.lit(1)).alias("_n")] + ([F.sum(weight).alias("_w")] if weight else [])
+    there = dst.where(_known(F.col("dst_lat"), F.col("dst_lon"), "haversine")).groupBy("dst_lat", "dst_lon").agg(*sums)
+    aggs = [F.sum(F.when(F.col("distance") <= r, F.col("_n"))).alias(f"within_{text[r]}") for r in radii]
     if weight:
-        aggs += [F.coalesce(F.sum(F.when(F.col("distance") <= r, F.col(weight))), F.lit(0)).alias(f"sum_{text[r]}") for r in radii]
+        kind = there.schema["_w"].dataType
+        aggs += [F.coalesce(F.sum(F.when(F.col("distance") <= r, F.col("_w"))).cast(kind), F.lit(0)).alias(f"sum_{text[r]}") for r in radii]
     names = [f"within_{text[r]}" for r in radii] + ([f"sum_{text[r]}" for r in radii] if weight else [])
-    return src.select("src_id").join(pairs.groupBy("src_id").agg(*aggs), "src_id", "left").fillna(0, subset=names)
+    found = near_pairs(places, there, max(radii)).groupBy("lat", "lon").agg(*aggs)
+    return src.select("src_id", "lat", "lon").join(found, ["lat", "lon"], "left").select("src_id", *names).fillna(0, subset=names)
 
 
 def neighbor_sum(edges: DataFrame, facts: DataFrame, value: str, keys: list[str], area: str = "area_id") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from areapanel import shared
 from areapanel.operators import spatial
+from areapanel.plans import QUERIES
 
 EDGES = "area_id string, x1 double, y1 double, x2 double, y2 double"
 
@@ -85,3 +86,34 @@ def test_mercator_searches_each_place_once(spark, monkeypatch):
         got = {r.src_id: r.distance for r in spatial.nearest_distance(src, dst, "webmercator", **k).collect()}
         assert got.pop(9000) is None and all(abs(got[i] - want[i % 1640]) < 0.051 for i in range(4000))
     assert rows["nearest-sources"] == [1640, 1640] and rows["nearest-destinations"] == [930]
+
+
+def test_counts_of_rows_that_share_places(spark):
+    a, b = [(i % 12 / 100, i % 13 / 100) for i in range(156)], [(i % 12 / 100 + 0.001, i % 14 / 100) for i in range(84)]
+    src = spark.range(2000).select(F.col("id").alias("src_id"), (F.col("id") % 12 / 100.0).alias("lat"), (F.col("id") % 13 / 100.0).alias("lon")).unionByName(spark.createDataFrame([(5000, None, 0.1), (5001, float("nan"), 0.1)], "src_id long, lat double, lon double"))
+    dst = spark.range(700).select(F.col("id").alias("dst_id"), (F.col("id") % 12 / 100.0 + 0.001).alias("dst_lat"), (F.col("id") % 14 / 100.0).alias("dst_lon"), F.when(F.col("id") % 3 > 0, F.col("id")).cast("decimal(9,2)").alias("w"))
+    out = spatial.count_within(src, dst, [1500, 3000.5], "w")
+    assert dict(out.dtypes) | {"src_id": "bigint"} == {"src_id": "bigint", "within_1500": "bigint", "within_3000_5": "bigint", "sum_1500": "decimal(19,2)", "sum_3000_5": "decimal(19,2)"}
+    lat, lon, w = *(np.array([b[i % 84][k] for i in range(700)]) for k in (0, 1)), np.array([i if i % 3 else 0 for i in range(700)])
+    want = {}
+    for p in a:
+        near = [haversine(*p, lat, lon) <= r for r in (1500, 3000.5)]
+        want[p] = (*(int(x.sum()) for x in near), *(int(w[x].sum()) for x in near))
+    got = {r.src_id: tuple(map(int, r[1:])) for r in out.collect()}
+    assert got == {i: want[a[i % 156]] for i in range(2000)} | {5000: (0, 0, 0, 0), 5001: (0, 0, 0, 0)}
+
+
+def city(spark, folder, events, suppliers, first=0):
+    spark.range(events).selectExpr("id as event_id", "timestamp'2024-01-01' as ts", "id % 9 as user_id", "'view' as event_type", "1.0D as value", "'{}' as props").write.parquet(f"{folder}/events.parquet")
+    spark.range(first, first + suppliers).selectExpr("id as s_suppkey", "'x' as s_name", "cast(id % 5 as int) as s_nationkey", "id % 11 + 0.25D as s_acctbal").write.parquet(f"{folder}/supplier.parquet")
+    place = lambda n: np.array([(37.70 + i * 7919 % 1000 / 10000, -122.51 + i * 104729 % 1200 / 10000) for i in n])
+    a, b = place(range(min(events, 6000))), place(range(first, first + suppliers))
+    return np.array([haversine(*p, b[:, 0], b[:, 1]) for p in a])
+
+
+def test_counts_within_a_radius_of_zero(spark, tmp_path):
+    """Where three of four events share a place with a supplier the radius is 0."""
+    d = city(spark, tmp_path, 6000, 9000)
+    assert np.quantile(d.min(1).round(1), 0.75) == 0
+    got = {r.src_id: r.n for r in QUERIES["g08_count_within_p75"](spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate((d < 1e-3).sum(1).tolist()))
