@@ -117,3 +117,12 @@ def test_counts_within_a_radius_of_zero(spark, tmp_path):
     assert np.quantile(d.min(1).round(1), 0.75) == 0
     got = {r.src_id: r.n for r in QUERIES["g08_count_within_p75"](spark, str(tmp_path)).collect()}
     assert got == dict(enumerate((d < 1e-3).sum(1).tolist()))
+
+
+def test_near_flags_search_each_place_once(spark, tmp_path, monkeypatch):
+    rows, d = saved_rows(monkeypatch), city(spark, tmp_path, 30_000, 700, 41)
+    near = d.min(1).round(1) <= 300
+    assert 0.1 < near.mean() < 0.9
+    got = {r.src_id: r.is_near for r in QUERIES["g15_near_flag"](spark, str(tmp_path)).collect()}
+    assert got == {i: int(near[i % 6000]) for i in range(30_000)}
+    assert rows["nearest-sources"] == [6000]
