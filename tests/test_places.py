@@ -126,3 +126,14 @@ def test_near_flags_search_each_place_once(spark, tmp_path, monkeypatch):
     got = {r.src_id: r.is_near for r in QUERIES["g15_near_flag"](spark, str(tmp_path)).collect()}
     assert got == {i: int(near[i % 6000]) for i in range(30_000)}
     assert rows["nearest-sources"] == [6000]
+
+
+def test_counts_join_places(spark, tmp_path, monkeypatch):
+    joined, plain = [], spatial.near_pairs
+    monkeypatch.setattr(spatial, "near_pairs", lambda src, dst, *a: joined.append((src.count(), dst.count())) or plain(src, dst, *a))
+    d = city(spark, tmp_path, 30_000, 12_000)
+    out = {r.src_id: tuple(r[1:]) for r in QUERIES["g06_g07_count_within"](spark, str(tmp_path)).collect()}
+    weight = np.arange(12_000) % 11 + 0.25
+    want = [(*(int((x <= r).sum()) for r in (300, 600)), *(float(weight[x <= r].sum()) for r in (300, 600))) for x in d]
+    assert len(out) == 30_000 and all(out[i] == want[i % 6000] for i in range(30_000))
+    assert joined == [(6000, 6000)]
