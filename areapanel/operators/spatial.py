@@ -52,6 +52,7 @@ def tag_areas(points: DataFrame, edges: DataFrame, cell: float = 0.01, lat: str
         return tagged.join(close, key, "left").select(key, F.coalesce("area_id", "_near").alias("area_id"))
     if not nearest_fallback:
         return tagged
+    tagged = save(tagged, "tagged-areas")  # the search for the nearest runs jobs over it
     outside = points.select(F.col(key).alias("src_id"), F.col(lat).alias("lat"), F.col(lon).alias("lon")).join(tagged.where("area_id is null").select(F.col(key).alias("src_id")), "src_id", "left_semi")
     middles = centroids(edges).select(F.col("area_id").alias("dst_id"), F.col("lat").alias("dst_lat"), F.col("lon").alias("dst_lon"))
     close = nearest(outside, middles).select(F.col("src_id").alias(key), F.col("dst_id").alias("_near"))
